@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .html_text import extract_text
 from .jaccard_join import jaccard_components
+from .language import identify_language
 from .line_dedup import dedup_lines
 from .mixing import mix
+from .near_vectors import near_vectors
+from .order_minhash import fingerprints
 from .packing import pack_documents
+from .secrets import scan_secrets
 from .toxicity import toxicity
 
 
@@ -34,12 +39,37 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_language(table(spark, sf_dir, "documents"))
+
+
+def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_mixing": op4_mixing,
     "op5_packing": op5_packing,
+    "op6_html_text": op6_html_text,
+    "op7_order_minhash": op7_order_minhash,
+    "op8_language": op8_language,
+    "op9_near_vectors": op9_near_vectors,
+    "op10_secrets": op10_secrets,
 }
 
 ORACLE_SQL: dict[str, str] = {
