@@ -6,8 +6,8 @@ that these sizes need, so each enumerates its subsets of that fixed size, and
 equal subsets meet in a hash join without further proof. Larger sets are heavy:
 they scan the inverted lists of the grams at the head of their order, and what
 meets there is verified on whole sets. The boundary is the largest size for which
-the subsets of a set are fewer than the list entries it would read, by the list
-lengths of the corpus.
+the subsets of a set cost less than the list entries it would read and the
+comparisons they lead to, by the share of entries in the corpus that are shared.
 
 Equal sets are one class before anything is joined. In a list or under a subset,
 members are linked through one of them, never in all pairs; what a pivot leaves
@@ -17,6 +17,7 @@ apart is compared in a second pass, between different components only.
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -31,10 +32,12 @@ from .components import components
 from .shingles import Shingler, U, mixed
 
 #: Bits of each of the two sketches of the lists' lengths, which are broadcast:
-#: 16 MB each, however large the corpus is.
-SKETCH_BITS = 27
+#: 8 MB each, however large the corpus is.
+SKETCH_BITS = 26
 #: No set above this size is enumerated, whatever the costs.
 MOST_LIGHT = 18
+#: What comparing two sets costs beside their grams, in rows of a shuffle.
+COMPARISON = 10
 
 
 def least_overlap(a: int, b: int, percent: int) -> int:
@@ -97,36 +100,35 @@ def _sketch(slices: int, heavy: int):
         for least in (2, heavy):
             bits = np.zeros(part, np.uint8)
             bits[place[times >= least]] = 1
-            maps.append(np.packbits(bits).tobytes())
-        shared = times[times > 1].astype(float)
-        return pd.DataFrame({"slice": [k], "shared": [maps[0]], "heavy": [maps[1]], "f": [shared.sum()], "ff": [(shared**2).sum()]})
+            maps.append(zlib.compress(np.packbits(bits).tobytes(), 1))
+        return pd.DataFrame({"slice": [k], "shared": [maps[0]], "heavy": [maps[1]], "f": [float(times[times > 1].sum())], "all": [float(times.sum())]})
 
     return run
 
 
 def list_sketch(docs: DataFrame, width: int, heavy: int = 64) -> tuple[bytes, bytes, float]:
     """Bit maps, by the hash of an even gram, of those that two or more and that
-    `heavy` or more rows hold, counted over all rows, and the mean length of the
-    list in which an entry of a shared gram stands. The maps' size is fixed."""
+    `heavy` or more rows hold, counted over all rows, and the share of all entries
+    that are of shared grams. The maps' size is fixed."""
     wanted = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slices = min(1 << 15, max(64, 1 << (wanted - 1).bit_length()))
     counted = docs.select("text").mapInArrow(_counts(width, slices), "slice int, hashes binary")
-    rows = counted.groupBy("slice").applyInPandas(_sketch(slices, heavy), "slice int, shared binary, heavy binary, f double, ff double").collect()
+    rows = counted.groupBy("slice").applyInPandas(_sketch(slices, heavy), "slice int, shared binary, heavy binary, f double, all double").collect()
     part = (1 << SKETCH_BITS) // slices // 8
     maps = [bytearray(slices * part) for _ in range(2)]
     for r in rows:
         for m, bits in zip(maps, (r["shared"], r["heavy"]), strict=True):
-            m[r["slice"] * part : (r["slice"] + 1) * part] = bits
-    total = sum(r["f"] for r in rows)
-    return bytes(maps[0]), bytes(maps[1]), sum(r["ff"] for r in rows) / total if total else 0.0
+            m[r["slice"] * part : (r["slice"] + 1) * part] = zlib.decompress(bits)
+    total = sum(r["all"] for r in rows)
+    return bytes(maps[0]), bytes(maps[1]), sum(r["f"] for r in rows) / total if total else 0.0
 
 
-def choose_boundary(mean_list: float, percent: int) -> int:
-    """The largest size at which a set has fewer subsets to enumerate than list
-    entries to read."""
+def choose_boundary(shared: float, percent: int) -> int:
+    """The largest size at which the subsets of a set cost no more than its entries
+    in lists, each a row, and for the shared ones a comparison with a pivot."""
     best = 0
     for a in range(1, MOST_LIGHT + 1):
-        if subset_count(a, percent) <= prefix_length(a, percent) * max(mean_list, 1.0):
+        if subset_count(a, percent) <= prefix_length(a, percent) * (1 + shared * (COMPARISON + a)):
             best = a
         else:
             break
@@ -244,10 +246,11 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    shared, heavy, mean_list = list_sketch(docs, width)
+    shared, heavy, share = list_sketch(docs, width)
     maps = spark.sparkContext.broadcast((shared, heavy))
-    boundary = choose_boundary(mean_list, percent)
+    boundary = choose_boundary(share, percent)
     entries = staged(docs.mapInArrow(_entries(width, percent, boundary, maps), "doc_id long, n long, fp long, head array<long>, subsets array<long>"))
+    maps.destroy()
     known = entries.where("n > 0 AND doc_id IS NOT NULL")
     classes = staged(known.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")))
     # the row of each class that stands for it
@@ -273,6 +276,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     hashed = docs.where("doc_id IS NOT NULL").withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 24)))
     sets = hashed.mapInArrow(_wanted_sets(width, wanted), "doc_id long, fp long, grams binary")
     sets = staged(sets.join(classes.select("rep", "fp"), (sets["doc_id"] == classes["rep"]) & (sets["fp"] == classes["fp"]), "left_semi").select("fp", "grams").dropDuplicates(["fp"]))
+    wanted.destroy()
     links = staged(subset_links.unionAll(_verified(near, sets, percent)))
 
     # what is still in different components though it shares a list

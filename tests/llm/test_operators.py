@@ -1,0 +1,306 @@
+"""The corpus operators against plain versions, and on awkward tables."""
+
+import hashlib
+import random
+import zlib
+
+import brute
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+from tessellate.llm import queries
+from tessellate.llm.common import chunk_of
+from tessellate.llm.html_text import blocks, extract_text, main_texts
+from tessellate.llm.jaccard_join import choose_boundary, jaccard_components, subset_count
+from tessellate.llm.language import identify_language
+from tessellate.llm.line_dedup import dedup_lines
+from tessellate.llm.mixing import mix, schedule
+from tessellate.llm.near_vectors import near_vectors
+from tessellate.llm.order_minhash import fingerprints
+from tessellate.llm.packing import pack_documents, pack_sizes
+from tessellate.llm.secrets import base_spans, infer_automaton, scan_secrets
+from tessellate.llm.toxicity import toxicity
+
+DATA = "/root/testdata/sf0.001"
+LONG = "word " * 20_000 + "end"
+ROWS = [
+    (1, "Alpha beta gamma delta\nshort\nAlpha beta gamma delta", "en", "s1", 1),
+    (2, "  ALPHA beta gamma delta \nown line of two", "en", "s1", 1),
+    (3, None, None, None, None),
+    (4, "", "fr", "", 0),
+    (5, LONG, "en", "s2", 1),
+    (6, LONG, None, "s2", 1),
+    (2, "  ALPHA beta gamma delta \nown line of two", "en", "s1", 1),
+    (None, "Alpha beta gamma delta", "de", "s1", 1),
+    (7, "été là-bas ünïcode   line\nshort", "fr", "s3", 1),
+]
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls, empty and long texts, repeated rows, and columns whose names clash."""
+    df = spark.createDataFrame(ROWS, "doc_id long, text string, lang string, source string, n_chars long")
+    return df.select("*", *[F.lit(1).alias(c) for c in ("chunk", "block", "h1", "fp", "group", "bits", "component", "score", "kept", "words", "size", "place", "v")])
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.read.parquet(f"{DATA}/documents.parquet")
+
+
+def pairs(df):
+    return [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+
+
+def test_line_dedup_matches_plain(odd, docs):
+    for df in (odd, docs.repartition(3)):
+        for batches in (1, 5):
+            got = sorted((r["doc_id"] or -1, r["n_lines"], r["n_dropped"], r["kept_text"]) for r in dedup_lines(df, batches=batches, fanout=2).collect())
+            want = sorted((i or -1, n, k, t) for i, n, k, t in brute.dedup_lines(pairs(df)))
+            assert got == want
+
+
+def test_line_dedup_digest(odd):
+    for r in dedup_lines(odd).collect():
+        assert r["kept_sha256"] == hashlib.sha256(r["kept_text"].encode()).hexdigest()
+
+
+def test_jaccard_matches_plain(spark, odd, docs):
+    rng = random.Random(3)
+    base = [" ".join(rng.choice("abcdefgh") for _ in range(k)) for k in (9, 12, 14, 16, 18, 24, 40)]
+    rows = []
+    for i in range(700):
+        w = rng.choice(base).split()
+        for _ in range(rng.randint(0, 3)):
+            at = rng.choice([0, len(w), rng.randrange(len(w) + 1)])
+            if rng.random() < 0.5 and at < len(w) - 1:
+                w.pop(at)
+            else:
+                w.insert(at, rng.choice("abxyz"))
+        rows.append((i, " ".join(w)))
+    small = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for df in (odd, docs, small):
+        rows = pairs(df)
+        want = brute.jaccard_components(rows)
+        sizes = {(i, len(brute.gram_set(t))) for i, t in rows}
+        got = jaccard_components(df).collect()
+        assert len(got) == len(rows)
+        assert {(r["doc_id"], r["n_shingles"]) for r in got} == sizes
+        assert all(r["component_id"] == want.get(r["doc_id"]) for r in got)
+
+
+def test_jaccard_boundary_follows_costs():
+    assert choose_boundary(0.0, 80) < choose_boundary(1.0, 80)
+    b = choose_boundary(0.5, 80)
+    assert subset_count(b, 80) <= b * (1 + 0.5 * (10 + b))
+
+
+def test_schedule_keeps_within_one_block(spark):
+    shares = {"a": 334, "b": 333, "c": 200, "d": 100, "e": 32, "f": 1}
+    df = spark.createDataFrame([(s, n) for s, n in shares.items()], "source string, share int")
+    rows = schedule(df, 1000).collect()
+    at = {t: r["source"] for r in rows for t in r["places"]}
+    assert sorted(at) == list(range(1000))
+    had = dict.fromkeys(shares, 0)
+    for t in range(1000):
+        had[at[t]] += 1
+        assert all(abs(had[s] - (t + 1) * n / 1000) < 1 for s, n in shares.items())
+
+
+def test_mix_keeps_rows_and_weights(spark, odd, docs):
+    for df in (odd, docs):
+        got = mix(df, block_chars=2000).collect()
+        assert sorted((r["doc_id"] or -1, r["source"] or "") for r in got) == sorted((r["doc_id"] or -1, r["source"] or "") for r in df.collect())
+        by_block = {}
+        for r in got:
+            by_block.setdefault((r["source"], r["block"]), set()).add((r["slot"], r["place"]))
+        assert all(len(x) == 1 for x in by_block.values())
+        slots = [next(iter(x))[0] for x in by_block.values()]
+        assert len(set(slots)) == len(slots)
+        order = sorted(next(iter(x)) for x in by_block.values())
+        assert [p for _, p in order] == sorted(p for _, p in order)
+
+
+def test_mix_places_are_those_of_an_interleaving(spark, docs):
+    got = mix(docs, block_chars=1000, period=100).collect()
+    slots = {(r["source"], r["block"]): r["slot"] for r in got}
+    for source in {s for s, _ in slots}:
+        own = sorted((b, t) for (s, b), t in slots.items() if s == source)
+        assert [t for _, t in own] == sorted(t for _, t in own)
+
+
+def test_packing(odd, docs):
+    from tokenizers import Tokenizer
+
+    import public_tokenizers
+
+    encoder = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for df in (odd, docs):
+        rows = pairs(df)
+        got = pack_documents(df, group_rows=100).collect()
+        ids = {i: encoder.encode(t or "", add_special_tokens=False).ids + [2] for i, t in rows}
+        own = {}
+        for r in got:
+            assert zlib.crc32(np.array(ids[r["doc_id"]][r["start"] : r["start"] + r["length"]], "<u4").tobytes()) == r["ids_crc32"]
+            own.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+            assert r["length"] == 1024 or r["piece"] == 0
+        for parts in own.values():
+            at = 0
+            for offset, length in sorted(parts):
+                assert offset == at
+                at += length
+            assert at <= 1024
+        assert sum(r["length"] for r in got) == sum(len(ids[i]) for i, _ in rows)
+
+
+def test_packing_is_tight():
+    sizes = np.random.default_rng(0).integers(1, 1025, 20_000)
+    bins, offsets = pack_sizes(sizes, 1024)
+    filled = np.bincount(bins, weights=sizes)
+    assert filled.max() <= 1024
+    assert bins.max() + 1 <= 1.01 * np.ceil(sizes.sum() / 1024)
+    assert pack_sizes(np.zeros(0, np.int64), 1024)[0].size == 0
+
+
+def test_html_blocks():
+    page = '<head><title>t</title></head><body><nav>n</nav><div class="ad">x</div><article><h1>A &amp; B</h1><p>one\n two<b>bold</b><br>x<p>y</p><script>"</p>"</script></article><footer>f</footer>'
+    assert [b for _, b in blocks(page)] == ["A & B", "one twobold x", "y"]
+    assert [b for _, b in blocks("<p class=ad>buy<p>next<div id='comments'><p>c</p></div>tail")] == ["next", "tail"]
+    for broken in ("", "<", "<p", "<nav>x", "</p></p>", "<!-- x"):
+        blocks(broken)
+
+
+def test_html_shared_runs_go_where_no_article_is_marked():
+    pages = [f"<div>Home News Sports Weather Contact About Help Terms</div><p>item{i} a{i} b{i} c{i}</p>" for i in range(12)]
+    assert [t for t, _ in main_texts(pages)] == [f"item{i} a{i} b{i} c{i}" for i in range(12)]
+    marked = [f"<article><p>the same words stand on all of these many pages</p><p>x{i}</p></article>" for i in range(12)]
+    assert all("same words" in t and n > 0 for t, n in main_texts(marked))
+
+
+def test_html_rows(spark):
+    df = spark.createDataFrame([(1, None, None, 1), (1, None, None, 1), (2, "http://a/x", "", 2), (None, "http://a/y", "<p>z</p>", 3)], "page_id long, url string, html string, text long")
+    got = sorted((r["page_id"] or -1, r["text"], r["n_chars"]) for r in extract_text(df).collect())
+    assert got == [(-1, "z", 1), (1, "", 0), (1, "", 0), (2, "", 0)]
+    assert extract_text(df.limit(0)).count() == 0
+
+
+def test_fingerprints(odd, docs):
+    got = {r["doc_id"]: r for r in fingerprints(docs).collect()}
+    rows = sorted(pairs(docs))
+    prints = {}
+    for (i, a), (_, b) in zip(rows, rows[1:] + rows[:1], strict=True):
+        cut = len(a) // 4
+        assert got[i]["edited_sha256"] == hashlib.sha256((a[: len(a) - cut] + b[:cut]).encode()).hexdigest()
+        assert got[i]["n_chars"] == len(a)
+        assert prints.setdefault(a, got[i]["fingerprint"]) == got[i]["fingerprint"]
+    assert np.mean([r["near_edited"] for r in got.values()]) > 0.3 > 0.05 > np.mean([r["near_next"] for r in got.values()])
+    assert fingerprints(odd).count() == len(ROWS)
+
+
+def test_fingerprint_feels_order(spark):
+    words = [f"w{i}" for i in range(400)]
+    swapped = words[200:] + words[:200]
+    df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(swapped)), (3, " ".join(words[:-4]))], "doc_id long, text string")
+    got = {r["doc_id"]: r["fingerprint"] for r in fingerprints(df).collect()}
+    same = lambda a, b: sum(a[i : i + 16] == b[i : i + 16] for i in range(0, len(a), 16)) / (len(a) // 16)
+    assert same(got[1], got[3]) > 0.8 > same(got[1], got[2])
+
+
+def test_language(odd, docs):
+    got = {r["doc_id"]: r for r in identify_language(docs).collect()}
+    truth = {r["doc_id"]: r["lang"] for r in docs.collect()}
+    held = [i for i, r in got.items() if r["held_out"]]
+    assert all((zlib.crc32(str(i).encode()) % 5 == 0) == r["held_out"] for i, r in got.items())
+    assert np.mean([got[i]["lang_pred"] == truth[i] for i in held]) > 0.95
+    rows = identify_language(odd).collect()
+    assert len(rows) == len(ROWS) and all(r["lang_pred"] == "und" for r in rows if r["doc_id"] in (3, 4))
+
+
+def test_toxicity(spark, odd):
+    at = "/root/testdata/sf0.01"
+    got = queries.op2_toxicity(spark, at).collect()
+    labels = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{at}/labels.parquet").collect()}
+    assert all((zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1) == r["held_out"] for r in got)
+    held = [(labels[r["doc_id"]], r["score"]) for r in got if r["held_out"] and r["doc_id"] in labels]
+    good, bad = [s for y, s in held if not y], [s for y, s in held if y]
+    assert np.mean([b > g for b in bad for g in good]) > 0.7
+    assert np.mean([s >= 0.7 for s in good]) < 0.02
+    some = spark.createDataFrame([(1, 1), (2, 0), (None, 1)], "doc_id long, toxic int")
+    for labelled in (some, some.limit(0)):
+        rows = toxicity(odd, labelled).collect()
+        assert len(rows) == len(ROWS) and all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_near_vectors(spark):
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((300, 16))
+    x[100:180] = x[0] + 0.15 * rng.standard_normal((80, 16))
+    x[180:200] = x[1] + 0.3 * rng.standard_normal((20, 16))
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.9
+    np.fill_diagonal(near, False)
+    rows = [(i, [float(v) for v in x[i]]) for i in range(300)]
+    rows += [(900, None), (901, [0.0] * 16), (902, [float("nan")] * 16), (903, [1.0, None]), (None, rows[0][1]), (904, []), (905, [1.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("component", F.lit(1)).repartition(4)
+    got = {r["vec_id"]: r for r in near_vectors(df, window=8).collect()}
+    links = [(a, b) for a, b in zip(*np.nonzero(near), strict=True) if a < b]
+    want = brute.closed(set(range(300)), links)
+    found = sum(got[i]["n_links"] for i in range(300))
+    assert 0.98 * near.sum() <= found <= near.sum()
+    assert np.mean([got[i]["component_id"] == want[i] for i in range(300)]) > 0.98
+    assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i in (900, 901, 902, 903, 904, 905, None))
+    assert near_vectors(df.limit(0)).count() == 0
+
+
+def test_secrets(spark, odd):
+    key = "AKIA" + "Z9" * 9
+    text = f'é Password: "abcdef" tokens=ab, api_key={"0f" * 16} {key} {"ab12" * 6}z'
+    spans = [(k, text[s:e]) for k, s, e in base_spans(text)]
+    assert spans == [("assign", 'Password: "abcdef'), ("assign", "api_key=" + "0f" * 16), ("hex", "0f" * 16), ("access", key), ("hex", "ab12" * 6)]
+    assert scan_secrets(odd).count() == len(ROWS)
+    rng = random.Random(0)
+    make = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40))
+    rows = [(i, f"some words here token = {make()} and then more-ordinary-hyphenated-words-{i} of text") for i in range(80)]
+    rows += [(100, "loose " + make().upper()[:0] + "_".join((make()[:20], make()[:20])))]
+    got = {r["doc_id"]: r for r in scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(got[i]["n_assign"] == 1 and got[i]["n_hex"] == 1 and "inferred" not in got[i]["spans"] for i in range(80))
+
+
+def test_automaton_learns_a_loop():
+    own = ["ab" * n + "c" for n in (1, 2, 3, 4) for _ in range(50)]
+    a = infer_automaton(own)
+    assert a.log_likelihood("ab" * 6 + "c") > a.log_likelihood("ba" * 6 + "c")
+
+
+def test_chunks_follow_keys(spark):
+    df = spark.createDataFrame([(i * i,) for i in range(3000)] + [(None,), (5 * 5,)], "k long")
+    rows = sorted((r["k"], r["chunk"]) for r in chunk_of(df, "k", rows=20).collect() if r["k"] is not None)
+    assert [c for _, c in rows] == sorted(c for _, c in rows)
+    assert len({c for _, c in rows}) > 100
+
+
+def test_empty_tables(spark, odd):
+    none = odd.limit(0)
+    labels = spark.createDataFrame([], "doc_id long, toxic int")
+    for f in (dedup_lines, jaccard_components, mix, pack_documents, fingerprints, identify_language, scan_secrets, lambda d: toxicity(d, labels)):
+        assert f(none).count() == 0
+
+
+def test_pipeline(spark):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    kept = [pairs(docs)]
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        docs = stage(spark, docs, DATA)
+        assert docs.columns == list(corpus_pipeline.COLUMNS)
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+        kept.append(pairs(docs))
+    toxic, lines, near, mixed = kept[1:]
+    assert {i for i, _ in toxic} <= {i for i, _ in kept[0]}
+    assert sorted(lines) == sorted((i, t) for i, _, _, t in brute.dedup_lines(toxic))
+    alone = brute.jaccard_components(lines)
+    assert sorted(near) == sorted((i, t) for i, t in lines if alone[i] == i)
+    assert sorted(mixed) == sorted(near)
+    out = corpus_pipeline.run(spark, DATA)
+    assert {r["doc_id"] for r in out.select("doc_id").collect()} == {i for i, _ in mixed}
