@@ -17,64 +17,82 @@ from pyspark.sql import Window
 
 from .common import WHITE, chunk_of
 
-#: Stands in an array for a bin without k-mers.
-EMPTY = 0
+#: A k-mer and its place share a long: the hash above, the place in these low bits.
+PLACE = 26
+
+
+def _hash_of(x: Column) -> Column:
+    return F.shiftrightunsigned(x, PLACE)
+
+
+def _packed(h: Column, i: Column) -> Column:
+    return F.shiftleft(F.shiftrightunsigned(h, PLACE), PLACE).bitwiseOR(i.cast("long"))
 
 
 def with_signature(df: DataFrame, text: str, out: str, k: int = 3, bins: int = 32, keep: int = 2) -> DataFrame:
-    """Adds `out`, an array of `bins` longs, from the column `text`.
+    """Adds `out`, an array of a long for each bin that the column `text` fills: the
+    bin's number in the high bits, the hash of its tuple below.
 
-    Each step is a column of its own, so that Spark works it out once."""
+    Each step is a column of its own, so that Spark works it out once. Sorting is on
+    plain longs, which pack a 38-bit hash and a place below 2^26."""
     cols = [F.col(f"`{c}`") for c in df.columns]
-    words = F.filter(F.split(F.btrim(F.col(text), F.lit(WHITE)), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    bare = F.btrim(F.col(text), F.lit(WHITE))
+    words = F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, r"[\x20\x09-\x0D]+"))
     df = df.select(*cols, F.transform(words, lambda w: F.xxhash64(w)).alias("_w"))
     # a text of fewer than k words is one k-mer
     count = F.greatest(F.size("_w") - (k - 1), F.least(F.size("_w"), F.lit(1)))
-    at = lambda i, j: F.get(F.col("_w"), i + j)
-    kmer = lambda i: F.xxhash64(*[at(i, j) for j in range(k)])
-    grams = F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.struct(kmer(i).alias("h"), i.alias("i")))).otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))
+    kmer = lambda x, i: F.xxhash64(x, *[F.get(F.col("_w"), i + j) for j in range(1, k)])
+    grams = F.transform(F.slice("_w", F.lit(1), count), lambda x, i: _packed(kmer(x, i), i))
     df = df.select(*cols, F.sort_array(grams).alias("_g"))
 
-    def first_of_run(p: Column) -> Column:
-        """Where the run of equal hashes that p stands in begins, by binary search."""
-        h = F.get(F.col("_g"), p)["h"]
+    def first_of_run(h: Column, p: Column) -> Column:
+        """Where the run of equal hashes that p stands in begins, by binary search.
+        _g is sorted as signed numbers, whose order arithmetic shifts keep."""
+        middle = lambda s: F.shiftright(s["lo"] + s["hi"], 1)
         found = F.aggregate(
-            F.sequence(F.lit(1), F.lit(26)),
+            F.sequence(F.lit(1), F.lit(PLACE)),
             F.struct(F.lit(0).alias("lo"), p.alias("hi")),
             lambda s, _: F.when(s["lo"] >= s["hi"], s).otherwise(
-                F.when(
-                    F.get(F.col("_g"), F.shiftright(s["lo"] + s["hi"], 1))["h"] < h,
-                    F.struct((F.shiftright(s["lo"] + s["hi"], 1) + 1).alias("lo"), s["hi"].alias("hi")),
-                ).otherwise(F.struct(s["lo"].alias("lo"), F.shiftright(s["lo"] + s["hi"], 1).alias("hi")))
+                F.when(F.shiftright(F.get(F.col("_g"), middle(s)), PLACE) < F.shiftright(h, PLACE), F.struct((middle(s) + 1).alias("lo"), s["hi"].alias("hi"))).otherwise(
+                    F.struct(s["lo"].alias("lo"), middle(s).alias("hi"))
+                )
             ),
         )
         return found["lo"]
 
     def numbered(x: Column, p: Column) -> Column:
-        repeats = (p > 0) & (F.get(F.col("_g"), p - 1)["h"] == x["h"])
-        u = F.when(repeats, F.xxhash64(x["h"], p - first_of_run(p))).otherwise(F.xxhash64(x["h"], F.lit(0)))
-        return F.struct(u.alias("u"), x["i"].alias("i"))
+        repeats = (p > 0) & (_hash_of(F.get(F.col("_g"), p - 1)) == _hash_of(x))
+        u = F.xxhash64(_hash_of(x), F.when(repeats, p - first_of_run(x, p)).otherwise(0))
+        return _packed(u, x.bitwiseAND(F.lit((1 << PLACE) - 1)))
 
     # sorted by hash, the k-mers of a bin (the hash's high bits) stand together
     df = df.select(*cols, F.sort_array(F.transform("_g", numbered)).alias("_u"))
     shift = 64 - (bins - 1).bit_length()
-    slot = lambda x: F.shiftrightunsigned(x["u"], shift)
+    slot = lambda x: F.shiftrightunsigned(x, shift)
     least = F.filter("_u", lambda x, p: (p < keep) | (slot(F.get(F.col("_u"), p - keep)) != slot(x)))
-    df = df.select(*cols, F.sort_array(F.transform(least, lambda x: F.struct(slot(x).cast("int").alias("b"), x["i"].alias("i"), x["u"].alias("u")))).alias("_s"))
-    tuple_hash = lambda b: F.aggregate(F.filter("_s", lambda x: x["b"] == b), F.lit(EMPTY).cast("long"), lambda a, x: F.xxhash64(a, x["u"]))
-    return df.select(*cols, F.transform(F.sequence(F.lit(0), F.lit(bins - 1)), tuple_hash).alias(out))
+    df = df.select(*cols, least.alias("_s"))
 
+    def tuple_hash(x: Column, p: Column) -> Column:
+        own = F.filter(F.slice(F.col("_s"), p + 1, F.lit(keep)), lambda y: slot(y) == slot(x))
+        in_text = F.sort_array(F.transform(own, lambda y: F.shiftleft(y, 64 - PLACE - 1).bitwiseAND(F.lit((1 << 63) - 1)).bitwiseOR(_hash_of(y).bitwiseAND(F.lit((1 << (64 - PLACE - 1)) - 1)))))
+        hashes = F.transform(in_text, lambda y: y.bitwiseAND(F.lit((1 << (64 - PLACE - 1)) - 1)))
+        value = F.shiftleft(slot(x), shift).bitwiseOR(F.shiftrightunsigned(F.xxhash64(hashes), 64 - shift))
+        begins = (p == 0) | (slot(F.get(F.col("_s"), p - 1)) != slot(x))
+        return F.when(begins, value)
 
-def likeness(a: str, b: str) -> Column:
+    return df.select(*cols, F.filter(F.transform("_s", tuple_hash), lambda x: x.isNotNull()).alias(out))
+
+
+def likeness(a: str, b: str, bins: int = 32) -> Column:
     """The share of bins that agree, of those that either text fills; two texts
     without words are alike."""
-    pairs = F.zip_with(a, b, lambda x, y: F.struct((x == y).alias("same"), ((x != EMPTY) | (y != EMPTY)).alias("full")))
-    full = F.size(F.filter(pairs, lambda p: p["full"]))
-    return F.when(full == 0, F.lit(1.0)).otherwise(F.size(F.filter(pairs, lambda p: p["full"] & p["same"])) / full)
+    shift = 64 - (bins - 1).bit_length()
+    filled = F.size(F.array_distinct(F.transform(F.concat(a, b), lambda x: F.shiftrightunsigned(x, shift))))
+    return F.when(filled == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / filled)
 
 
 def printed(signature: str) -> Column:
-    """A signature as text: 16 hexadecimal digits for each bin."""
+    """A signature as text: 16 hexadecimal digits for each bin filled."""
     return F.array_join(F.transform(signature, lambda x: F.lpad(F.lower(F.hex(x)), 16, "0")), "")
 
 
@@ -124,6 +142,6 @@ def fingerprints(docs: DataFrame, k: int = 3, bins: int = 32, keep: int = 2) ->
         F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
         printed("sig").alias("fingerprint"),
         printed("edited_sig").alias("edited_fingerprint"),
-        likeness("sig", "edited_sig").alias("near_edited"),
-        likeness("sig", "next_sig").alias("near_next"),
+        likeness("sig", "edited_sig", bins).alias("near_edited"),
+        likeness("sig", "next_sig", bins).alias("near_next"),
     )
