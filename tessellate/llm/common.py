@@ -17,6 +17,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def modest_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Python gets texts in batches of so many rows, where the session leaves the
+    number at its default, which would be many megabytes of long texts at once."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == "10000":
+        spark.conf.set(name, str(rows))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir of the
     session. Where it is unset, as in tests on one machine, a temporary one."""

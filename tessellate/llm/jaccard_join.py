@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import modest_batches, staged
 from .components import components
 from .shingles import Shingler, U, mixed
 
@@ -200,7 +200,7 @@ def _wanted_sets(width: int, ids):
                 continue
             sets = list(shingler.of_column(b.column(1)))
             prints = [int(mixed(g ^ U(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)) for g in sets]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints, pa.int64()), pa.array([g.tobytes() for g in sets], pa.binary())], ["doc_id", "fp", "grams"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(prints, pa.int64()), pa.array([_signed(g) for g in sets], pa.list_(pa.int64()))], ["doc_id", "fp", "grams"])
 
     return run
 
@@ -215,11 +215,6 @@ def id_filter(ids: DataFrame, bits: int = 24) -> bytes:
     return np.packbits(out).tobytes()
 
 
-@F.pandas_udf("long")
-def _overlap(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), assume_unique=True)) for x, y in zip(a, b, strict=True)], dtype="int64")
-
-
 def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
     return (100 * F.least(a, b)) >= (percent * F.greatest(a, b))
 
@@ -229,8 +224,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("fp").alias("a"), F.col("grams").alias("ga"))
     right = sets.select(F.col("fp").alias("b"), F.col("grams").alias("gb"))
     both = pairs.join(right, "b").join(left, "a")
-    size = (F.octet_length("ga") + F.octet_length("gb")) / 8
-    return both.select("a", "b", size.alias("size"), _overlap("ga", "gb").alias("o")).where(100 * F.col("o") >= percent * (F.col("size") - F.col("o"))).select("a", "b")
+    sized = both.select("a", "b", (F.size("ga") + F.size("gb")).alias("size"), F.size(F.array_intersect("ga", "gb")).alias("o"))
+    return sized.where(100 * F.col("o") >= percent * (F.col("size") - F.col("o"))).select("a", "b")
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -245,6 +240,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     their names, are ignored. Sets are told apart by 64-bit hashes.
     """
     spark = docs.sparkSession
+    modest_batches(spark)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     shared, heavy, share = list_sketch(docs, width)
     maps = spark.sparkContext.broadcast((shared, heavy))
@@ -274,7 +270,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     ids = id_filter(met.select("fp").distinct().join(classes, "fp").select(F.col("rep").alias("doc_id")))
     wanted = spark.sparkContext.broadcast(ids)
     hashed = docs.where("doc_id IS NOT NULL").withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 24)))
-    sets = hashed.mapInArrow(_wanted_sets(width, wanted), "doc_id long, fp long, grams binary")
+    sets = hashed.mapInArrow(_wanted_sets(width, wanted), "doc_id long, fp long, grams array<long>")
     sets = staged(sets.join(classes.select("rep", "fp"), (sets["doc_id"] == classes["rep"]) & (sets["fp"] == classes["fp"]), "left_semi").select("fp", "grams").dropDuplicates(["fp"]))
     wanted.destroy()
     links = staged(subset_links.unionAll(_verified(near, sets, percent)))

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import modest_batches, staged
 
 LONGEST = 5
 UNKNOWN = "und"
@@ -142,6 +142,7 @@ def identify_language(docs: DataFrame, sample: int = 20_000) -> DataFrame:
     teaches nothing. Ties go to the language that sorts first. Repeated rows are each
     predicted; an empty table gives an empty result; other columns, whatever their
     names, are ignored."""
+    modest_batches(docs.sparkSession)
     fitted = fit_language(docs, sample)
     model = docs.sparkSession.sparkContext.broadcast((fitted.languages, fitted.tables))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out().alias("held_out"), "text")

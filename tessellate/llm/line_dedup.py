@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WHITE, ascii_lower
+from .common import WHITE, ascii_lower, modest_batches
 
 _STRIP = WHITE.encode()
 _UNIQUE = "h1 long, h2 long, doc_id long"
@@ -151,6 +151,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout:
     unless carried.
     """
     spark = docs.sparkSession
+    modest_batches(docs.sparkSession)
     ids = docs.select("doc_id")
     cuts = sorted({int(x) for x in ids.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.02)}) if batches > 1 else []
     edges = [None, *cuts, None]

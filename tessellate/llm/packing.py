@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import modest_batches, staged
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 def byte_bpe(ranks_path: str, pattern: str) -> Callable[[str], bytes]:
@@ -158,4 +158,5 @@ def pack_documents(docs: DataFrame, capacity: int = 1024, end_id: int = 2, with_
     Null text is empty and gives one piece that holds the end token alone; a null
     doc_id stays null; rows that share a doc_id are packed each by itself. Other
     columns, whatever their names, are ignored."""
+    modest_batches(docs.sparkSession)
     return pack(staged(tokenize_pieces(docs, capacity, end_id, with_ids=with_ids)), capacity, group_rows)

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import modest_batches
+
 KINDS = ("assign", "access", "hex", "inferred")
 #: Fixed formats, whose spans the contract names.
 _ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
@@ -248,5 +250,6 @@ def scan_secrets(docs: DataFrame, sample: int = 1000) -> DataFrame:
     Null text is empty and has no spans. A kind with fewer than ten examples infers
     nothing. Rows are each scanned, repeated or without doc_id; an empty table gives
     an empty result; other columns, whatever their names, are ignored."""
+    modest_batches(docs.sparkSession)
     grammar = fit_grammar(docs, sample)  # a few hundred states, sent with the tasks
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scan(grammar), "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string")
