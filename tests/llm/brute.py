@@ -60,3 +60,16 @@ def dedup_lines(rows, min_chars=10):
         kept = [x for x in lines if i is None or owner.get(ascii_lower(x.strip(WHITE)), i) == i]
         out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
     return out
+
+
+def best_fit_decreasing(sizes, capacity):
+    """The number of bins that best fit takes, from large to small."""
+    gaps, bins = [0] * (capacity + 1), 0
+    for s in sorted(sizes, reverse=True):
+        g = next((g for g in range(s, capacity) if gaps[g]), None)
+        if g is None:
+            bins, g = bins + 1, capacity
+        else:
+            gaps[g] -= 1
+        gaps[g - s] += 1
+    return bins

@@ -158,7 +158,10 @@ def test_packing_is_tight():
     bins, offsets = pack_sizes(sizes, 1024)
     filled = np.bincount(bins, weights=sizes)
     assert filled.max() <= 1024
-    assert bins.max() + 1 <= 1.01 * np.ceil(sizes.sum() / 1024)
+    # sizes spread evenly up to the capacity are the rule's hard case
+    assert bins.max() + 1 <= 1.02 * brute.best_fit_decreasing(sizes.tolist(), 1024)
+    small = sizes[sizes < 600]
+    assert pack_sizes(small, 1024)[0].max() + 1 <= 1.005 * np.ceil(small.sum() / 1024)
     assert pack_sizes(np.zeros(0, np.int64), 1024)[0].size == 0
 
 
