@@ -54,6 +54,20 @@ def unstage(*frames: DataFrame) -> None:
                 path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
+def bounded_sample(rows: DataFrame, key: str, n: int, total: int | None = None) -> DataFrame:
+    """The n rows whose keys have the least hashes, more only where rows share a key.
+
+    A threshold on the hash leaves about 3 n / 2 rows first, so that what is sorted
+    and broadcast is bounded by n, and not by the table. total, the number of rows or
+    a little more, spares a count."""
+    total = rows.count() if total is None else total
+    space = 1 << 30
+    h = F.xxhash64(key)
+    near = rows.where(F.pmod(h, F.lit(space)) < int(min(1.0, 1.5 * n / max(total, 1)) * space))
+    ids = near.select(key, F.pmod(h, F.lit(space)).alias("_h")).distinct().orderBy("_h", key).limit(n).select(key)
+    return near.join(F.broadcast(ids), key, "left_semi")
+
+
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, UPPER, LOWER)
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import modest_batches, staged
+from .common import bounded_sample, modest_batches, staged
 
 LONGEST = 5
 UNKNOWN = "und"
@@ -55,8 +55,8 @@ def _log_frequencies(counts: DataFrame, languages: list[str], term: str, most: i
 def fit_language(docs: DataFrame, sample: int = 20_000, vocabulary: int = 100_000, grams: int = 200_000) -> LanguageModel:
     """Fits on docs (doc_id, text, lang): of the rows that are not held out and have
     a text and a language, the first `sample` by a hash of their id."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where(~held_out()).where("doc_id IS NOT NULL AND text IS NOT NULL AND lang IS NOT NULL")
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where(~held_out()).where("doc_id IS NOT NULL AND lang IS NOT NULL")
+    rows = bounded_sample(rows.where("text IS NOT NULL"), "doc_id", sample, rows.count())
     words = rows.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")).where("word <> ''")
     counts = staged(words.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")))
     languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
