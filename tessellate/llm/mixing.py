@@ -143,7 +143,9 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, period: int = 1000, b
     picked = docs.select("doc_id", "source", "text", *[F.col(c).alias(f"_carry_{c}") for c in carry])
     blocks = block_numbers(picked, block_chars)
     if weights is None:
-        weights = target_shares(source_sizes(docs), period, power)
+        sizes = staged(source_sizes(docs))
+        period = max(period, 4 * sizes.count())  # so that every source has a place
+        weights = target_shares(sizes, period, power)
     plan = staged(schedule(weights, period))
     extent = blocks.groupBy("source").agg((F.max("block") + 1).alias("n_blocks"))
     # one row for each source of the plan; the last place that all sources fill
