@@ -147,3 +147,19 @@ def label_audit(picked: DataFrame, labels: DataFrame) -> DataFrame:
     both = picked.join(labels.withColumn("_m", F.lit(1)), ["entity", "session"], "left")
     bad = (F.col("entry_session") <= F.col("session")) | (F.col("exit_session") <= F.col("entry_session"))
     return both.agg(F.count(F.lit(1)).alias("n"), F.count("_m").alias("matched"), F.avg(F.coalesce(F.col("is_label_available"), F.lit(False)).cast("double")).alias("available_ratio"), F.count_if(F.coalesce(bad, F.lit(False))).alias("violations"))
+
+
+def latest_only_flag(panel: DataFrame, restricted_now: DataFrame, name: str = "restricted") -> DataFrame:
+    """Without a history of restrictions, today's list holds for the last session
+    alone; on all others nothing is known to be restricted."""
+    last = panel.agg(F.max("session").alias("_last"))
+    both = panel.crossJoin(F.broadcast(last)).join(restricted_now.select("entity").distinct().withColumn("_now", F.lit(True)), "entity", "left")
+    return both.withColumn(name, F.coalesce(F.col("_now"), F.lit(False)) & (F.col("session") == F.col("_last"))).drop("_now", "_last")
+
+
+def fundamental_ratios(reports: DataFrame, ratios: Mapping[str, tuple[str, str]], changes: Sequence[str], order: str = "available") -> DataFrame:
+    """ratios of reported values, and their change against the entity's previous
+    announcement."""
+    w = Window.partitionBy("entity").orderBy(order)
+    out = reports.withColumns({n: safe_div(a, b) for n, (a, b) in ratios.items()})
+    return out.withColumns({f"{c}_change": F.col(c) - F.lag(c).over(w) for c in changes})

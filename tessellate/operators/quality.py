@@ -86,3 +86,70 @@ def freshness(tables: Mapping[str, tuple[DataFrame, str]], as_of: str) -> DataFr
         rows = one if rows is None else rows.unionByName(one)
     common = F.min("last").over(Window.partitionBy())
     return rows.select("table", "last", F.datediff(F.to_date(F.lit(as_of)), "last").alias("lag_days"), common.alias("common_end"))
+
+
+def limit_quality(limits: DataFrame, suspended: DataFrame, no_limit: tuple[float, float] = (99999.99, 0.0)) -> DataFrame:
+    """Limit prices that are null, stand for no limit, are zero, inverted or
+    negative; and zero ones on sessions that were not suspended."""
+    up, down = F.col("up_limit"), F.col("down_limit")
+    off = limits.join(suspended.select("entity", "session").distinct().withColumn("_s", F.lit(True)), ["entity", "session"], "left")
+    sentinel = (F.abs(up - no_limit[0]) < 1e-6) & (F.abs(down - no_limit[1]) < 1e-6)
+    zero = (up == 0) & (down == 0)
+    return rule_table(
+        off,
+        {
+            "null": up.isNull() | down.isNull(),
+            "sentinel": sentinel,
+            "zero": zero,
+            "inverted": (up < down) & ~zero,
+            "not_positive": ((up <= 0) | (down < 0)) & ~zero,
+            "zero_not_suspended": zero & F.col("_s").isNull(),
+        },
+        "limits",
+    )
+
+
+def universe_rules() -> dict[str, Column]:
+    """Implications of a universe table that rows break."""
+    c = F.col
+    model = c("in_model_universe")
+    return {
+        "model_but_new": model & c("is_new"),
+        "model_but_restricted": model & c("is_restricted"),
+        "model_without_price": model & c("is_no_price"),
+        "model_but_illiquid": model & c("is_low_liquidity"),
+        "reason_missing": ~model & (c("exclude_reason") == ""),
+        "reason_needless": model & (c("exclude_reason") != ""),
+        "price_without_trade": ~c("traded") & c("close").isNotNull(),
+        "key_missing": c("entity").isNull() | c("session").isNull(),
+    }
+
+
+def label_rules(reasons: Sequence[str], quantiles: int) -> dict[str, Column]:
+    """What label rows break: order of dates, nulls, ranges, known reasons."""
+    c = F.col
+    ok = c("is_label_available")
+    return {
+        "entry_not_after_signal": c("entry_session") <= c("session"),
+        "exit_not_after_entry": c("exit_session") <= c("entry_session"),
+        "available_without_return": ok & c("future_excess_ret").isNull(),
+        "return_without_label": ~ok & c("future_excess_ret").isNotNull(),
+        "reason_unknown": c("reason").isNotNull() & ~c("reason").isin(*reasons),
+        "reason_missing": ~ok & c("reason").isNull(),
+        "percentile_out_of_range": (c("label_pct") <= 0) | (c("label_pct") > 1),
+        "quantile_out_of_range": (c("label_quantile") < 0) | (c("label_quantile") >= quantiles),
+    }
+
+
+def observation_rules(as_of: str) -> dict[str, Column]:
+    """What observation rows break: known horizons and roles, no immature rows,
+    a return just when it is available, non-empty ids."""
+    c = F.col
+    return {
+        "role_unknown": ~c("model_role").isin("champion", "challenger", "ensemble"),
+        "horizon_not_positive": c("horizon") <= 0,
+        "immature": c("exit_session") > F.to_date(F.lit(as_of)),
+        "future_signal": c("session") >= c("exit_session"),
+        "id_missing": F.coalesce(F.length("observation_id"), F.lit(0)) == 0,
+        "return_mismatch": (c("label_status") == "available") != c("y").isNotNull(),
+    }
