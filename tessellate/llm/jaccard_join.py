@@ -219,13 +219,16 @@ def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
     return (100 * F.least(a, b)) >= (percent * F.greatest(a, b))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) of set hashes whose sets are similar."""
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of set hashes with size (the sum of both) and o, the overlap."""
     left = sets.select(F.col("fp").alias("a"), F.col("grams").alias("ga"))
     right = sets.select(F.col("fp").alias("b"), F.col("grams").alias("gb"))
     both = pairs.join(right, "b").join(left, "a")
-    sized = both.select("a", "b", (F.size("ga") + F.size("gb")).alias("size"), F.size(F.array_intersect("ga", "gb")).alias("o"))
-    return sized.where(100 * F.col("o") >= percent * (F.col("size") - F.col("o"))).select("a", "b")
+    return both.select("a", "b", (F.size("ga") + F.size("gb")).alias("size"), F.size(F.array_intersect("ga", "gb")).alias("o"))
+
+
+def _similar(percent: int) -> Column:
+    return 100 * F.col("o") >= percent * (F.col("size") - F.col("o"))
 
 
 def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -273,24 +276,31 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     sets = hashed.mapInArrow(_wanted_sets(width, wanted), "doc_id long, fp long, grams array<long>")
     sets = staged(sets.join(classes.select("rep", "fp"), (sets["doc_id"] == classes["rep"]) & (sets["fp"] == classes["fp"]), "left_semi").select("fp", "grams").dropDuplicates(["fp"]))
     wanted.destroy()
-    links = staged(subset_links.unionAll(_verified(near, sets, percent)))
-
-    # what is still in different components though it shares a list
+    compared = staged(_compared(near, sets))
+    links = staged(subset_links.unionAll(compared.where(_similar(percent)).select("a", "b")))
+
+    # what is still in different components though it shares a list; Jaccard distance
+    # is a metric, so two members whose distances to the list's pivot differ by more
+    # than the limit can't be similar, and need no comparison
+    from_pivot = compared.select(F.col("a").alias("pivot"), F.col("b").alias("fp"), (1 - F.col("o") / (F.col("size") - F.col("o"))).alias("d"))
+    limit = 1 - percent / 100 + 1e-9
     found = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    placed = posts.join(found, posts["fp"] == found["node"], "left").select("fp", "n", "gram", F.coalesce("component", "fp").alias("comp"))
+    placed = met.join(found, met["fp"] == found["node"], "left").join(from_pivot, ["pivot", "fp"], "left")
+    placed = placed.select("fp", "n", "gram", F.coalesce("component", "fp").alias("comp"), F.when(F.col("fp") == F.col("pivot"), 0.0).otherwise(F.col("d")).alias("d"))
     by_comp = placed.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("k"))
     main = by_comp.groupBy("gram").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")).where("comps > 1").drop("comps")
     apart = placed.join(main, "gram")
-    minor = apart.where("comp <> main").select("gram", F.col("fp").alias("x"), F.col("n").alias("xn"), F.col("comp").alias("xc"))
-    other = apart.select("gram", F.col("fp").alias("y"), F.col("n").alias("yn"), F.col("comp").alias("yc"), (F.col("comp") == F.col("main")).alias("in_main"))
+    minor = apart.where("comp <> main").select("gram", F.col("fp").alias("x"), F.col("n").alias("xn"), F.col("comp").alias("xc"), F.col("d").alias("xd"))
+    other = apart.select("gram", F.col("fp").alias("y"), F.col("n").alias("yn"), F.col("comp").alias("yc"), F.col("d").alias("yd"), (F.col("comp") == F.col("main")).alias("in_main"))
     rest = (
         minor.join(other, "gram")
+        .where(F.coalesce(F.abs(F.col("xd") - F.col("yd")) <= limit, F.lit(True)))
         .where((F.col("xc") != F.col("yc")) & (F.col("in_main") | (F.col("x") < F.col("y"))) & _sizes_fit(F.col("xn"), F.col("yn"), percent))
         .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         .distinct()
         .join(near, ["a", "b"], "left_anti")
     )
-    links = links.unionAll(staged(_verified(rest, sets, percent)))
+    links = links.unionAll(staged(_compared(rest, sets).where(_similar(percent)).select("a", "b")))
 
     name = classes.select("fp", "rep")
     edges = links.join(name.select(F.col("fp").alias("a"), F.col("rep").alias("u")), "a").join(name.select(F.col("fp").alias("b"), F.col("rep").alias("v")), "b").select("u", "v")
