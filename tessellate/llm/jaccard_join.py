@@ -153,6 +153,13 @@ def _subset_keys(grams: np.ndarray, boundary: int, percent: int) -> list[int]:
     return np.concatenate(keys).astype(np.uint64).view(np.int64).tolist() if keys else []
 
 
+def _parities(grams: np.ndarray) -> np.ndarray:
+    """512 bits, each the parity of the number of grams that fall on it. Two sets
+    differ in at least as many grams as these differ in bits."""
+    odd = np.bincount(((grams >> U(20)) & U(511)).astype(np.int64), minlength=512) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
@@ -166,7 +173,7 @@ def _entries(width: int, percent: int, boundary: int, maps):
             return (bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1
 
         for b in batches:
-            sizes, prints, heads, subsets = [], [], [], []
+            sizes, prints, heads, subsets, centres, sketches = [], [], [], [], [], []
             for grams in shingler.of_column(b.column(1)):
                 n = len(grams)
                 sizes.append(n)
@@ -178,12 +185,16 @@ def _entries(width: int, percent: int, boundary: int, maps):
                     order = np.where(counted, is_set(shared, place) + 2 * is_set(heavy, place), 2).astype(np.uint64)
                     head = np.sort(order << U(62) | grams >> U(2))[: prefix_length(n, percent)]
                     heads.append(_signed(head[head >> U(62) > 0]).tolist())
+                    centres.append(float(np.mean(order[counted])) if counted.any() else 0.0)
+                    sketches.append(_parities(grams))
                 else:
                     heads.append([])
+                    centres.append(0.0)
+                    sketches.append(None)
             longs = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), pa.array(heads, longs), pa.array(subsets, longs)],
-                ["doc_id", "n", "fp", "head", "subsets"],
+                [b.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), pa.array(heads, longs), pa.array(subsets, longs), pa.array(centres, pa.float64()), pa.array(sketches, longs)],
+                ["doc_id", "n", "fp", "head", "subsets", "centre", "sketch"],
             )
 
     return run
@@ -248,13 +259,13 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     shared, heavy, share = list_sketch(docs, width)
     maps = spark.sparkContext.broadcast((shared, heavy))
     boundary = choose_boundary(share, percent)
-    entries = staged(docs.mapInArrow(_entries(width, percent, boundary, maps), "doc_id long, n long, fp long, head array<long>, subsets array<long>"))
+    entries = staged(docs.mapInArrow(_entries(width, percent, boundary, maps), "doc_id long, n long, fp long, head array<long>, subsets array<long>, centre double, sketch array<long>"))
     maps.destroy()
     known = entries.where("n > 0 AND doc_id IS NOT NULL")
     classes = staged(known.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")))
     # the row of each class that stands for it
     chosen = known.where("size(head) > 0 OR size(subsets) > 0").join(classes.select("rep", "fp"), (known["doc_id"] == classes["rep"]) & (known["fp"] == classes["fp"]), "left_semi")
-    chosen = staged(chosen.select("fp", "n", "head", "subsets").dropDuplicates(["fp"]))
+    chosen = staged(chosen.select("fp", "n", "head", "subsets", "centre", "sketch").dropDuplicates(["fp"]))
 
     # light sets: an equal subset proves a link, also between sets of the smaller
     # size of its pair, which need no larger overlap; a star on either side joins all
@@ -265,9 +276,10 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     cross = cross.select("key", F.lit(1).alias("side"), F.col("small").alias("hub")).unionAll(cross.select("key", F.lit(0).alias("side"), F.col("large").alias("hub")))
     subset_links = keyed.join(same.unionAll(cross), ["key", "side"]).where("fp <> hub").select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
 
-    # heavy sets: each list compares its members with one of them
-    posts = staged(chosen.select("fp", "n", F.explode("head").alias("gram")))
-    pivots = posts.groupBy("gram").agg(F.min(F.struct("fp", "n")).alias("p"), F.count(F.lit(1)).alias("m")).where("m > 1").select("gram", F.col("p.fp").alias("pivot"), F.col("p.n").alias("pivot_n"))
+    # heavy sets: each list compares its members with the one whose grams are shared
+    # most, as the original is among its edited copies
+    posts = staged(chosen.select("fp", "n", "centre", F.explode("head").alias("gram")))
+    pivots = posts.groupBy("gram").agg(F.max_by(F.struct("fp", "n"), F.struct("centre", "fp")).alias("p"), F.count(F.lit(1)).alias("m")).where("m > 1").select("gram", F.col("p.fp").alias("pivot"), F.col("p.n").alias("pivot_n"))
     met = posts.join(pivots, "gram")
     near = met.where((F.col("fp") != F.col("pivot")) & _sizes_fit(F.col("n"), F.col("pivot_n"), percent)).select(F.col("pivot").alias("a"), F.col("fp").alias("b")).distinct()
     ids = id_filter(met.select("fp").distinct().join(classes, "fp").select(F.col("rep").alias("doc_id")))
@@ -281,7 +293,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
 
     # what is still in different components though it shares a list; Jaccard distance
     # is a metric, so two members whose distances to the list's pivot differ by more
-    # than the limit can't be similar, and need no comparison
+    # than the limit can't be similar, nor can two whose parities differ too much
     from_pivot = compared.select(F.col("a").alias("pivot"), F.col("b").alias("fp"), (1 - F.col("o") / (F.col("size") - F.col("o"))).alias("d"))
     limit = 1 - percent / 100 + 1e-9
     found = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
@@ -289,17 +301,23 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     placed = placed.select("fp", "n", "gram", F.coalesce("component", "fp").alias("comp"), F.when(F.col("fp") == F.col("pivot"), 0.0).otherwise(F.col("d")).alias("d"))
     by_comp = placed.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("k"))
     main = by_comp.groupBy("gram").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")).where("comps > 1").drop("comps")
-    apart = placed.join(main, "gram")
-    minor = apart.where("comp <> main").select("gram", F.col("fp").alias("x"), F.col("n").alias("xn"), F.col("comp").alias("xc"), F.col("d").alias("xd"))
-    other = apart.select("gram", F.col("fp").alias("y"), F.col("n").alias("yn"), F.col("comp").alias("yc"), F.col("d").alias("yd"), (F.col("comp") == F.col("main")).alias("in_main"))
-    rest = (
-        minor.join(other, "gram")
-        .where(F.coalesce(F.abs(F.col("xd") - F.col("yd")) <= limit, F.lit(True)))
-        .where((F.col("xc") != F.col("yc")) & (F.col("in_main") | (F.col("x") < F.col("y"))) & _sizes_fit(F.col("xn"), F.col("yn"), percent))
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
-        .join(near, ["a", "b"], "left_anti")
+    apart = placed.join(main, "gram").join(chosen.select("fp", "sketch"), "fp")
+    minor = apart.where("comp <> main").select("gram", F.col("fp").alias("x"), F.col("n").alias("xn"), F.col("comp").alias("xc"), F.col("d").alias("xd"), F.col("sketch").alias("xs"))
+    other = apart.select("gram", F.col("fp").alias("y"), F.col("n").alias("yn"), F.col("comp").alias("yc"), F.col("d").alias("yd"), F.col("sketch").alias("ys"), (F.col("comp") == F.col("main")).alias("in_main"))
+    # sets of sizes x and y with overlap o differ in x + y - 2 o grams
+    differing = F.aggregate(F.zip_with("xs", "ys", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, k: t + k)
+    room = (F.col("xn") + F.col("yn")) * (1 - 2 * percent / (100 + percent)) + 1e-6
+    rest = minor.join(
+        other,
+        (minor["gram"] == other["gram"])
+        & (F.col("xc") != F.col("yc"))
+        & (F.col("in_main") | (F.col("x") < F.col("y")))
+        & _sizes_fit(F.col("xn"), F.col("yn"), percent)
+        & F.coalesce(F.abs(F.col("xd") - F.col("yd")) <= limit, F.lit(True))
+        & (differing <= room),
     )
+    rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    rest = rest.join(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     links = links.unionAll(staged(_compared(rest, sets).where(_similar(percent)).select("a", "b")))
 
     name = classes.select("fp", "rep")
