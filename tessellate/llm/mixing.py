@@ -102,25 +102,22 @@ def schedule(shares: DataFrame, period: int) -> DataFrame:
 
 
 def block_numbers(docs: DataFrame, block_chars: int) -> DataFrame:
-    """Adds `block`, the number of a document's block in its source: the characters
-    of the documents before it (by doc_id) over block_chars. A document of several
-    blocks' length stands for all of them, so numbers may be skipped after it.
-
-    The running sums are taken in ranges of doc_id, and the ranges' totals added,
-    so that a source that holds most rows is spread over many tasks."""
-    size = F.greatest(F.char_length(F.coalesce("text", F.lit(""))), F.lit(1)).cast("long")
-    sized = chunk_of(docs.withColumn("size", size), "doc_id", rows=2000)
+    """(doc_id, source, tie, block): the number of a document's block in its source,
+    the characters of the documents before it (by doc_id) over block_chars. A document
+    of several blocks' length stands for all of them, so numbers may be skipped after
+    it. docs has doc_id, source, tie (a hash of the text) and size; equal rows are one.
+
+    The running sums are taken in ranges of doc_id, and the ranges' totals added, so
+    that a source that holds most rows is spread over many tasks. Texts stay out."""
+    one = docs.groupBy("doc_id", "source", "tie").agg(F.sum("size").alias("size"))
+    sized = chunk_of(staged(one), "doc_id", rows=2000)
     totals = sized.groupBy("source", "chunk").agg(F.sum("size").alias("total"))
     before = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(F.col("source").alias("s"), F.col("chunk").alias("c"), F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
     inside = Window.partitionBy("source", "chunk").orderBy("doc_id", "tie").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        sized.withColumn("tie", F.xxhash64("text"))
-        .join(totals, F.col("source").eqNullSafe(F.col("s")) & (F.col("chunk") == F.col("c")))
-        .withColumn("begins", F.col("base") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
-        .withColumn("block", F.floor(F.col("begins") / block_chars))
-        .drop("s", "c", "base", "tie")
-    )
+    begins = F.col("base") + F.coalesce(F.sum("size").over(inside), F.lit(0))
+    joined = sized.join(totals, F.col("source").eqNullSafe(F.col("s")) & (F.col("chunk") == F.col("c")))
+    return joined.select("doc_id", "source", "tie", F.floor(begins / block_chars).alias("block"))
 
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, period: int = 1000, block_chars: int = 65_536, power: float = 0.5, carry: tuple[str, ...] = ()) -> DataFrame:
@@ -140,8 +137,8 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, period: int = 1000, b
     doesn't name has no slot, and comes after the mixed stream, in null places. An
     empty table gives an empty result.
     """
-    picked = docs.select("doc_id", "source", "text", *[F.col(c).alias(f"_carry_{c}") for c in carry])
-    blocks = block_numbers(picked, block_chars)
+    size = F.greatest(F.char_length(F.coalesce("text", F.lit(""))), F.lit(1)).cast("long")
+    blocks = staged(block_numbers(docs.select("doc_id", "source", F.xxhash64("text").alias("tie"), size.alias("size")), block_chars))
     if weights is None:
         sizes = staged(source_sizes(docs))
         period = max(period, 4 * sizes.count())  # so that every source has a place
@@ -171,4 +168,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, period: int = 1000, b
     )
     placed = numbered.select("x", "b", "slot", before.alias("place"), (F.col("slot") < F.col("horizon")).alias("on_target"))
     out = blocks.join(placed, F.col("source").eqNullSafe(F.col("x")) & (F.col("block") == F.col("b")), "left")
-    return out.select("doc_id", "source", *[F.col(f"_carry_{c}").alias(c) for c in carry], "block", "slot", "place", F.coalesce("on_target", F.lit(False)).alias("on_target"))
+    out = out.select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("tie").alias("_t"), "block", "slot", "place", F.coalesce("on_target", F.lit(False)).alias("on_target"))
+    rows = docs.select("doc_id", "source", *[F.col(c).alias(f"_carry_{c}") for c in carry], F.xxhash64("text").alias("_tie"))
+    whole = rows.join(out, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("_tie") == F.col("_t")))
+    return whole.select("doc_id", "source", *[F.col(f"_carry_{c}").alias(c) for c in carry], "block", "slot", "place", "on_target")
