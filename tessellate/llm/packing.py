@@ -6,6 +6,7 @@ the sum, over the gaps 1 to capacity - 1, of the squared number of open sequence
 with that gap becomes smallest. The rule looks at counts only, so pieces are
 dealt by hash into groups of about `group_rows` and each group is packed by one
 task; a group wastes a few sequences' worth at most, whatever the corpus holds.
+Where the pieces have an order to keep, groups are contiguous ranges of it instead.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import modest_batches, staged
+from .common import chunk_of, modest_batches, staged
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 def byte_bpe(ranks_path: str, pattern: str) -> Callable[[str], bytes]:
@@ -34,7 +35,7 @@ def byte_bpe(ranks_path: str, pattern: str) -> Callable[[str], bytes]:
     return lambda text: encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
 
 
-def _pieces(vocabulary: str, end_id: int, capacity: int, with_ids: bool):
+def _pieces(vocabulary: str, end_id: int, capacity: int, with_ids: bool, order: str | None = None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers
 
@@ -42,10 +43,13 @@ def _pieces(vocabulary: str, end_id: int, capacity: int, with_ids: bool):
         end = np.asarray([end_id], "<u4").tobytes()
         for b in batches:
             rows: list[tuple] = []
-            for doc_id, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            places: list[int | None] = []
+            carried = b.column(2).to_pylist() if order else [None] * len(b)
+            for doc_id, text, place in zip(b.column(0).to_pylist(), b.column(1), carried, strict=True):
                 ids = encode(text.as_py() or "") + end
                 n = len(ids) // 4
                 edges = [*range(n % capacity or capacity, n + 1, capacity)]
+                places += [place] * len(edges)
                 for k, (lo, hi) in enumerate(zip([0, *edges], edges, strict=False)):
                     own = ids[4 * lo : 4 * hi]
                     rows.append((doc_id, k, lo, hi - lo, zlib.crc32(own), np.frombuffer(own, "<u4").astype("i4") if with_ids else None))
@@ -55,18 +59,23 @@ def _pieces(vocabulary: str, end_id: int, capacity: int, with_ids: bool):
             if with_ids:
                 arrays.append(pa.array(cols[5], pa.list_(pa.int32())))
                 names.append("ids")
+            if order:
+                arrays.append(pa.array(places, pa.int64()))
+                names.append(order)
             yield pa.RecordBatch.from_arrays(arrays, names)
 
     return run
 
 
-def tokenize_pieces(docs: DataFrame, capacity: int = 1024, end_id: int = 2, vocabulary: str = "byte_bpe_50k.tiktoken", with_ids: bool = False) -> DataFrame:
+def tokenize_pieces(docs: DataFrame, capacity: int = 1024, end_id: int = 2, vocabulary: str = "byte_bpe_50k.tiktoken", with_ids: bool = False, order: str | None = None) -> DataFrame:
     """The pieces of each document: its ids and end_id, in one piece if they fit
     and else in pieces of capacity, the first of which may be shorter.
 
-    ids_crc32 is over the piece's ids as little-endian unsigned 32-bit numbers."""
-    schema = PIECES + (", ids array<int>" if with_ids else "")
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_pieces(vocabulary, end_id, capacity, with_ids), schema)
+    ids_crc32 is over the piece's ids as little-endian unsigned 32-bit numbers. A
+    column of longs that order names is carried along."""
+    schema = PIECES + (", ids array<int>" if with_ids else "") + (f", `{order}` long" if order else "")
+    carried = [F.col(order).cast("long")] if order else []
+    return docs.select(F.col("doc_id").cast("long"), "text", *carried).mapInArrow(_pieces(vocabulary, end_id, capacity, with_ids, order), schema)
 
 
 def sum_of_squares(sizes: np.ndarray, capacity: int) -> np.ndarray:
@@ -128,10 +137,16 @@ def pack_sizes(sizes: np.ndarray, capacity: int, rounds: int = 8, share: float =
     return bins, offsets
 
 
-def _pack_group(capacity: int):
+def _pack_group(capacity: int, order: str | None = None):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["deal", "doc_id", "piece"], kind="stable", ignore_index=True)
-        where, offset = pack_sizes(pdf["length"].to_numpy(), capacity)
+        sizes = pdf["length"].to_numpy()
+        where, offset = pack_sizes(sizes, capacity)
+        if order is not None:
+            mean = np.bincount(where, weights=sizes * pdf[order].to_numpy(float)) / np.bincount(where, weights=sizes)
+            number = np.empty(len(mean), np.int64)
+            number[np.argsort(mean, kind="stable")] = np.arange(len(mean))
+            where = number[where]
         pdf["sequence_id"] = pdf["group"].to_numpy() * (1 << 32) + where
         pdf["offset"] = offset
         return pdf.drop(columns=["deal", "group"])
@@ -139,24 +154,37 @@ def _pack_group(capacity: int):
     return run
 
 
-def pack(pieces: DataFrame, capacity: int = 1024, group_rows: int = 40_000) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 1024, group_rows: int = 40_000, order: str | None = None) -> DataFrame:
     """Adds sequence_id and offset to pieces that have doc_id, piece and length.
 
+    With order, the name of a column of whole numbers from 0 to 2^33, groups are
+    contiguous ranges of it (null comes last), sequence_id grows from range to range,
+    and within a range sequences are numbered by the mean order of their tokens.
+
     Every length must be from 1 to capacity. Pieces of one document need not land
     in one sequence. Repeated rows are packed each by itself; an empty table
     gives an empty result; further columns are carried along, save `group` and
     `deal`, which are reserved."""
     groups = max(1, -(-pieces.count() // group_rows))
-    dealt = pieces.withColumn("deal", F.xxhash64("doc_id", "piece", F.lit(7))).withColumn("group", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)))
+    dealt = pieces.withColumn("deal", F.xxhash64("doc_id", "piece", F.lit(7)))
+    if order is None:
+        dealt = dealt.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)))
+    else:
+        # the hash divides a place that holds more rows than a group
+        within = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(1 << 20))
+        dealt = dealt.withColumn(order, F.coalesce(F.col(order).cast("long"), F.lit(1 << 33)))
+        ranged = dealt.withColumn("group", F.col(order) * (1 << 20) + within)
+        dealt = chunk_of(ranged, "group", rows=group_rows).withColumn("group", F.col("chunk").cast("long")).drop("chunk")
     schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
-    return dealt.groupBy("group").applyInPandas(_pack_group(capacity), schema)
+    return dealt.groupBy("group").applyInPandas(_pack_group(capacity, order), schema)
 
 
-def pack_documents(docs: DataFrame, capacity: int = 1024, end_id: int = 2, with_ids: bool = False, group_rows: int = 40_000) -> DataFrame:
-    """Tokenizes, cuts and packs docs (doc_id, text).
+def pack_documents(docs: DataFrame, capacity: int = 1024, end_id: int = 2, with_ids: bool = False, group_rows: int = 40_000, order: str | None = None) -> DataFrame:
+    """Tokenizes, cuts and packs docs (doc_id, text), in ranges of order if it names
+    a column (see pack), which is returned too.
 
     Null text is empty and gives one piece that holds the end token alone; a null
     doc_id stays null; rows that share a doc_id are packed each by itself. Other
     columns, whatever their names, are ignored."""
     modest_batches(docs.sparkSession)
-    return pack(staged(tokenize_pieces(docs, capacity, end_id, with_ids=with_ids)), capacity, group_rows)
+    return pack(staged(tokenize_pieces(docs, capacity, end_id, with_ids=with_ids, order=order)), capacity, group_rows, order)
