@@ -12,6 +12,8 @@ Where the pieces have an order to keep, groups are contiguous ranges of it inste
 from __future__ import annotations
 
 import base64
+import json
+import re
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -24,22 +26,50 @@ from pyspark.sql import functions as F
 from .common import chunk_of, modest_batches, staged
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-def byte_bpe(ranks_path: str, pattern: str) -> Callable[[str], bytes]:
+
+
+def added_tokens(json_path: str) -> dict[str, int]:
+    """The added tokens of a vocabulary's JSON form, whose strings are matched in
+    texts before anything else, and their ids."""
+    with open(json_path, encoding="utf-8") as f:
+        added = json.load(f).get("added_tokens") or []
+    for t in added:
+        if t.get("lstrip") or t.get("rstrip") or t.get("single_word"):
+            raise ValueError(f"added token {t['content']!r} takes in its surroundings, which isn't supported")
+    return {t["content"]: int(t["id"]) for t in added}
+
+
+def byte_bpe(ranks_path: str, pattern: str, added: dict[str, int]) -> Callable[[str], bytes]:
     """An encoder to little-endian unsigned 32-bit ids for a byte-level BPE
-    vocabulary kept as ranks; special tokens' strings are ordinary text."""
+    vocabulary kept as ranks. Texts are cut at the strings of added tokens, and what
+    stands between them is encoded by itself, as the JSON form does."""
     import tiktoken
 
     with open(ranks_path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
     encoding = tiktoken.Encoding("byte_bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    return lambda text: encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+    plain = lambda text: encoding.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+    if not added:
+        return plain
+    cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
+    own = {t: np.asarray([i], "<u4").tobytes() for t, i in added.items()}
+
+    def encode(text: str) -> bytes:
+        parts = cut.split(text)
+        if len(parts) == 1:
+            return plain(text)
+        # parts stand at even places, the added tokens between them at odd ones
+        return b"".join(own[t] if k % 2 else plain(t) for k, t in enumerate(parts))
+
+    return encode
 
 
 def _pieces(vocabulary: str, end_id: int, capacity: int, with_ids: bool, order: str | None = None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers
 
-        encode = byte_bpe(public_tokenizers.path(vocabulary), public_tokenizers.PATTERN)
+        added = added_tokens(public_tokenizers.path(vocabulary.rsplit(".", 1)[0] + ".json"))
+        encode = byte_bpe(public_tokenizers.path(vocabulary), public_tokenizers.PATTERN, added)
         end = np.asarray([end_id], "<u4").tobytes()
         for b in batches:
             rows: list[tuple] = []
