@@ -43,9 +43,13 @@ def regime(x: Column, threshold: float) -> Column:
 
 def stability_score(summary: DataFrame, yearly: DataFrame, coverage: DataFrame) -> DataFrame:
     """The share of years whose mean has the overall sign, and
-    abs(IC) * stability * sqrt(coverage), best first for features with any days."""
+    abs(IC) * stability * sqrt(coverage), best first for features with any days. Means
+    are rounded to nine places before their sign is taken, and a mean of zero agrees
+    with no sign, so that rounding errors decide nothing."""
+    sign = lambda x: F.signum(F.round(x, 9))
     both = yearly.select("feature", F.col("ic_mean").alias("_y")).join(summary, "feature")
-    agree = both.groupBy("feature").agg(F.avg((F.signum("_y") == F.signum("ic_mean")).cast("double")).alias("stability"))
+    same = (sign("_y") == sign("ic_mean")) & (sign("_y") != 0)
+    agree = both.groupBy("feature").agg(F.avg(same.cast("double")).alias("stability"))
     out = summary.join(agree, "feature").join(coverage, "feature")
     return out.where("days > 0").withColumn("robust_score", F.abs("ic_mean") * F.col("stability") * F.sqrt("coverage"))
 

@@ -63,7 +63,7 @@ def regimes(spark, sf):
     return D.summarize_ic(ics(spark, sf).join(g, "session"), ["feature", "regime"])
 
 
-@query("i05_i06_stability", f"{PANEL}, {_IC}, s AS (SELECT feature, {_SUMMARY} FROM ic GROUP BY 1), y AS (SELECT feature, year(session) AS year, avg(rank_ic) AS m FROM ic GROUP BY 1, 2), a AS (SELECT feature, avg(CAST(sign(m) = sign(ic_mean) AS INTEGER)) AS stability FROM y JOIN s USING (feature) GROUP BY 1), c AS (SELECT feature, avg(CAST(x IS NOT NULL AS INTEGER)) AS coverage FROM long GROUP BY 1) SELECT feature, round(stability, 4) AS stability, round(coverage, 4) AS coverage, round(abs(ic_mean) * stability * sqrt(coverage), 4) AS robust_score FROM s JOIN a USING (feature) JOIN c USING (feature) WHERE days > 0", digits=4)
+@query("i05_i06_stability", f"{PANEL}, {_IC}, s AS (SELECT feature, {_SUMMARY} FROM ic GROUP BY 1), y AS (SELECT feature, year(session) AS year, avg(rank_ic) AS m FROM ic GROUP BY 1, 2), a AS (SELECT feature, avg(CAST(sign(round(m, 9)) = sign(round(ic_mean, 9)) AND round(m, 9) <> 0 AS INTEGER)) AS stability FROM y JOIN s USING (feature) GROUP BY 1), c AS (SELECT feature, avg(CAST(x IS NOT NULL AS INTEGER)) AS coverage FROM long GROUP BY 1) SELECT feature, round(stability, 4) AS stability, round(coverage, 4) AS coverage, round(abs(ic_mean) * stability * sqrt(coverage), 4) AS robust_score FROM s JOIN a USING (feature) JOIN c USING (feature) WHERE days > 0", digits=4)
 def stability(spark, sf):
     rows = long(spark, sf)
     ic = D.daily_ic(rows)
