@@ -2,11 +2,13 @@
 
 The fixed formats (`base_spans`) are found by expression. Their matches are the
 labelled credentials from which, for each kind, a probabilistic automaton is
-inferred: the prefix tree of the examples, whose states are merged where the
-frequencies with which they go on and end are statistically compatible. Every other
-token of a text that could be a credential is then scored by its likelihood under
-the automata, against that of an ordinary token, and reported if no automaton finds
-it less likely than it finds nearly all of its own examples.
+inferred: the prefix tree of the examples, character by character, whose states are
+merged where the frequencies with which they go on and end are statistically
+compatible. A prefix or a separator that the examples share stays a chain of states
+of its own, and what is random after it becomes a loop. Every other candidate of a
+text is then scored by its likelihood under each automaton against that under a
+model of ordinary tokens. The least score that is reported is the one that best
+separates credentials and ordinary tokens which taught neither model.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -29,7 +32,12 @@ KINDS = ("assign", "access", "hex", "inferred")
 _ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
-_TOKEN = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+#: Candidates: whole runs of the characters of credentials that hold a digit.
+_TOKEN = re.compile(r"(?<![A-Za-z0-9+/_.=-])[A-Za-z+/_.=-]*+[0-9][A-Za-z0-9+/_.=-]*+")
+#: The characters of candidates, and how many they are, with the end as one more.
+SYMBOLS = len("+/_.=-") + 62 + 1
+#: The shortest value of the base formats, and so of a candidate.
+SHORTEST = 6
 Span = tuple[str, int, int]
 
 
@@ -43,9 +51,23 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def _shape(token: str) -> str:
-    """A token with its letters and digits replaced by their classes."""
-    return "".join("d" if c.isdigit() else "h" if c in "abcdef" else "l" if c.islower() else "U" if c.isupper() else c for c in token)
+def candidates(text: str, covered: list[Span], least: int) -> Iterator[tuple[int, int]]:
+    """Where the candidates of at least `least` characters begin and end: runs of the
+    characters of credentials with a digit in them, and of a run that base spans
+    cover in part, the rest. Full stops at the end of a run belong to the sentence."""
+    for m in _TOKEN.finditer(text):
+        lo, hi = m.span()
+        if hi - lo < least:
+            continue
+        while hi > lo and text[hi - 1] == ".":
+            hi -= 1
+        at = lo
+        for _, s, e in [c for c in covered if c[1] < hi and lo < c[2]] if covered else ():
+            if s - at >= least and any(map(str.isdigit, text[at:s])):
+                yield at, s
+            at = max(at, e)
+        if hi - at >= least and (at == lo or any(map(str.isdigit, text[at:hi]))):
+            yield at, hi
 
 
 @dataclass
@@ -56,115 +78,136 @@ class Automaton:
     ends: list[int]
     total: list[int]
 
-    def log_likelihood(self, shape: str, symbols: int = 12) -> float:
+    def log_likelihood(self, token: str) -> float:
+        """A step that a state hasn't seen has a small share; after it, a token goes
+        on in the same state."""
         state, out = 0, 0.0
-        for c in [*shape, None]:
-            seen = self.total[state] if state is not None else 0
-            step = (self.moves[state].get(c) if c is not None else (None, self.ends[state])) if state is not None else None
-            out += math.log(((step[1] if step else 0) + 0.05) / (seen + 0.05 * (symbols + 1)))
-            state = step[0] if step and step[1] else None
-        return out
-
-
-def infer_automaton(shapes: list[str], alpha: float = 0.01) -> Automaton:
-    """Merges the states of the prefix tree of shapes: states in breadth-first order
-    are compared with the kept ones, by Hoeffding's bound at level alpha on the
-    frequencies of every continuation."""
-    moves: list[dict[str, int]] = [{}]
-    total, ends = [0], [0]
-    for s in shapes:
+        for c in token:
+            step = self.moves[state].get(c)
+            out += math.log(((step[1] if step else 0) + 0.05) / (self.total[state] + 0.05 * SYMBOLS))
+            state = step[0] if step else state
+        return out + math.log((self.ends[state] + 0.05) / (self.total[state] + 0.05 * SYMBOLS))
+
+
+def infer_automaton(examples: list[str], alpha: float = 0.01, least: int = 6) -> Automaton:
+    """Merges the states of the prefix tree of the examples. Kept states are those
+    that no merge took in; the children of kept states are tried, the most frequent
+    first, against all kept ones. Two states are compatible if by Hoeffding's bound at
+    level alpha no frequency of ending or going on differs, theirs and those of the
+    states that equal steps lead to; counts are those after all merges so far. Among
+    compatible states the one takes the child in that makes the child's steps
+    likeliest. A state seen fewer than `least` times shows too little to be kept and
+    goes where its steps are likeliest."""
+    child: list[dict[str, int]] = [{}]
+    steps: list[dict[str, int]] = [{}]
+    ends, total = [0], [0]
+    for example in examples:
         state = 0
         total[0] += 1
-        for c in s:
-            if c not in moves[state]:
-                moves[state][c] = len(moves)
-                moves.append({})
-                total.append(0)
+        for c in example:
+            if c not in child[state]:
+                child[state][c] = len(child)
+                child.append({})
+                steps.append({})
                 ends.append(0)
-            state = moves[state][c]
+                total.append(0)
+            steps[state][c] = steps[state].get(c, 0) + 1
+            state = child[state][c]
             total[state] += 1
         ends[state] += 1
-    bound = math.sqrt(0.5 * math.log(2 / alpha))
+    spread = math.sqrt(0.5 * math.log(2 / alpha))
 
     def differs(x: int, n: int, y: int, m: int) -> bool:
-        return n > 0 < m and abs(x / n - y / m) > bound * (1 / math.sqrt(n) + 1 / math.sqrt(m))
+        return abs(x / n - y / m) > spread * (1 / math.sqrt(n) + 1 / math.sqrt(m))
 
     def compatible(a: int, b: int) -> bool:
-        todo = [(a, b)]
+        todo, seen = [(a, b)], set()
         while todo:
-            a, b = todo.pop()
+            pair = todo.pop()
+            a, b = pair
+            if pair in seen or a == b or total[a] < least or total[b] < least:
+                continue
+            seen.add(pair)
             if differs(ends[a], total[a], ends[b], total[b]):
                 return False
-            for c in moves[a].keys() | moves[b].keys():
-                x, y = moves[a].get(c), moves[b].get(c)
-                if differs(total[x] if x is not None else 0, total[a], total[y] if y is not None else 0, total[b]):
+            for c in steps[a].keys() | steps[b].keys():
+                if differs(steps[a].get(c, 0), total[a], steps[b].get(c, 0), total[b]):
                     return False
-                if x is not None and y is not None and total[y] > 5:
-                    todo.append((x, y))
+                if c in child[a] and c in child[b]:
+                    todo.append((child[a][c], child[b][c]))
         return True
 
-    goes: dict[tuple[int, str], list[int]] = {}  # (kept state, symbol): its target, and how often
-    kept, queue = [0], [(0, c, t) for c, t in sorted(moves[0].items())]
-    weight = {0: [total[0], ends[0]]}
+    def fit(a: int, b: int) -> float:
+        """The log likelihood of the steps and ends of b by the shares of a."""
+        whole = total[a] + 0.05 * SYMBOLS
+        out = ends[b] * math.log((ends[a] + 0.05) / whole)
+        return out + sum(n * math.log((steps[a].get(c, 0) + 0.05) / whole) for c, n in steps[b].items())
 
     def fold(into: int, tree: int) -> None:
-        """Adds a subtree's counts along the kept states as far as they go."""
+        """Adds the counts of a tree to those of a state and of where its steps lead."""
         todo = [(into, tree)]
         while todo:
-            k, t = todo.pop()
-            weight[k][0] += total[t]
-            weight[k][1] += ends[t]
-            for c, nxt in sorted(moves[t].items()):
-                if (k, c) in goes:
-                    goes[k, c][1] += total[nxt]
-                    todo.append((goes[k, c][0], nxt))
+            a, b = todo.pop()
+            total[a] += total[b]
+            ends[a] += ends[b]
+            for c, n in steps[b].items():
+                steps[a][c] = steps[a].get(c, 0) + n
+                if c in child[a]:
+                    todo.append((child[a][c], child[b][c]))
                 else:
-                    queue.append((k, c, nxt))
-
-    while queue:
-        source, c, t = queue.pop(0)
-        if (source, c) in goes:
-            goes[source, c][1] += total[t]
-            fold(goes[source, c][0], t)
-            continue
-        match = next((k for k in kept if compatible(k, t)), None)
-        if match is None:
-            kept.append(t)
-            weight[t] = [total[t], ends[t]]
-            goes[source, c] = [t, total[t]]
-            queue += [(t, d, n) for d, n in sorted(moves[t].items())]
+                    child[a][c] = child[b][c]
+
+    kept = [0]
+    is_kept = {0}
+    while True:
+        fringe = [(k, c, t) for k in kept for c, t in child[k].items() if t not in is_kept]
+        if not fringe:
+            break
+        source, c, t = min(fringe, key=lambda x: (-total[x[2]], x[0], x[1]))
+        able = kept if total[t] < least else [k for k in kept if compatible(k, t)]
+        if able:
+            # between equals the state that it comes from, so that loops are short
+            into = max(able, key=lambda k: (fit(k, t), k == source, -k))
+            child[source][c] = into
+            fold(into, t)
         else:
-            goes[source, c] = [match, total[t]]
-            fold(match, t)
+            kept.append(t)
+            is_kept.add(t)
     number = {k: i for i, k in enumerate(kept)}
-    return Automaton([{c: (number[v[0]], v[1]) for (s, c), v in goes.items() if s == k} for k in kept], [weight[k][1] for k in kept], [weight[k][0] for k in kept])
+    return Automaton([{c: (number[child[k][c]], n) for c, n in sorted(steps[k].items())} for k in kept], [ends[k] for k in kept], [total[k] for k in kept])
 
 
 @dataclass
 class Grammar:
-    """An automaton and a least score for each kind, and the ordinary tokens' model."""
+    """For each kind an automaton, the least score and the least length of what it
+    reports; and the model of ordinary tokens."""
 
-    automata: dict[str, tuple[Automaton, float]]
+    automata: dict[str, tuple[Automaton, float, int]]
     ordinary: Automaton
 
-    def score(self, kind: str, shape: str) -> float:
-        """Log likelihood over that of an ordinary token, per character."""
-        return (self.automata[kind][0].log_likelihood(shape) - self.ordinary.log_likelihood(shape)) / (len(shape) + 1)
+    @property
+    def shortest(self) -> int:
+        return min((n for _, _, n in self.automata.values()), default=1 << 30)
+
+    def scores(self, token: str) -> dict[str, float]:
+        """By kind: log likelihood over that of an ordinary token, per character."""
+        plain = self.ordinary.log_likelihood(token)
+        return {kind: (own.log_likelihood(token) - plain) / (len(token) + 1) for kind, (own, _, _) in self.automata.items()}
 
     def inferred(self, token: str) -> bool:
-        shape = _shape(token)
-        return any(self.score(kind, shape) >= least for kind, (_, least) in self.automata.items())
+        scores = self.scores(token)
+        return any(len(token) >= n and scores[kind] >= least for kind, (_, least, n) in self.automata.items())
 
 
-def _bigrams(shapes: list[str]) -> Automaton:
-    """A model of ordinary tokens whose state is the last symbol."""
-    symbols = sorted({c for s in shapes for c in s} | set("dhlU"))
+def _bigrams(tokens: list[str]) -> Automaton:
+    """A model of ordinary tokens whose state is the last character."""
+    symbols = sorted({c for t in tokens for c in t})
     number = {c: i + 1 for i, c in enumerate(symbols)}
     moves: list[Counter] = [Counter() for _ in range(len(symbols) + 1)]
     ends = [0] * (len(symbols) + 1)
-    for s in shapes:
+    for t in tokens:
         state = 0
-        for c in s:
+        for c in t:
             moves[state][c] += 1
             state = number[c]
         ends[state] += 1
@@ -172,6 +215,20 @@ def _bigrams(shapes: list[str]) -> Automaton:
     return Automaton([{c: (number[c], n) for c, n in m.items()} for m in moves], ends, total)
 
 
+def best_threshold(credentials: list[float], ordinary: list[float], wrong: float = 10.0) -> float:
+    """The score at which the share of credentials at or above it, less `wrong` times
+    the share of ordinary tokens there, is largest, moved halfway down to the next
+    ordinary token's."""
+    good, bad = sorted(credentials), sorted(ordinary)
+
+    def gain(t: float) -> float:
+        return (len(good) - bisect_left(good, t)) / len(good) - wrong * (len(bad) - bisect_left(bad, t)) / max(1, len(bad))
+
+    best = max(good, key=lambda t: (gain(t), t))
+    below = bisect_left(bad, best)
+    return (best + bad[below - 1]) / 2 if below else best
+
+
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = set()
@@ -181,45 +238,50 @@ def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for kind, start, end in spans:
                 value = text[start:end]
                 rows.add((kind, _ASSIGN.match(value)[2] if kind == "assign" else value))
-            covered = [(s, e) for _, s, e in spans]
-            for m in _TOKEN.finditer(text):
-                if not any(s < m.end() and m.start() < e for s, e in covered):
-                    rows.add(("ordinary", m[0]))
+            rows.update(("ordinary", text[s:e]) for s, e in candidates(text, spans, SHORTEST))
         kinds, values = zip(*sorted(rows), strict=True) if rows else ((), ())
-        yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array([v[:256] for v in values], pa.string())], ["kind", "value"])
-
-
-def fit_grammar(docs: DataFrame, sample: int = 1000) -> Grammar:
-    """Examples come from all of docs; of each kind's distinct values the first
-    `sample` by hash teach. An example longer than 256 characters teaches with as
-    many; the search itself reads tokens whole."""
-    from pyspark.sql import Window
-
-    found = docs.select("text").mapInArrow(_examples, "kind string, value string").distinct()
-    # a share of each kind by the hash's low digits first, so no task ranks a whole kind
-    split = Window.partitionBy("kind", "part").orderBy("h", "value")
-    ranked = found.withColumn("h", F.xxhash64("value", F.lit(3))).withColumn("part", F.pmod("h", F.lit(64))).withColumn("r", F.row_number().over(split)).where(F.col("r") <= sample)
-    rows = ranked.withColumn("r", F.row_number().over(Window.partitionBy("kind").orderBy("h", "value"))).where(F.col("r") <= sample).select("kind", "value").collect()
-    shapes: dict[str, list[str]] = {}
-    for r in sorted(rows):
-        shapes.setdefault(r["kind"], []).append(_shape(r["value"]))
-    grammar = Grammar({}, _bigrams(shapes.pop("ordinary", []) or ["l" * 16]))
-    for kind, own in shapes.items():
-        if len(own) >= 10:
-            grammar.automata[kind] = (infer_automaton(own), -math.inf)
-            scores = sorted(grammar.score(kind, s) for s in own)
-            grammar.automata[kind] = (grammar.automata[kind][0], max(0.5, scores[len(scores) // 50]))
+        yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(values, pa.string())], ["kind", "value"])
+
+
+def fit_grammar(docs: DataFrame, sample: int = 1000, least: int = 10) -> Grammar:
+    """Examples come from all of docs; of each kind's distinct values the `sample`
+    with the least hashes are used, three in four to infer the automaton and every
+    fourth to set the least score. Ordinary tokens, candidates outside all base spans,
+    are drawn likewise, ten times as many; those that score like nearly all credentials
+    of a kind count as unlabelled credentials, unless they are over a fifth, and set
+    neither model nor score. A kind with fewer than `least` examples infers nothing. An automaton reports nothing shorter than half its shortest example."""
+    h = F.xxhash64("value", F.lit(3))
+    found = docs.select("text").mapInArrow(_examples, "kind string, value string").distinct().withColumn("h", h)
+    # each kind is an ordered limit of its own: a few rows from every task
+    rows = []
+    for kind in ("assign", "access", "hex", "ordinary"):
+        n = sample * 10 if kind == "ordinary" else sample
+        rows.append(found.where(F.col("kind") == kind).orderBy("h", "value").limit(n))
+    drawn: dict[str, list[str]] = {}
+    for r in rows[0].unionAll(rows[1]).unionAll(rows[2]).unionAll(rows[3]).orderBy("kind", "h", "value").collect():
+        drawn.setdefault(r["kind"], []).append(r["value"])
+    plain = drawn.pop("ordinary", [])
+    drawn = {kind: own for kind, own in drawn.items() if len(own) >= least}
+    automata = {kind: (infer_automaton([x for i, x in enumerate(own) if i % 4]), -math.inf, max(SHORTEST, min(map(len, own)) // 2)) for kind, own in drawn.items()}
+    grammar = Grammar(automata, _bigrams([x for i, x in enumerate(plain) if i % 4] or [f"word{i}" for i in range(10)]))
+    for _ in range(2):  # once to find credentials among the ordinary tokens, once without them
+        scored = [grammar.scores(x) for x in plain]
+        like: set[int] = set()
+        for kind, own in drawn.items():
+            good = sorted(grammar.scores(x)[kind] for x in own[::4])
+            high = {i for i, x in enumerate(scored) if x[kind] >= good[len(good) // 20]}
+            like |= high if len(high) * 5 <= len(plain) else set()
+            automaton, _, short = automata[kind]
+            automata[kind] = (automaton, best_threshold(good, [x[kind] for i, x in enumerate(scored) if i % 4 == 0 and i not in like]), short)
+        grammar.ordinary = _bigrams([x for i, x in enumerate(plain) if i % 4 and i not in like] or [f"word{i}" for i in range(10)])
     return grammar
 
 
 def all_spans(text: str, grammar: Grammar) -> list[Span]:
     """The base spans, and every other candidate token that the grammar accepts."""
     spans = base_spans(text)
-    covered = [(s, e) for _, s, e in spans]
-    for m in _TOKEN.finditer(text):
-        if not any(s < m.end() and m.start() < e for s, e in covered) and not m[0].isalpha() and grammar.inferred(m[0]):
-            spans.append(("inferred", m.start(), m.end()))
-    return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))
+    found = [("inferred", s, e) for s, e in candidates(text, spans, grammar.shortest) if grammar.inferred(text[s:e])]
+    return sorted(spans + found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
 def _joined(spans: list[Span]) -> str:
@@ -247,8 +309,9 @@ def scan_secrets(docs: DataFrame, sample: int = 1000) -> DataFrame:
     spans. A span is kind:start:end in code points, end exclusive; spans go by start
     and then kind, joined by commas, and base_sha256 is the SHA-256 of the base ones.
 
-    Null text is empty and has no spans. A kind with fewer than ten examples infers
-    nothing. Rows are each scanned, repeated or without doc_id; an empty table gives
+    Null text is empty and has no spans. The automata and the least scores are fitted
+    on at most `sample` examples of each kind and ten times as many ordinary tokens
+    (see fit_grammar); all candidates of all texts are scored. Rows are each scanned, repeated or without doc_id; an empty table gives
     an empty result; other columns, whatever their names, are ignored."""
     modest_batches(docs.sparkSession)
     grammar = fit_grammar(docs, sample)  # a few hundred states, sent with the tasks

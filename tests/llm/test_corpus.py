@@ -18,7 +18,7 @@ from tessellate.llm.mixing import mix, schedule
 from tessellate.llm.near_vectors import near_vectors
 from tessellate.llm.order_minhash import fingerprints
 from tessellate.llm.packing import pack_documents, pack_sizes
-from tessellate.llm.secrets import base_spans, infer_automaton, scan_secrets
+from tessellate.llm.secrets import base_spans, candidates, fit_grammar, infer_automaton, scan_secrets
 from tessellate.llm.toxicity import toxicity
 
 DATA = "/root/testdata/sf0.001"
@@ -264,15 +264,90 @@ def test_secrets(spark, odd):
     rng = random.Random(0)
     make = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(40))
     rows = [(i, f"some words here token = {make()} and then more-ordinary-hyphenated-words-{i} of text") for i in range(80)]
-    rows += [(100, "loose " + make().upper()[:0] + "_".join((make()[:20], make()[:20])))]
+    rows += [(100, f"loose {make()[:20]} here")]
     got = {r["doc_id"]: r for r in scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[100]["spans"] == "inferred:6:26"
     assert all(got[i]["n_assign"] == 1 and got[i]["n_hex"] == 1 and "inferred" not in got[i]["spans"] for i in range(80))
 
 
-def test_automaton_learns_a_loop():
+def made_up(rng):
+    """Credentials of three formats that no base expression matches when they stand
+    alone, and ordinary tokens with digits."""
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    body = lambda n: "".join(rng.choice(letters) for _ in range(n))
+    word = lambda: rng.choice(("release", "notes", "figure", "table", "version", "draft"))
+    secret = (lambda: "ghp_" + body(36), lambda: "sk-proj-" + body(40), lambda: "AIza" + body(35))
+    plain = (
+        lambda: f"https://www.example.com/{word()}/{rng.randrange(9999)}",
+        lambda: f"mail{rng.randrange(9999)}.example.com",
+        lambda: f"2024-{rng.randrange(1, 13):02d}-{rng.randrange(1, 29):02d}T10",
+        lambda: f"{rng.randrange(10**16):016d}",
+        lambda: f"{word()}-{word()}-{word()}-{rng.randrange(99)}",
+        lambda: f"v{rng.randrange(9)}.{rng.randrange(99)}.{rng.randrange(999)}",
+        lambda: f"file_{word()}_{word()}_{rng.randrange(9999):04d}.tar.gz",
+        lambda: f"978-3-16-14{rng.randrange(9999):04d}-{rng.randrange(9)}",
+    )
+    return secret, plain
+
+
+def test_grammar_finds_formats_that_no_base_expression_matches(spark):
+    rng = random.Random(7)
+    secret, plain = made_up(rng)
+    rows = []
+    for i in range(450):
+        rows.append((i, f'some words api_key = "{secret[i % 3]()}" and {plain[i % 8]()} then {plain[(i + 3) % 8]()}'))
+    loose = {}
+    for i in range(1000, 1060):
+        token = secret[i % 3]()
+        text = f"see {plain[i % 8]()} or {token}. It is {plain[(i + 1) % 8]()}"
+        at = text.index(token)
+        loose[i] = f"inferred:{at}:{at + len(token)}"
+        rows.append((i, text))
+    rows += [(i, f"nothing but {plain[i % 8]()} and {plain[(i + 5) % 8]()}, {plain[(i + 2) % 8]()}") for i in range(2000, 2400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    grammar = fit_grammar(df)
+    assert all(len(a.ends) > 5 for a, _, _ in grammar.automata.values())
+    found = {r["doc_id"]: [s for s in r["spans"].split(",") if s.startswith("inferred")] for r in scan_secrets(df).collect()}
+    right = sum(want in found[i] for i, want in loose.items())
+    reported = sum(map(len, found.values()))
+    assert right >= 0.95 * len(loose)
+    assert right >= 0.95 * reported
+
+
+def test_candidates_are_what_base_spans_leave():
+    text = "token=abcdef1234 word w0rd12345. ab1,cd" + "-" * 3
+    spans = base_spans(text)
+    assert [text[s:e] for s, e in candidates(text, spans, 6)] == ["w0rd12345"]
+    assert list(candidates("a1b2c3d4e5", [("hex", 0, 3)], 6)) == [(3, 10)]
+    assert list(candidates("x" * 300_000, [], 6)) == []
+
+
+def test_base_spans_match_plain(spark, docs, odd):
+    """The contract's expressions, each match tested for its length afterwards."""
+    import re
+
+    assign = r"(?ai)(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
+    for df in (docs, odd):
+        got = {(r["doc_id"], r["n_assign"], r["n_access"], r["n_hex"], r["base_sha256"]) for r in scan_secrets(df).collect()}
+        want = set()
+        for i, t in pairs(df):
+            t = t or ""
+            own = [(m.start(), 0, m.end()) for m in re.finditer(assign, t) if len(m[2]) >= 6]
+            own += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", t) if len(m[0]) >= 20]
+            own += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", t) if len(m[0]) >= 24]
+            joined = ",".join(f"{('assign', 'access', 'hex')[k]}:{s}:{e}" for s, k, e in sorted(own))
+            want.add((i, *(sum(k == j for _, k, _ in own) for j in range(3)), hashlib.sha256(joined.encode()).hexdigest()))
+        assert got == want
+
+
+def test_automaton_keeps_prefixes_and_loops():
     own = ["ab" * n + "c" for n in (1, 2, 3, 4) for _ in range(50)]
     a = infer_automaton(own)
     assert a.log_likelihood("ab" * 6 + "c") > a.log_likelihood("ba" * 6 + "c")
+    rng = random.Random(0)
+    b = infer_automaton(["key_" + "".join(rng.choice("0123456789") for _ in range(20)) for _ in range(200)])
+    assert len(b.ends) > 4
+    assert b.log_likelihood("key_" + "7" * 20) > b.log_likelihood("7" * 20 + "key_") + 5
 
 
 def test_chunks_follow_keys(spark):
