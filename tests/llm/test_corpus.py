@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tessellate.llm import queries
 from tessellate.llm.common import chunk_of
-from tessellate.llm.html_text import blocks, extract_text, main_texts
+from tessellate.llm.html_text import blocks, extract_text, main_texts, pages_of_runs, suffix_array
 from tessellate.llm.jaccard_join import choose_boundary, jaccard_components, subset_count
 from tessellate.llm.language import identify_language
 from tessellate.llm.line_dedup import dedup_lines
@@ -173,11 +173,82 @@ def test_html_blocks():
         blocks(broken)
 
 
-def test_html_shared_runs_go_where_no_article_is_marked():
-    pages = [f"<div>Home News Sports Weather Contact About Help Terms</div><p>item{i} a{i} b{i} c{i}</p>" for i in range(12)]
-    assert [t for t, _ in main_texts(pages)] == [f"item{i} a{i} b{i} c{i}" for i in range(12)]
-    marked = [f"<article><p>the same words stand on all of these many pages</p><p>x{i}</p></article>" for i in range(12)]
-    assert all("same words" in t and n > 0 for t, n in main_texts(marked))
+def test_html_names_of_other_things_are_kept_in_articles():
+    page = "<article><p>Intro</p><section class='related-work'><h2>Related work</h2></section><div class='share-buttons'>Tweet</div><p id='social-history'>s</p><div class='comment-list box'><p>c</p></div></article>"
+    assert [b for _, b in blocks(page)] == ["Intro", "Related work", "s"]
+    assert [z for z, _ in blocks(page)] == [0, 4, 4]
+
+
+def texts_of(pages, **settings):
+    return [t for t, _ in main_texts([blocks(p) for p in pages], **settings)]
+
+
+def test_html_repeats_decide_in_every_zone():
+    menu = "Home News Sports Weather Contact About Help Terms"
+    pages = [f"<div>{menu}</div><p>item{i} a{i} b{i} c{i}</p>" for i in range(12)]
+    assert texts_of(pages) == [f"item{i} a{i} b{i} c{i}" for i in range(12)]
+    shared = "the same words stand on many of these different pages"
+    # a third of the articles repeat a sentence: it is theirs
+    marked = [f"<article><p>x{i}</p><p>{shared if i % 3 == 0 else i}</p></article>" for i in range(12)]
+    assert all(shared in t for t in texts_of(marked)[::3])
+    # all of them end in one notice, which nothing in the markup tells
+    marked = [f"<article><p>x{i}</p><p>y{i}</p><p>Never miss a story.</p></article>" for i in range(12)]
+    assert texts_of(marked) == [f"x{i}\ny{i}" for i in range(12)]
+    # in the middle of the article it stays
+    marked = [f"<article><p>x{i}</p><p>Never miss a story.</p><p>y{i}</p></article>" for i in range(12)]
+    assert texts_of(marked) == [f"x{i}\nNever miss a story.\ny{i}" for i in range(12)]
+    # a name that only hints is dropped where it repeats, and kept where it doesn't
+    hinted = [f"<article><p>x{i}</p><div class='related-work'>{shared if i < 5 else f'own text {i}'}</div></article>" for i in range(12)]
+    assert texts_of(hinted) == [f"x{i}" if i < 5 else f"x{i}\nown text {i}" for i in range(12)]
+
+
+def test_suffix_array_and_repeats_match_plain():
+    rng = random.Random(4)
+    for n, letters in ((0, 2), (1, 1), (40, 1), (200, 2), (300, 30)):
+        own = [rng.randrange(letters) for _ in range(n)]
+        order, common = suffix_array(np.array(own, np.int64))
+        want = sorted(range(n), key=lambda i: own[i:])
+        assert order.tolist() == want
+        for k in range(1, n):
+            a, b = own[want[k] :], own[want[k - 1] :]
+            assert common[k] == next((m for m, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+    words = "a b c d e".split()
+    streams = [[rng.choice(words) for _ in range(rng.randrange(60))] for _ in range(25)]
+    streams += [streams[3], [], streams[5] + streams[6]]
+    got, _ = pages_of_runs(streams, 4)
+    distinct = {tuple(s) for s in streams}
+    for s, n in zip(streams, got, strict=True):
+        for i in range(len(s)):
+            run = s[i : i + 4]
+            holding = sum(any(list(t[j : j + 4]) == run for j in range(len(t) - 3)) for t in distinct)
+            assert n[i] == (holding if len(run) == 4 else 0)
+
+
+def test_html_same_for_any_partitions_and_group_size(spark):
+    rng = random.Random(6)
+    menu, notice = "Home News Sports Weather Contact About Help Terms", "This page uses a cookie to keep you signed in today"
+    rows = []
+    for i in range(400):
+        body = " ".join(rng.choice("abcdefghijklmnop") + str(rng.randrange(99)) for _ in range(60))
+        extra = f"<p>{notice}</p>" if i in (17, 200, 334) else ""
+        rows.append((i, f"http://{'big' if i % 3 else 'small'}.example.com/{i}", f"<div>{menu}</div>{extra}<p>{body}</p>", body))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, body string")
+    want = {i: b for i, _, _, b in rows}
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in ("8", "64"):
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            for size in (1 << 20, 20_000):  # whole hosts, and hosts in several groups
+                got = {r["page_id"]: r["text"] for r in extract_text(df.repartition(int(parts)), size=size).collect()}
+                assert got == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_html_long_page(spark):
+    df = spark.createDataFrame([(1, "http://a/x", "<article>" + "<p>word of it</p>" * 50_000 + "</article>")], "page_id long, url string, html string")
+    r = extract_text(df).first()
+    assert r["n_chars"] == 50_000 * 11 - 1
 
 
 def test_html_rows(spark):
