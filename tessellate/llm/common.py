@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,19 +29,44 @@ def modest_batches(spark: SparkSession, rows: int = 1000) -> None:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir of the
-    session. Where it is unset, as in tests on one machine, a temporary one."""
+    session. Where it is unset on one machine, as in tests, a temporary one."""
     at = spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         at = tempfile.mkdtemp(prefix="shared-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
 
 
+#: Of each open temporaries(), the folders that it will delete.
+_OPEN: list[list[str]] = []
+
+
+def delete_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
+@contextmanager
+def temporaries(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what staged() wrote inside it. Operators return plans that
+    still read such tables, so their results must have been written by then."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for folder in _OPEN.pop():
+            delete_folder(spark, folder)
+
+
 def staged(df: DataFrame) -> DataFrame:
     """Writes df as Parquet to the shared folder and reads it again, which cuts
     the lineage: a lost executor then costs a reread, not a recomputation."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/staged-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
@@ -47,11 +74,9 @@ def staged(df: DataFrame) -> DataFrame:
 def unstage(*frames: DataFrame) -> None:
     """Deletes what staged() wrote for these frames; nothing may read them later."""
     for df in frames:
-        jvm = df.sparkSession.sparkContext._jvm
-        for f in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = jvm.org.apache.hadoop.fs.Path(f)
-            if "/staged-" in f:
-                path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if "/staged-" in folder:
+                delete_folder(df.sparkSession, folder)
 
 
 def bounded_sample(rows: DataFrame, key: str, n: int, total: int | None = None) -> DataFrame:
