@@ -5,7 +5,8 @@ log-structured merge tree: each batch of documents adds one run of level 0, and
 `fanout` runs of a level are merged into one of the next. A run is a table of
 (h1, h2, doc_id), bucketed and sorted by the 128-bit hash of a line's key, so a
 batch is anti-joined with the runs bucket by bucket, and there are only
-O(fanout * log(batches)) runs to merge with.
+O(fanout * log(batches)) runs to merge with. Runs hold different lines, so a full outer
+merge join of them is their merged run: compaction moves nothing between buckets.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WHITE, ascii_lower, modest_batches
+from .common import WHITE, ascii_lower, modest_batches, staged
 
 _STRIP = WHITE.encode()
 _UNIQUE = "h1 long, h2 long, doc_id long"
@@ -51,9 +52,11 @@ class LineRuns:
         self._made = 0
 
     def _write(self, df: DataFrame) -> str:
+        """Tasks must hold a bucket each, as after a shuffle by the buckets' columns
+        or a join of bucketed runs."""
         name = f"{self._name}_{self._made}"
         self._made += 1
-        df.repartition(self.buckets, "h1", "h2").write.bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2").format("parquet").saveAsTable(name)
+        df.write.bucketBy(self.buckets, "h1", "h2").sortBy("h1", "h2").format("parquet").saveAsTable(name)
         return name
 
     def runs(self) -> list[DataFrame]:
@@ -64,7 +67,7 @@ class LineRuns:
         fresh = keys.groupBy("h1", "h2").agg(F.min("doc_id").alias("doc_id"))
         for run in self.runs():
             fresh = fresh.join(run.select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti")
-        self.levels[0].append(self._write(fresh))
+        self.levels[0].append(self._write(fresh.repartition(self.buckets, "h1", "h2")))
         self._compact()
 
     def _compact(self) -> None:
@@ -72,14 +75,18 @@ class LineRuns:
             if len(level) >= self.fanout:
                 if i + 1 == len(self.levels):
                     self.levels.append([])
-                merged = self.spark.table(level[0])
-                for x in level[1:]:
-                    merged = merged.unionAll(self.spark.table(x))
-                self.levels[i + 1].append(self._write(merged))
+                self.levels[i + 1].append(self._write(self._merged(level)))
                 for x in level:
                     self.spark.sql(f"DROP TABLE {x}")
                 level.clear()
 
+    def _merged(self, names: list[str]) -> DataFrame:
+        out = self.spark.table(names[0])
+        for x in names[1:]:
+            more = self.spark.table(x).withColumnRenamed("doc_id", "more").hint("merge")
+            out = out.join(more, ["h1", "h2"], "full").select("h1", "h2", F.coalesce("doc_id", "more").alias("doc_id"))
+        return out
+
     def owners(self) -> DataFrame:
         """(h1, h2, doc_id) of every line seen: a line has one row."""
         runs = self.runs()
@@ -136,22 +143,26 @@ def _keep(min_chars: int):
     return run
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout: int = 4, carry: tuple[str, ...] = ()) -> DataFrame:
+def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 6, fanout: int = 3, batch_rows: int = 100_000_000, carry: tuple[str, ...] = ()) -> DataFrame:
     """Splits each text at line feeds and drops every line whose key (stripped of
     ASCII white space, A-Z lower-cased) has min_chars code points or more and is
     held by a document with a smaller doc_id. Lines of one document never drop
     each other.
 
-    Returns doc_id, the columns named in carry, kept_text, n_lines, n_dropped and
-    kept_sha256, a row for each row of docs.
+    There are `batches` batches, or more, of about batch_rows rows each. Returns
+    doc_id, kept_text, n_lines, n_dropped and kept_sha256, a row for each row of docs,
+    and with carry a struct `carried` of the columns that it names.
 
     Null or empty text is one empty line. Rows that share a doc_id count as one
     document. A row without doc_id keeps all its lines and owns none. An empty
     table gives an empty result. Other columns, whatever their names, are ignored
-    unless carried.
+    unless carried, and then they stay inside their struct.
     """
     spark = docs.sparkSession
     modest_batches(docs.sparkSession)
+    carried = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried")] if carry else []
+    docs = docs.select("doc_id", "text", *carried)
+    batches = max(batches, -(-docs.count() // batch_rows))
     ids = docs.select("doc_id")
     cuts = sorted({int(x) for x in ids.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.02)}) if batches > 1 else []
     edges = [None, *cuts, None]
@@ -164,9 +175,11 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 4, fanout:
             part = part.where(F.col("doc_id") < hi)
         runs.add(line_keys(part.select("doc_id", "text"), min_chars))
     # 64 bits tell apart the lines of one document, so the second hash stays behind
-    owned = runs.owners().groupBy("doc_id").agg(F.collect_list("h1").alias("owned"))
-    joined = docs.select("doc_id", *carry, "text", F.col("doc_id").isNotNull().alias("has_id")).join(owned, "doc_id", "left")
-    schema = docs.select("doc_id", *carry).schema
+    owned = staged(runs.owners().groupBy("doc_id").agg(F.collect_list("h1").alias("owned")))
+    runs.drop()
+    joined = docs.withColumn("has_id", F.col("doc_id").isNotNull()).join(owned, "doc_id", "left")
+    joined = joined.select("doc_id", *docs.columns[2:], "text", "has_id", "owned")
+    schema = docs.drop("text").schema
     for name, kind in (("kept_text", "string"), ("n_lines", "long"), ("n_dropped", "long"), ("kept_sha256", "string")):
         schema = schema.add(name, kind)
     return joined.mapInArrow(_keep(min_chars), schema)

@@ -126,7 +126,8 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, period: int = 1000, b
 
     weights has (source, share) with shares that sum to period; without it the
     shares follow from each source's characters to the given power. Returns
-    doc_id, source, the carried columns, block (number in its source), slot (the
+    doc_id, source, a struct `carried` of the columns that carry names (if any), block
+    (number in its source), slot (the
     block's place in the schedule), place (the same without the empty places that
     sources leave once they have run out) and on_target (whether the stream is
     still complete there: every source then has within one block of its weight).
@@ -169,6 +170,7 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, period: int = 1000, b
     placed = numbered.select("x", "b", "slot", before.alias("place"), (F.col("slot") < F.col("horizon")).alias("on_target"))
     out = blocks.join(placed, F.col("source").eqNullSafe(F.col("x")) & (F.col("block") == F.col("b")), "left")
     out = out.select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"), F.col("tie").alias("_t"), "block", "slot", "place", F.coalesce("on_target", F.lit(False)).alias("on_target"))
-    rows = docs.select("doc_id", "source", *[F.col(c).alias(f"_carry_{c}") for c in carry], F.xxhash64("text").alias("_tie"))
+    carried = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("carried")] if carry else []
+    rows = docs.select("doc_id", "source", *carried, F.xxhash64("text").alias("_tie"))
     whole = rows.join(out, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s")) & (F.col("_tie") == F.col("_t")))
-    return whole.select("doc_id", "source", *[F.col(f"_carry_{c}").alias(c) for c in carry], "block", "slot", "place", "on_target")
+    return whole.select("doc_id", "source", *(["carried"] if carry else []), "block", "slot", "place", "on_target")

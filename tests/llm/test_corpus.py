@@ -19,7 +19,7 @@ from tessellate.llm.near_vectors import near_vectors
 from tessellate.llm.order_minhash import fingerprints
 from tessellate.llm.packing import pack_documents, pack_sizes
 from tessellate.llm.secrets import base_spans, candidates, fit_grammar, infer_automaton, scan_secrets
-from tessellate.llm.toxicity import toxicity
+from tessellate.llm.toxicity import VOTERS, _model, dependence_tree, toxicity
 
 DATA = "/root/testdata/sf0.001"
 LONG = "word " * 20_000 + "end"
@@ -305,6 +305,54 @@ def test_toxicity(spark, odd):
         assert len(rows) == len(ROWS) and all(0 <= r["score"] <= 1 for r in rows)
 
 
+def test_voters_that_repeat_each_other_count_once():
+    rng = np.random.default_rng(2)
+    toxic = rng.random(4000) < 0.3
+    votes = np.zeros((4000, VOTERS))
+    votes[:, 0] = rng.random(4000) < np.where(toxic, 0.6, 0.05)
+    votes[:, 1] = votes[:, 0]  # a copy
+    votes[:, 2] = rng.random(4000) < np.where(toxic, 0.5, 0.1)  # another view
+    x = np.c_[np.ones(4000), votes]
+    sums = np.stack([x.T @ (x * w[:, None]) for w in (~toxic, toxic)])
+    parents = dependence_tree(sums)
+    assert {parents[0], parents[1]} == {0} or {parents[0], parents[1]} == {1}
+    assert parents[2] == 2
+    fitted, one = _model(sums, parents), np.zeros((3, VOTERS))
+    one[0, 0], one[1, :2], one[2, 2] = 1, 1, 1
+    odds = fitted.log_odds(one) - fitted.log_odds(np.zeros((1, VOTERS)))
+    alone = _model(sums, np.arange(VOTERS))
+    doubled = alone.log_odds(one) - alone.log_odds(np.zeros((1, VOTERS)))
+    assert abs(odds[1] - doubled[0]) < 0.2 and doubled[1] > 1.8 * odds[1]
+    assert abs(odds[2] - doubled[2]) < 0.2
+
+
+def test_toxicity_learns_from_documents_without_labels(spark):
+    """Held-out quality where all labels are known, and where one in six is."""
+    at = "/root/testdata/sf0.1"
+    docs, labels = spark.read.parquet(f"{at}/documents.parquet"), spark.read.parquet(f"{at}/labels.parquet")
+    few = labels.where("doc_id % 6 = 0 OR crc32(cast(cast(doc_id as string) as binary)) % 3 = 1")
+    for known, caught in ((labels, 0.88), (few, 0.75)):
+        got = {r["doc_id"]: r for r in toxicity(docs, known).collect()}
+        held = [(r["toxic"], got[r["doc_id"]]["predicted"]) for r in labels.collect() if got[r["doc_id"]]["held_out"]]
+        right = sum(a and b for a, b in held)
+        assert right >= 0.97 * sum(b for _, b in held)
+        assert right >= caught * sum(a for a, _ in held)
+
+
+def test_stages_keep_columns_whose_names_clash(spark, odd):
+    import corpus_pipeline
+
+    clash = odd.select("*", *[F.lit(7).alias(c) for c in ("hits", "predicted", "owned", "has_id", "kept_text", "n_lines", "_votes", "place", "component_id", "carried") if c not in odd.columns])
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, clash, DATA)
+        assert out.columns == clash.columns
+        rows = out.collect()
+        assert rows and all(r["hits"] == 7 and r["n_lines"] == 7 and r["score"] == 1 for r in rows)
+        assert stage(spark, clash.limit(0), DATA).count() == 0
+    last = corpus_pipeline.STAGES[4][1](spark, clash, DATA)
+    assert last.count() >= len(ROWS) and corpus_pipeline.STAGES[4][1](spark, clash.limit(0), DATA).count() == 0
+
+
 def test_near_vectors(spark):
     rng = np.random.default_rng(1)
     x = rng.standard_normal((300, 16))
