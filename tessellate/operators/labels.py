@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import avg_rank_pct, bucketize, by_entity, safe_div
 
 TOLERANCE = 1e-6
+EXIT = ("session", "open", "traded", "in_base", "down_limit", "bench")
 #: A pair of limits that stands for no limit.
 NO_LIMIT = (99999.99, 0.0)
 
@@ -62,13 +64,62 @@ def model_universe(panel: DataFrame, least_age: int, least_amount: float) -> Dat
     return out.withColumn("in_model_universe", F.col("exclude_reason") == "")
 
 
+#: The boards that a code's form tells.
+BOARDS = (("bj_market", r"\.BJ$"), ("star_market", r"^688\d{3}\.SH$"), ("chinext_market", r"^300\d{3}\.SZ$"))
+
+
+@dataclass(frozen=True)
+class CandidateSettings:
+    """What a candidate must have; None leaves a bound out."""
+
+    least_list_days: int = 60
+    least_market_value: float | None = None
+    least_amount: float | None = None
+    least_turnover: float | None = None
+    most_turnover: float | None = None
+    limit_tolerance: float = 0.01
+
+
+def candidate_rules(settings: CandidateSettings) -> list[tuple[str, Column]]:
+    """The rules of the cascade in their order, over rows with the flags of the
+    universe, code, list_days, what was found for them (has_universe, has_daily,
+    has_daily_basic, has_stk_limit), prices, amount, turnover_rate, total_mv and limits.
+    A number that is missing fails its rule."""
+    c = F.col
+    no = lambda x: ~F.coalesce(x, F.lit(False))
+    yes = lambda x: F.coalesce(x, F.lit(False))
+    least = lambda x, bound: no(c(x) >= bound)
+    ordered = (c("low") <= F.least("open", "close", "high")) & (c("high") >= F.greatest("open", "close", "low"))
+    t = settings.limit_tolerance
+    limits = (c("down_limit") > 0) & (c("up_limit") > c("down_limit")) & (c("close") > 0) & c("close").between(c("down_limit") - t, c("up_limit") + t)
+    rules = [
+        ("missing_universe", no(c("has_universe"))),
+        ("not_in_model_universe", no(c("in_model_universe"))),
+        *[(name, F.upper("code").rlike(form)) for name, form in BOARDS],
+        ("st", yes(c("is_st"))),
+        ("suspended", yes(c("is_suspended"))),
+        ("insufficient_liquidity", yes(c("is_low_liquidity"))),
+        ("newly_listed", least("list_days", settings.least_list_days)),
+        ("missing_daily", no(c("has_daily"))),
+        ("missing_daily_basic", no(c("has_daily_basic"))),
+        ("missing_stk_limit", no(c("has_stk_limit"))),
+        ("invalid_ohlc", no((F.least("open", "high", "low", "close") > 0) & ordered)),
+    ]
+    for name, x, bound in (("insufficient_market_cap", "total_mv", settings.least_market_value), ("insufficient_daily_amount", "amount", settings.least_amount), ("insufficient_turnover", "turnover_rate", settings.least_turnover)):
+        if bound is not None:
+            rules.append((name, least(x, bound)))
+    if settings.most_turnover is not None:
+        rules.append(("excessive_turnover", no(c("turnover_rate") <= settings.most_turnover)))
+    return [*rules, ("abnormal_price_limits", no(limits))]
+
+
 def filter_cascade(rows: DataFrame, rules: Sequence[tuple[str, Column]], score: str, n: int) -> DataFrame:
     """Adds the first failing rule, and for the rest rank and whether they miss
-    the best n, as the reason below_cutoff."""
+    the best n, as the reason below_candidate_cutoff."""
     marked = rows.withColumn("reason", first_reason(rules))
     order = Window.partitionBy("session", F.col("reason").isNull()).orderBy(F.col(score).desc_nulls_last(), "entity")
     marked = marked.withColumn("rank", F.when(F.col("reason").isNull(), F.row_number().over(order)))
-    return marked.withColumn("reason", F.when(F.col("rank") > n, F.lit("below_cutoff")).otherwise(F.col("reason")))
+    return marked.withColumn("reason", F.when(F.col("rank") > n, F.lit("below_candidate_cutoff")).otherwise(F.col("reason")))
 
 
 def attach_entry_exit(panel: DataFrame, horizons: Sequence[int]) -> DataFrame:
@@ -76,29 +127,30 @@ def attach_entry_exit(panel: DataFrame, horizons: Sequence[int]) -> DataFrame:
     entry (next) and exit session, looked up by lead in the panel's own order: the
     panel is dense, so that is the keyed join without a shuffle for each side."""
     e = by_entity()
-    ahead = {f"entry_{c}": F.lead(c, 1).over(e) for c in ("session", "open", "traded", "up_limit", "bench")}
+    ahead = {f"entry_{c}": F.lead(c, 1).over(e) for c in ("session", "open", "traded", "in_base", "up_limit", "bench")}
     for h in horizons:
-        ahead |= {f"exit_{c}_{h}": F.lead(c, 1 + h).over(e) for c in ("session", "open", "traded", "down_limit", "bench")}
+        ahead |= {f"exit_{c}_{h}": F.lead(c, 1 + h).over(e) for c in EXIT}
     wide = panel.withColumns(ahead)
-    each = F.explode(F.array(*[F.struct(F.lit(h).alias("horizon"), *[F.col(f"exit_{c}_{h}").alias(f"exit_{c}") for c in ("session", "open", "traded", "down_limit", "bench")]) for h in horizons]))
-    return wide.select("entity", "session", "pos", "in_base", *[f"entry_{c}" for c in ("session", "open", "traded", "up_limit", "bench")], each.alias("x")).select("*", "x.*").drop("x")
+    each = F.explode(F.array(*[F.struct(F.lit(h).alias("horizon"), *[F.col(f"exit_{c}_{h}").alias(f"exit_{c}") for c in EXIT]) for h in horizons]))
+    return wide.select("entity", "session", "pos", *[f"entry_{c}" for c in ("session", "open", "traded", "in_base", "up_limit", "bench")], each.alias("x")).select("*", "x.*").drop("x")
 
 
 def label_reasons() -> list[tuple[str, Column]]:
-    """H2, H3: why a label is not available, the first that holds."""
+    """H2, H3: why a label is not available, the first that holds. Membership of the
+    base universe is asked at the entry and at the exit session."""
     no = lambda c: ~F.coalesce(c, F.lit(False))
     return [
-        ("not_in_base", no(F.col("in_base"))),
-        ("no_entry_session", F.col("entry_session").isNull()),
-        ("no_exit_session", F.col("exit_session").isNull()),
+        # fixed values: the reasons as the label table has them
+        ("insufficient_future_calendar", F.col("entry_session").isNull() | F.col("exit_session").isNull()),
+        ("entry_not_in_base_universe", no(F.col("entry_in_base"))),
+        ("missing_entry_price", no(F.col("entry_open") > 0)),
+        ("missing_exit_price", no(F.col("exit_open") > 0)),
         ("entry_suspended", no(F.col("entry_traded"))),
+        ("entry_not_buyable", F.coalesce(F.col("entry_open") >= F.col("entry_up_limit") - TOLERANCE, F.lit(False))),
+        ("exit_not_in_base_universe", no(F.col("exit_in_base"))),
         ("exit_suspended", no(F.col("exit_traded"))),
-        ("entry_price_missing", no(F.col("entry_open") > 0)),
-        ("exit_price_missing", no(F.col("exit_open") > 0)),
-        ("entry_limit_up", F.coalesce(F.col("entry_open") >= F.col("entry_up_limit") - TOLERANCE, F.lit(False))),
-        ("exit_limit_down", F.coalesce(F.col("exit_open") <= F.col("exit_down_limit") + TOLERANCE, F.lit(False))),
-        ("entry_benchmark_missing", F.col("entry_bench").isNull()),
-        ("exit_benchmark_missing", F.col("exit_bench").isNull()),
+        ("exit_not_sellable", F.coalesce(F.col("exit_open") <= F.col("exit_down_limit") + TOLERANCE, F.lit(False))),
+        ("missing_benchmark_price", no(F.col("entry_bench") > 0) | no(F.col("exit_bench") > 0)),
     ]
 
 

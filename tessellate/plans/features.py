@@ -31,9 +31,9 @@ def horizon_map(spark, sf):
     return C.horizon_map(calendar(spark, sf), (1, 5, 20))
 
 
-@query("b03_session_age", f"{PANEL}, f AS (SELECT min(session) AS f FROM cal), starts AS (SELECT entity, CAST(DATE '1991-06-01' + CAST(entity % 400 AS INTEGER) * 5 AS DATE) AS list_date FROM ents) SELECT p.entity, p.session, list_date, CASE WHEN p.session < list_date THEN 0 ELSE (SELECT count(*) FROM cal WHERE cal.session >= list_date AND cal.session <= p.session) + CASE WHEN f > list_date THEN (f - list_date) * 5 // 7 ELSE 0 END END AS age FROM panel p JOIN starts USING (entity) CROSS JOIN f WHERE p.pos % 20 = 0")
+@query("b03_session_age", f"{PANEL}, f AS (SELECT min(session) AS f FROM cal), starts0 AS (SELECT entity, CAST(DATE '1991-06-01' + CAST(entity % 400 AS INTEGER) * 5 AS DATE) AS list_date FROM ents), starts AS (SELECT *, (SELECT min(pos) FROM cal WHERE session >= list_date) AS start_pos FROM starts0) SELECT p.entity, p.session, list_date, CASE WHEN p.session < list_date THEN 0 ELSE greatest(p.pos - start_pos + 1, 0) + CASE WHEN f > list_date THEN (f - list_date) * 5 // 7 ELSE 0 END END AS age FROM panel p JOIN starts USING (entity) CROSS JOIN f")
 def session_age(spark, sf):
-    rows = panel(spark, sf).where("pos % 20 = 0").select(*KEY).withColumn("list_date", F.date_add(F.lit("1991-06-01").cast("date"), (F.col("entity") % 400 * 5).cast("int")))
+    rows = panel(spark, sf).select(*KEY).withColumn("list_date", F.date_add(F.lit("1991-06-01").cast("date"), (F.col("entity") % 400 * 5).cast("int")))
     return C.session_age(rows, calendar(spark, sf), "list_date").withColumn("age", F.col("age").cast("long"))
 
 

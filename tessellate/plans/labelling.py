@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import joins as J
@@ -12,6 +13,7 @@ from .features import scored
 
 KEY = ["entity", "session"]
 H = (1, 5)
+_BASE = "(grp < 22 AND pos > entity % 7 AND pos <= 345 + entity % 11)"
 
 
 @query("d02_as_of", "WITH o AS (SELECT o_custkey, o_orderdate, o_orderkey, o_totalprice, CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority END AS p, row_number() OVER (PARTITION BY o_custkey, o_orderdate ORDER BY o_orderkey DESC) AS n FROM orders), r AS (SELECT * FROM o WHERE n = 1), l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, o_custkey, l_shipdate - INTERVAL 60 DAY AS d FROM lineitem JOIN orders ON l_orderkey = o_orderkey) SELECT l_orderkey, l_linenumber, l_partkey, l_extendedprice, r.o_orderkey AS seen_order, round(r.o_totalprice, 6) AS seen_price, r.p AS seen_priority FROM l ASOF LEFT JOIN r ON l.o_custkey = r.o_custkey AND l.d >= r.o_orderdate")
@@ -33,8 +35,6 @@ def reports(spark, sf):
 
 @query("d03_f20_available", f"WITH {_REPORTS}, a AS (SELECT *, coalesce(fin, ann) AS available, row_number() OVER (PARTITION BY entity, coalesce(fin, ann) ORDER BY period DESC, rev DESC) AS n FROM reports) SELECT entity, period, available, rev, round(x - lag(x) OVER (PARTITION BY entity ORDER BY available), 4) AS change FROM a WHERE n = 1", digits=4)
 def available(spark, sf):
-    from pyspark.sql import Window
-
     a = J.available(reports(spark, sf), "entity", "ann", "fin", ["period", "rev"])
     change = F.col("x") - F.lag("x").over(Window.partitionBy("entity").orderBy("available"))
     return a.select("entity", "period", "available", "rev", change.alias("change"))
@@ -47,12 +47,12 @@ def later_ratio(spark, sf):
     return J.later_ratio(side(0, "x"), side(1, "y"), ["entity", "period"], "x", "y", "ratio")
 
 
-_SPANS = "spans AS (SELECT o_custkey AS k, CAST(o_orderdate AS DATE) AS s, CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE CAST(m AS DATE) END AS e FROM orders JOIN (SELECT l_orderkey, max(l_shipdate) AS m FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey WHERE o_custkey % 10 = 0)"
+_SPANS = "spans AS (SELECT o_custkey AS k, CAST(o_orderdate AS DATE) AS s, CASE WHEN o_orderkey % 50 = 0 THEN NULL ELSE CAST(m AS DATE) END AS e FROM orders JOIN (SELECT l_orderkey, max(l_shipdate) AS m FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey)"
 
 
 def spans(spark, sf):
     last = read(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.max("l_shipdate").alias("m"))
-    o = read(spark, sf, "orders").where("o_custkey % 10 = 0").join(last, F.col("o_orderkey") == F.col("l_orderkey"))
+    o = read(spark, sf, "orders").join(last, F.col("o_orderkey") == F.col("l_orderkey"))
     return o.select(F.col("o_custkey").alias("k"), F.to_date("o_orderdate").alias("s"), F.when(F.col("o_orderkey") % 50 != 0, F.to_date("m")).alias("e"))
 
 
@@ -120,14 +120,39 @@ def built_universe(spark, sf):
     return universe(spark, sf).select(*KEY, "amount_mean", "amount_count", "exclude_reason", "in_model_universe")
 
 
-@query("e08_filter_cascade", f"{PANEL}, scored AS (SELECT *, round(-ret_1d, 9) AS score FROM rets WHERE traded), r AS (SELECT entity, session, score, CASE WHEN score IS NULL THEN 'no_score' WHEN amount < 40000 THEN 'thin' WHEN grp > 20 THEN 'group' WHEN close <= 0 THEN 'price' END AS reason FROM scored), k AS (SELECT *, CASE WHEN reason IS NULL THEN row_number() OVER (PARTITION BY session, reason IS NULL ORDER BY score DESC NULLS LAST, entity) END AS rank FROM r) SELECT CASE WHEN rank > 10 THEN 'below_cutoff' ELSE reason END AS reason, count(*) AS n, round(sum(score), 4) AS total FROM k GROUP BY 1", digits=4)
+#: What the cascade looks at, made of the panel: codes of all boards, missing tables,
+#: prices that contradict each other.
+_CANDIDATES = f"{_UNIVERSE}, lr AS (SELECT *, last_value(ret_1d IGNORE NULLS) OVER (PARTITION BY entity ORDER BY pos ROWS UNBOUNDED PRECEDING) AS lr, last_value(close IGNORE NULLS) OVER (PARTITION BY entity ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pc FROM rets), cand AS (SELECT r.entity, r.session, r.pos, round(-lr, 9) AS score, r.pos > 3 AS has_universe, r.pos >= 20 AS in_model_universe, CASE r.grp % 5 WHEN 0 THEN '688' WHEN 1 THEN '300' ELSE '600' END || lpad(CAST(r.entity % 1000 AS VARCHAR), 3, '0') || CASE r.grp % 4 WHEN 0 THEN '.SH' WHEN 1 THEN '.SZ' WHEN 2 THEN '.BJ' ELSE '.SH' END AS code, u.is_restricted AS is_st, NOT r.traded AND r.pos % 2 = 0 AS is_suspended, coalesce(u.amount_mean < 40000, FALSE) AS is_low_liquidity, r.pos - r.entity % 10 AS list_days, r.traded AS has_daily, r.vol % 11 <> 0 AS has_daily_basic, pc IS NOT NULL AS has_stk_limit, open, CASE WHEN r.vol % 13 = 0 THEN low / 2 ELSE high END AS high, low, close, close * r.vol * 10 AS total_mv, r.amount, r.vol / 50 AS turnover_rate, pc * 1.5 AS up_limit, pc * 0.5 AS down_limit FROM lr r JOIN uni u ON u.entity = r.entity AND u.session = r.session WHERE lr IS NOT NULL)"
+
+
+def candidates(spark, sf):
+    e = Window.partitionBy("entity").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
+    p = L.with_limits(R.with_returns(universe(spark, sf))).withColumn("score", F.round(-F.last("ret_1d", ignorenulls=True).over(e), 9)).where("score IS NOT NULL")
+    c = F.col
+    board = F.concat(F.when(c("grp") % 5 == 0, "688").when(c("grp") % 5 == 1, "300").otherwise("600"), F.lpad((c("entity") % 1000).cast("string"), 3, "0"), F.when(c("grp") % 4 == 1, ".SZ").when(c("grp") % 4 == 2, ".BJ").otherwise(".SH"))
+    return p.select(
+        *KEY, "score", (c("pos") > 3).alias("has_universe"), (c("pos") >= 20).alias("in_model_universe"), board.alias("code"), c("is_restricted").alias("is_st"),
+        (~c("traded") & (c("pos") % 2 == 0)).alias("is_suspended"), (c("amount_mean") < 40000).alias("is_low_liquidity"), c("age").alias("list_days"), c("traded").alias("has_daily"),
+        (c("vol") % 11 != 0).alias("has_daily_basic"), c("up_limit").isNotNull().alias("has_stk_limit"), "open", F.when(c("vol") % 13 == 0, c("low") / 2).otherwise(c("high")).alias("high"),
+        "low", "close", (c("close") * c("vol") * 10).alias("total_mv"), "amount", (c("vol") / 50).alias("turnover_rate"), "up_limit", "down_limit",
+    )
+
+
+_CASCADE = (
+    "CASE WHEN NOT has_universe THEN 'missing_universe' WHEN NOT in_model_universe THEN 'not_in_model_universe' WHEN code LIKE '%.BJ' THEN 'bj_market' WHEN regexp_full_match(code, '688[0-9]{3}[.]SH') THEN 'star_market' WHEN regexp_full_match(code, '300[0-9]{3}[.]SZ') THEN 'chinext_market' WHEN is_st THEN 'st' WHEN is_suspended THEN 'suspended' WHEN is_low_liquidity THEN 'insufficient_liquidity' WHEN list_days < 60 THEN 'newly_listed' WHEN NOT has_daily THEN 'missing_daily'"
+    " WHEN NOT coalesce(has_daily_basic, FALSE) THEN 'missing_daily_basic' WHEN NOT has_stk_limit THEN 'missing_stk_limit' WHEN NOT (open > 0 AND high > 0 AND low > 0 AND close > 0 AND high >= greatest(open, close, low) AND low <= least(open, close)) THEN 'invalid_ohlc' WHEN NOT coalesce(total_mv >= 60000, FALSE) THEN 'insufficient_market_cap' WHEN NOT coalesce(amount >= 25000, FALSE) THEN 'insufficient_daily_amount'"
+    " WHEN NOT coalesce(turnover_rate >= 0.5, FALSE) THEN 'insufficient_turnover' WHEN NOT coalesce(turnover_rate <= 2.5, FALSE) THEN 'excessive_turnover' WHEN NOT coalesce(up_limit > down_limit AND down_limit > 0 AND close BETWEEN down_limit - 0.01 AND up_limit + 0.01, FALSE) THEN 'abnormal_price_limits' END"
+)
+
+
+@query("e08_filter_cascade", f"{PANEL}, {_CANDIDATES}, r AS (SELECT entity, session, score, {_CASCADE} AS reason FROM cand), k AS (SELECT *, CASE WHEN reason IS NULL THEN row_number() OVER (PARTITION BY session, reason IS NULL ORDER BY score DESC, entity) END AS rank FROM r) SELECT CASE WHEN rank > 3 THEN 'below_candidate_cutoff' ELSE reason END AS reason, count(*) AS n, round(sum(score), 4) AS total FROM k GROUP BY 1", digits=4)
 def cascade(spark, sf):
-    rules = [("no_score", F.col("score").isNull()), ("thin", F.col("amount") < 40000), ("group", F.col("grp") > 20), ("price", F.col("close") <= 0)]
-    return L.filter_cascade(scored(spark, sf), rules, "score", 10).groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("total"))
+    rules = L.candidate_rules(L.CandidateSettings(60, 60000.0, 25000.0, 0.5, 2.5))
+    return L.filter_cascade(candidates(spark, sf), rules, "score", 3).groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("total"))
 
 
 def base_panel(spark, sf):
-    return limited(spark, sf).withColumn("in_base", F.col("traded") & (F.col("grp") < 22))
+    return limited(spark, sf).withColumn("in_base", (F.col("grp") < 22) & (F.col("pos") > F.col("entity") % 7) & (F.col("pos") <= 345 + F.col("entity") % 11))
 
 
 def labels(spark, sf):
@@ -137,10 +162,10 @@ def labels(spark, sf):
 _LABELS = (
     f"{_LIMITS}, ahead AS ("
     + " UNION ALL ".join(
-        f"SELECT entity, session, pos, {h} AS horizon, traded AND grp < 22 AS in_base, lead(session) OVER e AS entry_session, lead(open) OVER e AS entry_open, lead(traded) OVER e AS entry_traded, lead(up_limit) OVER e AS entry_up_limit, lead(bench) OVER e AS entry_bench, lead(session, {1 + h}) OVER e AS exit_session, lead(open, {1 + h}) OVER e AS exit_open, lead(traded, {1 + h}) OVER e AS exit_traded, lead(down_limit, {1 + h}) OVER e AS exit_down_limit, lead(bench, {1 + h}) OVER e AS exit_bench FROM lim WINDOW e AS (PARTITION BY entity ORDER BY pos)"
+        f"SELECT entity, session, pos, {h} AS horizon, lead({_BASE}) OVER e AS entry_in_base, lead({_BASE}, {1 + h}) OVER e AS exit_in_base, lead(session) OVER e AS entry_session, lead(open) OVER e AS entry_open, lead(traded) OVER e AS entry_traded, lead(up_limit) OVER e AS entry_up_limit, lead(bench) OVER e AS entry_bench, lead(session, {1 + h}) OVER e AS exit_session, lead(open, {1 + h}) OVER e AS exit_open, lead(traded, {1 + h}) OVER e AS exit_traded, lead(down_limit, {1 + h}) OVER e AS exit_down_limit, lead(bench, {1 + h}) OVER e AS exit_bench FROM lim WINDOW e AS (PARTITION BY entity ORDER BY pos)"
         for h in H
     )
-    + "), reasoned AS (SELECT *, CASE WHEN NOT coalesce(in_base, FALSE) THEN 'not_in_base' WHEN entry_session IS NULL THEN 'no_entry_session' WHEN exit_session IS NULL THEN 'no_exit_session' WHEN NOT coalesce(entry_traded, FALSE) THEN 'entry_suspended' WHEN NOT coalesce(exit_traded, FALSE) THEN 'exit_suspended' WHEN NOT coalesce(entry_open > 0, FALSE) THEN 'entry_price_missing' WHEN NOT coalesce(exit_open > 0, FALSE) THEN 'exit_price_missing' WHEN entry_open >= entry_up_limit - 1e-6 THEN 'entry_limit_up' WHEN exit_open <= exit_down_limit + 1e-6 THEN 'exit_limit_down' WHEN entry_bench IS NULL THEN 'entry_benchmark_missing' WHEN exit_bench IS NULL THEN 'exit_benchmark_missing' END AS reason FROM ahead), labels0 AS (SELECT *, reason IS NULL AS is_label_available, CASE WHEN reason IS NULL THEN exit_open / entry_open - 1 END AS forward_ret, CASE WHEN reason IS NULL THEN exit_bench / entry_bench - 1 END AS benchmark_forward_ret FROM reasoned), labels1 AS (SELECT *, forward_ret - benchmark_forward_ret AS future_excess_ret FROM labels0), labels2 AS (SELECT *, CASE WHEN future_excess_ret IS NOT NULL THEN (rank() OVER (PARTITION BY session, horizon ORDER BY future_excess_ret NULLS LAST) + (count(*) OVER (PARTITION BY session, horizon, future_excess_ret) - 1) / 2.0) / count(future_excess_ret) OVER (PARTITION BY session, horizon) END AS label_pct FROM labels1), labels AS (SELECT *, CAST(CASE WHEN label_pct IS NOT NULL THEN greatest(0, least(4, floor((label_pct - 1e-12) * 5))) END AS INTEGER) AS label_quantile FROM labels2)"
+    + "), reasoned AS (SELECT *, CASE WHEN entry_session IS NULL OR exit_session IS NULL THEN 'insufficient_future_calendar' WHEN NOT coalesce(entry_in_base, FALSE) THEN 'entry_not_in_base_universe' WHEN NOT coalesce(entry_open > 0, FALSE) THEN 'missing_entry_price' WHEN NOT coalesce(exit_open > 0, FALSE) THEN 'missing_exit_price' WHEN NOT coalesce(entry_traded, FALSE) THEN 'entry_suspended' WHEN entry_open >= entry_up_limit - 1e-6 THEN 'entry_not_buyable' WHEN NOT coalesce(exit_in_base, FALSE) THEN 'exit_not_in_base_universe' WHEN NOT coalesce(exit_traded, FALSE) THEN 'exit_suspended' WHEN exit_open <= exit_down_limit + 1e-6 THEN 'exit_not_sellable' WHEN NOT coalesce(entry_bench > 0, FALSE) OR NOT coalesce(exit_bench > 0, FALSE) THEN 'missing_benchmark_price' END AS reason FROM ahead), labels0 AS (SELECT *, reason IS NULL AS is_label_available, CASE WHEN reason IS NULL THEN exit_open / entry_open - 1 END AS forward_ret, CASE WHEN reason IS NULL THEN exit_bench / entry_bench - 1 END AS benchmark_forward_ret FROM reasoned), labels1 AS (SELECT *, forward_ret - benchmark_forward_ret AS future_excess_ret FROM labels0), labels2 AS (SELECT *, CASE WHEN future_excess_ret IS NOT NULL THEN (rank() OVER (PARTITION BY session, horizon ORDER BY future_excess_ret NULLS LAST) + (count(*) OVER (PARTITION BY session, horizon, future_excess_ret) - 1) / 2.0) / count(future_excess_ret) OVER (PARTITION BY session, horizon) END AS label_pct FROM labels1), labels AS (SELECT *, CAST(CASE WHEN label_pct IS NOT NULL THEN greatest(0, least(4, floor((label_pct - 1e-12) * 5))) END AS INTEGER) AS label_quantile FROM labels2)"
 )
 
 
@@ -159,15 +184,15 @@ def availability(spark, sf):
     return L.label_availability(labels(spark, sf), {"selection": ("1995-01-01", "1999-12-31"), "test": ("2000-01-01", "2009-01-01")})
 
 
-@query("h09_reconcile_counts", f"{PANEL}, {_LABELS}, w AS (SELECT session, horizon, count(*) AS expected FROM panel, (SELECT unnest([1, 5]) AS horizon) WHERE traded AND grp < 22 GROUP BY 1, 2), f AS (SELECT session, horizon, count(*) AS found FROM labels WHERE is_label_available OR entity % 2 = 0 GROUP BY 1, 2) SELECT session, horizon, expected, coalesce(found, 0) AS found FROM w LEFT JOIN f USING (session, horizon) WHERE expected <> coalesce(found, 0)")
+@query("h09_reconcile_counts", f"{PANEL}, {_LABELS}, w AS (SELECT session, horizon, count(*) AS expected FROM panel, (SELECT unnest([1, 5]) AS horizon) WHERE {_BASE} GROUP BY 1, 2), f AS (SELECT session, horizon, count(*) AS found FROM labels WHERE is_label_available OR entity % 2 = 0 GROUP BY 1, 2) SELECT session, horizon, expected, coalesce(found, 0) AS found FROM w LEFT JOIN f USING (session, horizon) WHERE expected <> coalesce(found, 0)")
 def reconcile(spark, sf):
     some = labels(spark, sf).where("is_label_available OR entity % 2 = 0")
     return L.reconcile_counts(some, base_panel(spark, sf), H)
 
 
-@query("h10_label_audit", f"{PANEL}, {_LABELS} SELECT count(*) AS n, count(l.entity) AS matched, round(avg(CAST(coalesce(is_label_available, FALSE) AS INTEGER)), 6) AS available_ratio, count(*) FILTER (entry_session <= b.session OR exit_session <= entry_session) AS violations FROM (SELECT entity, session FROM bars WHERE vol > 60) b LEFT JOIN (SELECT * FROM labels WHERE horizon = 5 AND entity % 4 > 0) l ON l.entity = b.entity AND l.session = b.session")
+@query("h10_label_audit", f"{PANEL}, {_LABELS} SELECT count(*) AS n, count(l.entity) AS matched, round(avg(CAST(coalesce(is_label_available, FALSE) AS INTEGER)), 6) AS available_ratio, count(*) FILTER (entry_session <= b.session OR exit_session <= entry_session) AS violations FROM (SELECT entity, session FROM bars WHERE vol > 60) b LEFT JOIN (SELECT * FROM labels WHERE horizon = 5) l ON l.entity = b.entity AND l.session = b.session")
 def audit(spark, sf):
-    return L.label_audit(bars(spark, sf).where("vol > 60").select(*KEY), labels(spark, sf).where("horizon = 5 AND entity % 4 > 0"))
+    return L.label_audit(bars(spark, sf).where("vol > 60").select(*KEY), labels(spark, sf).where("horizon = 5"))
 
 
 @query("d08_eligible_labels", sql_rounded(f"SELECT r.entity, r.session, horizon, ret_1d, future_excess_ret FROM rets r JOIN labels l ON l.entity = r.entity AND l.session = r.session JOIN uni u ON u.entity = r.entity AND u.session = r.session WHERE is_label_available AND NOT is_new AND NOT is_restricted AND u.traded AND amount_mean >= 60000", "entity, session, horizon", ["ret_1d", "future_excess_ret"]).replace(", x AS (", f", {_LABELS}, {_UNIVERSE}, x AS (", 1))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+import zlib
+
 from pyspark.sql import functions as F
 
 from ..operators import diagnostics as D
@@ -181,12 +184,14 @@ def status(spark, sf):
     return out.withColumn("null_keys", F.col("null_keys").cast("int"))
 
 
-@query("j03_j05_gaps", f"{PANEL}, f AS (SELECT entity, min(session) AS f FROM bars WHERE entity % 3 = 0 GROUP BY 1) SELECT f.entity, c.session FROM f JOIN cal c ON c.session >= f WHERE NOT EXISTS (SELECT 1 FROM bars b WHERE b.entity = f.entity AND b.session = c.session) UNION ALL SELECT -1, session FROM cal WHERE session >= (SELECT min(session) FROM bars WHERE entity = 1) AND session NOT IN (SELECT session FROM bars WHERE entity = 1) UNION ALL SELECT -2, session FROM cal WHERE session BETWEEN DATE '1995-01-01' AND DATE '1996-12-31' AND session NOT IN (SELECT session FROM bars WHERE entity = 1) AND session NOT IN (SELECT session FROM bars WHERE entity = 2)")
+@query("j03_j05_gaps", f"{PANEL}, tot AS (SELECT session, sum(vol) AS v FROM bars GROUP BY 1), av AS (SELECT avg(v) AS m FROM tot), busy AS (SELECT session FROM tot, av WHERE v >= m), quiet AS (SELECT session FROM tot, av WHERE v < m * 0.9), f AS (SELECT entity, min(session) AS f FROM bars GROUP BY 1) SELECT f.entity, c.session FROM f JOIN cal c ON c.session >= f WHERE NOT EXISTS (SELECT 1 FROM bars b WHERE b.entity = f.entity AND b.session = c.session) UNION ALL SELECT -1, session FROM cal WHERE session >= (SELECT min(session) FROM busy) AND session NOT IN (SELECT session FROM busy) UNION ALL SELECT -2, session FROM cal WHERE session BETWEEN DATE '1995-01-01' AND DATE '1996-12-31' AND session NOT IN (SELECT session FROM busy) AND session NOT IN (SELECT session FROM quiet)")
 def gaps(spark, sf):
     b, cal = bars(spark, sf), calendar(spark, sf)
-    one, two = b.where("entity = 1"), b.where("entity = 2")
+    total = b.groupBy("session").agg(F.sum("vol").alias("v"))
+    total = total.crossJoin(F.broadcast(total.agg(F.avg("v").alias("m"))))
+    one, two = total.where("v >= m"), total.where("v < m * 0.9")  # busy sessions, and quiet ones
     tag = lambda df, n: df.select(F.lit(n).cast("long").alias("entity"), "session")
-    out = Q.entity_gaps(b.where("entity % 3 = 0"), cal).unionByName(tag(Q.missing_sessions(one, cal), -1))
+    out = Q.entity_gaps(b, cal).unionByName(tag(Q.missing_sessions(one, cal), -1))
     return out.unionByName(tag(Q.session_gaps(one, cal, two.select("session").distinct(), "1995-01-01", "1996-12-31"), -2))
 
 
@@ -252,11 +257,11 @@ def response(spark, sf):
     return mono.join(D.top_minus_bottom(b, 5), "feature")
 
 
-@query("l01_l03_observations", f"{PANEL}, {_FRAME}, o AS (SELECT entity, session, 'a' AS model_id, 'champion' AS model_role, 5 AS horizon, f_ret FROM frame WHERE entity % 5 = 0 UNION ALL SELECT entity, session, 'e', 'ensemble', unnest([1, 5]), f_ret FROM frame WHERE entity % 5 = 0), m AS (SELECT o.*, b.session AS exit_session FROM o JOIN cal a ON a.session = o.session JOIN cal b ON b.pos = a.pos + 1 + o.horizon) SELECT entity, session, model_id, horizon, exit_session, sha256(concat_ws('|', model_id, CAST(session AS VARCHAR), CAST(entity AS VARCHAR), CAST(horizon AS VARCHAR))) AS observation_id FROM m WHERE exit_session <= DATE '2000-01-01'")
+@query("l01_l03_observations", f"{PANEL}, {_FRAME}, o AS (SELECT entity, session, 'a' AS model_id, 'champion' AS model_role, 5 AS horizon, f_ret FROM frame UNION ALL SELECT entity, session, 'e', 'ensemble', unnest([1, 5]), f_ret FROM frame), m AS (SELECT o.*, b.session AS exit_session FROM o JOIN cal a ON a.session = o.session JOIN cal b ON b.pos = a.pos + 1 + o.horizon) SELECT entity, session, model_id, horizon, exit_session, sha256(concat_ws('|', model_id, CAST(session AS VARCHAR), CAST(entity AS VARCHAR), CAST(horizon AS VARCHAR))) AS observation_id FROM m WHERE exit_session <= DATE '2000-01-01'")
 def observations(spark, sf):
     from ..operators.calendar import horizon_map
 
-    f = frame(spark, sf).where("entity % 5 = 0").select(*KEY)
+    f = frame(spark, sf).select(*KEY)
     rows = f.select("*", F.lit("a").alias("model_id"), F.lit("champion").alias("model_role"), F.lit(5).alias("horizon")).unionByName(f.select("*", F.lit("e").alias("model_id"), F.lit("ensemble").alias("model_role"), F.lit(0).alias("horizon")))
     out = M.mature(M.expand_horizons(rows, (1, 5)), horizon_map(calendar(spark, sf), (1, 5)), "2000-01-01")
     return M.observation_ids(out, ["model_id", "session", "entity", "horizon"]).select(*KEY, "model_id", "horizon", "exit_session", "observation_id")
@@ -342,9 +347,9 @@ def volatility(spark, sf):
     return v.join(s, "entity").select("entity", "grp", "volatility", "n", F.array_join(flags, ",").alias("flags"))
 
 
-@query("l21_watch_table", f"{PANEL}, x AS (SELECT entity, session, ret_1d, vol FROM rets WHERE pos % 50 = 0) SELECT entity, session, 'fall' AS rule, round(ret_1d, 6) AS value, CASE WHEN ret_1d IS NULL THEN 'unavailable' WHEN ret_1d < -0.5 THEN 'met' ELSE 'watch' END AS status FROM x UNION ALL SELECT entity, session, 'busy', round(vol, 6), CASE WHEN vol IS NULL THEN 'unavailable' WHEN vol > 80 THEN 'met' ELSE 'watch' END FROM x")
+@query("l21_watch_table", f"{PANEL}, x AS (SELECT entity, session, ret_1d, vol FROM rets) SELECT entity, session, 'fall' AS rule, round(ret_1d, 6) AS value, CASE WHEN ret_1d IS NULL THEN 'unavailable' WHEN ret_1d < -0.5 THEN 'met' ELSE 'watch' END AS status FROM x UNION ALL SELECT entity, session, 'busy', round(vol, 6), CASE WHEN vol IS NULL THEN 'unavailable' WHEN vol > 80 THEN 'met' ELSE 'watch' END FROM x")
 def watch(spark, sf):
-    rows = R.with_returns(panel(spark, sf)).where("pos % 50 = 0")
+    rows = R.with_returns(panel(spark, sf))
     return M.watch_table(rows, KEY, [("fall", "ret_1d", F.col("ret_1d") < -0.5), ("busy", "vol", F.col("vol") > 80)])
 
 
@@ -383,10 +388,68 @@ def merged(spark, sf):
     return S.merged(o.where("o_orderkey % 3 > 0").withColumn("src", F.lit(0)), new, ["o_custkey", "o_orderdate"], [F.desc("o_orderkey")])
 
 
-@query("a01_a02_scan", "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate BETWEEN DATE '1995-03-01' AND DATE '1995-05-15'")
+ORDERS = S.TableSpec("orders", ("o_orderkey",), "day", "o_orderkey long, o_custkey long, o_totalprice double, day date")
+
+
+def _root(spark, sf, name):
+    """A folder for the tables that a query writes, the same for each run over sf."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/store-{zlib.crc32(sf.encode()):08x}/{name}"
+
+
+def stored_orders(spark, sf, name):
+    """orders written to a store by month, in two upserts that overlap: at first the
+    orders of before 1996 at half their price, then all from 1993 on."""
+    root, day = _root(spark, sf, name), F.to_date("o_orderdate").alias("day")
+    o = read(spark, sf, "orders")
+    early = o.where("o_orderdate < '1996-01-01'").select("o_orderkey", "o_custkey", (F.col("o_totalprice") / 2).alias("o_totalprice"), day)
+    S.upsert(spark, root, ORDERS, early)
+    S.upsert(spark, root, ORDERS, o.where("o_orderdate >= '1993-01-01'").select("o_orderkey", "o_custkey", "o_totalprice", day))
+    return root
+
+
+_STORED = "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, CASE WHEN o_orderdate >= DATE '1993-01-01' THEN o_totalprice ELSE o_totalprice / 2 END AS price FROM orders"
+
+
+@query("a01_a02_scan", f"SELECT o_orderkey, day, round(price, 6) AS o_totalprice FROM ({_STORED}) WHERE day BETWEEN DATE '1992-11-20' AND DATE '1993-02-10'")
 def scan(spark, sf):
-    o = read(spark, sf, "orders").select("o_orderkey", "o_orderdate")
-    return o.where(F.col("o_orderdate").between("1995-03-01", "1995-05-15"))
+    return S.scan_table(spark, stored_orders(spark, sf, "scan"), ORDERS, "1992-11-20", "1993-02-10", ("o_orderkey", "day", "o_totalprice"))
+
+
+@query("a02_session_scan", f"SELECT o_orderkey, round(price, 6) AS o_totalprice FROM ({_STORED}) WHERE day = DATE '1994-05-02'")
+def session_scan(spark, sf):
+    return S.scan_table(spark, stored_orders(spark, sf, "session"), ORDERS, "1994-05-02", "1994-05-02", ("o_orderkey", "o_totalprice"))
+
+
+@query("a04_snapshot", "SELECT o_custkey, o_orderkey, round(o_totalprice, 6) AS o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders) WHERE n = 1")
+def snapshot(spark, sf):
+    path = _root(spark, sf, "snapshot")
+    S.replace_snapshot(read(spark, sf, "orders"), path, ["o_custkey"], ["o_orderdate", "o_orderkey"])
+    return spark.read.parquet(path).select("o_custkey", "o_orderkey", "o_totalprice")
+
+
+_BY_STATUS = "SELECT o_orderstatus AS status, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY 1"
+
+
+@query("a10_metric_files", f"WITH m AS ({_BY_STATUS}) SELECT 'csv' AS kind, * FROM m UNION ALL SELECT 'json', * FROM m")
+def metric_files(spark, sf):
+    m = read(spark, sf, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice") + 1e-9, 2).alias("total"))
+    out = []
+    for kind in ("csv", "json"):
+        path = _root(spark, sf, f"metrics-{kind}")
+        S.write_metrics(m, path, kind)
+        rows = spark.read.schema(m.schema)
+        out.append((rows.option("header", True).csv(path) if kind == "csv" else rows.json(path)).select(F.lit(kind).alias("kind"), "*"))
+    return out[0].unionAll(out[1])
+
+
+@query("j18_event_log", "SELECT DATE '2024-01-02' AS date, 'orders' AS \"table\", 'priced' AS rule, count(*) FILTER (o_totalprice <= 1000) AS violations FROM orders UNION ALL SELECT DATE '2024-01-02', 'orders', 'open', count(*) FILTER (o_orderstatus = 'O') FROM orders UNION ALL SELECT DATE '2024-01-03', 'lineitem', 'returned', count(*) FILTER (l_returnflag = 'R') FROM lineitem")
+def event_log(spark, sf):
+    path = f"{_root(spark, sf, 'events')}-{uuid.uuid4().hex}"
+    c = F.col
+    S.append_events(Q.rule_table(read(spark, sf, "orders"), {"priced": c("o_totalprice") <= 1000, "open": c("o_orderstatus") == "O"}, "orders"), path, "2024-01-02")
+    S.append_events(Q.rule_table(read(spark, sf, "lineitem"), {"returned": c("l_returnflag") == "R"}, "lineitem"), path, "2024-01-03")
+    return spark.read.schema("`table` string, rule string, violations long, date date").json(path).select("date", "table", "rule", "violations")
 
 
 @query("a05_a06_status", f"{PANEL} SELECT count(*) AS n_rows, count(DISTINCT date_trunc('month', session)) AS n_months, min(session) AS first, max(session) AS last, count(*) FILTER (traded) AS n_traded FROM panel")
@@ -399,7 +462,10 @@ def incremental(spark, sf):
     return S.incremental_start(calendar(spark, sf), bars(spark, sf).where(F.col("session") <= F.to_date(F.lit("1997-07-01"))), "session", 10)
 
 
-@query("a08_content_hash")
-def content_hash(spark, sf):
-    return S.content_hash(read(spark, sf, "orders"))
+_ROW = "md5(concat_ws('|', '=' || o_orderkey, '=' || o_custkey, '=' || o_orderstatus, coalesce('=' || p, 'null')))"
 
+
+@query("a08_content_hash", f"WITH h AS (SELECT CAST('0x' || substr({_ROW}, 1, 15) AS BIGINT) AS h FROM (SELECT *, CASE WHEN o_orderkey % 3 = 0 THEN o_orderpriority END AS p FROM orders)) SELECT count(*) AS n, CAST(sum(h) AS VARCHAR) AS total, bit_xor(h) AS mixed FROM h")
+def content_hash(spark, sf):
+    p = F.when(F.col("o_orderkey") % 3 == 0, F.col("o_orderpriority")).alias("p")
+    return S.content_hash(read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", p))

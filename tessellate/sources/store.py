@@ -12,11 +12,19 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class TableSpec:
-    """A table's name, key and date column; tables are partitioned by year and month."""
+    """A table's name, key and date column, and its columns as a schema string if they
+    are known; tables are partitioned by year and month. With a schema no file's footer
+    is read for planning; without, files may differ and all footers are merged."""
 
     name: str
     key: tuple[str, ...]
     date: str = "session"
+    schema: str | None = None
+
+    def read(self, spark: SparkSession, root: str) -> DataFrame:
+        if self.schema:
+            return spark.read.schema(f"{self.schema}, year int, month int").parquet(self.path(root))
+        return spark.read.option("mergeSchema", "true").parquet(self.path(root))
 
     def path(self, root: str) -> str:
         return f"{root.rstrip('/')}/{self.name}"
@@ -32,7 +40,7 @@ def scan_table(spark: SparkSession, root: str, spec: TableSpec, start: str, end:
     s, e = F.to_date(F.lit(start)), F.to_date(F.lit(end))
     month = F.col("year") * 12 + F.col("month")
     inside = month.between(F.year(s) * 12 + F.month(s), F.year(e) * 12 + F.month(e))
-    df = spark.read.option("mergeSchema", "true").parquet(spec.path(root)).where(inside & F.col(spec.date).between(s, e))
+    df = spec.read(spark, root).where(inside & F.col(spec.date).between(s, e))
     return df.drop("year", "month").select(*columns)
 
 
@@ -51,7 +59,7 @@ def upsert(spark: SparkSession, root: str, spec: TableSpec, new: DataFrame) -> N
     fresh = _with_month(new, spec.date)
     order = [F.col(c).desc_nulls_last() for c in new.columns if c not in spec.key]
     try:
-        stored = spark.read.option("mergeSchema", "true").parquet(path)
+        stored = spec.read(spark, root)
     except Exception as e:  # the first write
         if "PATH_NOT_FOUND" not in str(e):
             raise
@@ -81,8 +89,10 @@ def table_status(df: DataFrame, date: str, flags: Sequence[str] = ()) -> DataFra
 
 def content_hash(df: DataFrame) -> DataFrame:
     """A hash of a table's rows that doesn't depend on their order: the count, and
-    the sum and exclusive or of row hashes."""
-    h = F.xxhash64(*df.columns)
+    the sum and exclusive or of 60 bits of each row's MD5. Values count by their strings,
+    a null apart from an empty one."""
+    row = F.concat_ws("|", *[F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("null")) for c in df.columns])
+    h = F.conv(F.substring(F.md5(row.cast("binary")), 1, 15), 16, 10).cast("long")
     return df.agg(F.count(F.lit(1)).alias("n"), F.sum(h.cast("decimal(38,0)")).cast("string").alias("total"), F.bit_xor(h).alias("mixed"))
 
 
