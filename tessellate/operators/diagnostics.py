@@ -5,8 +5,10 @@ Inputs are long tables of (session, entity, feature or model, value x, target y)
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +43,35 @@ def regime(x: Column, threshold: float) -> Column:
     return F.when(x > threshold, "bull").when(x < -threshold, "bear").when(x.isNotNull(), "neutral")
 
 
+def ic_statistics(ic: DataFrame, coverage: DataFrame) -> DataFrame:
+    """Of daily correlations (feature, ic, rank_ic) and (feature, coverage): means,
+    deviations and their ratios of both kinds, days, coverage and what is missing."""
+    ratio = lambda m, s: F.when(F.col(s) > 1e-12, F.col(m) / F.col(s))
+    out = ic.groupBy("feature").agg(
+        F.count(F.lit(1)).alias("days"), F.avg("ic").alias("pearson_mean"), F.stddev_samp("ic").alias("pearson_std"), F.avg("rank_ic").alias("rank_mean"), F.stddev_samp("rank_ic").alias("rank_std"),
+        F.avg((F.col("rank_ic") > 0).cast("double")).alias("positive_ratio"),
+    )
+    out = out.withColumns({"pearson_icir": ratio("pearson_mean", "pearson_std"), "rank_icir": ratio("rank_mean", "rank_std")})
+    return out.join(coverage, "feature").withColumn("missing_ratio", 1 - F.col("coverage"))
+
+
+def eligible_features(stats: DataFrame, least_coverage: float, least_days: int, score: str = "robust_score") -> DataFrame:
+    """The features with enough coverage and days and a mean, best first: `place`
+    is their order by score, ties by name."""
+    ok = stats.where((F.col("coverage") >= least_coverage) & (F.col("days") >= least_days) & F.col("rank_mean").isNotNull())
+    return ok.withColumn("place", F.row_number().over(Window.orderBy(F.desc(score), "feature")))
+
+
+def evaluate_periods(daily: DataFrame, bridge: DataFrame, values: Sequence[str]) -> DataFrame:
+    """For each period the mean of each daily value, its ratio to the
+    deviation and the share of days on which it is positive."""
+    aggs = [F.count(F.lit(1)).alias("days")]
+    for v in values:
+        sd = F.stddev_samp(v)
+        aggs += [F.avg(v).alias(f"{v}_mean"), F.when(sd > 1e-12, F.avg(v) / sd).alias(f"{v}_ratio"), F.avg(F.when(F.col(v).isNotNull(), (F.col(v) > 0).cast("double"))).alias(f"{v}_positive")]
+    return daily.join(bridge, "session").groupBy("period_type", "period").agg(*aggs)
+
+
 def stability_score(summary: DataFrame, yearly: DataFrame, coverage: DataFrame) -> DataFrame:
     """The share of years whose mean has the overall sign, and
     abs(IC) * stability * sqrt(coverage), best first for features with any days. Means
@@ -55,13 +86,31 @@ def stability_score(summary: DataFrame, yearly: DataFrame, coverage: DataFrame)
 
 
 def pair_correlations(df: DataFrame, features: Sequence[str], least: int = 3) -> DataFrame:
-    """Correlations of all pairs over rows that have both. Moments of all pairs
-    are summed in one pass, in one row of sums for each task."""
-    pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1 :]]
-    each = F.explode(F.array(*[F.struct(F.lit(a).alias("left"), F.lit(b).alias("right"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y")) for a, b in pairs]))
-    rows = df.select(each.alias("p")).select("p.*").where(F.col("x").isNotNull() & F.col("y").isNotNull())
-    out = rows.groupBy("left", "right").agg(F.count(F.lit(1)).alias("n"), corr_of("x", "y").alias("corr"))
-    return out.where(F.col("n") >= least)
+    """Correlations of all pairs over rows that have both. Every task sums the
+    moments of all pairs in matrix products and returns a row for each pair, so what is
+    shuffled depends on the number of features alone. Values are taken from the mean of
+    their feature, so that large ones don't cancel out."""
+    names = list(features)
+    means = df.agg(*[F.avg(F.col(f).cast("double")).alias(f) for f in names])
+    own = [F.coalesce(F.col(f).cast("double") - F.col(f"_m_{f}"), F.lit(float("nan"))).alias(f) for f in names]
+    centred = df.select(*names).crossJoin(F.broadcast(means.select(*[F.col(f).alias(f"_m_{f}") for f in names]))).select(*own)
+
+    def moments(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((6, len(names), len(names)))
+        for f in frames:
+            x = f.to_numpy(float)
+            there = np.isfinite(x)
+            x, m = np.where(there, x, 0.0), there.astype(float)
+            total += [m.T @ m, x.T @ m, m.T @ x, x.T @ x, (x * x).T @ m, m.T @ (x * x)]
+        i, j = np.triu_indices(len(names), 1)
+        yield pd.DataFrame({"i": i, "j": j} | {f"s{k}": total[k][i, j] for k in range(6)})
+
+    sums = centred.mapInPandas(moments, "i int, j int, " + ", ".join(f"s{k} double" for k in range(6))).groupBy("i", "j").agg(*[F.sum(f"s{k}").alias(f"s{k}") for k in range(6)])
+    n, mean = F.col("s0"), lambda k: F.col(f"s{k}") / F.col("s0")
+    sd = F.sqrt(F.greatest(mean(4) - mean(1) * mean(1), F.lit(0.0))) * F.sqrt(F.greatest(mean(5) - mean(2) * mean(2), F.lit(0.0)))
+    name = lambda c: F.get(F.array(*[F.lit(f) for f in names]), F.col(c))
+    out = sums.where(n >= max(least, 1)).select(name("i").alias("left"), name("j").alias("right"), n.cast("long").alias("n"), F.when(sd > 1e-14, (mean(3) - mean(1) * mean(2)) / sd).alias("corr"))
+    return out
 
 
 def prune_correlated(pairs: Sequence[tuple[str, str, float]], order: Sequence[str], limit: float) -> list[str]:
@@ -116,10 +165,11 @@ def layer_returns(layers: DataFrame, y: str = "y") -> DataFrame:
 
 def path_metrics(rows: DataFrame, by: Sequence[str], order: str, ret: str, periods: float) -> DataFrame:
     """Total and annual return, volatility, Sharpe ratio, worst drawdown and win
-    rate of each path of returns."""
+    rate of each path of returns. Peaks are those of the path itself: what it starts
+    from is none."""
     w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     curve = rows.where(F.col(ret).isNotNull()).withColumn("_log", F.sum(F.log1p(F.greatest(F.col(ret), F.lit(-0.999999)))).over(w))
-    curve = curve.withColumn("_dd", F.exp(F.col("_log") - F.greatest(F.lit(0.0), F.max("_log").over(w))) - 1)
+    curve = curve.withColumn("_dd", F.exp(F.col("_log") - F.max("_log").over(w)) - 1)
     out = curve.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n"),
         (F.exp(F.max_by("_log", order)) - 1).alias("total_return"),
@@ -132,12 +182,34 @@ def path_metrics(rows: DataFrame, by: Sequence[str], order: str, ret: str, perio
     return out
 
 
+def relative_metrics(rows: DataFrame, by: Sequence[str], ret: str, bench: str, periods: float, risk_free: float = 0.0) -> DataFrame:
+    """Returns against a benchmark's on the rows that have both: what each
+    compounds to, the compounded excess, the information ratio, and the Sharpe ratio
+    over a yearly risk-free rate."""
+    both = rows.where(F.col(ret).isNotNull() & F.col(bench).isNotNull())
+    grown = lambda c: F.exp(F.sum(F.log1p(F.greatest(F.col(c), F.lit(-0.999999))))) - 1
+    free, active = (1 + risk_free) ** (1 / periods) - 1, F.col(ret) - F.col(bench)
+    over = lambda mean, sd: F.when(sd > 1e-12, mean / sd * math.sqrt(periods))
+    out = both.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n"), grown(ret).alias("total_return"), grown(bench).alias("benchmark_return"),
+        over(F.avg(active), F.stddev_samp(active)).alias("information_ratio"), over(F.avg(F.col(ret) - free), F.stddev_samp(ret)).alias("sharpe"),
+    )
+    return out.withColumn("excess_return", (1 + F.col("total_return")) / (1 + F.col("benchmark_return")) - 1)
+
+
 def layer_summary(daily: DataFrame, horizon: int, periods: float) -> DataFrame:
     """A layer's sessions fall into `horizon` vintages that don't overlap; the
-    median of their returns and Sharpe ratios, and the worst drawdown."""
+    median of their total and annual returns, and the worst drawdown. Mean, Sharpe ratio,
+    win rate and coverage are of all its sessions."""
+    daily = daily.where("ret IS NOT NULL")
+    sd = F.stddev_samp("ret")
+    every = daily.groupBy("layer").agg(
+        F.count(F.lit(1)).alias("observations"), F.avg("ret").alias("mean_ret"), F.when(sd > 1e-12, F.avg("ret") / sd * math.sqrt(periods / horizon)).alias("sharpe"),
+        F.avg((F.col("ret") > 0).cast("double")).alias("win_rate"), F.avg("coverage").alias("coverage"),
+    )
     n = F.row_number().over(Window.partitionBy("layer").orderBy("session"))
-    paths = path_metrics(daily.where("ret IS NOT NULL").withColumn("vintage", F.pmod(n - 1, F.lit(horizon))), ["layer", "vintage"], "session", "ret", periods / horizon)
-    return paths.groupBy("layer").agg(F.percentile("total_return", F.lit(0.5)).alias("total_return"), F.percentile("sharpe", F.lit(0.5)).alias("sharpe"), F.min("max_drawdown").alias("max_drawdown"), F.percentile("win_rate", F.lit(0.5)).alias("win_rate"), F.count(F.lit(1)).alias("vintages"))
+    paths = path_metrics(daily.withColumn("vintage", F.pmod(n - 1, F.lit(horizon))), ["layer", "vintage"], "session", "ret", periods / horizon)
+    return paths.groupBy("layer").agg(F.percentile("total_return", F.lit(0.5)).alias("total_return"), F.percentile("annual_return", F.lit(0.5)).alias("annual_return"), F.min("max_drawdown").alias("max_drawdown"), F.count(F.lit(1)).alias("vintages")).join(every, "layer")
 
 
 def monthly_stability(daily: DataFrame, ic: DataFrame) -> DataFrame:
@@ -220,6 +292,14 @@ def score_consistency(a: DataFrame, b: DataFrame) -> DataFrame:
     return daily_ic(both, ["session"]).agg(F.avg("ic").alias("pearson"), F.avg("rank_ic").alias("spearman"), F.sum("n").alias("n"))
 
 
+def comparison_frame(challenger: DataFrame, champion: DataFrame, labels: DataFrame) -> DataFrame:
+    """Both models' scores of the rows they share, with the label where there is
+    one. The three are keyed alike, so one shuffle of each serves both joins."""
+    key = ["session", "entity"]
+    both = challenger.select(*key, F.col("score").alias("challenger")).join(champion.select(*key, F.col("score").alias("champion")), key)
+    return both.join(labels.select(*key, "y"), key, "left")
+
+
 def contributions(rows: DataFrame, keys: Sequence[str], features: Sequence[str], score: str, tolerance: float) -> tuple[DataFrame, DataFrame]:
     """Rows whose contributions don't add up to the score, and the mean absolute
     contribution of each feature."""

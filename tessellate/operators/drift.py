@@ -49,13 +49,52 @@ def ks(reference: DataFrame, current: DataFrame, by: Sequence[str], period: str,
     return one.withColumn("_d", gap).groupBy(*by, period).agg(F.max("_d").alias("ks"))
 
 
-def feature_drift(reference: DataFrame, current: DataFrame, by: Sequence[str], period: str, x: str, bins: int = 10) -> DataFrame:
-    """K4, K5: coverage, PSI and KS of each group and period."""
+def bounded(rows: DataFrame, by: Sequence[str], most: int, key: Sequence[str]) -> DataFrame:
+    """About `most` rows of each group by a hash of key, all rows of smaller groups:
+    what exact quantiles and distribution functions are worked out on."""
+    space = 1 << 30
+    sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
+    kept = F.pmod(F.xxhash64(*key), F.lit(space)) < F.lit(float(most)) / F.col("_size") * space
+    return rows.join(F.broadcast(sizes), list(by)).where((F.col("_size") <= most) | kept).drop("_size")
+
+
+def feature_drift(reference: DataFrame, current: DataFrame, by: Sequence[str], period: str, x: str, bins: int = 10, key: Sequence[str] = ("entity", "session"), most_reference: int = 200_000, most_current: int = 50_000) -> DataFrame:
+    """K4, K5: coverage, PSI and KS of each group and period. Coverage is of all rows;
+    PSI and KS are worked out on about most_reference rows of a group's reference and
+    most_current rows of each of its periods, drawn by a hash of key, and on all rows
+    where there are no more."""
     cover = current.groupBy(*by, period).agg(F.avg(finite(x).isNotNull().cast("double")).alias("coverage"), F.count(F.lit(1)).alias("n"))
+    reference, current = bounded(reference, by, most_reference, key), bounded(current, [*by, period], most_current, key)
     edges = quantile_edges(reference, by, x, bins)
     return cover.join(psi(reference, current, edges, by, period, x), [*by, period], "left").join(ks(reference, current, by, period, x), [*by, period], "left")
 
 
+def first_periods(rows: DataFrame, period: str, n: int) -> DataFrame:
+    """K5: the rows of the first n periods, the reference of a score's drift."""
+    first = rows.select(period).distinct().orderBy(period).limit(n)
+    return rows.join(F.broadcast(first), period, "left_semi")
+
+
+def response_drift(ic: DataFrame, reference_ic: DataFrame) -> DataFrame:
+    """K7: of mean rank ICs (feature, period, rank_ic) and the reference's (feature,
+    reference_rank_ic): whether the sign has changed. A mean that is zero or missing has
+    none; means are rounded to nine places first."""
+    sign = lambda c: F.signum(F.round(c, 9))
+    both = ic.join(reference_ic, "feature", "left")
+    return both.withColumn("ic_sign_change", F.coalesce(sign("rank_ic") * sign("reference_rank_ic") < 0, F.lit(False)))
+
+
+def severity_counts(drift: DataFrame) -> DataFrame:
+    """K8: how many (feature, period) are of each severity."""
+    return drift.groupBy("severity").agg(F.count(F.lit(1)).alias("n"))
+
+
+def worst_features(drift: DataFrame, n: int) -> DataFrame:
+    """K8: the n features with the largest PSI of any period, and that period."""
+    worst = drift.groupBy("feature").agg(F.max("psi").alias("max_psi"), F.max_by("month", "psi").alias("month"))
+    return worst.orderBy(F.desc("max_psi"), "feature").limit(n)
+
+
 def score_profile(rows: DataFrame, period: str, score: str) -> DataFrame:
     """Mean, deviation, percentiles and the share of distinct values."""
     at = (0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)

@@ -32,6 +32,16 @@ def observation_ids(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     return rows.withColumn("observation_id", F.sha2(F.concat_ws("|", *[F.col(k).cast("string") for k in key]).cast("binary"), 256))
 
 
+def attach_labels(rows: DataFrame, labels: DataFrame, key: Sequence[str] = ("entity", "session", "horizon")) -> DataFrame:
+    """L3: observations with their label: `label_status` is available, unavailable (the
+    label's reason says why) or pending where there is no label yet, and `y` is there
+    just when it is available. A label without a return counts as unavailable."""
+    own = labels.select(*key, F.col("future_excess_ret").alias("_y"), F.col("is_label_available").alias("_ok"), F.col("reason").alias("label_reason"))
+    ok = F.coalesce(F.col("_ok"), F.lit(False)) & F.col("_y").isNotNull()
+    both = rows.join(own, list(key), "left").withColumn("label_status", F.when(F.col("_ok").isNull(), "pending").when(ok, "available").otherwise("unavailable"))
+    return both.withColumn("y", F.when(ok, F.col("_y"))).drop("_y", "_ok")
+
+
 def daily_performance(rows: DataFrame, by: Sequence[str], sizes: Sequence[int] = (10, 20, 50)) -> DataFrame:
     """L4: of (score, rank, y): rank IC, hit rate, and for each list size the mean
     return and hit rate of its rows."""
@@ -89,6 +99,61 @@ def weights(positions: DataFrame, by: str, value: str, top: int = 5) -> DataFram
     return p.groupBy(by).agg(F.max("_w").alias("max_weight"), F.sum(F.when(F.col("_r") <= top, F.col("_w")).otherwise(0.0)).alias("top_concentration"), F.count(F.lit(1)).alias("n_positions"))
 
 
+def order_outcomes(trades: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Of orders (side, status, value, cost): filled and rejected ones by
+    side, write-offs, the shares that were rejected or failed, what was traded and what
+    it cost."""
+    done, side = F.col("status") == "filled", lambda s, k: F.count_if((F.col("status") == s) & (F.col("side") == k))
+    return trades.groupBy(*by).agg(
+        side("filled", "buy").alias("filled_buys"), side("filled", "sell").alias("filled_sells"), side("rejected", "buy").alias("rejected_buys"), side("rejected", "sell").alias("rejected_sells"),
+        F.count_if(F.col("status") == "terminal_writeoff").alias("write_offs"), F.avg((F.col("status") == "rejected").cast("double")).alias("rejected_ratio"), F.avg((F.col("status") == "failed").cast("double")).alias("failed_ratio"),
+        F.sum(F.when(done, F.col("value")).otherwise(0.0)).alias("traded"), F.sum(F.when(done, F.col("cost")).otherwise(0.0)).alias("total_cost"),
+    )
+
+
+def portfolio_metrics(curve: DataFrame, trades: DataFrame, by: str, date: str, start: float) -> DataFrame:
+    """A portfolio's last day: nav, daily return, drawdown and the worst one (peaks
+    are those of the curve), and that day's turnover, cost and rejections over the
+    equity before."""
+    w = Window.partitionBy(by).orderBy(date)
+    c = curve.withColumns({"_dd": safe_div("equity", F.max("equity").over(w.rowsBetween(Window.unboundedPreceding, 0))) - 1, "_before": F.coalesce(F.lag("equity").over(w), F.lit(start))})
+    last = c.groupBy(by).agg(F.max(date).alias(date), F.max_by(F.struct("equity", "daily_return", "_dd", "_before"), date).alias("_l"), F.min("_dd").alias("max_drawdown"))
+    both = last.join(order_outcomes(trades, [by, date]), [by, date], "left")
+    zero = lambda x: F.coalesce(x, F.lit(0.0))
+    return both.select(
+        by, date, (F.col("_l.equity") / start).alias("nav"), F.col("_l.daily_return").alias("daily_return"), F.col("_l._dd").alias("drawdown"), "max_drawdown",
+        zero(F.when(F.col("_l._before") > 0, F.col("traded") / F.col("_l._before"))).alias("turnover"), zero(F.when(F.col("_l._before") > 0, F.col("total_cost") / F.col("_l._before"))).alias("cost_ratio"), zero(F.col("rejected_ratio")).alias("rejected_ratio"),
+    )
+
+
+def accounting_summary(curve: DataFrame, trades: DataFrame, by: str, date: str) -> DataFrame:
+    """Costs and order counts of a portfolio, its best and worst daily return, and
+    the largest change of its equity from one day to the next."""
+    jump = F.abs(F.col("equity") - F.lag("equity").over(Window.partitionBy(by).orderBy(date)))
+    ends = curve.withColumn("_j", jump).groupBy(by).agg(F.max("daily_return").alias("best_day"), F.min("daily_return").alias("worst_day"), F.coalesce(F.max("_j"), F.lit(0.0)).alias("largest_jump"))
+    return order_outcomes(trades, [by]).drop("rejected_ratio", "failed_ratio", "traded").join(ends, by)
+
+
+def ledger_rules(tolerance: float = 1e-6) -> dict[str, Column]:
+    """What rows (cash, holdings, equity) of an unlevered book break."""
+    c = F.col
+    values = (c("cash"), c("holdings"), c("equity"))
+    return {
+        "not_finite": sum((F.coalesce(F.isnan(v) | (F.abs(v) == float("inf")), F.lit(True)).cast("int") for v in values), F.lit(0)) > 0,
+        "negative": F.least(*values) < -tolerance,
+        "not_reconciled": F.abs(c("equity") - c("cash") - c("holdings")) > tolerance + 1e-10 * F.abs(c("cash") + c("holdings")),
+    }
+
+
+def lifecycle_violations(trades: DataFrame, key: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """One row: positions that are sold before they are bought, sales of more than
+    is held, and orders with negative shares or costs."""
+    w = Window.partitionBy(*key).orderBy(*order)
+    signed = F.when(F.col("side") == "buy", F.col("shares")).otherwise(-F.col("shares"))
+    t = trades.withColumns({"_held": F.sum(signed).over(w.rowsBetween(Window.unboundedPreceding, 0)), "_n": F.row_number().over(w)})
+    return t.agg(F.count_if((F.col("_n") == 1) & (F.col("side") == "sell")).alias("sold_first"), F.count_if((F.col("side") == "sell") & (F.col("_held") < -1e-9)).alias("oversold"), F.count_if((F.col("shares") < 0) | (F.col("cost") < 0)).alias("negative"))
+
+
 def closed_trades(trades: DataFrame, key: str) -> DataFrame:
     """Of fills (key, side, date, value): profit and days held of positions with
     both sides."""
@@ -97,7 +162,8 @@ def closed_trades(trades: DataFrame, key: str) -> DataFrame:
 
 
 def trade_summary(closed: DataFrame) -> DataFrame:
-    """Win rate, mean win over mean loss, and how long positions were held."""
+    """Win rate, mean win over mean loss, how long positions were held, and the
+    best and worst of them."""
     win, loss = F.avg(F.when(F.col("pnl") > 0, F.col("pnl"))), F.avg(F.when(F.col("pnl") < 0, -F.col("pnl")))
     return closed.agg(F.count(F.lit(1)).alias("n"), F.avg((F.col("pnl") > 0).cast("double")).alias("win_rate"), (win / loss).alias("profit_loss_ratio"), F.avg("days").alias("days_mean"), F.percentile("days", F.lit(0.5)).alias("days_median"), F.percentile("days", F.lit(0.95)).alias("days_p95"), F.max("pnl").alias("best"), F.min("pnl").alias("worst"))
 

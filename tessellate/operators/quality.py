@@ -30,6 +30,40 @@ def rule_table(df: DataFrame, rules: Mapping[str, Column], table: str) -> DataFr
     return one.select(each.alias("r")).select(F.lit(table).alias("table"), "r.*")
 
 
+def violation_samples(df: DataFrame, rules: Mapping[str, Column], keys: Sequence[str], by: str | None = None, n: int = 3) -> DataFrame:
+    """For each rule (and value of `by`) the rows that break it, and the first
+    n of their keys in order. The sample is a top-n aggregate of short strings."""
+    held = F.array_compact(F.array(*[F.when(F.coalesce(c, F.lit(False)), F.lit(name)) for name, c in rules.items()]))
+    groups = ([by] if by else []) + ["rule"]
+    broken = df.select(*([by] if by else []), F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("_key"), F.explode(held).alias("rule"))
+    counts = broken.groupBy(*groups).agg(F.count(F.lit(1)).alias("violations"))
+    first = broken.withColumn("_r", F.row_number().over(Window.partitionBy(*groups).orderBy("_key"))).where(F.col("_r") <= n)
+    return counts.join(first.groupBy(*groups).agg(F.array_join(F.sort_array(F.collect_list("_key")), ",").alias("samples")), groups)
+
+
+def readiness(rows: DataFrame, eligible: Column, required: Sequence[str], back: int, least: int) -> DataFrame:
+    """For each session the eligible rows, the share of required values that they
+    lack, the rows that have them all, and that number against its median over the
+    `back` sessions before."""
+    lacks = sum((F.col(c).isNull().cast("double") for c in required), F.lit(0.0))
+    one = rows.where(eligible).groupBy("session").agg(F.count(F.lit(1)).alias("eligible"), (F.avg(lacks) / len(required)).alias("missing_ratio"), F.count_if(lacks == 0).alias("surviving"))
+    return against_baseline(one.withColumn("all", F.lit(1)), ["all"], "session", "surviving", back, least, 1).drop("all")
+
+
+def signal_checks(signals: DataFrame, cal: DataFrame) -> DataFrame:
+    """One row: signals on no open session, entries that aren't later than their
+    signal, and (session, entity) more than once."""
+    known = signals.join(F.broadcast(cal.select(F.col("session").alias("_s"))), signals["session"] == F.col("_s"), "left")
+    late = known.agg(F.count_if(F.col("_s").isNull()).alias("off_calendar"), F.count_if(F.col("entry_session") <= F.col("session")).alias("not_later"))
+    twice = signals.groupBy("session", "entity").agg(F.count(F.lit(1)).alias("k")).agg(F.coalesce(F.sum(F.col("k") - 1), F.lit(0)).alias("duplicates"))
+    return late.crossJoin(F.broadcast(twice))
+
+
+def duplicate_rows(df: DataFrame, key: Sequence[str]) -> DataFrame:
+    """How many rows beyond the first share their key."""
+    return df.groupBy(*key).agg(F.count(F.lit(1)).alias("k")).agg(F.coalesce(F.sum(F.col("k") - 1), F.lit(0)).alias("n"))
+
+
 def missing_sessions(df: DataFrame, cal: DataFrame) -> DataFrame:
     """The sessions since the table's first one on which it has no row."""
     first = df.agg(F.min("session").alias("_first"))
@@ -149,7 +183,8 @@ def observation_rules(as_of: str) -> dict[str, Column]:
         "role_unknown": ~c("model_role").isin("champion", "challenger", "ensemble"),
         "horizon_not_positive": c("horizon") <= 0,
         "immature": c("exit_session") > F.to_date(F.lit(as_of)),
-        "future_signal": c("session") >= c("exit_session"),
+        "signal_not_before_exit": c("session") >= c("exit_session"),
+        "future_signal": c("session") > F.to_date(F.lit(as_of)),
         "id_missing": F.coalesce(F.length("observation_id"), F.lit(0)) == 0,
         "return_mismatch": (c("label_status") == "available") != c("y").isNotNull(),
     }

@@ -58,10 +58,23 @@ def ensemble(scores: DataFrame, models: int) -> DataFrame:
 
 def history_percentile(values: DataFrame, key: str, order: str, x: str) -> DataFrame:
     """Adds `history_pct`, the share of a key's earlier values that are at most
-    the row's. Earlier rows are counted by rank among themselves, not in pairs."""
-    w = Window.partitionBy(key).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    seen = F.collect_list(x).over(w)
-    return values.withColumn("history_pct", F.when(F.size(seen) > 0, F.size(F.filter(seen, lambda v: v <= F.col(x))) / F.size(seen)))
+    the row's; (key, order) is unique.
+
+    Rows are numbered in order. For each power of two, the rows of a key fall into
+    pairs of neighbouring blocks of that length, and every earlier row stands in the
+    first block of exactly one pair whose second block holds the row. So a row looks at
+    about log2(n) running counts, and nothing holds a key's history."""
+    numbered = values.withColumn("_i", F.row_number().over(Window.partitionBy(key).orderBy(order)) - 1)
+    numbered = numbered.withColumn("_n", F.max("_i").over(Window.partitionBy(key)))
+    levels = F.sequence(F.lit(0), F.greatest(F.ceil(F.log2(F.col("_n") + F.lit(1.0))).cast("int"), F.lit(1)) - 1)
+    each = numbered.select(key, F.col("_i"), F.col(x).alias("_x"), F.explode(levels).alias("_k"))
+    block = F.floor(F.col("_i") / F.pow(F.lit(2.0), F.col("_k"))).cast("long")
+    each = each.withColumns({"_pair": F.shiftright(block, 1), "_second": block.bitwiseAND(F.lit(1))})
+    # values of the first block come before equal ones of the second
+    run = Window.partitionBy(key, "_k", "_pair").orderBy("_x", "_second").rowsBetween(Window.unboundedPreceding, 0)
+    below = each.withColumn("_c", F.sum(1 - F.col("_second")).over(run)).where("_second = 1").groupBy(key, "_i").agg(F.sum("_c").alias("_below"))
+    out = numbered.join(below, [key, "_i"], "left")
+    return out.withColumn("history_pct", F.when(F.col("_i") > 0, F.coalesce("_below", F.lit(0)) / F.col("_i"))).drop("_i", "_n", "_below")
 
 
 def top_lists(df: DataFrame, score: str, sizes: Sequence[int], by: Sequence[str] = ("session",)) -> DataFrame:

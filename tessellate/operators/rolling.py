@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -85,10 +86,10 @@ def dispersion(panel: DataFrame, windows: Sequence[int], minimum_return: float =
 
 
 def activity(panel: DataFrame, windows: Sequence[int]) -> DataFrame:
-    """volume and amount over their means, the amount's coefficient of
+    """volume, amount and turnover rate (where there is one) over their means, the amount's coefficient of
     variation, and illiquidity (absolute return per amount)."""
     out = panel.withColumn("amihud", safe_div(F.abs("ret_1d"), "amount"))
-    named = {}
+    named = {f"turnover_ratio_{w}": safe_div("turnover_rate", gated(F.avg, "turnover_rate", w)) for w in windows} if "turnover_rate" in panel.columns else {}
     for w in windows:
         named |= {f"volume_ratio_{w}": safe_div("vol", gated(F.avg, "vol", w)), f"amount_ratio_{w}": safe_div("amount", gated(F.avg, "amount", w)), f"amount_cv_{w}": safe_div(gated(F.stddev_samp, "amount", w), gated(F.avg, "amount", w)), f"amihud_{w}": gated(F.avg, "amihud", w)}
     return out.withColumns(named)
@@ -112,8 +113,6 @@ def rolling_cov(x: str, y: str, w: int, frac: float = MIN_FILLED) -> Column:
     over = last_rows(w)
     n = F.count(F.col(x) * F.col(y)).over(over)
     raw = F.avg(F.col(x) * F.col(y)).over(over) - F.avg(x).over(over) * F.avg(y).over(over)
-    import math
-
     return F.when((n >= math.ceil(w * frac)) & (n > 1), raw * n / (n - 1))
 
 
@@ -140,14 +139,33 @@ def missing_ratios(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("missing_ratio")) for c in features])).alias("x")).select("x.*")
 
 
+#: How long before the first session wanted the windows begin to warm up.
+WARM_UP_DAYS = 550
+
+
+def warm_up_start(start: str, days: int = WARM_UP_DAYS) -> str:
+    """the date from which history is read for features from start on."""
+    return (date.fromisoformat(start) - timedelta(days=days)).isoformat()
+
+
 def feature_frame(panel: DataFrame, windows: Sequence[int], start: str | None = None, end: str | None = None) -> DataFrame:
-    """all market features over windows; earlier sessions warm the windows
-    up, and only those from start to end are returned."""
+    """all market features over windows. History from warm_up_start on warms
+    the windows up; only the sessions from start to end are returned. The bound on what
+    is read stands below the windows, so it goes down to the scan."""
+    if start:
+        panel = panel.where(F.col("session") >= F.to_date(F.lit(warm_up_start(start))))
+    if end:
+        panel = panel.where(F.col("session") <= F.to_date(F.lit(end)))
     out = with_returns(panel)
     for step in (candle, ):
         out = step(out)
     for step in (gaps, compounded, trend, dispersion, activity, extremes, comovement):
         out = step(out, windows)
-    if start:
-        out = out.where(F.col("session") >= F.to_date(F.lit(start)))
-    return out.where(F.col("session") <= F.to_date(F.lit(end))) if end else out
+    return out.where(F.col("session") >= F.to_date(F.lit(start))) if start else out
+
+
+def registered(frame: DataFrame, names: Sequence[str], key: Sequence[str] = ("entity", "session")) -> DataFrame:
+    """the columns of a feature table in the registry's order; a feature that the
+    frame lacks is null."""
+    have = set(frame.columns)
+    return frame.select(*key, *[F.col(n) if n in have else F.lit(None).cast("double").alias(n) for n in names])

@@ -26,20 +26,30 @@ def week(c: str) -> Column:
     return F.to_date(F.date_trunc("week", F.col(c)))
 
 
-def bars(spark: SparkSession, sf: str) -> DataFrame:
-    return bars_of(read(spark, sf, "lineitem"), "l_suppkey", week("l_shipdate"), F.col("l_extendedprice") / F.col("l_quantity"), "l_quantity", "l_extendedprice", ORDER)
-
-
-def calendar(spark: SparkSession, sf: str) -> DataFrame:
-    return open_sessions(read(spark, sf, "lineitem").select(week("l_shipdate").alias("session")))
-
-
-def panel(spark: SparkSession, sf: str) -> DataFrame:
-    """entity, session, pos, bar columns, traded, grp and bench."""
-    own = bars(spark, sf)
+def bars(spark: SparkSession, sf: str, since: str | None = None) -> DataFrame:
+    """Bars by week; with a date, those of its week and later ones, by a bound that the
+    scan can use."""
+    rows = read(spark, sf, "lineitem")
+    if since:
+        rows = rows.where(F.col("l_shipdate") >= F.date_trunc("week", F.lit(since).cast("timestamp")))
+    return bars_of(rows, "l_suppkey", week("l_shipdate"), F.col("l_extendedprice") / F.col("l_quantity"), "l_quantity", "l_extendedprice", ORDER)
+
+
+def calendar(spark: SparkSession, sf: str, since: str | None = None) -> DataFrame:
+    rows = read(spark, sf, "lineitem")
+    if since:
+        rows = rows.where(F.col("l_shipdate") >= F.date_trunc("week", F.lit(since).cast("timestamp")))
+    return open_sessions(rows.select(week("l_shipdate").alias("session")))
+
+
+def panel(spark: SparkSession, sf: str, since: str | None = None) -> DataFrame:
+    """entity, session, pos, bar columns, traded, grp and bench; of all entities, from
+    the week of a date on if one is given."""
+    own = bars(spark, sf, since)
+    every = read(spark, sf, "lineitem").select(F.col("l_suppkey").alias("entity")).distinct()
     bench = own.groupBy("session").agg(F.round(F.avg("close"), 9).alias("bench"))
     groups = read(spark, sf, "supplier").select(F.col("s_suppkey").alias("entity"), F.col("s_nationkey").alias("grp"))
-    dense = densify(own, calendar(spark, sf), own.select("entity").distinct())
+    dense = densify(own, calendar(spark, sf, since), every)
     return dense.join(F.broadcast(bench), "session", "left").join(groups, "entity", "left")
 
 

@@ -6,10 +6,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import labels as L
+from ..operators import monitor as M
 from ..operators import quality as Q
 from .base import PANEL, panel, query, read
 from .labelling import _LABELS, _LIMITS, _REPORTS, _UNIVERSE, labels, limited, reports, universe
-from .metrics import observations
+from .metrics import _OBSERVED, observations
 
 KEY = ["entity", "session"]
 
@@ -58,8 +59,28 @@ def label_invariants(spark, sf):
     return Q.rule_table(rows, Q.label_rules([n for n, _ in L.label_reasons()], 5), "labels")
 
 
-@query("j17_observation_contract")
+def labelled(spark, sf):
+    return M.attach_labels(observations(spark, sf), labels(spark, sf).where("entity % 9 <> 4 OR is_label_available"))
+
+
+#: Observations with labels, some of which are not there yet.
+_LABELLED = f"{_OBSERVED}, ob AS (SELECT m.*, CASE WHEN l.entity IS NULL THEN 'pending' WHEN l.is_label_available AND l.future_excess_ret IS NOT NULL THEN 'available' ELSE 'unavailable' END AS label_status, l.reason AS label_reason, CASE WHEN l.is_label_available THEN l.future_excess_ret END AS y, sha256(concat_ws('|', model_id, CAST(m.session AS VARCHAR), CAST(m.entity AS VARCHAR), CAST(m.horizon AS VARCHAR))) AS observation_id FROM m LEFT JOIN (SELECT * FROM labels WHERE entity % 9 <> 4 OR is_label_available) l ON l.entity = m.entity AND l.session = m.session AND l.horizon = m.horizon WHERE m.exit_session <= DATE '2000-01-01')"
+
+
+@query("l03_label_status", f"{PANEL}, {_LABELLED} SELECT model_id, horizon, label_status, label_reason, count(*) AS n, round(sum(y), 4) AS total FROM ob GROUP BY 1, 2, 3, 4", digits=4)
+def label_status(spark, sf):
+    return labelled(spark, sf).groupBy("model_id", "horizon", "label_status", "label_reason").agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("total"))
+
+
+@query(
+    "j17_observation_contract",
+    f"{PANEL}, {_LABELLED}, ch AS (SELECT *, CASE WHEN entity % 6 = 1 THEN 'shadow' WHEN model_id = 'a' THEN 'champion' ELSE 'ensemble' END AS mrole, CASE WHEN entity % 8 = 2 THEN '' ELSE observation_id END AS oid FROM ob), tw AS (SELECT * FROM ch UNION ALL SELECT * FROM ch WHERE entity % 7 = 3) "
+    + _counts("observations", {"role_unknown": "mrole = 'shadow'", "horizon_not_positive": "horizon <= 0", "immature": "exit_session > DATE '1998-06-30'", "signal_not_before_exit": "session >= exit_session", "future_signal": "session > DATE '1998-06-30'", "id_missing": "oid = ''", "return_mismatch": "(label_status = 'available') <> (y IS NOT NULL)"}, "tw")
+    + " UNION ALL SELECT 'observations', 'duplicate_key', CAST(sum(k - 1) AS BIGINT) FROM (SELECT count(*) AS k FROM tw GROUP BY model_id, entity, session, horizon)",
+)
 def observation_contract(spark, sf):
-    o = observations(spark, sf).withColumn("model_role", F.when(F.col("model_id") == "a", "champion").otherwise("ensemble"))
-    y = labels(spark, sf).select(*KEY, "horizon", F.col("future_excess_ret").alias("y"), F.when(F.col("is_label_available"), "available").otherwise("missing").alias("label_status"))
-    return Q.rule_table(o.join(y, [*KEY, "horizon"]), Q.observation_rules("1999-12-31"), "observations")
+    role = F.when(F.col("entity") % 6 == 1, "shadow").when(F.col("model_id") == "a", "champion").otherwise("ensemble")
+    o = labelled(spark, sf).withColumns({"model_role": role, "observation_id": F.when(F.col("entity") % 8 == 2, "").otherwise(F.col("observation_id"))})
+    o = o.unionByName(o.where("entity % 7 = 3"))
+    twice = Q.duplicate_rows(o, ["model_id", *KEY, "horizon"]).select(F.lit("observations").alias("table"), F.lit("duplicate_key").alias("rule"), F.col("n").alias("violations"))
+    return Q.rule_table(o, Q.observation_rules("1998-06-30"), "observations").unionByName(twice)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import calendar as C
+from ..operators import joins as J
+from ..operators import labels as L
 from ..operators import panel as P
 from ..operators import ranks as G
 from ..operators import rolling as R
@@ -180,13 +182,31 @@ def valuation(spark, sf):
 
 @query("f22_f24_missing_ratios", f"{PANEL}, y AS (SELECT ret_1d, exp({gate('sum', 'ln(1 + ret_1d)', 4)}) - 1 AS ret_4, {gate('stddev_samp', 'ret_1d', 13)} AS realized_vol_13, session FROM rets), z AS (SELECT * FROM y WHERE session BETWEEN DATE '1995-01-01' AND DATE '1995-12-31') SELECT 'ret_1d' AS feature, round(avg(CAST(ret_1d IS NULL AS INTEGER)), 6) AS missing_ratio FROM z UNION ALL SELECT 'ret_4', round(avg(CAST(ret_4 IS NULL AS INTEGER)), 6) FROM z UNION ALL SELECT 'realized_vol_13', round(avg(CAST(realized_vol_13 IS NULL AS INTEGER)), 6) FROM z")
 def missing(spark, sf):
-    frame = R.feature_frame(panel(spark, sf), W, "1995-01-01", "1995-12-31")
+    frame = R.feature_frame(panel(spark, sf, R.warm_up_start("1995-01-01")), W, "1995-01-01", "1995-12-31")
     return R.missing_ratios(frame, ["ret_1d", "ret_4", "realized_vol_13"])
 
 
-@query("f23_feature_frame", sql_rounded(f"SELECT entity, session, ret_1d, exp({gate('sum', 'ln(1 + ret_1d)', 4)}) - 1 AS ret_4, {gate('stddev_samp', 'ret_1d', 13)} AS realized_vol_13, vol / ({gate('avg', 'vol', 4)}) AS volume_ratio_4 FROM rets", "entity, session", ["ret_1d", "ret_4", "realized_vol_13", "volume_ratio_4"], source="x WHERE session >= DATE '1996-01-01'"))
+#: The features of the table, in the order in which it has them.
+REGISTRY = ("ret_1d", "ret_4", "ret_13", "realized_vol_13", "volume_ratio_4", "turnover_ratio_4", "cs_rank_ret_4", "cs_rank_realized_vol_13", "top_share", "top_share_change")
+_TURN = gate("avg", "amount / close", 4)
+
+
+@query(
+    "f23_feature_frame",
+    f"{PANEL}, a AS (SELECT o_custkey AS entity, CAST(o_orderdate AS DATE) AS available, max(o_totalprice) / sum(o_totalprice) AS top_share FROM orders GROUP BY 1, 2), fu AS (SELECT *, top_share - lag(top_share) OVER (PARTITION BY entity ORDER BY available) AS top_share_change FROM a), "
+    f"m AS (SELECT entity, session, traded, ret_1d, exp({gate('sum', 'ln(1 + ret_1d)', 4)}) - 1 AS ret_4, exp({gate('sum', 'ln(1 + ret_1d)', 13)}) - 1 AS ret_13, {gate('stddev_samp', 'ret_1d', 13)} AS realized_vol_13, vol / ({gate('avg', 'vol', 4)}) AS volume_ratio_4, (amount / close) / ({_TURN}) AS turnover_ratio_4 FROM rets), "
+    "q AS (SELECT *, CASE WHEN traded THEN ret_4 END AS e1, CASE WHEN traded THEN realized_vol_13 END AS e2 FROM m WHERE session >= DATE '1996-01-01'), "
+    f"r AS (SELECT *, {pct('e1', 'session')} AS cs_rank_ret_4, {pct('e2', 'session')} AS cs_rank_realized_vol_13 FROM q) "
+    "SELECT r.entity, r.session, " + ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in REGISTRY) + " FROM r ASOF LEFT JOIN fu ON fu.entity = r.entity AND r.session >= fu.available",
+)
 def frame(spark, sf):
-    return R.feature_frame(panel(spark, sf), W, "1996-01-01").select(*KEY, "ret_1d", "ret_4", "realized_vol_13", "volume_ratio_4")
+    market = R.feature_frame(panel(spark, sf, R.warm_up_start("1996-01-01")).withColumn("turnover_rate", F.col("amount") / F.col("close")), W, "1996-01-01")
+    for c in ("ret_4", "realized_vol_13"):
+        market = G.percentiles(market, c, ["session"], f"cs_rank_{c}", F.col("traded"))
+    reports = read(spark, sf, "orders").groupBy(F.col("o_custkey").alias("entity"), F.to_date("o_orderdate").alias("available")).agg(F.sum("o_totalprice").alias("total"), F.max("o_totalprice").alias("top"))
+    known = L.fundamental_ratios(reports, {"top_share": ("top", "total")}, ["top_share"])
+    both = J.as_of(market, known.select("entity", "available", "top_share", "top_share_change"), "entity", "session", "available", ["top_share", "top_share_change"], [])
+    return R.registered(both, REGISTRY)
 
 
 _SCORE = "scored AS (SELECT *, round(-ret_1d, 9) AS score FROM rets WHERE traded)"

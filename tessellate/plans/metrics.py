@@ -112,13 +112,14 @@ def layer_returns(spark, sf):
 
 
 def _paths(source: str, by: str, order: str, ret: str, periods: str) -> str:
-    return f"pc AS (SELECT *, sum(ln(1 + greatest({ret}, -0.999999))) OVER w AS lg FROM {source} WHERE {ret} IS NOT NULL WINDOW w AS (PARTITION BY {by} ORDER BY {order} ROWS UNBOUNDED PRECEDING)), pd AS (SELECT *, exp(lg - greatest(0, max(lg) OVER (PARTITION BY {by} ORDER BY {order} ROWS UNBOUNDED PRECEDING))) - 1 AS dd FROM pc), pm AS (SELECT {by}, count(*) AS n, exp(arg_max(lg, {order})) - 1 AS total_return, exp(arg_max(lg, {order}) * {periods} / count(*)) - 1 AS annual_return, stddev_samp({ret}) * sqrt({periods}) AS volatility, CASE WHEN stddev_samp({ret}) > 1e-12 THEN avg({ret}) / stddev_samp({ret}) * sqrt({periods}) END AS sharpe, min(dd) AS max_drawdown, avg(CAST({ret} > 0 AS INTEGER)) AS win_rate FROM pd GROUP BY {by})"
+    return f"pc AS (SELECT *, sum(ln(1 + greatest({ret}, -0.999999))) OVER w AS lg FROM {source} WHERE {ret} IS NOT NULL WINDOW w AS (PARTITION BY {by} ORDER BY {order} ROWS UNBOUNDED PRECEDING)), pd AS (SELECT *, exp(lg - max(lg) OVER (PARTITION BY {by} ORDER BY {order} ROWS UNBOUNDED PRECEDING)) - 1 AS dd FROM pc), pm AS (SELECT {by}, count(*) AS n, exp(arg_max(lg, {order})) - 1 AS total_return, exp(arg_max(lg, {order}) * {periods} / count(*)) - 1 AS annual_return, stddev_samp({ret}) * sqrt({periods}) AS volatility, CASE WHEN stddev_samp({ret}) > 1e-12 THEN avg({ret}) / stddev_samp({ret}) * sqrt({periods}) END AS sharpe, min(dd) AS max_drawdown, avg(CAST({ret} > 0 AS INTEGER)) AS win_rate FROM pd GROUP BY {by})"
 
 
-@query("i13_layer_summary", f"{PANEL}, {_LAYERS}, vin AS (SELECT *, (row_number() OVER (PARTITION BY layer ORDER BY session) - 1) % 5 AS vintage FROM (SELECT session, layer, ret * 0.02 AS ret FROM dl) WHERE ret IS NOT NULL), {_paths('vin', 'layer, vintage', 'session', 'ret', '10.4')} SELECT layer, round(quantile_cont(total_return, 0.5), 4) AS total_return, round(quantile_cont(sharpe, 0.5), 4) AS sharpe, round(min(max_drawdown), 4) AS max_drawdown, round(quantile_cont(win_rate, 0.5), 4) AS win_rate, count(*) AS vintages FROM pm GROUP BY 1", digits=4)
+@query("i13_layer_summary", f"{PANEL}, {_LAYERS}, vin AS (SELECT *, (row_number() OVER (PARTITION BY layer ORDER BY session) - 1) % 5 AS vintage FROM (SELECT session, layer, ret * 0.02 AS ret, labelled / n AS coverage FROM dl) WHERE ret IS NOT NULL), {_paths('vin', 'layer, vintage', 'session', 'ret', '10.4')}, al AS (SELECT layer, count(*) AS observations, avg(ret) AS mean_ret, CASE WHEN stddev_samp(ret) > 1e-12 THEN avg(ret) / stddev_samp(ret) * sqrt(10.4) END AS sharpe, avg(CAST(ret > 0 AS INTEGER)) AS win_rate, avg(coverage) AS coverage FROM vin GROUP BY 1) SELECT p.*, observations, round(mean_ret, 4) AS mean_ret, round(sharpe, 4) AS sharpe, round(win_rate, 4) AS win_rate, round(coverage, 4) AS coverage FROM (SELECT layer, round(quantile_cont(total_return, 0.5), 4) AS total_return, round(quantile_cont(annual_return, 0.5), 3) AS annual_return, round(min(max_drawdown), 4) AS max_drawdown, count(*) AS vintages FROM pm GROUP BY 1) p JOIN al USING (layer)", digits=4)
 def layer_summary(spark, sf):
     # synthetic returns are large; a fiftieth keeps compounding in range
-    return D.layer_summary(layers(spark, sf).withColumn("ret", F.col("ret") * 0.02), 5, 52.0)
+    out = D.layer_summary(layers(spark, sf).withColumn("ret", F.col("ret") * 0.02), 5, 52.0)
+    return out.withColumn("annual_return", F.round(F.col("annual_return") + 1e-9, 3))
 
 
 @query("i14_monthly_stability", f"{PANEL}, {_IC.replace(_FRAME, _LAYERS)}, mi AS (SELECT date_trunc('month', session) AS m, avg(rank_ic) AS rank_ic FROM ic WHERE feature = 'f_ret' GROUP BY 1), ml AS (SELECT date_trunc('month', session) AS m, layer, avg(ret) AS ret, avg(CAST(ret > 0 AS INTEGER)) AS win_rate FROM dl GROUP BY 1, 2) SELECT CAST(m AS DATE) AS month, layer, round(ret, 4) AS ret, round(win_rate, 4) AS win_rate, round(rank_ic, 4) AS rank_ic FROM ml LEFT JOIN mi USING (m)", digits=4)
@@ -230,7 +231,10 @@ def freshness(spark, sf):
 _DRIFT = f"drl AS (SELECT entity, session, 'f_vol' AS feature, vol AS x FROM panel UNION ALL SELECT entity, session, 'f_amount', round(amount / vol, 9) FROM panel), ref AS (SELECT * FROM drl WHERE session < DATE '1996-01-01'), cur AS (SELECT *, CAST(date_trunc('year', session) AS DATE) AS month FROM drl WHERE session >= DATE '1996-01-01'), ed AS (SELECT feature, list_distinct(quantile_cont(x, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9])) AS edges FROM ref WHERE x IS NOT NULL GROUP BY 1)"
 
 
-@query("k01_k04_feature_drift", f"{PANEL}, {_DRIFT}, rb AS (SELECT feature, CASE WHEN x IS NULL THEN -1 ELSE len(list_filter(edges, lambda e: e <= x)) END AS bin, count(*) AS k FROM ref JOIN ed USING (feature) GROUP BY 1, 2), rs AS (SELECT feature, bin, k / sum(k) OVER (PARTITION BY feature) AS r FROM rb), cb AS (SELECT feature, month, CASE WHEN x IS NULL THEN -1 ELSE len(list_filter(edges, lambda e: e <= x)) END AS bin, count(*) AS k FROM cur JOIN ed USING (feature) GROUP BY 1, 2, 3), cs AS (SELECT feature, month, bin, k / sum(k) OVER (PARTITION BY feature, month) AS c FROM cb), grid AS (SELECT feature, month, unnest(range(-1, len(edges) + 1)) AS bin FROM (SELECT DISTINCT feature, month FROM cb) JOIN ed USING (feature)), ps AS (SELECT feature, month, sum((greatest(coalesce(c, 0), 1e-6) - greatest(coalesce(r, 0), 1e-6)) * ln(greatest(coalesce(c, 0), 1e-6) / greatest(coalesce(r, 0), 1e-6))) AS psi FROM grid LEFT JOIN cs USING (feature, month, bin) LEFT JOIN rs USING (feature, bin) GROUP BY 1, 2), kv AS (SELECT feature, month, x, count(*) AS c, 0 AS r FROM cur WHERE x IS NOT NULL GROUP BY 1, 2, 3 UNION ALL SELECT r.feature, m.month, x, 0, count(*) FROM ref r JOIN (SELECT DISTINCT feature, month FROM cur WHERE x IS NOT NULL) m ON m.feature = r.feature WHERE x IS NOT NULL GROUP BY 1, 2, 3), kx AS (SELECT feature, month, x, sum(c) AS c, sum(r) AS r FROM kv GROUP BY 1, 2, 3), kd AS (SELECT feature, month, abs(sum(c) OVER o / sum(c) OVER a - sum(r) OVER o / sum(r) OVER a) AS d FROM kx WINDOW a AS (PARTITION BY feature, month), o AS (PARTITION BY feature, month ORDER BY x ROWS UNBOUNDED PRECEDING)), kk AS (SELECT feature, month, max(d) AS ks FROM kd GROUP BY 1, 2), cv AS (SELECT feature, month, avg(CAST(x IS NOT NULL AS INTEGER)) AS coverage, count(*) AS n FROM cur GROUP BY 1, 2) SELECT feature, month, round(coverage, 4) AS coverage, n, round(psi, 4) AS psi, round(ks, 4) AS ks, CASE WHEN psi >= 0.25 THEN 'severe' WHEN psi >= 0.1 THEN 'moderate' WHEN psi IS NOT NULL THEN 'stable' END AS severity FROM cv LEFT JOIN ps USING (feature, month) LEFT JOIN kk USING (feature, month)", digits=4)
+_DRIFT_TAIL = "rb AS (SELECT feature, CASE WHEN x IS NULL THEN -1 ELSE len(list_filter(edges, lambda e: e <= x)) END AS bin, count(*) AS k FROM ref JOIN ed USING (feature) GROUP BY 1, 2), rs AS (SELECT feature, bin, k / sum(k) OVER (PARTITION BY feature) AS r FROM rb), cb AS (SELECT feature, month, CASE WHEN x IS NULL THEN -1 ELSE len(list_filter(edges, lambda e: e <= x)) END AS bin, count(*) AS k FROM cur JOIN ed USING (feature) GROUP BY 1, 2, 3), cs AS (SELECT feature, month, bin, k / sum(k) OVER (PARTITION BY feature, month) AS c FROM cb), grid AS (SELECT feature, month, unnest(range(-1, len(edges) + 1)) AS bin FROM (SELECT DISTINCT feature, month FROM cb) JOIN ed USING (feature)), ps AS (SELECT feature, month, sum((greatest(coalesce(c, 0), 1e-6) - greatest(coalesce(r, 0), 1e-6)) * ln(greatest(coalesce(c, 0), 1e-6) / greatest(coalesce(r, 0), 1e-6))) AS psi FROM grid LEFT JOIN cs USING (feature, month, bin) LEFT JOIN rs USING (feature, bin) GROUP BY 1, 2), kv AS (SELECT feature, month, x, count(*) AS c, 0 AS r FROM cur WHERE x IS NOT NULL GROUP BY 1, 2, 3 UNION ALL SELECT r.feature, m.month, x, 0, count(*) FROM ref r JOIN (SELECT DISTINCT feature, month FROM cur WHERE x IS NOT NULL) m ON m.feature = r.feature WHERE x IS NOT NULL GROUP BY 1, 2, 3), kx AS (SELECT feature, month, x, sum(c) AS c, sum(r) AS r FROM kv GROUP BY 1, 2, 3), kd AS (SELECT feature, month, abs(sum(c) OVER o / sum(c) OVER a - sum(r) OVER o / sum(r) OVER a) AS d FROM kx WINDOW a AS (PARTITION BY feature, month), o AS (PARTITION BY feature, month ORDER BY x ROWS UNBOUNDED PRECEDING)), kk AS (SELECT feature, month, max(d) AS ks FROM kd GROUP BY 1, 2), cv AS (SELECT feature, month, avg(CAST(x IS NOT NULL AS INTEGER)) AS coverage, count(*) AS n FROM cur GROUP BY 1, 2) SELECT feature, month, round(coverage, 4) AS coverage, n, round(psi, 4) AS psi, round(ks, 4) AS ks, CASE WHEN psi >= 0.25 THEN 'severe' WHEN psi >= 0.1 THEN 'moderate' WHEN psi IS NOT NULL THEN 'stable' END AS severity FROM cv LEFT JOIN ps USING (feature, month) LEFT JOIN kk USING (feature, month)"
+
+
+@query("k01_k04_feature_drift", f"{PANEL}, {_DRIFT}, {_DRIFT_TAIL}", digits=4)
 def feature_drift(spark, sf):
     p = panel(spark, sf).select(*KEY, F.col("vol").alias("f_vol"), F.round(F.col("amount") / F.col("vol"), 9).alias("f_amount"))
     rows = D.long_form(p, KEY, ["f_vol", "f_amount"])
@@ -257,7 +261,10 @@ def response(spark, sf):
     return mono.join(D.top_minus_bottom(b, 5), "feature")
 
 
-@query("l01_l03_observations", f"{PANEL}, {_FRAME}, o AS (SELECT entity, session, 'a' AS model_id, 'champion' AS model_role, 5 AS horizon, f_ret FROM frame UNION ALL SELECT entity, session, 'e', 'ensemble', unnest([1, 5]), f_ret FROM frame), m AS (SELECT o.*, b.session AS exit_session FROM o JOIN cal a ON a.session = o.session JOIN cal b ON b.pos = a.pos + 1 + o.horizon) SELECT entity, session, model_id, horizon, exit_session, sha256(concat_ws('|', model_id, CAST(session AS VARCHAR), CAST(entity AS VARCHAR), CAST(horizon AS VARCHAR))) AS observation_id FROM m WHERE exit_session <= DATE '2000-01-01'")
+_OBSERVED = f"{_FRAME}, o AS (SELECT entity, session, 'a' AS model_id, 'champion' AS model_role, 5 AS horizon, f_ret FROM frame UNION ALL SELECT entity, session, 'e', 'ensemble', unnest([1, 5]), f_ret FROM frame), m AS (SELECT o.*, b.session AS exit_session FROM o JOIN cal a ON a.session = o.session JOIN cal b ON b.pos = a.pos + 1 + o.horizon)"
+
+
+@query("l01_l03_observations", f"{PANEL}, {_OBSERVED} SELECT entity, session, model_id, horizon, exit_session, sha256(concat_ws('|', model_id, CAST(session AS VARCHAR), CAST(entity AS VARCHAR), CAST(horizon AS VARCHAR))) AS observation_id FROM m WHERE exit_session <= DATE '2000-01-01'")
 def observations(spark, sf):
     from ..operators.calendar import horizon_map
 
