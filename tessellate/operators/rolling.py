@@ -10,7 +10,7 @@ import math
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import MIN_FILLED, by_entity, gated, inverse, last_rows, safe_div, safe_log
@@ -25,7 +25,7 @@ def _lag(x: str, n: int = 1) -> Column:
 def with_returns(panel: DataFrame) -> DataFrame:
     """ret_1d, null unless this and the previous session were traded; and the
     benchmark's return on its last known level."""
-    known = F.last("bench", ignorenulls=True).over(by_entity().rowsBetween(-(1 << 31), -1))
+    known = F.last("bench", ignorenulls=True).over(by_entity().rowsBetween(Window.unboundedPreceding, -1))
     return panel.withColumns(
         {
             "ret_1d": F.when(F.col("traded") & _lag("traded"), safe_div("close", _lag("close")) - 1),
