@@ -34,10 +34,10 @@ from .shingles import Shingler, U, mixed
 #: Bits of each of the two sketches of the lists' lengths, which are broadcast:
 #: 8 MB each, however large the corpus is.
 SKETCH_BITS = 26
-#: No set above this size is enumerated, whatever the costs.
-MOST_LIGHT = 18
 #: What comparing two sets costs beside their grams, in rows of a shuffle.
 COMPARISON = 10
+#: Members of a list that one task compares with others at a time.
+CELL = 4096
 
 
 def least_overlap(a: int, b: int, percent: int) -> int:
@@ -111,7 +111,7 @@ def list_sketch(docs: DataFrame, width: int, heavy: int = 64) -> tuple[bytes, by
     `heavy` or more rows hold, counted over all rows, and the share of all entries
     that are of shared grams. The maps' size is fixed."""
     wanted = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    slices = min(1 << 15, max(64, 1 << (wanted - 1).bit_length()))
+    slices = min(1 << 20, max(64, 1 << (wanted - 1).bit_length()))
     counted = docs.select("text").mapInArrow(_counts(width, slices), "slice int, hashes binary")
     rows = counted.groupBy("slice").applyInPandas(_sketch(slices, heavy), "slice int, shared binary, heavy binary, f double, all double").collect()
     part = (1 << SKETCH_BITS) // slices // 8
@@ -126,13 +126,11 @@ def list_sketch(docs: DataFrame, width: int, heavy: int = 64) -> tuple[bytes, by
 def choose_boundary(shared: float, percent: int) -> int:
     """The largest size at which the subsets of a set cost no more than its entries
     in lists, each a row, and for the shared ones a comparison with a pivot."""
-    best = 0
-    for a in range(1, MOST_LIGHT + 1):
-        if subset_count(a, percent) <= prefix_length(a, percent) * (1 + shared * (COMPARISON + a)):
-            best = a
-        else:
-            break
-    return best
+    a = 1
+    # subsets grow faster than any of the costs beside them, and at 100 percent both stay even
+    while subset_count(a, percent) <= prefix_length(a, percent) * (1 + shared * (COMPARISON + a)) and a < 255:
+        a += 1
+    return a - 1
 
 
 def _subset_keys(grams: np.ndarray, boundary: int, percent: int) -> list[int]:
@@ -217,13 +215,20 @@ def _wanted_sets(width: int, ids):
 
 
 def id_filter(ids: DataFrame, bits: int = 24) -> bytes:
-    """A bit map, of fixed size, of the hashed values of the column doc_id."""
+    """A bit map, of fixed size, of the hashed values of the column doc_id. Tasks make
+    it in parts of 1 KB, which are all that the driver gets."""
+
+    def packed(pdf: pd.DataFrame) -> pd.DataFrame:
+        part = np.zeros(1 << 13, np.uint8)
+        part[pdf["bit"].to_numpy()] = 1
+        return pd.DataFrame({"part": pdf["part"].iloc[:1], "map": [np.packbits(part).tobytes()]})
+
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits))
-    rows = ids.select(F.shiftright(place, 13).alias("part"), place.bitwiseAND(F.lit((1 << 13) - 1)).alias("bit")).distinct().groupBy("part").agg(F.collect_list("bit").alias("bit")).toLocalIterator()
-    out = np.zeros(1 << bits, np.uint8)
-    for r in rows:
-        out[(r["part"] << 13) + np.array(r["bit"])] = 1
-    return np.packbits(out).tobytes()
+    marks = ids.select(F.shiftright(place, 13).alias("part"), place.bitwiseAND(F.lit((1 << 13) - 1)).alias("bit")).distinct()
+    out = bytearray(1 << (bits - 3))
+    for r in marks.groupBy("part").applyInPandas(packed, "part long, map binary").toLocalIterator():
+        out[r["part"] << 10 : (r["part"] + 1) << 10] = r["map"]
+    return bytes(out)
 
 
 def _sizes_fit(a: Column, b: Column, percent: int) -> Column:
@@ -300,16 +305,21 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     placed = met.join(found, met["fp"] == found["node"], "left").join(from_pivot, ["pivot", "fp"], "left")
     placed = placed.select("fp", "n", "gram", F.coalesce("component", "fp").alias("comp"), F.when(F.col("fp") == F.col("pivot"), 0.0).otherwise(F.col("d")).alias("d"))
     by_comp = placed.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("k"))
-    main = by_comp.groupBy("gram").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count(F.lit(1)).alias("comps")).where("comps > 1").drop("comps")
+    # a long list is dealt over cells: its members look into one each, and those of
+    # other components than the main one into all
+    main = by_comp.groupBy("gram").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"), F.sum("k").alias("k")).where("comps > 1")
+    main = main.select("gram", "main", F.ceil(F.col("k") / CELL).cast("int").alias("cells"))
     apart = placed.join(main, "gram").join(chosen.select("fp", "sketch"), "fp")
-    minor = apart.where("comp <> main").select("gram", F.col("fp").alias("x"), F.col("n").alias("xn"), F.col("comp").alias("xc"), F.col("d").alias("xd"), F.col("sketch").alias("xs"))
-    other = apart.select("gram", F.col("fp").alias("y"), F.col("n").alias("yn"), F.col("comp").alias("yc"), F.col("d").alias("yd"), F.col("sketch").alias("ys"), (F.col("comp") == F.col("main")).alias("in_main"))
+    minor = apart.where("comp <> main").withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+    minor = minor.select("gram", "cell", F.col("fp").alias("x"), F.col("n").alias("xn"), F.col("comp").alias("xc"), F.col("d").alias("xd"), F.col("sketch").alias("xs"))
+    other = apart.select("gram", F.pmod(F.xxhash64("fp"), "cells").cast("int").alias("cell"), F.col("fp").alias("y"), F.col("n").alias("yn"), F.col("comp").alias("yc"), F.col("d").alias("yd"), F.col("sketch").alias("ys"), (F.col("comp") == F.col("main")).alias("in_main"))
     # sets of sizes x and y with overlap o differ in x + y - 2 o grams
     differing = F.aggregate(F.zip_with("xs", "ys", lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, k: t + k)
     room = (F.col("xn") + F.col("yn")) * (1 - 2 * percent / (100 + percent)) + 1e-6
     rest = minor.join(
         other,
         (minor["gram"] == other["gram"])
+        & (minor["cell"] == other["cell"])
         & (F.col("xc") != F.col("yc"))
         & (F.col("in_main") | (F.col("x") < F.col("y")))
         & _sizes_fit(F.col("xn"), F.col("yn"), percent)
