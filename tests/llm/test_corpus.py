@@ -15,7 +15,7 @@ from tessellate.llm.jaccard_join import choose_boundary, jaccard_components, sub
 from tessellate.llm.language import identify_language
 from tessellate.llm.line_dedup import dedup_lines
 from tessellate.llm.mixing import mix, schedule
-from tessellate.llm.near_vectors import near_vectors
+from tessellate.llm.near_vectors import near_vectors, passes_for
 from tessellate.llm.order_minhash import fingerprints
 from tessellate.llm.packing import pack_documents, pack_sizes
 from tessellate.llm.secrets import base_spans, candidates, fit_grammar, infer_automaton, scan_secrets
@@ -362,18 +362,48 @@ def test_near_vectors(spark):
     near = unit @ unit.T >= 0.9
     np.fill_diagonal(near, False)
     rows = [(i, [float(v) for v in x[i]]) for i in range(300)]
+    rows += [(910, [1e300] * 16), (911, [-1e-300] * 15 + [-2e-300]), (912, [1e-310] * 16)]
     rows += [(900, None), (901, [0.0] * 16), (902, [float("nan")] * 16), (903, [1.0, None]), (None, rows[0][1]), (904, []), (905, [1.0, 2.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("component", F.lit(1)).repartition(4)
-    got = {r["vec_id"]: r for r in near_vectors(df, window=8).collect()}
+    got = {r["vec_id"]: r for r in near_vectors(df, window=8, block=16).collect()}
     links = [(a, b) for a, b in zip(*np.nonzero(near), strict=True) if a < b]
     want = brute.closed(set(range(300)), links)
     found = sum(got[i]["n_links"] for i in range(300))
     assert 0.98 * near.sum() <= found <= near.sum()
     assert np.mean([got[i]["component_id"] == want[i] for i in range(300)]) > 0.98
-    assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i in (900, 901, 902, 903, 904, 905, None))
+    assert got[910]["n_links"] == got[912]["n_links"] == 1 and got[912]["component_id"] == 910
+    assert all(got[i]["n_links"] == 0 and got[i]["kept"] for i in (911, 900, 901, 902, 903, 904, 905, None))
     assert near_vectors(df.limit(0)).count() == 0
 
 
+def test_near_vectors_in_chains_are_counted_in_full(spark):
+    """A long chain on a circle, whose ends are far apart, in blocks of a few rows."""
+    angles = np.arange(1500) * 0.02
+    rows = [(i, [float(np.cos(a)), float(np.sin(a)), float(a / 50)]) for i, a in enumerate(angles)]
+    x = np.array([v for _, v in rows])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    want = (x @ x.T >= 0.9).sum(axis=1) - 1
+    got = {r["vec_id"]: r for r in near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), block=128).collect()}
+    assert all(r["component_id"] == 0 for r in got.values())
+    assert [got[i]["n_links"] for i in range(1500)] == want.tolist()
+
+
+def test_lone_pairs_at_the_limit_are_found(spark):
+    """Recall, as stated, for pairs of which each stands a little within the limit."""
+    rng = np.random.default_rng(8)
+    a = rng.standard_normal((6000, 64))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.standard_normal((400, 64))
+    b -= (b * a[:400]).sum(axis=1, keepdims=True) * a[:400]
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    b = 0.905 * a[:400] + np.sqrt(1 - 0.905**2) * b
+    rows = [(i, v.tolist()) for i, v in enumerate(np.vstack([a, b]))]
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(8)).collect()
+    found = sum(r["n_links"] > 0 for r in got if r["vec_id"] >= 6000)
+    assert found >= 0.97 * 400
+    assert passes_for(10**9, 0.9, 256, 0.99) > passes_for(10**5, 0.9, 256, 0.99) >= 4
+
+
 def test_secrets(spark, odd):
     key = "AKIA" + "Z9" * 9
     text = f'é Password: "abcdef" tokens=ab, api_key={"0f" * 16} {key} {"ab12" * 6}z'
