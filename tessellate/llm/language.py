@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from .common import bounded_sample, modest_batches, staged
 
 LONGEST = 5
+#: Letters of a word whose n-grams are taken at a time.
+PIECE = 64
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -54,7 +56,8 @@ def _log_frequencies(counts: DataFrame, languages: list[str], term: str, most: i
 
 def fit_language(docs: DataFrame, sample: int = 20_000, vocabulary: int = 100_000, grams: int = 200_000) -> LanguageModel:
     """Fits on docs (doc_id, text, lang): of the rows that are not held out and have
-    a text and a language, the first `sample` by a hash of their id."""
+    a text and a language, the first `sample` by a hash of their id; of their words and
+    n-grams, the `vocabulary` and `grams` most frequent ones are kept."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").where(~held_out()).where("doc_id IS NOT NULL AND lang IS NOT NULL")
     rows = bounded_sample(rows.where("text IS NOT NULL"), "doc_id", sample, rows.count())
     words = rows.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word")).where("word <> ''")
@@ -64,10 +67,13 @@ def fit_language(docs: DataFrame, sample: int = 20_000, vocabulary: int = 100_00
         return LanguageModel([], {})
     size = F.char_length("w")
     spans = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(LONGEST)), lambda k: F.when(k <= size, F.transform(F.sequence(F.lit(1), size - k + 1), lambda i: F.concat(F.lit("\t"), F.substring(F.col("w"), i, k)))).otherwise(F.array().cast("array<string>"))))
-    # a word's ends count as letters
-    pieces = counts.where(F.char_length("word") <= 64).withColumn("w", F.concat(F.lit("<"), "word", F.lit(">"))).select("lang", "n", F.explode(spans).alias("gram"))
+    # a word's ends count as letters; long words go in pieces that share what a gram needs
+    ended = counts.select("lang", "n", F.concat(F.lit("<"), "word", F.lit(">")).alias("w"))
+    starts = F.sequence(F.lit(1), F.greatest(F.char_length("w") - (LONGEST - 1), F.lit(1)), F.lit(PIECE - LONGEST + 1))
+    cut = ended.select("lang", "n", F.explode(F.transform(starts, lambda i: F.substring(F.col("w"), i, F.lit(PIECE)))).alias("w"))
+    pieces = cut.select("lang", "n", F.explode(spans).alias("gram"))
     gram_counts = staged(pieces.groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    tables = _log_frequencies(counts.where("n > 1"), languages, "word", vocabulary)
+    tables = _log_frequencies(counts, languages, "word", vocabulary)
     tables |= _log_frequencies(gram_counts, languages, "gram", grams)
     return LanguageModel(languages, tables)
 
@@ -133,7 +139,8 @@ def _predicting(model):
 
 
 def identify_language(docs: DataFrame, sample: int = 20_000) -> DataFrame:
-    """A row for each row of docs: doc_id, held_out (crc32 of its id as text is a
+    """A row for each row of docs, by a model fitted to at most `sample` of them
+    (see fit_language): doc_id, held_out (crc32 of its id as text is a
     multiple of 5), lang_pred and score, the posterior of lang_pred under equal
     priors.
 

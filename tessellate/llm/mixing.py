@@ -132,7 +132,8 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, period: int = 1000, b
     sources leave once they have run out) and on_target (whether the stream is
     still complete there: every source then has within one block of its weight).
 
-    No row is dropped or repeated. A null source is a source of its own; null or
+    Without weights the period grows to four places for each source, so that all of
+    any number of sources have one. No row is dropped or repeated. A null source is a source of its own; null or
     empty text counts as one character; rows without doc_id come first in their
     source; repeated rows are kept, each with its block. A source that weights
     doesn't name has no slot, and comes after the mixed stream, in null places. An

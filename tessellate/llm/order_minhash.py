@@ -17,8 +17,9 @@ from pyspark.sql import Window
 
 from .common import WHITE, chunk_of
 
-#: A k-mer and its place share a long: the hash above, the place in these low bits.
-PLACE = 26
+#: A k-mer and its place share a long: the hash above, the place in these low bits,
+#: as many as the words of the longest string that Spark can hold.
+PLACE = 30
 
 
 def _hash_of(x: Column) -> Column:
@@ -34,7 +35,7 @@ def with_signature(df: DataFrame, text: str, out: str, k: int = 3, bins: int = 3
     bin's number in the high bits, the hash of its tuple below.
 
     Each step is a column of its own, so that Spark works it out once. Sorting is on
-    plain longs, which pack a 38-bit hash and a place below 2^26."""
+    plain longs, which pack a 34-bit hash and a place below 2^30."""
     cols = [F.col(f"`{c}`") for c in df.columns]
     bare = F.btrim(F.col(text), F.lit(WHITE))
     words = F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, r"[\x20\x09-\x0D]+"))

@@ -193,17 +193,19 @@ def pack(pieces: DataFrame, capacity: int = 1024, group_rows: int = 40_000, orde
 
     Every length must be from 1 to capacity. Pieces of one document need not land
     in one sequence. Repeated rows are packed each by itself; an empty table
-    gives an empty result; further columns are carried along, save `group` and
-    `deal`, which are reserved."""
+    gives an empty result; further columns are carried along, save `group`, `deal` and
+    `row`, which are reserved. pieces must be a stored table, whose rows stay in place."""
     groups = max(1, -(-pieces.count() // group_rows))
-    dealt = pieces.withColumn("deal", F.xxhash64("doc_id", "piece", F.lit(7)))
+    # rows that share a document and piece are told apart by where they are stored
+    dealt = pieces.withColumn("row", F.monotonically_increasing_id())
+    dealt = dealt.withColumn("deal", F.xxhash64("doc_id", "piece", "row", F.lit(7)))
     if order is None:
-        dealt = dealt.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(groups)))
+        dealt = dealt.withColumn("group", F.pmod(F.xxhash64("doc_id", "piece", "row"), F.lit(groups))).drop("row")
     else:
         # the hash divides a place that holds more rows than a group
-        within = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(1 << 20))
+        within = F.pmod(F.xxhash64("doc_id", "piece", "row"), F.lit(1 << 20))
         dealt = dealt.withColumn(order, F.coalesce(F.col(order).cast("long"), F.lit(1 << 33)))
-        ranged = dealt.withColumn("group", F.col(order) * (1 << 20) + within)
+        ranged = dealt.withColumn("group", F.col(order) * (1 << 20) + within).drop("row")
         dealt = chunk_of(ranged, "group", rows=group_rows).withColumn("group", F.col("chunk").cast("long")).drop("chunk")
     schema = pieces.schema.add("sequence_id", "long").add("offset", "long")
     return dealt.groupBy("group").applyInPandas(_pack_group(capacity, order), schema)
