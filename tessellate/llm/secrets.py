@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import modest_batches
+from .common import modest_batches, staged, unstage
 
 KINDS = ("assign", "access", "hex", "inferred")
 #: Fixed formats, whose spans the contract names.
@@ -251,7 +251,7 @@ def fit_grammar(docs: DataFrame, sample: int = 1000, least: int = 10) -> Grammar
     of a kind count as unlabelled credentials, unless they are over a fifth, and set
     neither model nor score. A kind with fewer than `least` examples infers nothing. An automaton reports nothing shorter than half its shortest example."""
     h = F.xxhash64("value", F.lit(3))
-    found = docs.select("text").mapInArrow(_examples, "kind string, value string").distinct().withColumn("h", h)
+    found = staged(docs.select("text").mapInArrow(_examples, "kind string, value string").distinct().withColumn("h", h))
     # each kind is an ordered limit of its own: a few rows from every task
     rows = []
     for kind in ("assign", "access", "hex", "ordinary"):
@@ -260,6 +260,7 @@ def fit_grammar(docs: DataFrame, sample: int = 1000, least: int = 10) -> Grammar
     drawn: dict[str, list[str]] = {}
     for r in rows[0].unionAll(rows[1]).unionAll(rows[2]).unionAll(rows[3]).orderBy("kind", "h", "value").collect():
         drawn.setdefault(r["kind"], []).append(r["value"])
+    unstage(found)
     plain = drawn.pop("ordinary", [])
     drawn = {kind: own for kind, own in drawn.items() if len(own) >= least}
     automata = {kind: (infer_automaton([x for i, x in enumerate(own) if i % 4]), -math.inf, max(SHORTEST, min(map(len, own)) // 2)) for kind, own in drawn.items()}
