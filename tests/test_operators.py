@@ -136,9 +136,9 @@ def test_append_only_finds_conflicts(spark):
 
 
 def test_labels_give_the_first_reason(spark):
-    p = make_panel(spark, {1: [10.0, 10.0, 20.0, None, 10.0]}).withColumn("in_base", F.col("pos") != 1)
+    p = make_panel(spark, {1: [10.0, 10.0, 20.0, None, 10.0]}).withColumn("in_base", F.col("pos") != 3)
     got = L.forward_labels(L.with_limits(p, 10.0, 0.01), (1,)).orderBy("pos").collect()
-    assert [r["reason"] for r in got] == ["not_in_base", "exit_suspended", "entry_suspended", "no_exit_session", "no_entry_session"]
+    assert [r["reason"] for r in got] == ["exit_not_in_base_universe", "entry_not_in_base_universe", "missing_entry_price", "insufficient_future_calendar", "insufficient_future_calendar"]
 
 
 def test_a_missing_label_lifts_nobody(spark):
@@ -214,3 +214,15 @@ def test_shuffle_deals_within_sessions(spark):
     a = {(r["session"], r["entity"]): r["x"] for r in out.collect()}
     b = {(r["session"], r["entity"]): r["x"] for r in T.shuffled(df.repartition(4), "x").collect()}
     assert a == b and all(sorted(v for (s, _), v in a.items() if s == day(k)) == [100.0 * k + e for e in range(9)] for k in range(3))
+
+
+def test_history_percentile_matches_pairs(spark):
+    from tessellate.operators import ranks
+
+    values = [(k, i, float((i * 7 + k) % 5)) for k, n in ((1, 1), (2, 2), (3, 37)) for i in range(n)]
+    got = ranks.history_percentile(spark.createDataFrame(values, "k long, i long, x double"), "k", "i", "x").collect()
+    assert len(got) == len(values)
+    for r in got:
+        before = [x for k, i, x in values if k == r["k"] and i < r["i"]]
+        want = sum(x <= r["x"] for x in before) / len(before) if before else None
+        assert r["history_pct"] == (want if want is None else pytest.approx(want))
