@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import modest_batches, staged
 from .components import components
+from .set_links import count_links
 from .shingles import Shingler, U, mixed
 
 #: Bits of each of the two sketches of the lists' lengths, which are broadcast:
@@ -247,15 +248,17 @@ def _similar(percent: int) -> Column:
     return 100 * F.col("o") >= percent * (F.col("size") - F.col("o"))
 
 
-def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
+def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, count: bool = True) -> DataFrame:
     """Links documents whose sets of word n-grams (of `width` words) have a Jaccard
     similarity of percent / 100 or more, without loss, and gives for each row
-    doc_id, n_shingles (the size of its set) and component_id (the smallest doc_id
-    that links lead to, its own included).
+    doc_id, n_shingles (the size of its set), component_id (the smallest doc_id
+    that links lead to, its own included) and, unless count is off, n_links (how many
+    other documents are linked to it directly).
 
     Null, empty and blank texts have no grams and link with nothing. Rows that
-    share a doc_id are one node. A row without doc_id links with nothing and has
-    no component. An empty table gives an empty result; other columns, whatever
+    share a doc_id are one node; where their texts differ, n_links is of the row's own
+    text, and counts such a node once for each of its texts that is similar. A row
+    without doc_id links with nothing and has no component. An empty table gives an empty result; other columns, whatever
     their names, are ignored. Sets are told apart by 64-bit hashes.
     """
     spark = docs.sparkSession
@@ -267,7 +270,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     entries = staged(docs.mapInArrow(_entries(width, percent, boundary, maps), "doc_id long, n long, fp long, head array<long>, subsets array<long>, centre double, sketch array<long>"))
     maps.destroy()
     known = entries.where("n > 0 AND doc_id IS NOT NULL")
-    classes = staged(known.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n")))
+    classes = staged(known.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.count_distinct("doc_id").alias("w")))
     # the row of each class that stands for it
     chosen = known.where("size(head) > 0 OR size(subsets) > 0").join(classes.select("rep", "fp"), (known["doc_id"] == classes["rep"]) & (known["fp"] == classes["fp"]), "left_semi")
     chosen = staged(chosen.select("fp", "n", "head", "subsets", "centre", "sketch").dropDuplicates(["fp"]))
@@ -287,7 +290,10 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     pivots = posts.groupBy("gram").agg(F.max_by(F.struct("fp", "n"), F.struct("centre", "fp")).alias("p"), F.count(F.lit(1)).alias("m")).where("m > 1").select("gram", F.col("p.fp").alias("pivot"), F.col("p.n").alias("pivot_n"))
     met = posts.join(pivots, "gram")
     near = met.where((F.col("fp") != F.col("pivot")) & _sizes_fit(F.col("n"), F.col("pivot_n"), percent)).select(F.col("pivot").alias("a"), F.col("fp").alias("b")).distinct()
-    ids = id_filter(met.select("fp").distinct().join(classes, "fp").select(F.col("rep").alias("doc_id")))
+    asked = met.select("fp")
+    if count:
+        asked = asked.unionAll(subset_links.select(F.explode(F.array("a", "b")).alias("fp")))
+    ids = id_filter(asked.distinct().join(classes, "fp").select(F.col("rep").alias("doc_id")))
     wanted = spark.sparkContext.broadcast(ids)
     hashed = docs.where("doc_id IS NOT NULL").withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 24)))
     sets = hashed.mapInArrow(_wanted_sets(width, wanted), "doc_id long, fp long, grams array<long>")
@@ -333,6 +339,11 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     name = classes.select("fp", "rep")
     edges = links.join(name.select(F.col("fp").alias("a"), F.col("rep").alias("u")), "a").join(name.select(F.col("fp").alias("b"), F.col("rep").alias("v")), "b").select("u", "v")
     final = components(edges)
-    label = classes.join(final, classes["rep"] == final["node"], "left").select(F.col("fp").alias("f"), F.coalesce("component", "rep").alias("component_id"))
+    label = staged(classes.join(final, classes["rep"] == final["node"], "left").select(F.col("fp").alias("f"), "rep", "w", "component"))
+    columns = [F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id")]
+    if count:
+        members = label.where("component IS NOT NULL").select(F.col("f").alias("fp"), "w", "component").join(chosen.select("fp", "n", "centre"), "fp").join(sets, "fp")
+        label = label.join(count_links(members, percent).withColumnRenamed("fp", "l"), F.col("f") == F.col("l"), "left")
+        columns.append((F.coalesce("w", F.lit(1)) - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
     out = entries.join(label, (F.col("fp") == F.col("f")) & (F.col("n") > 0) & F.col("doc_id").isNotNull(), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return out.select("doc_id", *columns)

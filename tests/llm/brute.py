@@ -31,7 +31,8 @@ def closed(nodes, links):
     return {n: find(n) for n in nodes}
 
 
-def jaccard_components(rows, width=5, percent=80):
+def jaccard_links(rows, width=5, percent=80):
+    """Pairs of positions among the rows with an id."""
     sets = [(i, gram_set(t, width)) for i, t in rows if i is not None]
     by_gram = {}
     for k, (_, s) in enumerate(sets):
@@ -43,8 +44,23 @@ def jaccard_components(rows, width=5, percent=80):
             for y in range(x):
                 pair = (ks[y], ks[x])
                 shared[pair] = shared.get(pair, 0) + 1
-    links = [(sets[a][0], sets[b][0]) for (a, b), o in shared.items() if 100 * o >= percent * (len(sets[a][1]) + len(sets[b][1]) - o)]
-    return closed({i for i, _ in sets}, links)
+    return sets, [(a, b) for (a, b), o in shared.items() if 100 * o >= percent * (len(sets[a][1]) + len(sets[b][1]) - o)]
+
+
+def jaccard_components(rows, width=5, percent=80):
+    sets, links = jaccard_links(rows, width, percent)
+    return closed({i for i, _ in sets}, [(sets[a][0], sets[b][0]) for a, b in links])
+
+
+def jaccard_link_counts(rows, width=5, percent=80):
+    """Of each id: the other ids linked to it directly."""
+    sets, links = jaccard_links(rows, width, percent)
+    near = {i: set() for i, _ in sets}
+    for a, b in links:
+        a, b = sets[a][0], sets[b][0]
+        near[a] |= {b} - {a}
+        near[b] |= {a} - {b}
+    return {i: len(n) for i, n in near.items()}
 
 
 def dedup_lines(rows, min_chars=10):

@@ -19,6 +19,7 @@ from tessellate.llm.near_vectors import near_vectors, passes_for
 from tessellate.llm.order_minhash import fingerprints
 from tessellate.llm.packing import pack_documents, pack_sizes
 from tessellate.llm.secrets import base_spans, candidates, fit_grammar, infer_automaton, scan_secrets
+from tessellate.llm.set_links import count_links, overlaps
 from tessellate.llm.toxicity import VOTERS, _model, dependence_tree, toxicity
 
 DATA = "/root/testdata/sf0.001"
@@ -87,6 +88,34 @@ def test_jaccard_matches_plain(spark, odd, docs):
         assert len(got) == len(rows)
         assert {(r["doc_id"], r["n_shingles"]) for r in got} == sizes
         assert all(r["component_id"] == want.get(r["doc_id"]) for r in got)
+        links = brute.jaccard_link_counts(rows)
+        assert all(r["n_links"] == links.get(r["doc_id"], 0) for r in got)
+
+
+def test_links_in_a_large_group_of_edited_copies_are_all_counted(spark):
+    rng = random.Random(9)
+    original = [f"w{k}" for k in range(120)]
+    rows = []
+    for i in range(900):
+        w = list(original)
+        for _ in range(i % 4):
+            w[rng.randrange(len(w))] = rng.choice(["new", f"n{i}"])
+        rows.append((i, " ".join(w[i % 5 :])))
+    rows += [(900 + k, " ".join(f"c{j}" for j in range(4 * k, 4 * k + 60))) for k in range(80)]  # a chain
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    want, links = brute.jaccard_components(rows), brute.jaccard_link_counts(rows)
+    assert {r["doc_id"]: (r["component_id"], r["n_links"]) for r in got} == {i: (want[i], links[i]) for i, _ in rows}
+
+
+def test_blocks_of_any_size_count_alike(spark):
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.choice(40, rng.integers(20, 38), replace=False)) for _ in range(150)] + [np.arange(1000 * k, 1000 * k + 50) for k in range(1, 60)]
+    assert (overlaps(sets[:100], sets[50:]) == [[len(np.intersect1d(x, y)) for y in sets[50:]] for x in sets[:100]]).all()
+    rows = [(k % 3, k, len(s), 1 + k % 2, float(k % 7), s.tolist()) for k, s in enumerate(sets)]
+    df = spark.createDataFrame(rows, "component long, fp long, n long, w long, centre double, grams array<long>")
+    near = [sum(y[3] for y in rows if y[0] == x[0] and y[1] != x[1] and 100 * (o := len(np.intersect1d(x[5], y[5]))) >= 60 * (x[2] + y[2] - o)) for x in rows]
+    for block in (8, 1024):
+        assert {r["fp"]: r["linked"] for r in count_links(df, 60, block).collect()} == dict(enumerate(near))
 
 
 def test_jaccard_boundary_follows_costs():
