@@ -90,5 +90,49 @@ SELECT doc_id, count(*) AS n_lines,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE owner IS NULL OR owner >= doc_id), '')) AS kept_sha256
 FROM keyed LEFT JOIN firsts USING (k)
 GROUP BY doc_id
+""",
+    "op3_jaccard_join": r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), grams AS MATERIALIZED (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' '))) AS g
+  FROM worded WHERE len(w) > 0
+), sizes AS MATERIALIZED (
+  SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id
+), links AS MATERIALIZED (
+  SELECT x, y
+  FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS o FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2)
+  JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * o >= 80 * (p.n + q.n - o)
+), reach AS (
+  SELECT DISTINCT x AS a, x AS b FROM links
+  UNION
+  SELECT reach.a, links.y FROM reach JOIN links ON reach.b = links.x
+)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, coalesce(least(r.c, d.doc_id), d.doc_id) AS component_id, coalesce(l.k, 0) AS n_links
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id
+LEFT JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON r.a = d.doc_id
+LEFT JOIN (SELECT x, count(*) AS k FROM links GROUP BY x) l ON l.x = d.doc_id
+""",
+    "op9_near_vectors": """
+WITH RECURSIVE usable AS MATERIALIZED (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS MATERIALIZED (
+  SELECT a.vec_id AS x, b.vec_id AS y
+  FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.9
+), reach AS (
+  SELECT DISTINCT x AS a, x AS b FROM links
+  UNION
+  SELECT reach.a, links.y FROM reach JOIN links ON reach.b = links.x
+), ends AS (
+  SELECT e.vec_id, coalesce(l.k, 0) AS n_links, least(e.vec_id, coalesce(r.c, e.vec_id)) AS component_id
+  FROM embeddings e
+  LEFT JOIN (SELECT a, min(b) AS c FROM reach GROUP BY a) r ON r.a = e.vec_id
+  LEFT JOIN (SELECT x, count(*) AS k FROM links GROUP BY x) l ON l.x = e.vec_id
+)
+SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM ends
 """,
 }
