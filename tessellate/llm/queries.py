@@ -15,6 +15,7 @@ from .mixing import mix
 from .near_vectors import near_vectors
 from .order_minhash import fingerprints
 from .packing import pack_documents
+from .piece_codec import digests, encode_pieces
 from .secrets import scan_secrets
 from .toxicity import toxicity
 
@@ -59,6 +60,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op12_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digests(encode_pieces(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_near_vectors": op9_near_vectors,
     "op10_secrets": op10_secrets,
+    "op12_piece_codec": op12_piece_codec,
 }
 
 ORACLE_SQL: dict[str, str] = {
