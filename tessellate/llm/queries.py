@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
+from .hard_negatives import hard_negatives
 from .html_text import extract_text
 from .jaccard_join import jaccard_components
 from .language import identify_language
@@ -64,6 +65,10 @@ def op12_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode_pieces(table(spark, sf_dir, "documents")))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_toxicity": op2_toxicity,
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_near_vectors": op9_near_vectors,
     "op10_secrets": op10_secrets,
     "op12_piece_codec": op12_piece_codec,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -140,5 +146,27 @@ WITH RECURSIVE usable AS MATERIALIZED (
   LEFT JOIN (SELECT x, count(*) AS k FROM links GROUP BY x) l ON l.x = e.vec_id
 )
 SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM ends
+""",
+    "op13_hard_negatives": """
+WITH usable AS MATERIALIZED (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS MATERIALIZED (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same,
+         CAST(list_inner_product(a.v, b.v) AS BIGINT) AS s
+  FROM usable a JOIN usable b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+), positives AS (
+  SELECT anchor_id, other AS positive_id, s AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY s DESC, other) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.s DESC, n.other) AS INTEGER) AS rank,
+       n.other AS negative_id, p.positive_score, n.s AS negative_score
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+  AND 30 * p.positive_score <= 100 * n.s AND 100 * n.s <= 90 * p.positive_score
+QUALIFY rank <= 10
 """,
 }
