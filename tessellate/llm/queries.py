@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .collocations import collocations
 from .common import table
 from .hard_negatives import hard_negatives
 from .html_text import extract_text
@@ -61,6 +62,10 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(encode_pieces(table(spark, sf_dir, "documents")))
 
@@ -80,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_near_vectors": op9_near_vectors,
     "op10_secrets": op10_secrets,
+    "op11_collocations": op11_collocations,
     "op12_piece_codec": op12_piece_codec,
     "op13_hard_negatives": op13_hard_negatives,
 }
@@ -146,6 +152,47 @@ WITH RECURSIVE usable AS MATERIALIZED (
   LEFT JOIN (SELECT x, count(*) AS k FROM links GROUP BY x) l ON l.x = e.vec_id
 )
 SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM ends
+""",
+    "op11_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), worded AS MATERIALIZED (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), spread AS (
+  SELECT lang, 1 AS size, unnest(list_transform(w, lambda x: [x])) AS g FROM worded
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i:i + 1])) FROM worded WHERE len(w) > 1
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i:i + 2])) FROM worded WHERE len(w) > 2
+  UNION ALL SELECT lang, 4, unnest(list_transform(range(1, len(w) - 2), lambda i: w[i:i + 3])) FROM worded WHERE len(w) > 3
+), grams AS MATERIALIZED (
+  SELECT lang, size, array_to_string(g, ' ') AS p, any_value(g) AS g, count(*) AS f FROM spread
+  GROUP BY lang, size, array_to_string(g, ' ') HAVING size = 1 OR count(*) >= 30
+), candidates AS MATERIALIZED (
+  SELECT lang, size, p, g, f AS a FROM grams WHERE size > 1
+), cuts AS MATERIALIZED (
+  SELECT lang, size, p, a, k, array_to_string(list_slice(g, 1, k), ' ') AS lp, array_to_string(list_slice(g, k + 1, size), ' ') AS rp
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)
+), scored AS (
+  SELECT c.lang, c.p, c.a, k, l.f AS l, r.f AS r,
+         (2000000 * CAST(c.a AS HUGEINT)) // (CAST(l.f AS HUGEINT) + r.f) AS score
+  FROM cuts c JOIN grams l ON l.lang = c.lang AND l.size = k AND l.p = lp
+  JOIN grams r ON r.lang = c.lang AND r.size = c.size - k AND r.p = rp
+), cut AS (
+  SELECT lang, p, a, arg_min(l, row(score, k)) AS l, arg_min(r, row(score, k)) AS r, min(score) AS score FROM scored GROUP BY lang, p, a
+), longer AS (
+  SELECT lang, p, max(a) AS most FROM (
+    SELECT lang, a, array_to_string(unnest(list_transform(range(1, size), lambda i: g[i:i + 1])), ' ') AS p FROM candidates WHERE size > 2
+    UNION ALL SELECT lang, a, array_to_string(unnest(list_transform(range(1, size - 1), lambda i: g[i:i + 2])), ' ') FROM candidates WHERE size > 3
+  ) GROUP BY lang, p
+), kept AS (
+  SELECT cut.* FROM cut LEFT JOIN longer USING (lang, p) WHERE most IS NULL OR 100 * most < 80 * a
+), sizes AS (SELECT lang, sum(f) AS n FROM grams WHERE size = 1 GROUP BY lang
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank, p AS phrase, a, l, r,
+       CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM kept JOIN sizes USING (lang)
+QUALIFY rank <= 2000
 """,
     "op13_hard_negatives": """
 WITH usable AS MATERIALIZED (
