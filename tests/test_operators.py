@@ -2,10 +2,13 @@
 
 import datetime as dt
 import math
+import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 from tessellate.functions.columns import avg_rank_pct, bucketize, corr_of
+from tessellate.functions.running import Rolling, extremes_of
 from tessellate.operators import calendar as C
 from tessellate.operators import diagnostics as D
 from tessellate.operators import joins as J
@@ -71,10 +74,64 @@ def test_partitioning_changes_nothing(spark):
 
 def test_rolling_cov_uses_each_sides_own_mean(spark):
     df = spark.createDataFrame([(1, 1, 1.0, 2.0), (1, 2, 2.0, None), (1, 3, 4.0, 6.0)], "entity long, pos int, x double, y double")
-    got = df.select("pos", R.rolling_cov("x", "y", 3).alias("c")).where("pos = 3").first()["c"]
+    r = Rolling(df, {"x": F.col("x"), "y": F.col("y")}, (3,), pairs=[("x", "y")])
+    got = r.finish({"c": r.covariance("x", "y", 3)}).where("pos = 3").first()["c"]
     assert got == pytest.approx((13 - 7 / 3 * 4) * 2)
 
 
+def windows_of(values, w, t):
+    return [x for x in values[max(0, t - w + 1) : t + 1] if x is not None]
+
+
+def test_running_sums_equal_direct_windows(spark):
+    """Long windows over trends, gaps, jumps and constant stretches, to 1e-9."""
+    rng = np.random.default_rng(3)
+    series = {}
+    for e in range(1, 7):
+        xs = (100 + 3 * np.cumsum(rng.standard_normal(400)) + 50 * (e == 2) * np.arange(400)).tolist()
+        xs[40:90] = [7.0] * 50
+        series[e] = [None if rng.random() < 0.2 * (e > 3) or e == 6 and i < 150 else x for i, x in enumerate(xs)]
+    series[5][10], series[5][11] = float("nan"), float("inf")
+    rows = [(e, i, x, None if x is None or i % 9 == 0 else x * 0.5 + float(rng.standard_normal())) for e, xs in series.items() for i, x in enumerate(xs)]
+    df = spark.createDataFrame(rows, "entity long, pos int, x double, y double")
+    ws = (3, 20, 120)
+    r = Rolling(df, {"x": F.col("x"), "y": F.col("y")}, ws, spread=("x",), pairs=[("x", "y")])
+    made = {k: v for w in ws for k, v in {f"mean_{w}": r.mean("x", w), f"sum_{w}": r.total("y", w), f"sd_{w}": r.deviation("x", w), f"cov_{w}": r.covariance("x", "y", w)}.items()}
+    got = {(row["entity"], row["pos"]): row for row in extremes_of(r.finish(made), [("hi", F.col("x"), True, ws), ("lo", F.col("x"), False, (5,))]).collect()}
+    near = lambda x, scale=1.0: None if x is None else pytest.approx(x, rel=1e-9, abs=1e-9 * scale)
+    ys = {(e, i): y for e, i, _, y in rows}
+    for e, xs in series.items():
+        xs = [x if x is not None and math.isfinite(x) else None for x in xs]
+        for t in range(400):
+            row = got[e, t]
+            for w in ws:
+                own, least = windows_of(xs, w, t), math.ceil(w * 0.6)
+                there = len(own) >= least
+                assert row[f"mean_{w}"] == near(float(np.mean(own)) if there else None)
+                sd = float(np.std(own, ddof=1)) if there and len(own) > 1 else None
+                assert row[f"sd_{w}"] == near(0.0 if sd is not None and len(set(own)) == 1 else sd, 1e3)
+                places = range(max(0, t - w + 1), t + 1)
+                y = [v for i in places if (v := ys[e, i]) is not None and math.isfinite(v)]
+                assert row[f"sum_{w}"] == near(sum(y) if len(y) >= least else None, 1e3)
+                both = [(xs[i], ys[e, i]) for i in places if xs[i] is not None and ys[e, i] is not None and math.isfinite(ys[e, i])]
+                n = len(both)
+                cov = (sum(a * b for a, b in both) / n - np.mean(own) * np.mean(y)) * n / (n - 1) if n > 1 and n >= least else None
+                assert row[f"cov_{w}"] == near(cov, 1e5)
+                if e != 5:  # no NaN, which ranks above all numbers
+                    assert row[f"hi_{w}"] == max(own, default=None)
+            if e != 5:
+                assert row["lo_5"] == min(windows_of(xs, 5, t), default=None)
+
+
+def test_rolling_plans_hold_no_frame_of_a_window(spark):
+    """Every frame begins at an entity's first row or is the offset of a lag."""
+    p = make_panel(spark, {1: [10.0, 11.0, 12.0]})
+    plan = R.feature_frame(p, (20, 120))._jdf.queryExecution().executedPlan().toString()
+    frames = set(re.findall(r"specifiedwindowframe\(RowFrame, ([^)]*)\)", plan))
+    ends = {f for f in frames if "unboundedpreceding" not in f}
+    assert frames and all(len(set(x.strip() for x in f.replace("currentrow$()", "0").split(","))) == 1 for f in ends), frames
+
+
 def test_ranks_average_ties_and_skip_ineligible(spark):
     df = spark.createDataFrame([("a", 1.0, True), ("b", 2.0, True), ("c", 2.0, True), ("d", 9.0, False), ("e", None, True)], "k string, x double, ok boolean").withColumn("s", F.lit(1))
     got = {r["k"]: r["p"] for r in df.select("k", avg_rank_pct("x", ["s"], F.col("ok")).alias("p")).collect()}
