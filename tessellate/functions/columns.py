@@ -97,3 +97,14 @@ def corr_of(x: Column | str, y: Column | str) -> Column:
     x, y = F.when(both, x), F.when(both, y)
     sd = F.stddev_pop(x) * F.stddev_pop(y)
     return F.when(sd > 1e-14, (F.avg(x * y) - F.avg(x) * F.avg(y)) / sd)
+
+
+def place_in(edges: Column | str, x: Column | str, most: int) -> Column:
+    """How many of the edges, an ascending array of at most `most`, are at or below x,
+    by halving."""
+    edges, x = col(edges), col(x)
+    middle = lambda a: F.floor((a["lo"] + a["hi"]) / 2).cast("int")
+    step = lambda a, _: F.when(a["lo"] >= a["hi"], a).otherwise(
+        F.when(F.get(edges, middle(a)) <= x, F.struct((middle(a) + 1).alias("lo"), a["hi"].alias("hi"))).otherwise(F.struct(a["lo"].alias("lo"), middle(a).alias("hi")))
+    )
+    return F.aggregate(F.sequence(F.lit(1), F.lit(max(1, most).bit_length())), F.struct(F.lit(0).alias("lo"), F.size(edges).alias("hi")), step)["lo"]

@@ -7,27 +7,65 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import finite
+from ..functions.columns import finite, place_in
 
 
-def quantile_edges(reference: DataFrame, by: Sequence[str], x: str, bins: int) -> DataFrame:
-    """K1: the inner edges of equal-frequency bins, each once; the outer bins are open."""
-    q = F.percentile(finite(x), F.array(*[F.lit(i / bins) for i in range(1, bins)]))
-    return reference.groupBy(*by).agg(F.array_distinct(q).alias("edges"))
+def value_counts(rows: DataFrame, by: Sequence[str], x: str) -> DataFrame:
+    """(by, value, n): how often each group has each value; what isn't finite is null."""
+    return rows.groupBy(*by, finite(x).alias("value")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def binned(rows: DataFrame, edges: DataFrame, by: Sequence[str], x: str) -> DataFrame:
-    """K2: adds `bin`, the number of edges at or below x; -1 where x is missing."""
-    both = rows.join(edges, list(by))
-    return both.withColumn("bin", F.when(finite(x).isNull(), F.lit(-1)).otherwise(F.size(F.filter("edges", lambda e: e <= F.col(x)))))
+def _ranged(counts: DataFrame, by: Sequence[str], ranges: int) -> DataFrame:
+    """counts without missing values, with `range`: each group cut into about as many
+    ranges of values of like size, so that no group is put in order by one task."""
+    real = counts.where("value IS NOT NULL")
+    at = F.array(*[F.lit(i / ranges) for i in range(1, max(ranges, 2))])
+    cuts = real.groupBy(*by).agg(F.percentile_approx("value", at, F.lit(max(1000, 10 * ranges))).alias("_cuts"))
+    return real.join(cuts, list(by)).withColumn("range", place_in("_cuts", "value", ranges)).drop("_cuts")
 
 
-def psi(reference: DataFrame, current: DataFrame, edges: DataFrame, by: Sequence[str], period: str, x: str, epsilon: float = 1e-6) -> DataFrame:
-    """K2: population stability index of each group and period against the
-    reference, missing values as a bin of their own and shares at least epsilon."""
-    ref = binned(reference, edges, by, x).groupBy(*by, "bin").agg(F.count(F.lit(1)).alias("r"))
+def _before(ranged: DataFrame, by: Sequence[str], n: str, name: str) -> DataFrame:
+    """(by, range): the sum of n in a group's earlier ranges, and in all of them (name_all)."""
+    totals = ranged.groupBy(*by, "range").agg(F.sum(n).alias("_t"))
+    w = Window.partitionBy(*by)
+    earlier = F.sum("_t").over(w.orderBy("range").rowsBetween(Window.unboundedPreceding, -1))
+    return totals.select(*by, "range", F.coalesce(earlier, F.lit(0)).alias(name), F.sum("_t").over(w).alias(f"{name}_all"))
+
+
+def _parts(df: DataFrame, ranges: int | None) -> int:
+    return ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def exact_edges(counts: DataFrame, by: Sequence[str], bins: int, ranges: int | None = None) -> DataFrame:
+    """K1: from value counts, the inner edges of equal-frequency bins (quantiles between
+    the two nearest values), each once; none where a group has no value. The wanted ranks lie in a few ranges of values; counts before
+    a range and inside it say which values hold them."""
+    ranged = _ranged(counts, by, _parts(counts, ranges))
+    placed = ranged.join(_before(ranged, by, "n", "_b"), [*by, "range"])
+    inside = Window.partitionBy(*by, "range").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+    placed = placed.withColumn("_below", F.col("_b") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    at = [(F.col("_b_all") - 1) * F.lit(i / bins) for i in range(1, bins)]
+    ranks = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), rank(h).cast("long").alias("rank"), h.alias("h")) for i, h in enumerate(at) for side, rank in (("lo", F.floor), ("hi", F.ceil))])
+    held = F.filter(ranks, lambda r: (r["rank"] >= F.col("_below")) & (r["rank"] < F.col("_below") + F.col("n")))
+    hits = placed.select(*by, "value", F.explode(held).alias("r"))
+    pick = lambda side: F.max(F.when(F.col("r.side") == side, F.col("value")))
+    one = hits.groupBy(*by, F.col("r.i").alias("i")).agg(pick("lo").alias("lo"), pick("hi").alias("hi"), F.max("r.h").alias("h"))
+    between = F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise((F.ceil("h") - F.col("h")) * F.col("lo") + (F.col("h") - F.floor("h")) * F.col("hi"))
+    found = one.groupBy(*by).agg(F.array_distinct(F.sort_array(F.collect_list(between))).alias("edges"))
+    return counts.select(*by).distinct().join(found, list(by), "left").withColumn("edges", F.coalesce("edges", F.array().cast("array<double>")))
+
+
+def binned(counts: DataFrame, edges: DataFrame, by: Sequence[str], bins: int) -> DataFrame:
+    """K2: adds `bin`, the number of edges at or below the value; -1 where it is missing."""
+    return counts.join(edges, list(by)).withColumn("bin", F.when(F.col("value").isNull(), F.lit(-1)).otherwise(place_in("edges", "value", bins)))
+
+
+def psi(reference: DataFrame, current: DataFrame, edges: DataFrame, by: Sequence[str], period: str, bins: int, epsilon: float = 1e-6) -> DataFrame:
+    """K2: population stability index of each group and period against the reference,
+    from value counts; missing values are a bin of their own and shares at least epsilon."""
+    ref = binned(reference, edges, by, bins).groupBy(*by, "bin").agg(F.sum("n").alias("r"))
     ref = ref.withColumn("r", F.col("r") / F.sum("r").over(Window.partitionBy(*by)))
-    cur = binned(current, edges, by, x).groupBy(*by, period, "bin").agg(F.count(F.lit(1)).alias("c"))
+    cur = binned(current, edges, by, bins).groupBy(*by, period, "bin").agg(F.sum("n").alias("c"))
     cur = cur.withColumn("c", F.col("c") / F.sum("c").over(Window.partitionBy(*by, period)))
     grid = cur.select(*by, period).distinct().join(edges, list(by)).withColumn("bin", F.explode(F.sequence(F.lit(-1), F.size("edges")))).drop("edges")
     both = grid.join(cur, [*by, period, "bin"], "left").join(ref, [*by, "bin"], "left")
@@ -35,38 +73,50 @@ def psi(reference: DataFrame, current: DataFrame, edges: DataFrame, by: Sequence
     return both.groupBy(*by, period).agg(F.sum((share("c") - share("r")) * F.ln(share("c") / share("r"))).alias("psi"))
 
 
-def ks(reference: DataFrame, current: DataFrame, by: Sequence[str], period: str, x: str) -> DataFrame:
-    """K3: the largest distance between the two distribution functions, from counts
-    of distinct values and their running sums."""
-    ref = reference.select(*by, finite(x).alias("_x")).where("_x IS NOT NULL").groupBy(*by, "_x").agg(F.count(F.lit(1)).alias("r"))
-    cur = current.select(*by, period, finite(x).alias("_x")).where("_x IS NOT NULL").groupBy(*by, period, "_x").agg(F.count(F.lit(1)).alias("c"))
-    periods = cur.select(*by, period).distinct()
-    both = cur.withColumn("r", F.lit(0).cast("long")).unionByName(periods.join(ref, list(by)).withColumn("c", F.lit(0).cast("long")))
-    one = both.groupBy(*by, period, "_x").agg(F.sum("c").alias("c"), F.sum("r").alias("r"))
-    w = Window.partitionBy(*by, period)
-    run = w.orderBy("_x").rowsBetween(Window.unboundedPreceding, 0)
-    gap = F.abs(F.sum("c").over(run) / F.sum("c").over(w) - F.sum("r").over(run) / F.sum("r").over(w))
-    return one.withColumn("_d", gap).groupBy(*by, period).agg(F.max("_d").alias("ks"))
-
-
-def bounded(rows: DataFrame, by: Sequence[str], most: int, key: Sequence[str]) -> DataFrame:
-    """About `most` rows of each group by a hash of key, all rows of smaller groups:
-    what exact quantiles and distribution functions are worked out on."""
+def ks(reference: DataFrame, current: DataFrame, by: Sequence[str], period: str, ranges: int | None = None) -> DataFrame:
+    """K3: the largest distance between the two distribution functions of each group and
+    period, from value counts; null where the reference has no value.
+
+    The distance is largest at one of the period's own values or just before it, so
+    the reference is put in order once with the values of all periods, not once for each."""
+    none = F.lit(0).cast("long")
+    ref = reference.select(*by, "value", F.col("n").alias("r"), F.lit(None).cast(dict(current.dtypes)[period]).alias(period), none.alias("c"))
+    both = ref.unionByName(current.select(*by, "value", none.alias("r"), period, F.col("n").alias("c")))
+    ranged = _ranged(both, by, _parts(both, ranges))
+    mine = ranged.where("c > 0")
+    w = Window.partitionBy(*by, "range")
+    upto = F.sum("r").over(w.orderBy("value").rangeBetween(Window.unboundedPreceding, 0))
+    equal = F.sum("r").over(Window.partitionBy(*by, "range", "value"))
+    own = F.sum("c").over(Window.partitionBy(*by, "range", period).orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
+    run = ranged.withColumns({"_r": upto, "_re": equal, "_c": own}).where("c > 0")
+    run = run.join(_before(ranged, by, "r", "_rb"), [*by, "range"]).join(_before(mine, [*by, period], "c", "_cb"), [*by, period, "range"])
+    share = lambda part, before: (F.col(before) + part) / F.col(f"{before}_all")
+    r, c, left = F.col("_r"), F.col("_c"), F.when(F.col("_rb_all") > 0, F.lit(True))
+    gap = F.greatest(F.abs(share(c, "_cb") - share(r, "_rb")), F.abs(share(c - F.col("c"), "_cb") - share(r - F.col("_re"), "_rb")))
+    return run.groupBy(*by, period).agg(F.max(F.when(left, gap)).alias("ks"))
+
+
+def drawn(rows: DataFrame, by: Sequence[str], most: int, key: Sequence[str]) -> DataFrame:
+    """About `most` rows of each group by a hash of key, all rows of smaller groups."""
     space = 1 << 30
     sizes = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
     kept = F.pmod(F.xxhash64(*key), F.lit(space)) < F.lit(float(most)) / F.col("_size") * space
-    return rows.join(F.broadcast(sizes), list(by)).where((F.col("_size") <= most) | kept).drop("_size")
-
-
-def feature_drift(reference: DataFrame, current: DataFrame, by: Sequence[str], period: str, x: str, bins: int = 10, key: Sequence[str] = ("entity", "session"), most_reference: int = 200_000, most_current: int = 50_000) -> DataFrame:
-    """K4, K5: coverage, PSI and KS of each group and period. Coverage is of all rows;
-    PSI and KS are worked out on about most_reference rows of a group's reference and
-    most_current rows of each of its periods, drawn by a hash of key, and on all rows
-    where there are no more."""
-    cover = current.groupBy(*by, period).agg(F.avg(finite(x).isNotNull().cast("double")).alias("coverage"), F.count(F.lit(1)).alias("n"))
-    reference, current = bounded(reference, by, most_reference, key), bounded(current, [*by, period], most_current, key)
-    edges = quantile_edges(reference, by, x, bins)
-    return cover.join(psi(reference, current, edges, by, period, x), [*by, period], "left").join(ks(reference, current, by, period, x), [*by, period], "left")
+    return rows.join(sizes, list(by)).where((F.col("_size") <= most) | kept).drop("_size")
+
+
+def feature_drift(reference: DataFrame, current: DataFrame, by: Sequence[str], period: str, x: str, bins: int = 10, key: Sequence[str] = ("entity", "session"), most_reference: int | None = None, most_current: int | None = None, ranges: int | None = None) -> DataFrame:
+    """K4, K5: coverage, PSI and KS of each group and period, exact on all rows: reference and
+    current are each read once, as value counts, and all else is made of these.
+
+    With most_reference or most_current, PSI and KS are of about as many rows of a group's reference or of each of
+    its periods, drawn by a hash of key; coverage is of all rows still."""
+    ref = value_counts(drawn(reference, by, most_reference, key) if most_reference else reference, by, x)
+    every = value_counts(current, [*by, period], x)
+    cur = value_counts(drawn(current, [*by, period], most_current, key), [*by, period], x) if most_current else every
+    there = F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0))
+    cover = every.groupBy(*by, period).agg((there / F.sum("n")).alias("coverage"), F.sum("n").alias("n"))
+    edges = exact_edges(ref, by, bins, ranges)
+    return cover.join(psi(ref, cur, edges, by, period, bins), [*by, period], "left").join(ks(ref, cur, by, period, ranges), [*by, period], "left")
 
 
 def first_periods(rows: DataFrame, period: str, n: int) -> DataFrame:

@@ -3,11 +3,56 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
+@dataclass(frozen=True)
+class Expected:
+    """A table that should be there: its folder, key, further required columns, and
+    whether it may be absent or empty."""
+
+    name: str
+    path: str
+    key: tuple[str, ...]
+    required: tuple[str, ...] = ()
+    optional: bool = False
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(at)
+
+
+def table_set_status(spark: SparkSession, tables: Sequence[Expected]) -> DataFrame:
+    """A row for each table: table, status, n_rows, duplicates (rows beyond the first
+    of their key) and missing_columns. The status is `missing` (a required table that isn't
+    there), `skipped` (an optional one that is absent or empty), `empty`, `invalid` (columns
+    missing, or a key that isn't unique) or `valid`.
+
+    The driver lists folders and schemas only. The tables that are there are counted in one
+    plan, each by its distinct keys, so no table passes through one task."""
+    shape = "`table` string, status string, n_rows long, duplicates long, missing_columns string"
+    absent = [(t.name, "skipped" if t.optional else "missing", 0, 0, "") for t in tables if not _exists(spark, t.path)]
+    out = spark.createDataFrame(absent, shape)
+    for t in tables:
+        if any(t.name == name for name, *_ in absent):
+            continue
+        rows = spark.read.parquet(t.path)
+        lacking = [c for c in (*t.key, *t.required) if c not in rows.columns]
+        if set(t.key) <= set(rows.columns):
+            keyed = rows.groupBy(*t.key).agg(F.count(F.lit(1)).alias("n"))
+            counted = keyed.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"))
+        else:
+            counted = rows.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(0).cast("long").alias("duplicates"))
+        bad = F.lit(bool(lacking)) | (F.col("duplicates") > 0)
+        state = F.when(F.col("n_rows") == 0, "skipped" if t.optional else "empty").when(bad, "invalid").otherwise("valid")
+        out = out.unionByName(counted.select(F.lit(t.name).alias("table"), state.alias("status"), "n_rows", "duplicates", F.lit(",".join(lacking)).alias("missing_columns")))
+    return out
+
+
 def status(df: DataFrame, required: Sequence[str], key: Sequence[str], table: str) -> DataFrame:
     """One row: missing columns, rows, duplicate keys, null keys, and the
     table's class (missing_columns, empty, invalid or valid)."""

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import uuid
-import zlib
 
 from pyspark.sql import functions as F
 
@@ -398,39 +397,41 @@ def merged(spark, sf):
 ORDERS = S.TableSpec("orders", ("o_orderkey",), "day", "o_orderkey long, o_custkey long, o_totalprice double, day date")
 
 
-def _root(spark, sf, name):
-    """A folder for the tables that a query writes, the same for each run over sf."""
+def _root(spark, name):
+    """A new folder for the tables that a query writes, so that runs don't meet. Their
+    results still read it, so it is left to whoever clears the shared folder."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{shared.rstrip('/')}/store-{zlib.crc32(sf.encode()):08x}/{name}"
+    return f"{shared.rstrip('/')}/store-{uuid.uuid4().hex}/{name}"
 
 
 def stored_orders(spark, sf, name):
     """orders written to a store by month, in two upserts that overlap: at first the
-    orders of before 1996 at half their price, then all from 1993 on."""
-    root, day = _root(spark, sf, name), F.to_date("o_orderdate").alias("day")
+    orders of before 1998 at half their price, then all from 1996 on, so that those of
+    1995 stay as they were and those of 1996 and 1997 are replaced."""
+    root, day = _root(spark, name), F.to_date("o_orderdate").alias("day")
     o = read(spark, sf, "orders")
-    early = o.where("o_orderdate < '1996-01-01'").select("o_orderkey", "o_custkey", (F.col("o_totalprice") / 2).alias("o_totalprice"), day)
+    early = o.where("o_orderdate < '1998-01-01'").select("o_orderkey", "o_custkey", (F.col("o_totalprice") / 2).alias("o_totalprice"), day)
     S.upsert(spark, root, ORDERS, early)
-    S.upsert(spark, root, ORDERS, o.where("o_orderdate >= '1993-01-01'").select("o_orderkey", "o_custkey", "o_totalprice", day))
+    S.upsert(spark, root, ORDERS, o.where("o_orderdate >= '1996-01-01'").select("o_orderkey", "o_custkey", "o_totalprice", day))
     return root
 
 
-_STORED = "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, CASE WHEN o_orderdate >= DATE '1993-01-01' THEN o_totalprice ELSE o_totalprice / 2 END AS price FROM orders"
+_STORED = "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, CASE WHEN o_orderdate >= DATE '1996-01-01' THEN o_totalprice ELSE o_totalprice / 2 END AS price FROM orders"
 
 
-@query("a01_a02_scan", f"SELECT o_orderkey, day, round(price, 6) AS o_totalprice FROM ({_STORED}) WHERE day BETWEEN DATE '1992-11-20' AND DATE '1993-02-10'")
+@query("a01_a02_scan", f"SELECT o_orderkey, day, round(price, 6) AS o_totalprice FROM ({_STORED}) WHERE day BETWEEN DATE '1995-11-20' AND DATE '1996-02-10'")
 def scan(spark, sf):
-    return S.scan_table(spark, stored_orders(spark, sf, "scan"), ORDERS, "1992-11-20", "1993-02-10", ("o_orderkey", "day", "o_totalprice"))
+    return S.scan_table(spark, stored_orders(spark, sf, "scan"), ORDERS, "1995-11-20", "1996-02-10", ("o_orderkey", "day", "o_totalprice"))
 
 
-@query("a02_session_scan", f"SELECT o_orderkey, round(price, 6) AS o_totalprice FROM ({_STORED}) WHERE day = DATE '1994-05-02'")
+@query("a02_session_scan", f"SELECT o_orderkey, round(price, 6) AS o_totalprice FROM ({_STORED}) WHERE day = DATE '1995-06-19'")
 def session_scan(spark, sf):
-    return S.scan_table(spark, stored_orders(spark, sf, "session"), ORDERS, "1994-05-02", "1994-05-02", ("o_orderkey", "o_totalprice"))
+    return S.scan_table(spark, stored_orders(spark, sf, "session"), ORDERS, "1995-06-19", "1995-06-19", ("o_orderkey", "o_totalprice"))
 
 
 @query("a04_snapshot", "SELECT o_custkey, o_orderkey, round(o_totalprice, 6) AS o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders) WHERE n = 1")
 def snapshot(spark, sf):
-    path = _root(spark, sf, "snapshot")
+    path = _root(spark, "snapshot")
     S.replace_snapshot(read(spark, sf, "orders"), path, ["o_custkey"], ["o_orderdate", "o_orderkey"])
     return spark.read.parquet(path).select("o_custkey", "o_orderkey", "o_totalprice")
 
@@ -443,7 +444,7 @@ def metric_files(spark, sf):
     m = read(spark, sf, "orders").groupBy(F.col("o_orderstatus").alias("status")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("o_totalprice") + 1e-9, 2).alias("total"))
     out = []
     for kind in ("csv", "json"):
-        path = _root(spark, sf, f"metrics-{kind}")
+        path = _root(spark, f"metrics-{kind}")
         S.write_metrics(m, path, kind)
         rows = spark.read.schema(m.schema)
         out.append((rows.option("header", True).csv(path) if kind == "csv" else rows.json(path)).select(F.lit(kind).alias("kind"), "*"))
@@ -452,7 +453,7 @@ def metric_files(spark, sf):
 
 @query("j18_event_log", "SELECT DATE '2024-01-02' AS date, 'orders' AS \"table\", 'priced' AS rule, count(*) FILTER (o_totalprice <= 1000) AS violations FROM orders UNION ALL SELECT DATE '2024-01-02', 'orders', 'open', count(*) FILTER (o_orderstatus = 'O') FROM orders UNION ALL SELECT DATE '2024-01-03', 'lineitem', 'returned', count(*) FILTER (l_returnflag = 'R') FROM lineitem")
 def event_log(spark, sf):
-    path = f"{_root(spark, sf, 'events')}-{uuid.uuid4().hex}"
+    path = _root(spark, "events")
     c = F.col
     S.append_events(Q.rule_table(read(spark, sf, "orders"), {"priced": c("o_totalprice") <= 1000, "open": c("o_orderstatus") == "O"}, "orders"), path, "2024-01-02")
     S.append_events(Q.rule_table(read(spark, sf, "lineitem"), {"returned": c("l_returnflag") == "R"}, "lineitem"), path, "2024-01-03")
@@ -464,6 +465,44 @@ def table_status(spark, sf):
     return S.table_status(panel(spark, sf), "session", ["traded"])
 
 
+@query("a06_footer_statistics", f"SELECT count(*) AS n_rows, count(price) AS n_priced, count(DISTINCT date_trunc('month', day)) AS n_partitions, min(day) AS first, max(day) AS last FROM ({_STORED})")
+def footer_statistics(spark, sf):
+    return S.footer_statistics(spark, stored_orders(spark, sf, "footers"), ORDERS, ["o_totalprice"]).withColumnRenamed("n_o_totalprice", "n_priced")
+
+
+@query("a06_schema", "SELECT * FROM (VALUES ('day', 'date', true), ('month', 'int', true), ('o_custkey', 'bigint', true), ('o_orderkey', 'bigint', true), ('o_totalprice', 'double', true), ('year', 'int', true)) t(column_name, data_type, nullable)")
+def schema(spark, sf):
+    return S.schema_table(spark, stored_orders(spark, sf, "schema"), ORDERS)
+
+
+@query(
+    "j01_table_set",
+    "WITH o AS (SELECT count(*) AS n FROM orders), l AS (SELECT count(*) AS n, count(*) - count(DISTINCT l_orderkey) AS d FROM lineitem) "
+    "SELECT 'orders' AS \"table\", 'valid' AS status, n AS n_rows, 0 AS duplicates, '' AS missing_columns FROM o "
+    "UNION ALL SELECT 'lines', CASE WHEN d > 0 THEN 'invalid' ELSE 'valid' END, n, d, '' FROM l "
+    "UNION ALL SELECT 'unpriced', 'invalid', n, 0, 'o_price' FROM o "
+    "UNION ALL SELECT 'keyless', 'invalid', n, 0, 'o_key' FROM o "
+    "UNION ALL SELECT * FROM (VALUES ('hollow', 'empty', 0, 0, ''), ('hollow_optional', 'skipped', 0, 0, ''), ('absent', 'missing', 0, 0, ''), ('absent_optional', 'skipped', 0, 0, '')) v",
+)
+def table_set(spark, sf):
+    hollow = _root(spark, "hollow")
+    read(spark, sf, "orders").limit(0).write.parquet(hollow)
+    at = lambda t: f"{sf}/{t}.parquet"
+    return Q.table_set_status(
+        spark,
+        [
+            Q.Expected("orders", at("orders"), ("o_orderkey",), ("o_orderdate",)),
+            Q.Expected("lines", at("lineitem"), ("l_orderkey",)),
+            Q.Expected("unpriced", at("orders"), ("o_orderkey",), ("o_price",)),
+            Q.Expected("keyless", at("orders"), ("o_key",)),
+            Q.Expected("hollow", hollow, ("o_orderkey",)),
+            Q.Expected("hollow_optional", hollow, ("o_orderkey",), optional=True),
+            Q.Expected("absent", f"{hollow}-absent", ("k",)),
+            Q.Expected("absent_optional", f"{hollow}-absent", ("k",), optional=True),
+        ],
+    )
+
+
 @query("a09_incremental_start", f"{PANEL}, m AS (SELECT max(pos) AS p FROM cal WHERE session <= DATE '1997-07-01') SELECT session FROM cal, m WHERE pos = greatest(1, p - 10)")
 def incremental(spark, sf):
     return S.incremental_start(calendar(spark, sf), bars(spark, sf).where(F.col("session") <= F.to_date(F.lit("1997-07-01"))), "session", 10)

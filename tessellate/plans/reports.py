@@ -151,9 +151,9 @@ def by_model(spark, sf):
     return M.daily_performance(r, ["model_id"]).drop("rank_ic").join(mono, "model_id")
 
 
-@query("j06_eras_and_samples", f"{PANEL}, v AS (SELECT *, CASE WHEN session < DATE '1995-01-01' THEN 'early' ELSE 'late' END AS era, CAST(entity AS VARCHAR) || '|' || CAST(session AS VARCHAR) AS key FROM panel WHERE traded), b AS (SELECT era, 'close_at_low' AS rule, key FROM v WHERE close = low AND high > low UNION ALL SELECT era, 'open_at_high', key FROM v WHERE open = high AND high > low) SELECT era, rule, max(n) AS violations, string_agg(key, ',' ORDER BY key) AS samples FROM (SELECT *, row_number() OVER (PARTITION BY era, rule ORDER BY key) AS r, count(*) OVER (PARTITION BY era, rule) AS n FROM b) WHERE r <= 3 GROUP BY 1, 2")
+@query("j06_eras_and_samples", f"{PANEL}, v AS (SELECT *, CASE WHEN session < DATE '1998-01-01' THEN 'early' ELSE 'late' END AS era, CAST(entity AS VARCHAR) || '|' || CAST(session AS VARCHAR) AS key FROM panel WHERE traded), b AS (SELECT era, 'close_at_low' AS rule, key FROM v WHERE close = low AND high > low UNION ALL SELECT era, 'open_at_high', key FROM v WHERE open = high AND high > low) SELECT era, rule, max(n) AS violations, string_agg(key, ',' ORDER BY key) AS samples FROM (SELECT *, row_number() OVER (PARTITION BY era, rule ORDER BY key) AS r, count(*) OVER (PARTITION BY era, rule) AS n FROM b) WHERE r <= 3 GROUP BY 1, 2")
 def eras(spark, sf):
-    p = panel(spark, sf).where("traded").withColumn("era", F.when(F.col("session") < F.to_date(F.lit("1995-01-01")), "early").otherwise("late"))
+    p = panel(spark, sf).where("traded").withColumn("era", F.when(F.col("session") < F.to_date(F.lit("1998-01-01")), "early").otherwise("late"))
     c = F.col
     return Q.violation_samples(p, {"close_at_low": (c("close") == c("low")) & (c("high") > c("low")), "open_at_high": (c("open") == c("high")) & (c("high") > c("low"))}, KEY, "era")
 

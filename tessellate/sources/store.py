@@ -87,6 +87,36 @@ def table_status(df: DataFrame, date: str, flags: Sequence[str] = ()) -> DataFra
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.countDistinct(F.date_trunc("month", date)).alias("n_months"), F.min(date).alias("first"), F.max(date).alias("last"), *[F.count_if(F.coalesce(F.col(f), F.lit(False))).alias(f"n_{f}") for f in flags])
 
 
+def _reading_footers(spark: SparkSession) -> SparkSession:
+    """A session of the same application whose Parquet scans answer counts, least and
+    greatest values from the files' footers."""
+    own = spark.newSession()
+    v1 = [x for x in own.conf.get("spark.sql.sources.useV1SourceList", "").split(",") if x.strip().lower() != "parquet"]
+    own.conf.set("spark.sql.sources.useV1SourceList", ",".join(v1))
+    own.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    return own
+
+
+def footer_statistics(spark: SparkSession, root: str, spec: TableSpec, counted: Sequence[str] = ()) -> DataFrame:
+    """Rows, partitions, first and last date of a stored table, and for each of
+    `counted` how many rows have a value (n_...), without reading a data page: the
+    aggregate by partition goes down to the scan, which takes it from the footers. Files
+    without statistics fail there; table_status reads the rows instead."""
+    table = spec.read(_reading_footers(spark), root)
+    by_month = table.groupBy("year", "month").agg(F.count(F.lit(1)).alias("_n"), F.min(spec.date).alias("_first"), F.max(spec.date).alias("_last"), *[F.count(c).alias(f"_n_{c}") for c in counted])
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return by_month.agg(zero("_n").alias("n_rows"), F.count(F.lit(1)).alias("n_partitions"), F.min("_first").alias("first"), F.max("_last").alias("last"), *[zero(f"_n_{c}").alias(f"n_{c}") for c in counted])
+
+
+def schema_table(spark: SparkSession, root: str, spec: TableSpec) -> DataFrame:
+    """A row for each column that any file of a stored table has: column_name,
+    data_type, nullable. Footers are merged by tasks; only their schemas are read."""
+    merged_schema = spark.read.option("mergeSchema", "true").parquet(spec.path(root)).schema
+    rows = [(f.name, f.dataType.simpleString(), f.nullable) for f in merged_schema]
+    return spark.createDataFrame(rows, "column_name string, data_type string, nullable boolean")
+
+
 def content_hash(df: DataFrame) -> DataFrame:
     """A hash of a table's rows that doesn't depend on their order: the count, and
     the sum and exclusive or of 60 bits of each row's MD5. Values count by their strings,

@@ -11,6 +11,7 @@ from tessellate.functions.columns import avg_rank_pct, bucketize, corr_of
 from tessellate.functions.running import Rolling, extremes_of
 from tessellate.operators import calendar as C
 from tessellate.operators import diagnostics as D
+from tessellate.operators import drift as K
 from tessellate.operators import joins as J
 from tessellate.operators import labels as L
 from tessellate.operators import model as T
@@ -283,3 +284,43 @@ def test_history_percentile_matches_pairs(spark):
         before = [x for k, i, x in values if k == r["k"] and i < r["i"]]
         want = sum(x <= r["x"] for x in before) / len(before) if before else None
         assert r["history_pct"] == (want if want is None else pytest.approx(want))
+
+
+def test_drift_is_exact_whatever_the_ranges(spark):
+    """Edges, PSI and KS against numpy, with ties, missing and infinite values, a group without reference values."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for f in ("a", "b", "ties", "none"):
+        for p in range(4):
+            for i in range(300):
+                x = {"a": rng.normal(), "b": 1e6 * rng.exponential() + p, "ties": float(rng.integers(0, 4)), "none": None if p == 0 else 1.0}[f]
+                x = None if rng.random() < 0.05 else float("inf") if rng.random() < 0.02 else x
+                rows.append((f, p, i, None if x is None else float(x)))
+    df = spark.createDataFrame(rows, "feature string, period int, id int, x double")
+    ref, cur = df.where("period = 0"), df.where("period > 0")
+    results = []
+    for ranges in (1, 3, 40):
+        got = {(r["feature"], r["period"]): r for r in K.feature_drift(ref, cur, ["feature"], "period", "x", ranges=ranges, key=["id"]).collect()}
+        results.append({k: (round(v["psi"], 9), v["ks"] and round(v["ks"], 9)) for k, v in got.items()})
+        for f in ("a", "b", "ties", "none"):
+            own = lambda p, f=f: [x for g, q, _, x in rows if g == f and q == p]
+            clean = lambda xs: np.sort([x for x in xs if x is not None and math.isfinite(x)])
+            left = clean(own(0))
+            edges = np.unique(np.quantile(left, np.linspace(0, 1, 11)[1:-1])) if len(left) else np.array([])
+            found = {r["feature"]: r["edges"] for r in K.exact_edges(K.value_counts(ref, ["feature"], "x"), ["feature"], 10, ranges).collect()}
+            assert found[f] == pytest.approx(edges.tolist(), rel=1e-12)
+            share = lambda xs: np.clip(np.bincount([0 if x is None or not math.isfinite(x) else 1 + int((edges <= x).sum()) for x in xs], minlength=len(edges) + 2) / len(xs), 1e-6, None)  # noqa: E731, B023
+            for p in (1, 2, 3):
+                right = clean(own(p))
+                r, c = share(own(0)), share(own(p))
+                assert got[f, p]["psi"] == pytest.approx(float(((c - r) * np.log(c / r)).sum()), rel=1e-9)
+                assert got[f, p]["coverage"] == pytest.approx(len(right) / 300) and got[f, p]["n"] == 300
+                if not len(left):
+                    assert got[f, p]["ks"] is None
+                    continue
+                support = np.concatenate([left, right])
+                want = np.abs(np.searchsorted(left, support, side="right") / len(left) - np.searchsorted(right, support, side="right") / len(right)).max()
+                assert got[f, p]["ks"] == pytest.approx(want, rel=1e-12)
+    assert results[0] == results[1] == results[2]
+    few = K.feature_drift(ref, cur, ["feature"], "period", "x", key=["id"], most_reference=100, most_current=50).collect()
+    assert len(few) == 12 and all(r["n"] == 300 for r in few)

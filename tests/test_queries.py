@@ -9,6 +9,8 @@ import pytest
 from tessellate.plans import catalog
 
 SF = "/root/testdata/sf0.001"
+#: Queries whose right answer on these tables is no row.
+MAY_BE_EMPTY = {"i02_i06_ic_statistics"}  # ten entities are too few
 
 
 @pytest.fixture(scope="module")
@@ -43,6 +45,7 @@ def test_query_equals_sql(name, spark, duck):
     theirs = duck.sql(catalog.ORACLE_SQL[name]).df()
     columns = sorted(ours.columns)
     assert columns == sorted(theirs.columns)
+    assert len(ours) or name in MAY_BE_EMPTY, "two empty tables prove nothing"
     assert rows(ours, columns) == rows(theirs, columns)
 
 
