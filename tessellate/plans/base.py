@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..operators.calendar import open_sessions
 from ..operators.panel import bars_of, densify
+from ..sources.builds import keep_in_buckets
 
 ORDER = ("l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity")
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,33 +27,69 @@ def week(c: str) -> Column:
     return F.to_date(F.date_trunc("week", F.col(c)))
 
 
-def bars(spark: SparkSession, sf: str, since: str | None = None) -> DataFrame:
-    """Bars by week; with a date, those of its week and later ones, by a bound that the
-    scan can use."""
-    rows = read(spark, sf, "lineitem")
-    if since:
-        rows = rows.where(F.col("l_shipdate") >= F.date_trunc("week", F.lit(since).cast("timestamp")))
-    return bars_of(rows, "l_suppkey", week("l_shipdate"), F.col("l_extendedprice") / F.col("l_quantity"), "l_quantity", "l_extendedprice", ORDER)
+def root_of(spark: SparkSession) -> str:
+    """The folder that driver and executors share."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return shared.rstrip("/")
 
 
-def calendar(spark: SparkSession, sf: str, since: str | None = None) -> DataFrame:
+def _made_bars(spark: SparkSession, sf: str) -> DataFrame:
     rows = read(spark, sf, "lineitem")
-    if since:
-        rows = rows.where(F.col("l_shipdate") >= F.date_trunc("week", F.lit(since).cast("timestamp")))
-    return open_sessions(rows.select(week("l_shipdate").alias("session")))
+    return bars_of(rows, "l_suppkey", week("l_shipdate"), F.col("l_extendedprice") / F.col("l_quantity"), "l_quantity", "l_extendedprice", ORDER)
 
 
-def panel(spark: SparkSession, sf: str, since: str | None = None) -> DataFrame:
-    """entity, session, pos, bar columns, traded, grp and bench; of all entities, from
-    the week of a date on if one is given."""
-    own = bars(spark, sf, since)
+def _made_panel(spark: SparkSession, sf: str) -> DataFrame:
+    own = _made_bars(spark, sf)
     every = read(spark, sf, "lineitem").select(F.col("l_suppkey").alias("entity")).distinct()
+    cal = open_sessions(read(spark, sf, "lineitem").select(week("l_shipdate").alias("session")))
     bench = own.groupBy("session").agg(F.round(F.avg("close"), 9).alias("bench"))
     groups = read(spark, sf, "supplier").select(F.col("s_suppkey").alias("entity"), F.col("s_nationkey").alias("grp"))
-    dense = densify(own, calendar(spark, sf, since), every)
+    dense = densify(own, cal, every)
     return dense.join(F.broadcast(bench), "session", "left").join(groups, "entity", "left")
 
 
+#: The kept panels: by application, source folder and the state of its tables, the table's name and the calendar's folder.
+_KEPT: dict[tuple, tuple[str, str]] = {}
+
+
+def _state(spark: SparkSession, path: str) -> tuple:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return fs.getFileStatus(at).getModificationTime(), fs.getContentSummary(at).getLength()
+
+
+def _kept(spark: SparkSession, sf: str) -> tuple[str, str]:
+    """The panel of sf in buckets of entities, and its calendar: written when first asked
+    for, and again when the tables it is made of have changed."""
+    key = (spark.sparkContext.applicationId, sf, *[_state(spark, f"{sf}/{t}.parquet") for t in ("lineitem", "supplier")])
+    if key not in _KEPT:
+        name = keep_in_buckets(_made_panel(spark, sf), root_of(spark))
+        path = f"{root_of(spark)}/{name}-calendar"
+        spark.table(name).select("session", "pos").distinct().coalesce(1).write.parquet(path)
+        _KEPT[key] = name, path
+    return _KEPT[key]
+
+
+def calendar(spark: SparkSession, sf: str) -> DataFrame:
+    """The sessions and their numbers, a row for each week."""
+    return spark.read.parquet(_kept(spark, sf)[1])
+
+
+def panel(spark: SparkSession, sf: str, since: str | None = None) -> DataFrame:
+    """entity, session, pos, bar columns, traded, grp and bench, in buckets of entities;
+    with a date, from its week on, by bounds that prune years and go down to the scan."""
+    rows = spark.table(_kept(spark, sf)[0])
+    if since:
+        first = F.date_trunc("week", F.lit(since).cast("timestamp")).cast("date")
+        rows = rows.where((F.col("year") >= F.year(first)) & (F.col("session") >= first))
+    return rows.drop("year")
+
+
+def bars(spark: SparkSession, sf: str) -> DataFrame:
+    """Bars by week: the rows of the panel that were traded."""
+    return panel(spark, sf).where("traded").select("entity", "session", "open", "high", "low", "close", "vol", "amount")
+
+
 PANEL = """
 WITH trades AS (
   SELECT l_suppkey AS entity, CAST(date_trunc('week', l_shipdate) AS DATE) AS session,

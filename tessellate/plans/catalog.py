@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import contracts, features, labelling, metrics, models, reports  # noqa: F401
+from . import contracts, features, growing, labelling, metrics, models, reports  # noqa: F401
 from .base import ORACLE_SQL, QUERIES
 
 __all__ = ["ORACLE_SQL", "QUERIES"]

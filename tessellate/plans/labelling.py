@@ -151,8 +151,12 @@ def cascade(spark, sf):
     return L.filter_cascade(candidates(spark, sf), rules, "score", 3).groupBy("reason").agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("total"))
 
 
+def in_base(rows):
+    return rows.withColumn("in_base", (F.col("grp") < 22) & (F.col("pos") > F.col("entity") % 7) & (F.col("pos") <= 345 + F.col("entity") % 11))
+
+
 def base_panel(spark, sf):
-    return limited(spark, sf).withColumn("in_base", (F.col("grp") < 22) & (F.col("pos") > F.col("entity") % 7) & (F.col("pos") <= 345 + F.col("entity") % 11))
+    return in_base(limited(spark, sf))
 
 
 def labels(spark, sf):

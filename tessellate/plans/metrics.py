@@ -14,7 +14,7 @@ from ..operators import quality as Q
 from ..operators import ranks as G
 from ..operators import rolling as R
 from ..sources import store as S
-from .base import PANEL, bars, calendar, panel, pct, query, read
+from .base import PANEL, bars, calendar, panel, pct, query, read, root_of
 from .features import scored
 from .labelling import _LABELS, _LIMITS, base_panel, labels
 
@@ -400,8 +400,7 @@ ORDERS = S.TableSpec("orders", ("o_orderkey",), "day", "o_orderkey long, o_custk
 def _root(spark, name):
     """A new folder for the tables that a query writes, so that runs don't meet. Their
     results still read it, so it is left to whoever clears the shared folder."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{shared.rstrip('/')}/store-{uuid.uuid4().hex}/{name}"
+    return f"{root_of(spark)}/store-{uuid.uuid4().hex}/{name}"
 
 
 def stored_orders(spark, sf, name):
