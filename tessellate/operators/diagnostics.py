@@ -113,15 +113,34 @@ def pair_correlations(df: DataFrame, features: Sequence[str], least: int = 3) ->
     return out
 
 
-def prune_correlated(pairs: Sequence[tuple[str, str, float]], order: Sequence[str], limit: float) -> list[str]:
-    """Goes through features, best first, and keeps those that no kept one is
-    correlated with beyond limit. The pairs are an aggregated table of few rows."""
-    strong = {frozenset((a, b)) for a, b, c in pairs if c is not None and abs(c) > limit}
-    kept: list[str] = []
-    for f in order:
-        if not any(frozenset((f, k)) in strong for k in kept):
-            kept.append(f)
-    return kept
+def prune_correlated(pairs: DataFrame, scores: DataFrame, limit: float) -> DataFrame:
+    """Goes through features, best score first (ties by name), and keeps those that
+    no kept one is correlated with by limit or more, either way: feature, place, kept,
+    and for the others kept_feature, the best kept one in their way, and correlation.
+
+    Of pairs (left, right, corr) and scores (feature, score), both aggregates with a row for a
+    pair or a feature. Each feature looks back only, at the earlier ones it is strongly
+    correlated with, so the pass is one fold over an array of features."""
+    placed = scores.select("feature", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("score"), "feature")).alias("place"))
+    both = pairs.select("left", "right", "corr").unionByName(pairs.select(F.col("right").alias("left"), F.col("left").alias("right"), "corr"))
+    strong = both.where(F.abs("corr") >= limit)
+    earlier = placed.select(F.col("feature").alias("right"), F.col("place").alias("at"))
+    back = strong.join(earlier, "right").join(placed.withColumnRenamed("feature", "left"), "left").where(F.col("at") < F.col("place"))
+    back = back.groupBy("place").agg(F.sort_array(F.collect_list(F.struct("at", "corr"))).alias("near"))
+    none = F.array().cast("array<struct<at:int,corr:double>>")
+    rows = placed.join(back, "place", "left").select("place", F.coalesce("near", none).alias("near"))
+    line = rows.agg(F.sort_array(F.collect_list(F.struct("place", "near"))).alias("line"))
+
+    def step(done: Column, x: Column) -> Column:
+        hit = F.get(F.filter(x["near"], lambda n: F.array_contains(done["kept"], n["at"])), F.lit(0))
+        free = hit.isNull()
+        told = F.struct(x["place"].alias("place"), free.alias("kept"), hit["at"].alias("at"), hit["corr"].alias("correlation"))
+        return F.struct(F.when(free, F.concat(done["kept"], F.array(x["place"]))).otherwise(done["kept"]).alias("kept"), F.concat(done["told"], F.array(told)).alias("told"))
+
+    start = F.struct(F.array().cast("array<int>").alias("kept"), F.array().cast("array<struct<place:int,kept:boolean,at:int,correlation:double>>").alias("told"))
+    told = line.select(F.explode(F.aggregate("line", start, step)["told"]).alias("t")).select("t.*")
+    winner = placed.select(F.col("place").alias("at"), F.col("feature").alias("kept_feature"))
+    return told.join(placed, "place").join(winner, "at", "left").select("feature", "place", "kept", "kept_feature", "correlation")
 
 
 def hash_sample(df: DataFrame, keys: Sequence[str], n: int, by: Sequence[str] = ()) -> DataFrame:

@@ -79,6 +79,34 @@ def pair_correlations(spark, sf):
     return D.pair_correlations(frame(spark, sf), FEATURES)
 
 
+#: Columns of the panel as features, among which some say the same.
+_WIDE = {"f_open": "open", "f_high": "high", "f_low": "low", "f_close": "close", "f_vol": "vol", "f_amount": "amount", "f_ret": "ret_1d", "f_bench": "bench_ret", "f_body": "close / open - 1", "f_span": "high - low"}
+_PAIRS = [(a, b) for i, a in enumerate(_WIDE) for b in list(_WIDE)[i + 1 :]]
+
+
+@query(
+    "i07_pruned_features",
+    PANEL.replace("WITH ", "WITH RECURSIVE ", 1)
+    + ", wide AS MATERIALIZED (SELECT "
+    + ", ".join(f"{x} AS {f}" for f, x in _WIDE.items())
+    + " FROM rets WHERE traded), cors AS MATERIALIZED ("
+    + " UNION ALL ".join(f"SELECT '{a}' AS a, '{b}' AS b, corr({a}, {b}) AS c FROM wide" for a, b in _PAIRS)
+    + "), cover AS ("
+    + " UNION ALL ".join(f"SELECT '{f}' AS feature, count({f}) AS score FROM wide" for f in _WIDE)
+    + "), ord AS MATERIALIZED (SELECT feature, CAST(row_number() OVER (ORDER BY score DESC, feature) AS INTEGER) AS place FROM cover), "
+    "strong AS (SELECT a, b, c FROM cors WHERE abs(c) >= 0.6 UNION ALL SELECT b, a, c FROM cors WHERE abs(c) >= 0.6), "
+    "near AS MATERIALIZED (SELECT o.place, o.feature, coalesce((SELECT list(e.place) FROM strong s JOIN ord e ON e.feature = s.a WHERE s.b = o.feature AND e.place < o.place), []) AS near FROM ord o), "
+    "walk AS (SELECT 0 AS place, CAST([] AS INTEGER[]) AS kept UNION ALL SELECT n.place, CASE WHEN list_has_any(w.kept, n.near) THEN w.kept ELSE list_append(w.kept, n.place) END FROM walk w JOIN near n ON n.place = w.place + 1), "
+    "told AS (SELECT n.feature, n.place, list_contains(w.kept, n.place) AS kept, list_min(list_intersect(w.kept, n.near)) AS at FROM near n JOIN walk w ON w.place = n.place) "
+    "SELECT t.feature, t.place, t.kept, CASE WHEN NOT t.kept THEN o.feature END AS kept_feature, CASE WHEN NOT t.kept THEN round(s.c, 4) END AS correlation FROM told t LEFT JOIN ord o ON o.place = t.at LEFT JOIN strong s ON s.a = o.feature AND s.b = t.feature",
+    digits=4,
+)
+def pruned(spark, sf):
+    rows = R.with_returns(panel(spark, sf)).where("traded").select(*[F.expr(x).alias(f) for f, x in _WIDE.items()])
+    cover = rows.agg(*[F.count(f).alias(f) for f in _WIDE]).select(F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("score")) for f in _WIDE])).alias("x")).select("x.*")
+    return D.prune_correlated(D.pair_correlations(rows, list(_WIDE)), cover, 0.6)
+
+
 @query("i09_j12_hash_sample", "SELECT month, o_orderkey FROM (SELECT strftime(o_orderdate, '%Y%m') AS month, o_orderkey, row_number() OVER (PARTITION BY strftime(o_orderdate, '%Y%m') ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey) AS n FROM orders) WHERE n <= 20")
 def sample(spark, sf):
     o = read(spark, sf, "orders").select(F.date_format("o_orderdate", "yyyyMM").alias("month"), "o_orderkey")

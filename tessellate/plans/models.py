@@ -5,10 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import diagnostics as D
 from ..operators import model as T
 from ..operators import ranks as G
 from .base import calendar, query
-from .metrics import FEATURES, frame
+from .metrics import FEATURES, _root, frame
 
 SETS = {"all": FEATURES, "returns": ("f_ret",), "activity": ("f_vol", "f_amount")}
 
@@ -32,6 +33,17 @@ def scorecards(spark, sf):
     return T.compare_sets(train, test, calendar(spark, sf), SETS, trees=5)
 
 
+@query("m04_blended_order")
+def blended(spark, sf):
+    train, _ = split(spark, sf)
+    model = T.fit_trees(train, FEATURES, trees=5)
+    gains = T.split_importance(T.split_table(spark, model, FEATURES, _root(spark, "trees")), FEATURES)
+    ic = D.daily_ic(D.long_form(train, ["entity", "session", "y"], FEATURES))
+    cover = D.long_form(train, ["entity", "session"], FEATURES).groupBy("feature").agg(F.avg(F.col("x").isNotNull().cast("double")).alias("coverage"))
+    summary = D.stability_score(D.summarize_ic(ic), D.summarize_ic(ic.withColumn("year", F.year("session")), ["feature", "year"]), cover)
+    return T.blended_order(summary, gains)
+
+
 @query("m03_importance")
 def importance(spark, sf):
     train, test = split(spark, sf)

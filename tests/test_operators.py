@@ -211,8 +211,11 @@ def test_ndcg_of_perfect_order(spark):
     assert got[day(1)] == pytest.approx(1.0) and 0 < got[DAY] < 1
 
 
-def test_pruning_keeps_the_better_one():
-    assert D.prune_correlated([("a", "b", 0.99), ("b", "c", 0.2), ("a", "c", -0.97)], ["b", "a", "c"], 0.95) == ["b", "c"]
+def test_pruning_keeps_the_better_one(spark):
+    pairs = spark.createDataFrame([("a", "b", 0.99), ("b", "c", 0.2), ("a", "c", -0.97), ("c", "d", 0.95), ("d", "b", None)], "left string, right string, corr double")
+    scores = spark.createDataFrame([("a", 2.0), ("b", 3.0), ("c", 1.0), ("d", 1.0)], "feature string, score double")
+    got = [tuple(r) for r in D.prune_correlated(pairs, scores, 0.95).orderBy("place").collect()]
+    assert got == [("b", 1, True, None, None), ("a", 2, False, "b", 0.99), ("c", 3, True, None, None), ("d", 4, False, "c", 0.95)]
 
 
 def test_lifecycle(spark):
