@@ -48,7 +48,13 @@ def interval_keys(spans: DataFrame, cal: DataFrame, key: str, start: str, end: s
     down = near.select(F.explode(F.sequence(here, "_until")).alias("_e"), F.col("pos").alias("_hi"))
     rows = spans.crossJoin(F.broadcast(ends)).withColumns({"_s": F.greatest(F.col(start), F.col("_first")), "_e": F.least(F.coalesce(end, "_last"), F.col("_last"))}).where("_s <= _e")
     placed = rows.join(F.broadcast(up), "_s").join(F.broadcast(down), "_e").where("_lo <= _hi")
-    every = placed.select(key, F.explode(F.sequence("_lo", "_hi")).alias("pos")).distinct()
+    # intervals that overlap or touch are one, so that no session is made twice
+    one = placed.groupBy(key, "_lo").agg(F.max("_hi").alias("_hi"))
+    w = Window.partitionBy(key).orderBy("_lo")
+    before = F.max("_hi").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    begun = one.withColumn("_new", F.when(F.col("_lo") <= before + 1, 0).otherwise(1))
+    islands = begun.withColumn("_island", F.sum("_new").over(w)).groupBy(key, "_island").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
+    every = islands.select(key, F.explode(F.sequence("_lo", "_hi")).alias("pos"))
     return every.join(F.broadcast(cal), "pos").select(key, "session")
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import avg_rank_pct, bucketize, by_entity, safe_div
+from .calendar import session_age
 
 TOLERANCE = 1e-6
 EXIT = ("session", "open", "traded", "in_base", "down_limit", "bench")
@@ -64,6 +65,56 @@ def model_universe(panel: DataFrame, least_age: int, least_amount: float) -> Dat
     return out.withColumn("in_model_universe", F.col("exclude_reason") == "")
 
 
+def listing_flags(panel: DataFrame, listings: DataFrame, cal: DataFrame) -> DataFrame:
+    """Adds list_date, delist_date, is_listed (from the one to the other, both included; never
+    without a list date), list_age (sessions since the list date, 0 where not listed) and
+    in_base_universe, from listings (entity, list_date, delist_date)."""
+    rows = panel.join(listings.select("entity", "list_date", "delist_date"), "entity", "left")
+    here = F.col("session")
+    listed = F.col("list_date").isNotNull() & (here >= F.col("list_date")) & (F.col("delist_date").isNull() | (here <= F.col("delist_date")))
+    aged = session_age(rows.withColumn("is_listed", listed), cal, "list_date")
+    aged = aged.withColumn("list_age", F.when(F.col("is_listed"), F.col("age")).otherwise(0)).drop("age")
+    return aged.withColumn("in_base_universe", F.col("is_listed"))
+
+
+@dataclass(frozen=True)
+class UniverseSettings:
+    """What membership of the model universe asks for; None leaves a bound out."""
+
+    least_age: int = 60
+    least_amount: float = 0.0
+    least_price: float | None = None
+    full_window: int | None = None
+    exclude_restricted: bool = True
+
+
+def listed_universe(rows: DataFrame, settings: UniverseSettings) -> DataFrame:
+    """Of rows with in_base_universe, list_age, restricted, suspended, traded, close,
+    amount_mean and amount_count: the flags is_new, is_restricted, is_suspended, has_price and
+    is_low_liquidity, all reasons to exclude a row, and in_model_universe."""
+    no = lambda c: ~F.coalesce(c, F.lit(False))
+    low = F.coalesce(F.col("amount_mean") < settings.least_amount, F.lit(True))
+    if settings.full_window:
+        low = low | F.coalesce(F.col("amount_count") < settings.full_window, F.lit(True))
+    priced = F.coalesce(F.col("traded"), F.lit(False))
+    if settings.least_price is not None:
+        priced = priced & F.coalesce(F.col("close") >= settings.least_price, F.lit(False))
+    base = F.col("in_base_universe")
+    flags = {"is_new": base & (F.col("list_age") < settings.least_age), "is_restricted": F.coalesce("restricted", F.lit(False)), "is_suspended": F.coalesce("suspended", F.lit(False)), "has_price": priced, "is_low_liquidity": low}
+    out = rows.withColumns(flags)
+    # fixed values: the reasons as the universe table has them
+    reasons = [
+        ("not_listed", no(base)),
+        ("new_stock", F.col("is_new")),
+        ("st", F.col("is_restricted") & settings.exclude_restricted),
+        ("suspended", F.col("is_suspended")),
+        ("insufficient_price_data", ~F.col("has_price")),
+        ("low_liquidity", F.col("is_low_liquidity")),
+    ]
+    out = out.withColumn("exclude_reason", all_reasons(reasons))
+    return out.withColumn("in_model_universe", F.col("exclude_reason") == "")
+
+
 #: The boards that a code's form tells.
 BOARDS = (("bj_market", r"\.BJ$"), ("star_market", r"^688\d{3}\.SH$"), ("chinext_market", r"^300\d{3}\.SZ$"))
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import fundamentals as N
 from ..operators import labels as L
 from ..operators import monitor as M
 from ..operators import quality as Q
@@ -25,6 +26,53 @@ def latest_only(spark, sf):
     return L.latest_only_flag(panel(spark, sf), now).select(*KEY, "restricted")
 
 
+_INDICATORS = {"roe": "x / 100000", "roa": "x / 200000", "grossprofit_margin": "(rev % 97) / 97", "netprofit_margin": "(rev % 89) / 89", "revenue_yoy": "CAST(rev % 53 - 26 AS DOUBLE)", "netprofit_yoy": "CAST(rev % 31 - 15 AS DOUBLE)"}
+_BALANCE = {"total_assets": "x * 3", "total_liab": "x * (rev % 7) / 7", "total_cur_assets": "x", "total_cur_liab": "CAST(rev % 5 * 1000 AS DOUBLE)"}
+
+
+def _announced_sql(name: str, values: dict[str, str], where: str, deltas: tuple[str, ...] = ()) -> str:
+    """The tables n_all (a row for each entity, period and date) and n (the latest period of each date)."""
+    more = "".join(f", {c} - lag({c}) OVER (PARTITION BY entity ORDER BY available, period) AS {c}_delta" for c in deltas)
+    cols = ", ".join(f"{v} AS {c}" for c, v in values.items())
+    return (
+        f"{name}_all AS (SELECT *{more} FROM (SELECT entity, period, coalesce(fin, ann) AS available, {cols} FROM reports WHERE {where} QUALIFY row_number() OVER (PARTITION BY entity, period, coalesce(fin, ann) ORDER BY rev DESC) = 1)), "
+        f"{name} AS (SELECT * FROM {name}_all QUALIFY row_number() OVER (PARTITION BY entity, available ORDER BY period DESC) = 1)"
+    )
+
+
+_LAST = "(SELECT * FROM {0}_all QUALIFY row_number() OVER (PARTITION BY entity, period ORDER BY available DESC) = 1)"
+_FUNDAMENTAL = ", ".join(
+    [
+        _REPORTS,
+        _announced_sql("ind", _INDICATORS, "rev % 2 = 0", N.CHANGES),
+        _announced_sql("inc", {"n_income": "x - 100000"}, "rev % 3 > 0"),
+        _announced_sql("bal", _BALANCE, "rev % 3 = 0"),
+        _announced_sql("cash", {"n_cashflow_act": "x / 2"}, "rev % 2 = 1"),
+        f"ocf AS (SELECT i.entity, greatest(c.available, i.available) AS available, c.n_cashflow_act / nullif(i.n_income, 0) AS ocf_to_profit FROM {_LAST.format('cash')} c JOIN {_LAST.format('inc')} i ON i.entity = c.entity AND i.period = c.period QUALIFY row_number() OVER (PARTITION BY i.entity, greatest(c.available, i.available) ORDER BY i.period DESC) = 1)",
+    ]
+)
+
+
+@query(
+    "f20_fundamental_features",
+    f"{PANEL}, {_FUNDAMENTAL} SELECT p.entity, p.session, "
+    + ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in [*_INDICATORS, *[f"{c}_delta" for c in N.CHANGES], "ocf_to_profit"])
+    + ", round(total_liab / nullif(total_assets, 0), 6) + 0.0 AS debt_to_assets, round(total_cur_assets / nullif(total_cur_liab, 0), 6) + 0.0 AS current_ratio FROM panel p "
+    + " ".join(f"ASOF LEFT JOIN {t} ON {t}.entity = p.entity AND p.session >= {t}.available" for t in ("ind", "bal", "ocf")),
+)
+def fundamental_features(spark, sf):
+    r = reports(spark, sf).withColumnsRenamed({"ann": "announced", "fin": "final", "rev": "revision"})
+
+    def table(values, where, changes=()):
+        named = [F.expr(v.replace("rev", "revision")).alias(c) for c, v in values.items()]
+        rows = r.where(where).select("entity", "period", "announced", "final", "revision", *named)
+        return N.announced(rows, changes).drop("announced", "final", "revision")
+
+    income, cash = table({"n_income": "x - 100000"}, "revision % 3 > 0"), table({"n_cashflow_act": "x / 2"}, "revision % 2 = 1")
+    tables = {"indicators": table(_INDICATORS, "revision % 2 = 0", N.CHANGES), "balance": table(_BALANCE, "revision % 3 = 0"), "cash": N.cash_to_profit(income, cash)}
+    return N.fundamental_features(panel(spark, sf), tables)
+
+
 @query("f20_fundamentals", f"WITH {_REPORTS}, a AS (SELECT entity, ann AS available, sum(x) AS total, max(x) AS top FROM reports GROUP BY 1, 2) SELECT entity, available, round(top / total, 6) AS top_share, round(top / total - lag(top / total) OVER (PARTITION BY entity ORDER BY available), 6) AS top_share_change FROM a")
 def fundamentals(spark, sf):
     a = reports(spark, sf).groupBy("entity", F.col("ann").alias("available")).agg(F.sum("x").alias("total"), F.max("x").alias("top"))

@@ -120,6 +120,28 @@ def built_universe(spark, sf):
     return universe(spark, sf).select(*KEY, "amount_mean", "amount_count", "exclude_reason", "in_model_universe")
 
 
+_LISTED = (
+    f"{_UNIVERSE}, lf AS (SELECT min(session) AS f FROM cal), ls AS (SELECT s_suppkey AS entity, CASE WHEN s_suppkey % 17 <> 0 THEN CAST(DATE '1994-06-01' + CAST(s_suppkey % 400 AS INTEGER) * 5 AS DATE) END AS list_date, CASE WHEN s_suppkey % 5 = 0 THEN CAST(DATE '1999-06-01' + CAST(s_suppkey % 200 AS INTEGER) AS DATE) END AS delist_date FROM supplier), "
+    "lp AS (SELECT *, (SELECT min(pos) FROM cal WHERE session >= list_date) AS start_pos FROM ls), "
+    "li AS (SELECT p.entity, p.session, p.pos, p.traded, p.close, list_date IS NOT NULL AND p.session >= list_date AND (delist_date IS NULL OR p.session <= delist_date) AS listed, "
+    "greatest(p.pos - start_pos + 1, 0) + CASE WHEN f > list_date THEN (f - list_date) * 5 // 7 ELSE 0 END AS age, NOT p.traded AND p.pos % 2 = 0 AS suspended FROM panel p LEFT JOIN lp USING (entity) CROSS JOIN lf), "
+    "lu AS (SELECT li.*, CASE WHEN listed THEN age ELSE 0 END AS list_age, u.is_restricted, u.amount_mean, u.amount_count FROM li JOIN uni u ON u.entity = li.entity AND u.session = li.session), "
+    "lr2 AS (SELECT *, concat_ws(';', CASE WHEN NOT listed THEN 'not_listed' END, CASE WHEN listed AND list_age < 60 THEN 'new_stock' END, CASE WHEN is_restricted THEN 'st' END, CASE WHEN suspended THEN 'suspended' END, CASE WHEN NOT (traded AND coalesce(close >= 1000, FALSE)) THEN 'insufficient_price_data' END, CASE WHEN coalesce(amount_mean < 60000, TRUE) OR coalesce(amount_count < 15, TRUE) THEN 'low_liquidity' END) AS exclude_reason FROM lu)"
+)
+
+
+@query("e01_e03_listed_universe", f"{PANEL}, {_LISTED} SELECT entity, session, listed AS is_listed, list_age, exclude_reason, exclude_reason = '' AS in_model_universe FROM lr2")
+def listed_universe(spark, sf):
+    k = F.col("s_suppkey")
+    after = lambda day, n: F.date_add(F.lit(day).cast("date"), n.cast("int"))
+    listings = read(spark, sf, "supplier").select(k.alias("entity"), F.when(k % 17 != 0, after("1994-06-01", k % 400 * 5)).alias("list_date"), F.when(k % 5 == 0, after("1999-06-01", k % 200)).alias("delist_date"))
+    liq = L.liquidity(bars(spark, sf)).select(*KEY, "amount_mean", "amount_count")
+    held = J.interval_keys(spans(spark, sf), calendar(spark, sf), "k", "s", "e").withColumnRenamed("k", "entity")
+    rows = J.flag(panel(spark, sf).join(liq, KEY, "left"), held, KEY, "restricted").withColumn("suspended", ~F.col("traded") & (F.col("pos") % 2 == 0))
+    out = L.listed_universe(L.listing_flags(rows, listings, calendar(spark, sf)), L.UniverseSettings(60, 60000.0, 1000.0, 15))
+    return out.select(*KEY, "is_listed", F.col("list_age").cast("long").alias("list_age"), "exclude_reason", "in_model_universe")
+
+
 #: What the cascade looks at, made of the panel: codes of all boards, missing tables,
 #: prices that contradict each other.
 _CANDIDATES = f"{_UNIVERSE}, lr AS (SELECT *, last_value(ret_1d IGNORE NULLS) OVER (PARTITION BY entity ORDER BY pos ROWS UNBOUNDED PRECEDING) AS lr, last_value(close IGNORE NULLS) OVER (PARTITION BY entity ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pc FROM rets), cand AS (SELECT r.entity, r.session, r.pos, round(-lr, 9) AS score, r.pos > 3 AS has_universe, r.pos >= 20 AS in_model_universe, CASE r.grp % 5 WHEN 0 THEN '688' WHEN 1 THEN '300' ELSE '600' END || lpad(CAST(r.entity % 1000 AS VARCHAR), 3, '0') || CASE r.grp % 4 WHEN 0 THEN '.SH' WHEN 1 THEN '.SZ' WHEN 2 THEN '.BJ' ELSE '.SH' END AS code, u.is_restricted AS is_st, NOT r.traded AND r.pos % 2 = 0 AS is_suspended, coalesce(u.amount_mean < 40000, FALSE) AS is_low_liquidity, r.pos - r.entity % 10 AS list_days, r.traded AS has_daily, r.vol % 11 <> 0 AS has_daily_basic, pc IS NOT NULL AS has_stk_limit, open, CASE WHEN r.vol % 13 = 0 THEN low / 2 ELSE high END AS high, low, close, close * r.vol * 10 AS total_mv, r.amount, r.vol / 50 AS turnover_rate, pc * 1.5 AS up_limit, pc * 0.5 AS down_limit FROM lr r JOIN uni u ON u.entity = r.entity AND u.session = r.session WHERE lr IS NOT NULL)"
