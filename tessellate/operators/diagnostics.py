@@ -311,6 +311,33 @@ def score_consistency(a: DataFrame, b: DataFrame) -> DataFrame:
     return daily_ic(both, ["session"]).agg(F.avg("ic").alias("pearson"), F.avg("rank_ic").alias("spearman"), F.sum("n").alias("n"))
 
 
+def metric_deltas(a: DataFrame, b: DataFrame, limits: Mapping[str, float]) -> DataFrame:
+    """Of two runs' metrics (metric, value): metric, a, b, delta (absolute) and passed,
+    whether it is within the metric's limit; a metric that one run lacks has not passed, and
+    one without a limit has null there."""
+    both = a.select("metric", F.col("value").alias("a")).join(b.select("metric", F.col("value").alias("b")), "metric", "full")
+    limit = F.create_map(*[x for k, v in limits.items() for x in (F.lit(k), F.lit(float(v)))]) if limits else F.create_map().cast("map<string,double>")
+    delta = F.abs(F.col("a") - F.col("b"))
+    within = F.when(F.try_element_at(limit, "metric").isNotNull(), F.coalesce(delta <= F.try_element_at(limit, "metric"), F.lit(False)))
+    return both.select("metric", "a", "b", delta.alias("delta"), within.alias("passed"))
+
+
+def yearly_metrics(daily: DataFrame, periods: float, bull: float, bear: float, risk_free: float = 0.0) -> DataFrame:
+    """Of a portfolio's sessions (session, ret, bench_ret, turnover) for each year: regime (bull if the
+    benchmark's compounded return is `bull` or more, bear if `bear` or less, else neutral),
+    compounded, benchmark and excess return, volatility, Sharpe ratio over the risk-free rate, the worst
+    drawdown, share of winning sessions and mean turnover."""
+    rows = daily.where("ret IS NOT NULL").withColumn("year", F.year("session"))
+    free = (1 + risk_free) ** (1 / periods) - 1
+    grown = lambda c: F.exp(F.sum(F.log1p(F.greatest(F.col(c), F.lit(-0.999999))))) - 1
+    sd = F.stddev_samp("ret")
+    one = rows.groupBy("year").agg(grown("bench_ret").alias("benchmark_return"), (F.coalesce(sd, F.lit(0.0)) * math.sqrt(periods)).alias("volatility"), F.when(sd > 0, (F.avg("ret") - free) / sd * math.sqrt(periods)).alias("sharpe"), F.avg("turnover").alias("turnover"))
+    path = path_metrics(rows, ["year"], "session", "ret", periods).select("year", F.col("total_return").alias("cumulative_return"), "max_drawdown", "win_rate")
+    bench = F.coalesce("benchmark_return", F.lit(0.0))
+    kind = F.when(bench >= bull, "bull").when(bench <= bear, "bear").otherwise("neutral")
+    return path.join(one, "year").withColumns({"regime": kind, "excess_return": (1 + F.col("cumulative_return")) / (1 + bench) - 1})
+
+
 def comparison_frame(challenger: DataFrame, champion: DataFrame, labels: DataFrame) -> DataFrame:
     """Both models' scores of the rows they share, with the label where there is
     one. The three are keyed alike, so one shuffle of each serves both joins."""

@@ -211,6 +211,24 @@ def banded_counts(rows: DataFrame, value: str, bands: Sequence[tuple[str, float]
     return every.join(have, "band", "left").select("band", F.coalesce("n", F.lit(0)).alias("n"))
 
 
+def distributions(rows: DataFrame, categories: Sequence[str], sizes: dict[str, Sequence[tuple[str, float]]]) -> DataFrame:
+    """(column, name, n): the rows of each category, missing ones as Unknown, and of each
+    size band (name, upper bound; the last is open), empty ones and `missing` included. All
+    columns are counted in one pass over the rows."""
+    told = [F.struct(F.lit(c).alias("column"), F.coalesce(F.col(c).cast("string"), F.lit("Unknown")).alias("name")) for c in categories]
+    every: list[tuple[str, str]] = []
+    for c, bands in sizes.items():
+        band = F.lit(bands[-1][0])
+        for name, upper in reversed(bands[:-1]):
+            band = F.when(F.col(c) < upper, F.lit(name)).otherwise(band)
+        real = F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+        told.append(F.struct(F.lit(c).alias("column"), F.when(real, band).otherwise("missing").alias("name")))
+        every += [(c, name) for name, _ in bands] + [(c, "missing")]
+    counted = rows.select(F.explode(F.array(*told)).alias("x")).groupBy("x.column", "x.name").agg(F.count(F.lit(1)).alias("n"))
+    frame = rows.sparkSession.createDataFrame(every, "column string, name string")
+    return frame.join(counted, ["column", "name"], "full").select("column", "name", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def alerts(metrics: DataFrame, rules: DataFrame) -> DataFrame:
     """Of (subject, metric, value): a row for each breached rule (metric,
     direction, warning, critical) with its severity. Rules are a short table."""

@@ -167,6 +167,12 @@ def freshness(tables: Mapping[str, tuple[DataFrame, str]], as_of: str) -> DataFr
     return rows.select("table", "last", F.datediff(F.to_date(F.lit(as_of)), "last").alias("lag_days"), common.alias("common_end"))
 
 
+def missing_entities(rows: DataFrame, required: DataFrame, date: str, as_of: str) -> DataFrame:
+    """The required entities (entity) without a row on a date."""
+    there = rows.where(F.to_date(date) == F.to_date(F.lit(as_of))).select("entity").distinct()
+    return required.select("entity").distinct().join(there, "entity", "left_anti")
+
+
 def limit_quality(limits: DataFrame, suspended: DataFrame, no_limit: tuple[float, float] = (99999.99, 0.0)) -> DataFrame:
     """Limit prices that are null, stand for no limit, are zero, inverted or
     negative; and zero ones on sessions that were not suspended."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import calendar as C
@@ -13,7 +14,7 @@ from ..operators import ranks as G
 from ..operators import rolling as R
 from .base import PANEL, QUERIES, ORACLE_SQL, calendar, panel, pct, query, read
 from .features import scored
-from .metrics import _BUCKETS, _DRIFT, _DRIFT_TAIL, _FILLS, _IC, _FRAME, _LAYERS, _NDCG, feature_drift, fills, ics, long, scores
+from .metrics import _BUCKETS, _DRIFT, _DRIFT_TAIL, _FILLS, _IC, _FRAME, _LAYERS, _NDCG, feature_drift, fills, frame, ics, long, scores
 from .labelling import labels
 
 KEY = ["entity", "session"]
@@ -193,3 +194,59 @@ def report_periods(spark, sf):
     days = read(spark, sf, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count(F.lit(1)).alias("k"))
     within = periods.select("period", F.explode(F.sequence(F.date_add("period", 1), F.date_add("period", 100))).alias("day"))
     return periods.join(within.join(days, "day").groupBy("period").agg(F.sum("k").alias("n")), "period", "left").select("period", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+_PORTFOLIO = "pf AS (SELECT session, CAST(year(session) AS INTEGER) AS year, avg(CASE WHEN ret_1d IS NOT NULL THEN least(greatest(ret_1d, -0.5), 0.5) END) / 10 AS ret, avg(CASE WHEN bench_ret IS NOT NULL THEN least(greatest(bench_ret, -0.5), 0.5) END) / 10 AS bench_ret, avg(CAST(traded AS INTEGER)) AS turnover FROM rets GROUP BY 1, 2), pr AS (SELECT * FROM pf WHERE ret IS NOT NULL)"
+
+
+@query(
+    "l13_yearly_regimes",
+    f"{PANEL}, {_PORTFOLIO}, cu AS (SELECT *, sum(ln(1 + ret)) OVER w AS lg FROM pr WINDOW w AS (PARTITION BY year ORDER BY session ROWS UNBOUNDED PRECEDING)), dd AS (SELECT *, exp(lg - max(lg) OVER (PARTITION BY year ORDER BY session ROWS UNBOUNDED PRECEDING)) - 1 AS d FROM cu), "
+    "y AS (SELECT year, exp(sum(ln(1 + ret))) - 1 AS c, exp(sum(ln(1 + bench_ret))) - 1 AS b, stddev_samp(ret) AS sd, avg(ret) AS m, min(d) AS d, avg(CAST(ret > 0 AS INTEGER)) AS w, avg(turnover) AS t FROM dd GROUP BY 1) "
+    "SELECT year, CASE WHEN b >= 0.02 THEN 'bull' WHEN b <= -0.02 THEN 'bear' ELSE 'neutral' END AS regime, round(c, 4) AS cumulative_return, round(b, 4) AS benchmark_return, round((1 + c) / (1 + b) - 1, 4) AS excess_return, round(sd * sqrt(52), 4) AS volatility, round((m - (pow(1.02, 1 / 52.0) - 1)) / sd * sqrt(52), 4) AS sharpe, round(d, 4) AS max_drawdown, round(w, 4) AS win_rate, round(t, 4) AS turnover FROM y",
+    digits=4,
+)
+def yearly_regimes(spark, sf):
+    cut = lambda c: F.avg(F.when(F.col(c).isNotNull(), F.least(F.greatest(F.col(c), F.lit(-0.5)), F.lit(0.5)))) / 10
+    daily = R.with_returns(panel(spark, sf)).groupBy("session").agg(cut("ret_1d").alias("ret"), cut("bench_ret").alias("bench_ret"), F.avg(F.col("traded").cast("double")).alias("turnover"))
+    return D.yearly_metrics(daily, 52.0, 0.02, -0.02, 0.02)
+
+
+@query(
+    "l22_distributions",
+    "WITH c AS (SELECT *, CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END AS seg, CASE WHEN c_custkey % 11 > 0 THEN c_acctbal END AS bal FROM customer) "
+    "SELECT 'seg' AS \"column\", coalesce(seg, 'Unknown') AS name, count(*) AS n FROM c GROUP BY 2 UNION ALL "
+    "SELECT 'bal', b.band, count(c_custkey) FROM (VALUES ('debt', 0), ('small', 1), ('middle', 2), ('huge', 3), ('missing', 4)) AS b(band, k) LEFT JOIN c ON k = CASE WHEN bal IS NULL THEN 4 WHEN bal < 0 THEN 0 WHEN bal < 2000 THEN 1 WHEN bal < 100000 THEN 2 ELSE 3 END GROUP BY 2",
+)
+def distributions(spark, sf):
+    k = F.col("c_custkey")
+    c = read(spark, sf, "customer").select(F.when(k % 7 != 0, F.col("c_mktsegment")).alias("seg"), F.when(k % 11 > 0, F.col("c_acctbal")).alias("bal"))
+    return M.distributions(c, ["seg"], {"bal": [("debt", 0), ("small", 2000), ("middle", 100000), ("huge", float("inf"))]})
+
+
+@query("j14_missing_entities", "SELECT s_suppkey AS entity FROM supplier WHERE s_suppkey NOT IN (SELECT l_suppkey FROM lineitem WHERE CAST(l_shipdate AS DATE) = DATE '1997-03-03')")
+def missing_entities(spark, sf):
+    rows = read(spark, sf, "lineitem").select(F.col("l_suppkey").alias("entity"), "l_shipdate")
+    return Q.missing_entities(rows, read(spark, sf, "supplier").select(F.col("s_suppkey").alias("entity")), "l_shipdate", "1997-03-03")
+
+
+_RUN = "(SELECT 'rank_ic' AS metric, avg(c) AS value FROM (SELECT session, CASE WHEN stddev_pop(a) * stddev_pop(b) > 1e-14 THEN (avg(a * b) - avg(a) * avg(b)) / (stddev_pop(a) * stddev_pop(b)) END AS c FROM (SELECT session, rank() OVER (PARTITION BY session ORDER BY x) + (count(*) OVER (PARTITION BY session, x) - 1) / 2.0 AS a, rank() OVER (PARTITION BY session ORDER BY y) + (count(*) OVER (PARTITION BY session, y) - 1) / 2.0 AS b FROM {0} WHERE y IS NOT NULL) GROUP BY session HAVING count(*) >= 5) UNION ALL SELECT 'top_3_mean', avg(y) FROM (SELECT * FROM {0} QUALIFY row_number() OVER (PARTITION BY session ORDER BY x DESC, entity) <= 3))"
+
+
+@query(
+    "i24_metric_deltas",
+    f"{PANEL}, {_FRAME}, ra AS (SELECT entity, session, round(f_ret, 9) AS x, round(y, 12) AS y FROM frame WHERE f_ret IS NOT NULL), rb AS (SELECT entity, session, round(f_ret + f_vol / 100, 9) AS x, round(y, 12) AS y FROM frame WHERE f_ret IS NOT NULL), "
+    f"ma AS {_RUN.format('ra')}, mb AS {_RUN.format('rb')} SELECT metric, round(ma.value, 4) AS a, round(mb.value, 4) AS b, round(abs(ma.value - mb.value), 4) AS delta, abs(ma.value - mb.value) <= CASE metric WHEN 'rank_ic' THEN 0.001 ELSE 100 END AS passed FROM ma JOIN mb USING (metric)",
+    digits=4,
+)
+def metric_deltas(spark, sf):
+    f = frame(spark, sf).where("f_ret IS NOT NULL")
+
+    def run(score):
+        rows = f.select(*KEY, F.round(score, 9).alias("x"), "y")
+        ic = D.daily_ic(rows, ["session"]).agg(F.avg("rank_ic").alias("value")).select(F.lit("rank_ic").alias("metric"), "value")
+        top = Window.partitionBy("session").orderBy(F.desc("x"), "entity")
+        best = rows.withColumn("_n", F.row_number().over(top)).where("_n <= 3").agg(F.avg("y").alias("value"))
+        return ic.unionByName(best.select(F.lit("top_3_mean").alias("metric"), "value"))
+
+    return D.metric_deltas(run(F.col("f_ret")), run(F.col("f_ret") + F.col("f_vol") / 100), {"rank_ic": 0.001, "top_3_mean": 100.0})
