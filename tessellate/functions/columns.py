@@ -100,9 +100,11 @@ def corr_of(x: Column | str, y: Column | str) -> Column:
 
 
 def place_in(edges: Column | str, x: Column | str, most: int) -> Column:
-    """How many of the edges, an ascending array of at most `most`, are at or below x,
-    by halving."""
+    """How many of the edges, an ascending array of at most `most`, are at or below x:
+    by looking at all of a few, by halving among many."""
     edges, x = col(edges), col(x)
+    if most <= 64:
+        return F.size(F.filter(edges, lambda e: e <= x))
     middle = lambda a: F.floor((a["lo"] + a["hi"]) / 2).cast("int")
     step = lambda a, _: F.when(a["lo"] >= a["hi"], a).otherwise(
         F.when(F.get(edges, middle(a)) <= x, F.struct((middle(a) + 1).alias("lo"), a["hi"].alias("hi"))).otherwise(F.struct(a["lo"].alias("lo"), middle(a).alias("hi")))
