@@ -55,22 +55,21 @@ def exact_edges(counts: DataFrame, by: Sequence[str], bins: int, ranges: int | N
     return counts.select(*by).distinct().join(found, list(by), "left").withColumn("edges", F.coalesce("edges", F.array().cast("array<double>")))
 
 
-def binned(counts: DataFrame, edges: DataFrame, by: Sequence[str], bins: int) -> DataFrame:
-    """K2: adds `bin`, the number of edges at or below the value; -1 where it is missing."""
-    return counts.join(edges, list(by)).withColumn("bin", F.when(F.col("value").isNull(), F.lit(-1)).otherwise(place_in("edges", "value", bins)))
-
-
 def psi(reference: DataFrame, current: DataFrame, edges: DataFrame, by: Sequence[str], period: str, bins: int, epsilon: float = 1e-6) -> DataFrame:
-    """K2: population stability index of each group and period against the reference,
-    from value counts; missing values are a bin of their own and shares at least epsilon."""
-    ref = binned(reference, edges, by, bins).groupBy(*by, "bin").agg(F.sum("n").alias("r"))
-    ref = ref.withColumn("r", F.col("r") / F.sum("r").over(Window.partitionBy(*by)))
-    cur = binned(current, edges, by, bins).groupBy(*by, period, "bin").agg(F.sum("n").alias("c"))
-    cur = cur.withColumn("c", F.col("c") / F.sum("c").over(Window.partitionBy(*by, period)))
-    grid = cur.select(*by, period).distinct().join(edges, list(by)).withColumn("bin", F.explode(F.sequence(F.lit(-1), F.size("edges")))).drop("edges")
-    both = grid.join(cur, [*by, period, "bin"], "left").join(ref, [*by, "bin"], "left")
-    share = lambda c: F.greatest(F.coalesce(c, F.lit(0.0)), F.lit(epsilon))
-    return both.groupBy(*by, period).agg(F.sum((share("c") - share("r")) * F.ln(share("c") / share("r"))).alias("psi"))
+    """K2: population stability index of each group and period against the reference, from
+    value counts. A value's bin is the number of edges at or below it; missing values are a
+    bin of their own, and shares are at least epsilon. Both sides are binned in one pass, and what is compared is a
+    row of counts by bin for each group and period."""
+    none = F.lit(None).cast(dict(current.dtypes)[period])
+    both = reference.select(*by, "value", "n", F.lit(True).alias("_ref"), none.alias(period)).unionByName(current.select(*by, "value", "n", F.lit(False).alias("_ref"), period))
+    told = both.join(edges, list(by)).withColumn("bin", F.when(F.col("value").isNull(), F.lit(-1)).otherwise(place_in("edges", "value", bins)))
+    counts = told.groupBy(*by, "_ref", period, "bin").agg(F.sum("n").alias("n"), F.max(F.size("edges")).alias("_last"))
+    rows = counts.groupBy(*by, "_ref", period).agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("m"), F.sum("n").alias("_all"), F.max("_last").alias("_last"))
+    ref = rows.where("_ref").select(*by, F.col("m").alias("r"), F.col("_all").alias("r_all"))
+    one = rows.where("NOT _ref").withColumnsRenamed({"m": "c", "_all": "c_all"}).join(ref, list(by))
+    share = lambda side, i: F.greatest(F.coalesce(F.try_element_at(side, i), F.lit(0)) / F.col(f"{side}_all"), F.lit(epsilon))
+    terms = F.transform(F.sequence(F.lit(-1), F.col("_last")), lambda i: (share("c", i) - share("r", i)) * F.ln(share("c", i) / share("r", i)))
+    return one.select(*by, period, F.aggregate(terms, F.lit(0.0), lambda s, x: s + x).alias("psi"))
 
 
 def ks(reference: DataFrame, current: DataFrame, by: Sequence[str], period: str, ranges: int | None = None) -> DataFrame:
@@ -83,13 +82,13 @@ def ks(reference: DataFrame, current: DataFrame, by: Sequence[str], period: str,
     ref = reference.select(*by, "value", F.col("n").alias("r"), F.lit(None).cast(dict(current.dtypes)[period]).alias(period), none.alias("c"))
     both = ref.unionByName(current.select(*by, "value", none.alias("r"), period, F.col("n").alias("c")))
     ranged = _ranged(both, by, _parts(both, ranges))
-    mine = ranged.where("c > 0")
+    totals = ranged.groupBy(*by, "range", period).agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
     w = Window.partitionBy(*by, "range")
     upto = F.sum("r").over(w.orderBy("value").rangeBetween(Window.unboundedPreceding, 0))
     equal = F.sum("r").over(Window.partitionBy(*by, "range", "value"))
     own = F.sum("c").over(Window.partitionBy(*by, "range", period).orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
     run = ranged.withColumns({"_r": upto, "_re": equal, "_c": own}).where("c > 0")
-    run = run.join(_before(ranged, by, "r", "_rb"), [*by, "range"]).join(_before(mine, [*by, period], "c", "_cb"), [*by, period, "range"])
+    run = run.join(_before(totals, by, "r", "_rb"), [*by, "range"]).join(_before(totals.where("c > 0"), [*by, period], "c", "_cb"), [*by, period, "range"])
     share = lambda part, before: (F.col(before) + part) / F.col(f"{before}_all")
     r, c, left = F.col("_r"), F.col("_c"), F.when(F.col("_rb_all") > 0, F.lit(True))
     gap = F.greatest(F.abs(share(c, "_cb") - share(r, "_rb")), F.abs(share(c - F.col("c"), "_cb") - share(r - F.col("_re"), "_rb")))
