@@ -58,11 +58,18 @@ def _state(spark: SparkSession, path: str) -> tuple:
     return fs.getFileStatus(at).getModificationTime(), fs.getContentSummary(at).getLength()
 
 
+def _there(spark: SparkSession, name: str, calendar_path: str) -> bool:
+    """Whether a kept table is known to the catalog and its files haven't been cleared."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    done = [at(f"{p}/_SUCCESS") for p in (calendar_path, calendar_path.removesuffix("-calendar"))]
+    return spark.catalog.tableExists(name) and all(p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(p) for p in done)
+
+
 def _kept(spark: SparkSession, sf: str) -> tuple[str, str]:
     """The panel of sf in buckets of entities, and its calendar: written when first asked
     for, and again when the tables it is made of have changed."""
     key = (spark.sparkContext.applicationId, sf, *[_state(spark, f"{sf}/{t}.parquet") for t in ("lineitem", "supplier")])
-    if key not in _KEPT:
+    if key not in _KEPT or not _there(spark, *_KEPT[key]):
         name = keep_in_buckets(_made_panel(spark, sf), root_of(spark))
         path = f"{root_of(spark)}/{name}-calendar"
         spark.table(name).select("session", "pos").distinct().coalesce(1).write.parquet(path)
