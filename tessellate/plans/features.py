@@ -97,9 +97,9 @@ def keep_last(spark, sf):
     return P.keep_last(read(spark, sf, "orders"), ["o_custkey"], ["o_orderdate", "o_orderkey"]).select("o_custkey", "o_orderkey", "o_orderdate")
 
 
-@query("c05_adjusted_prices", sql_rounded("SELECT entity, session, close * f AS adj_close, open * f AS adj_open FROM bars LEFT JOIN (SELECT entity, session, 1 + pos / 100.0 AS f FROM panel WHERE entity % 5 <> 0) USING (entity, session)", "entity, session", ["adj_close", "adj_open"]))
+@query("c05_adjusted_prices", sql_rounded("SELECT entity, session, close * f AS adj_close, open * f AS adj_open FROM bars LEFT JOIN (SELECT entity, CAST(session + 7 AS DATE) AS session, 1 + pos / 100.0 AS f FROM panel) USING (entity, session)", "entity, session", ["adj_close", "adj_open"]))
 def adjusted(spark, sf):
-    f = panel(spark, sf).where("entity % 5 <> 0").select(*KEY, (1 + F.col("pos") / 100.0).alias("factor"))
+    f = panel(spark, sf).select("entity", F.date_add("session", 7).alias("session"), (1 + F.col("pos") / 100.0).alias("factor"))
     return P.adjusted(bars(spark, sf), f, KEY, ["close", "open"]).select(*KEY, "adj_close", "adj_open")
 
 
@@ -109,9 +109,9 @@ def labels_units(spark, sf):
     return p.select("p_partkey", P.classify("p_brand", [("[1-2]$", "low"), ("[3-4]$", "mid")], "high").alias("board"), P.has_marker("p_type", "STEEL").alias("marked"), "p_retailprice")
 
 
-@query("c08_c09_candidates", f"{PANEL} SELECT coalesce(k.entity, s.entity) AS entity, coalesce(list_date, first_session) AS list_date, last_session, CAST(NULL AS VARCHAR) AS delist_reason FROM (SELECT s_suppkey AS entity, CASE WHEN s_suppkey % 2 = 0 THEN DATE '1991-01-01' END AS list_date FROM supplier WHERE s_suppkey % 3 > 0) k FULL JOIN (SELECT entity, min(session) AS first_session, max(session) AS last_session FROM bars GROUP BY 1) s ON k.entity = s.entity")
+@query("c08_c09_candidates", f"{PANEL} SELECT coalesce(k.entity, s.entity) AS entity, coalesce(list_date, first_session) AS list_date, last_session, CAST(NULL AS VARCHAR) AS delist_reason FROM (SELECT s_suppkey + 3 AS entity, CASE WHEN s_suppkey % 2 = 0 THEN DATE '1991-01-01' END AS list_date FROM supplier) k FULL JOIN (SELECT entity, min(session) AS first_session, max(session) AS last_session FROM bars GROUP BY 1) s ON k.entity = s.entity")
 def candidates(spark, sf):
-    k = read(spark, sf, "supplier").where("s_suppkey % 3 > 0").select(F.col("s_suppkey").alias("entity"), F.when(F.col("s_suppkey") % 2 == 0, F.lit("1991-01-01").cast("date")).alias("list_date"))
+    k = read(spark, sf, "supplier").select((F.col("s_suppkey") + 3).alias("entity"), F.when(F.col("s_suppkey") % 2 == 0, F.lit("1991-01-01").cast("date")).alias("list_date"))
     return P.complete(P.candidates(k, bars(spark, sf)), {"entity": "long", "list_date": "date", "last_session": "date", "delist_reason": "string"})
 
 

@@ -236,11 +236,11 @@ def infinite(spark, sf):
     return Q.infinite_counts(p, ["a", "b"])
 
 
-@query("j11_reconcile", "WITH a AS (SELECT o_orderkey, o_totalprice AS p FROM orders WHERE o_orderkey % 10 > 0), b AS (SELECT l_orderkey AS o_orderkey, sum(l_extendedprice) AS p FROM lineitem WHERE l_orderkey % 7 > 0 GROUP BY 1) SELECT 'only_left' AS \"check\", count(*) AS n FROM a WHERE o_orderkey NOT IN (SELECT o_orderkey FROM b) UNION ALL SELECT 'only_right', count(*) FROM b WHERE o_orderkey NOT IN (SELECT o_orderkey FROM a) UNION ALL SELECT 'p_differs', count(*) FROM a JOIN b USING (o_orderkey) WHERE abs(a.p - b.p) > 50000")
+@query("j11_reconcile", "WITH a AS (SELECT o_orderkey, date_trunc('month', o_orderdate) AS month, o_totalprice AS p FROM orders), b AS (SELECT l_orderkey AS o_orderkey, date_trunc('month', l_shipdate) AS month, sum(l_extendedprice) AS p FROM lineitem GROUP BY 1, 2) SELECT 'only_left' AS \"check\", count(*) AS n FROM a ANTI JOIN b USING (o_orderkey, month) UNION ALL SELECT 'only_right', count(*) FROM b ANTI JOIN a USING (o_orderkey, month) UNION ALL SELECT 'p_differs', count(*) FROM a JOIN b USING (o_orderkey, month) WHERE abs(a.p - b.p) > 50000")
 def reconcile(spark, sf):
-    a = read(spark, sf, "orders").where("o_orderkey % 10 > 0").select("o_orderkey", F.col("o_totalprice").alias("p"))
-    b = read(spark, sf, "lineitem").where("l_orderkey % 7 > 0").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sum("l_extendedprice").alias("p"))
-    return Q.reconcile(a, b, ["o_orderkey"], {"p": 50000.0})
+    a = read(spark, sf, "orders").select("o_orderkey", F.trunc("o_orderdate", "month").alias("month"), F.col("o_totalprice").alias("p"))
+    b = read(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey"), F.trunc("l_shipdate", "month").alias("month")).agg(F.sum("l_extendedprice").alias("p"))
+    return Q.reconcile(a, b, ["o_orderkey", "month"], {"p": 50000.0})
 
 
 @query("j13_j15_baseline", "WITH c AS (SELECT event_type, CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1, 2), b AS (SELECT *, quantile_cont(n, 0.5) OVER w AS baseline, count(n) OVER w AS h FROM c WINDOW w AS (PARTITION BY event_type ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)) SELECT event_type, day, n, round(baseline, 6) AS baseline, round(CASE WHEN baseline > 0 THEN n / baseline END, 6) AS ratio, CASE WHEN n < 3 THEN 'severe' WHEN h < 3 THEN 'short_history' WHEN CASE WHEN baseline > 0 THEN n / baseline END < 0.5 THEN 'severe' WHEN CASE WHEN baseline > 0 THEN n / baseline END < 0.9 THEN 'moderate' ELSE 'ok' END AS band FROM b")
