@@ -60,23 +60,23 @@ def temporaries(spark: SparkSession) -> Iterator[None]:
             delete_folder(spark, folder)
 
 
-def staged(df: DataFrame) -> DataFrame:
-    """Writes df as Parquet to the shared folder and reads it again, which cuts
-    the lineage: a lost executor then costs a reread, not a recomputation."""
+def staged(df: DataFrame, *by: str) -> DataFrame:
+    """Writes df as Parquet to the shared folder, with `by` in folders of their own, and
+    reads it again, which cuts the lineage: a lost executor then costs a reread, not a
+    recomputation."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/staged-{uuid.uuid4().hex}"
     if _OPEN:
         _OPEN[-1].append(path)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def unstage(*frames: DataFrame) -> None:
     """Deletes what staged() wrote for these frames; nothing may read them later."""
     for df in frames:
-        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            if "/staged-" in folder:
-                delete_folder(df.sparkSession, folder)
+        for home, name in {tuple(f.rsplit("/staged-", 1)) for f in df.inputFiles() if "/staged-" in f}:
+            delete_folder(df.sparkSession, f"{home}/staged-{name.split('/')[0]}")
 
 
 def bounded_sample(rows: DataFrame, key: str, n: int, total: int | None = None) -> DataFrame:

@@ -7,6 +7,9 @@ log-structured merge tree: each batch of documents adds one run of level 0, and
 batch is anti-joined with the runs bucket by bucket, and there are only
 O(fanout * log(batches)) runs to merge with. Runs hold different lines, so a full outer
 merge join of them is their merged run: compaction moves nothing between buckets.
+
+Texts are split and hashed once: the lines of all batches are written by batch, a
+line once for each batch that has it, and the batches are read from there.
 """
 
 from __future__ import annotations
@@ -20,23 +23,23 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WHITE, ascii_lower, modest_batches, staged
+from .common import WHITE, ascii_lower, modest_batches, staged, unstage
 
 _STRIP = WHITE.encode()
 _UNIQUE = "h1 long, h2 long, doc_id long"
 
 
-def line_keys(docs: DataFrame, min_chars: int = 10) -> DataFrame:
-    """(h1, h2, doc_id): the hashes of the keys of at least min_chars code points
-    in each document that has an id, a key once or more."""
+def line_keys(docs: DataFrame, min_chars: int = 10, *more: str) -> DataFrame:
+    """(h1, h2, doc_id) and the columns that `more` names: the hashes of the keys of at
+    least min_chars code points in each document that has an id, a key once or more."""
     line = F.explode(F.split(F.coalesce("text", F.lit("")), "\n"))
     key = ascii_lower(F.btrim(F.col("line"), F.lit(WHITE)))
     return (
         docs.where(F.col("doc_id").isNotNull())
-        .select("doc_id", line.alias("line"))
-        .select("doc_id", key.alias("key"))
+        .select("doc_id", *more, line.alias("line"))
+        .select("doc_id", *more, key.alias("key"))
         .where(F.char_length("key") >= min_chars)
-        .select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), "doc_id")
+        .select(F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"), "doc_id", *more)
     )
 
 
@@ -62,12 +65,13 @@ class LineRuns:
     def runs(self) -> list[DataFrame]:
         return [self.spark.table(x) for level in self.levels for x in level]
 
-    def add(self, keys: DataFrame) -> None:
-        """Adds the lines of a batch that no run holds, each with its first holder."""
-        fresh = keys.groupBy("h1", "h2").agg(F.min("doc_id").alias("doc_id"))
+    def add(self, lines: DataFrame) -> None:
+        """Adds the lines of a batch that no run holds. lines has (h1, h2, doc_id), a row
+        for each line, with its first holder in the batch."""
+        fresh = lines.repartition(self.buckets, "h1", "h2")
         for run in self.runs():
             fresh = fresh.join(run.select("h1", "h2").hint("merge"), ["h1", "h2"], "left_anti")
-        self.levels[0].append(self._write(fresh.repartition(self.buckets, "h1", "h2")))
+        self.levels[0].append(self._write(fresh))
         self._compact()
 
     def _compact(self) -> None:
@@ -165,18 +169,17 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, batches: int = 6, fanout:
     batches = max(batches, -(-docs.count() // batch_rows))
     ids = docs.select("doc_id")
     cuts = sorted({int(x) for x in ids.approxQuantile("doc_id", [i / batches for i in range(1, batches)], 0.02)}) if batches > 1 else []
-    edges = [None, *cuts, None]
+    starts = F.array(*[F.lit(x).cast("long") for x in cuts]).cast("array<long>")
+    batch = F.size(F.filter(starts, lambda start: start <= F.col("doc_id")))
+    keys = line_keys(docs.select("doc_id", "text", batch.alias("batch")), min_chars, "batch")
+    lines = staged(keys.groupBy("batch", "h1", "h2").agg(F.min("doc_id").alias("doc_id")), "batch")
     runs = LineRuns(spark, fanout)
-    for lo, hi in zip(edges, edges[1:], strict=False):
-        part = docs
-        if lo is not None:
-            part = part.where(F.col("doc_id") >= lo)
-        if hi is not None:
-            part = part.where(F.col("doc_id") < hi)
-        runs.add(line_keys(part.select("doc_id", "text"), min_chars))
+    for k in range(len(cuts) + 1):
+        runs.add(lines.where(F.col("batch") == k).drop("batch"))
     # 64 bits tell apart the lines of one document, so the second hash stays behind
     owned = staged(runs.owners().groupBy("doc_id").agg(F.collect_list("h1").alias("owned")))
     runs.drop()
+    unstage(lines)
     joined = docs.withColumn("has_id", F.col("doc_id").isNotNull()).join(owned, "doc_id", "left")
     joined = joined.select("doc_id", *docs.columns[2:], "text", "has_id", "owned")
     schema = docs.drop("text").schema
