@@ -77,7 +77,7 @@ class Shingler:
                 yield np.zeros(0, np.uint64)
             lo = hi
 
-    def of_column(self, column: Iterable, size: int = 1 << 20) -> Iterator[np.ndarray]:
+    def of_column(self, column: Iterable, size: int = 1 << 18) -> Iterator[np.ndarray]:
         """The set of each text of an Arrow string column; null is empty. Texts go
         in groups of about `size` bytes, so memory does not depend on the batch."""
         group: list[bytes] = []
