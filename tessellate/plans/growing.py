@@ -10,12 +10,12 @@ from ..operators import rolling as R
 from ..sources import builds as B
 from ..sources.store import TableSpec, upsert
 from .base import PANEL, calendar, gate, panel, query, sql_rounded
-from .labelling import _LABELS, H, in_base
+from .labelling import _LABELS, H, in_base, limited
 from .metrics import _root
 
 KEY = ["entity", "session"]
-#: Where the batches end.
-CUTS = ("1998-06-30", "1999-12-31", "2009-12-31")
+#: Where the batches end; the last takes all that is left.
+CUTS = ("1998-06-30", "1999-12-31", "9999-12-31")
 FEATURES = ("ret_1d", "ret_4", "realized_vol_13", "ma_ratio_4", "dist_high_13")
 SOURCE = TableSpec("panel", ("entity", "session"))
 FEATURE_TABLE = TableSpec("features", ("entity", "session"))
@@ -29,12 +29,14 @@ def features_of(rows):
 
 
 def labels_of(rows):
-    return L.forward_labels(in_base(L.with_limits(rows)), H).select(*KEY, "horizon", "entry_session", "exit_session", "reason", "future_excess_ret", "label_quantile")
+    """Labels of a stretch of the panel with its limits: they come from the last known close, however
+    far back, so they are stored with the source and not made of the stretch."""
+    return L.forward_labels(in_base(rows), H).select(*KEY, "horizon", "entry_session", "exit_session", "reason", "future_excess_ret", "label_quantile")
 
 
-def grown(spark, sf, name, each):
-    """Feeds the panel to a store in batches, and calls each(root, calendar) after each."""
-    root, rows, cal = _root(spark, name), panel(spark, sf), calendar(spark, sf)
+def grown(spark, sf, name, each, source=panel):
+    """Feeds the panel (or source) to a store in batches, and calls each(root, calendar) after each."""
+    root, rows, cal = _root(spark, name), source(spark, sf), calendar(spark, sf)
     since = "1900-01-01"
     for until in CUTS:
         upsert(spark, root, SOURCE, rows.where((F.col("session") > F.to_date(F.lit(since))) & (F.col("session") <= F.to_date(F.lit(until)))))
@@ -63,5 +65,5 @@ def missing_partials(spark, sf):
 
 @query("h01_incremental_labels", f"{PANEL}, {_LABELS} SELECT entity, session, horizon, entry_session, exit_session, reason, round(future_excess_ret, 6) AS future_excess_ret, label_quantile FROM labels")
 def incremental_labels(spark, sf):
-    root = grown(spark, sf, "labels", lambda root, cal: B.extend(spark, root, SOURCE, LABEL_TABLE, cal, labels_of, 2 + max(H), 2))
+    root = grown(spark, sf, "labels", lambda root, cal: B.extend(spark, root, SOURCE, LABEL_TABLE, cal, labels_of, 2 + max(H), 2), limited)
     return LABEL_TABLE.read(spark, root).drop("year", "month")

@@ -69,3 +69,21 @@ def test_bounds_prune_years(spark):
 
     plan = panel(spark, "/root/testdata/sf0.001", "1999-05-05")._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*year#\d+ >= 1999", plan) and "GreaterThanOrEqual(session,1999-05-03)" in plan
+
+
+def test_label_batches_know_a_close_from_before_their_warm_up(spark, tmp_path):
+    from tessellate.operators import labels as L
+    from tessellate.plans import growing as W
+
+    cal = spark.createDataFrame([(week(i), i + 1) for i in range(40)], "session date, pos int")
+    # entity 1 has no bar from session 15 to 32, and opens far above its last close on the 33rd
+    out = [(e, week(i), i + 1, None if e == 1 and 14 <= i < 32 else 10.0 * (5 if e == 1 and i >= 32 else 1) + i % 3) for e in (1, 2) for i in range(40)]
+    df = spark.createDataFrame(out, "entity long, session date, pos int, open double")
+    df = L.with_limits(df.withColumns({"close": F.col("open"), "traded": F.col("open").isNotNull(), "grp": F.lit(1), "bench": F.lit(100.0) + F.col("pos")}))
+    for lo, hi in ((0, 32), (32, 40)):
+        upsert(spark, str(tmp_path), W.SOURCE, df.where((F.col("pos") > lo) & (F.col("pos") <= hi)))
+        B.extend(spark, str(tmp_path), W.SOURCE, W.LABEL_TABLE, cal, W.labels_of, 7, 2)
+    got, want = W.LABEL_TABLE.read(spark, str(tmp_path)).drop("year", "month"), W.labels_of(df)
+    key = lambda d: sorted(map(str, d.select("entity", "session", "horizon", "reason", "future_excess_ret", "label_quantile").collect()))
+    assert key(got) == key(want)
+    assert want.where("entity = 1 AND horizon = 1 AND pos = 32").first()["reason"] == "entry_not_buyable"
