@@ -139,8 +139,10 @@ def severity_counts(drift: DataFrame) -> DataFrame:
 
 
 def worst_features(drift: DataFrame, n: int) -> DataFrame:
-    """K8: the n features with the largest PSI of any period, and that period."""
-    worst = drift.groupBy("feature").agg(F.max("psi").alias("max_psi"), F.max_by("month", "psi").alias("month"))
+    """K8: the n features with the largest PSI of any period, and that period; of periods that
+    are equal to nine places the first."""
+    at = F.when(F.col("psi").isNotNull(), F.struct(-F.round("psi", 9), F.col("month")))
+    worst = drift.groupBy("feature").agg(F.max("psi").alias("max_psi"), F.min_by("month", at).alias("month"))
     return worst.orderBy(F.desc("max_psi"), "feature").limit(n)
 
 

@@ -95,7 +95,11 @@ def severity_counts(spark, sf):
     return K.severity_counts(feature_drift(spark, sf))
 
 
-@query("k08_worst_features", f"SELECT feature, max(psi) AS max_psi, arg_max(month, psi) AS month FROM ({ORACLE_SQL['k01_k04_feature_drift']}) GROUP BY 1", digits=4)
+#: The drift with its index as it is: months whose rounded indices are equal would be picked by chance.
+_WHOLE_PSI = f"{PANEL}, {_DRIFT}, " + _DRIFT_TAIL.replace("round(psi, 4) AS psi", "psi")
+
+
+@query("k08_worst_features", f"SELECT feature, round(max(psi), 4) AS max_psi, arg_min(month, row(-round(psi, 9), month)) FILTER (psi IS NOT NULL) AS month FROM ({_WHOLE_PSI}) GROUP BY 1", digits=4)
 def worst_features(spark, sf):
     return K.worst_features(feature_drift(spark, sf), 5)
 

@@ -327,3 +327,9 @@ def test_drift_is_exact_whatever_the_ranges(spark):
     assert results[0] == results[1] == results[2]
     few = K.feature_drift(ref, cur, ["feature"], "period", "x", key=["id"], most_reference=100, most_current=50).collect()
     assert len(few) == 12 and all(r["n"] == 300 for r in few)
+
+
+def test_the_worst_period_is_the_first_of_equal_ones(spark):
+    rows = [("f", "1997", 0.2), ("f", "1996", 0.2 - 1e-12), ("f", "1998", 0.19996), ("f", "1995", None), ("g", "1996", None)]
+    drift = spark.createDataFrame(rows, "feature string, month string, psi double").repartition(3)
+    assert [(r["feature"], r["month"]) for r in K.worst_features(drift, 5).collect()] == [("f", "1996"), ("g", None)]
