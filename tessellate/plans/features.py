@@ -86,10 +86,10 @@ def coercion(spark, sf):
     return e.select("event_id", P.numeric(F.element_at(first, k)).alias("x"), P.clean_date(raw).alias("d"))
 
 
-@query("c03_era_rule", f"{PANEL} SELECT entity, session, ok AS is_valid FROM (SELECT *, least(open, high, low, close) > 0 AND h2 >= greatest(open, close, low) AND low <= least(open, close, h2) AS ok FROM (SELECT *, CASE WHEN entity % 7 = 0 THEN high * 0.9 ELSE high END AS h2 FROM bars)) WHERE ok OR session >= DATE '1998-01-01'")
+@query("c03_era_rule", f"{PANEL} SELECT entity, session, ok AS is_valid, ok OR session >= DATE '1998-01-01' AS is_kept FROM (SELECT *, least(open, high, low, close) > 0 AND h2 >= greatest(open, close, low) AND low <= least(open, close, h2) AS ok FROM (SELECT *, CASE WHEN entity % 7 = 0 THEN high * 0.9 ELSE high END AS h2 FROM bars))")
 def era(spark, sf):
     b = bars(spark, sf).withColumn("high", F.when(F.col("entity") % 7 == 0, F.col("high") * 0.9).otherwise(F.col("high")))
-    return P.era_rule(b, "1998-01-01").select(*KEY, "is_valid")
+    return P.era_flags(b, "1998-01-01").select(*KEY, "is_valid", "is_kept")
 
 
 @query("c04_keep_last", "SELECT o_custkey, o_orderkey, o_orderdate FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders) WHERE n = 1")

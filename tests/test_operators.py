@@ -333,3 +333,11 @@ def test_the_worst_period_is_the_first_of_equal_ones(spark):
     rows = [("f", "1997", 0.2), ("f", "1996", 0.2 - 1e-12), ("f", "1998", 0.19996), ("f", "1995", None), ("g", "1996", None)]
     drift = spark.createDataFrame(rows, "feature string, month string, psi double").repartition(3)
     assert [(r["feature"], r["month"]) for r in K.worst_features(drift, 5).collect()] == [("f", "1996"), ("g", None)]
+
+
+def test_era_flags_keep_every_bar(spark):
+    rows = [(1, day(0), 10.0, 11.0, 9.0, 10.0), (1, day(1), 10.0, 9.5, 9.0, 10.0), (1, day(9), 10.0, 9.5, 9.0, 10.0), (1, day(10), None, 9.5, 9.0, 10.0)]
+    bars = spark.createDataFrame(rows, "entity long, session date, open double, high double, low double, close double")
+    flags = [(r["is_valid"], r["is_kept"]) for r in P.era_flags(bars, day(5).isoformat()).orderBy("session").collect()]
+    assert flags == [(True, True), (False, False), (False, True), (False, True)]
+    assert [r["is_valid"] for r in P.era_rule(bars, day(5).isoformat()).orderBy("session").collect()] == [True, False, False]
