@@ -195,12 +195,12 @@ _TURN = gate("avg", "amount / close", 4)
     "f23_feature_frame",
     f"{PANEL}, a AS (SELECT o_custkey AS entity, CAST(o_orderdate AS DATE) AS available, max(o_totalprice) / sum(o_totalprice) AS top_share FROM orders GROUP BY 1, 2), fu AS (SELECT *, top_share - lag(top_share) OVER (PARTITION BY entity ORDER BY available) AS top_share_change FROM a), "
     f"m AS (SELECT entity, session, traded, ret_1d, exp({gate('sum', 'ln(1 + ret_1d)', 4)}) - 1 AS ret_4, exp({gate('sum', 'ln(1 + ret_1d)', 13)}) - 1 AS ret_13, {gate('stddev_samp', 'ret_1d', 13)} AS realized_vol_13, vol / ({gate('avg', 'vol', 4)}) AS volume_ratio_4, (amount / close) / ({_TURN}) AS turnover_ratio_4 FROM rets), "
-    "q AS (SELECT *, CASE WHEN traded THEN ret_4 END AS e1, CASE WHEN traded THEN realized_vol_13 END AS e2 FROM m WHERE session >= DATE '1998-01-01'), "
+    "q AS (SELECT *, CASE WHEN traded THEN ret_4 END AS e1, CASE WHEN traded THEN realized_vol_13 END AS e2 FROM m), "
     f"r AS (SELECT *, {pct('e1', 'session')} AS cs_rank_ret_4, {pct('e2', 'session')} AS cs_rank_realized_vol_13 FROM q) "
     "SELECT r.entity, r.session, " + ", ".join(f"round({c}, 6) + 0.0 AS {c}" for c in REGISTRY) + " FROM r ASOF LEFT JOIN fu ON fu.entity = r.entity AND r.session >= fu.available",
 )
 def frame(spark, sf):
-    market = R.feature_frame(panel(spark, sf, R.warm_up_start("1998-01-01")).withColumn("turnover_rate", F.col("amount") / F.col("close")), W, "1998-01-01")
+    market = R.feature_frame(panel(spark, sf).withColumn("turnover_rate", F.col("amount") / F.col("close")), W)
     for c in ("ret_4", "realized_vol_13"):
         market = G.percentiles(market, c, ["session"], f"cs_rank_{c}", F.col("traded"))
     reports = read(spark, sf, "orders").groupBy(F.col("o_custkey").alias("entity"), F.to_date("o_orderdate").alias("available")).agg(F.sum("o_totalprice").alias("total"), F.max("o_totalprice").alias("top"))

@@ -341,3 +341,18 @@ def test_era_flags_keep_every_bar(spark):
     flags = [(r["is_valid"], r["is_kept"]) for r in P.era_flags(bars, day(5).isoformat()).orderBy("session").collect()]
     assert flags == [(True, True), (False, False), (False, True), (False, True)]
     assert [r["is_valid"] for r in P.era_rule(bars, day(5).isoformat()).orderBy("session").collect()] == [True, False, False]
+
+
+def test_a_feature_frame_is_of_all_sessions_or_from_its_start(spark):
+    p = make_panel(spark, {1: [10.0, 11.0, 12.1, None, 10.0, 10.5, 12.0]})
+    whole, late = R.feature_frame(p, (3,)), R.feature_frame(p, (3,), day(4).isoformat())
+    assert whole.count() == 7 and column(late, "pos") == [5, 6, 7]
+    assert column(late, "ret_3") == column(whole, "ret_3")[4:]
+
+
+def test_the_feature_table_query_has_every_row_of_the_panel(spark):
+    from tessellate.plans import catalog
+    from tessellate.plans.base import panel
+
+    sf = "/root/testdata/sf0.001"
+    assert catalog.QUERIES["f23_feature_frame"](spark, sf).count() == panel(spark, sf).count()
