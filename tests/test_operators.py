@@ -356,3 +356,11 @@ def test_the_feature_table_query_has_every_row_of_the_panel(spark):
 
     sf = "/root/testdata/sf0.001"
     assert catalog.QUERIES["f23_feature_frame"](spark, sf).count() == panel(spark, sf).count()
+
+
+def test_all_labels_are_counted_against_the_base_universe(spark):
+    from tessellate.plans import catalog
+
+    out = catalog.QUERIES["h09_reconcile_counts"](spark, "/root/testdata/sf0.001").collect()
+    # labels are there for each entity and session, available or not
+    assert out and {r["found"] for r in out} == {10}
