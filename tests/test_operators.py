@@ -364,3 +364,15 @@ def test_all_labels_are_counted_against_the_base_universe(spark):
     out = catalog.QUERIES["h09_reconcile_counts"](spark, "/root/testdata/sf0.001").collect()
     # labels are there for each entity and session, available or not
     assert out and {r["found"] for r in out} == {10}
+
+
+def test_observations_get_all_labels_and_wait_without_one(spark):
+    from tessellate.operators import monitor as M
+    from tessellate.plans import catalog
+
+    seen = spark.createDataFrame([(e, day(0), 1) for e in (1, 2, 3)], "entity long, session date, horizon int")
+    kept = spark.createDataFrame([(1, day(0), 1, True, 0.5, None), (2, day(0), 1, False, None, "exit_suspended")], "entity long, session date, horizon int, is_label_available boolean, future_excess_ret double, reason string")
+    got = {r["entity"]: (r["label_status"], r["label_reason"], r["y"]) for r in M.attach_labels(seen, kept).collect()}
+    assert got == {1: ("available", None, 0.5), 2: ("unavailable", "exit_suspended", None), 3: ("pending", None, None)}
+    statuses = {r["label_status"] for r in catalog.QUERIES["l03_label_status"](spark, "/root/testdata/sf0.001").collect()}
+    assert statuses == {"available", "unavailable"}  # every session has its labels
