@@ -376,3 +376,21 @@ def test_observations_get_all_labels_and_wait_without_one(spark):
     assert got == {1: ("available", None, 0.5), 2: ("unavailable", "exit_suspended", None), 3: ("pending", None, None)}
     statuses = {r["label_status"] for r in catalog.QUERIES["l03_label_status"](spark, "/root/testdata/sf0.001").collect()}
     assert statuses == {"available", "unavailable"}  # every session has its labels
+
+
+def test_spread_bars_are_the_dense_grid(spark, cal):
+    days = [r["session"] for r in cal.orderBy("pos").collect()]
+    rows = [(1, days[0], 5.0), (1, days[3], 6.0), (2, days[-1], 7.0), (3, None, 8.0), (4, None, 8.0), (4, days[0], 9.0), (4, days[7], 9.5), (None, days[2], 1.0), (5, days[4], None)]
+    bars = spark.createDataFrame(rows, "entity long, session date, close double")
+    want = P.densify(bars, cal, bars.select("entity").distinct()).select("entity", "session", "pos", "close", "traded")
+    got = P.spread_bars(bars, cal)
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() == 6 * len(days)
+
+
+def test_the_panel_is_dealt_once(spark, tmp_path):
+    from tessellate.plans import base
+
+    cal = base.calendar(spark, "/root/testdata/sf0.001")
+    plan = base._made_panel(spark, "/root/testdata/sf0.001", cal, 8)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
