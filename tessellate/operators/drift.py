@@ -17,11 +17,12 @@ def value_counts(rows: DataFrame, by: Sequence[str], x: str) -> DataFrame:
 
 def _ranged(counts: DataFrame, by: Sequence[str], ranges: int) -> DataFrame:
     """counts without missing values, with `range`: each group cut into about as many
-    ranges of values of like size, so that no group is put in order by one task."""
+    ranges of values of like size, so that no group is put in order by one task. The cuts, a row for each
+    group, are sent to all tasks: a join by group would bring a group's values into one."""
     real = counts.where("value IS NOT NULL")
     at = F.array(*[F.lit(i / ranges) for i in range(1, max(ranges, 2))])
     cuts = real.groupBy(*by).agg(F.percentile_approx("value", at, F.lit(max(1000, 10 * ranges))).alias("_cuts"))
-    return real.join(cuts, list(by)).withColumn("range", place_in("_cuts", "value", ranges)).drop("_cuts")
+    return real.join(F.broadcast(cuts), list(by)).withColumn("range", place_in("_cuts", "value", ranges)).drop("_cuts")
 
 
 def _before(ranged: DataFrame, by: Sequence[str], n: str, name: str) -> DataFrame:
@@ -41,7 +42,7 @@ def exact_edges(counts: DataFrame, by: Sequence[str], bins: int, ranges: int | N
     the two nearest values), each once; none where a group has no value. The wanted ranks lie in a few ranges of values; counts before
     a range and inside it say which values hold them."""
     ranged = _ranged(counts, by, _parts(counts, ranges))
-    placed = ranged.join(_before(ranged, by, "n", "_b"), [*by, "range"])
+    placed = ranged.join(F.broadcast(_before(ranged, by, "n", "_b")), [*by, "range"])
     inside = Window.partitionBy(*by, "range").orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
     placed = placed.withColumn("_below", F.col("_b") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
     at = [(F.col("_b_all") - 1) * F.lit(i / bins) for i in range(1, bins)]
@@ -62,7 +63,7 @@ def psi(reference: DataFrame, current: DataFrame, edges: DataFrame, by: Sequence
     row of counts by bin for each group and period."""
     none = F.lit(None).cast(dict(current.dtypes)[period])
     both = reference.select(*by, "value", "n", F.lit(True).alias("_ref"), none.alias(period)).unionByName(current.select(*by, "value", "n", F.lit(False).alias("_ref"), period))
-    told = both.join(edges, list(by)).withColumn("bin", F.when(F.col("value").isNull(), F.lit(-1)).otherwise(place_in("edges", "value", bins)))
+    told = both.join(F.broadcast(edges), list(by)).withColumn("bin", F.when(F.col("value").isNull(), F.lit(-1)).otherwise(place_in("edges", "value", bins)))
     counts = told.groupBy(*by, "_ref", period, "bin").agg(F.sum("n").alias("n"), F.max(F.size("edges")).alias("_last"))
     rows = counts.groupBy(*by, "_ref", period).agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("m"), F.sum("n").alias("_all"), F.max("_last").alias("_last"))
     ref = rows.where("_ref").select(*by, F.col("m").alias("r"), F.col("_all").alias("r_all"))
@@ -88,7 +89,7 @@ def ks(reference: DataFrame, current: DataFrame, by: Sequence[str], period: str,
     equal = F.sum("r").over(Window.partitionBy(*by, "range", "value"))
     own = F.sum("c").over(Window.partitionBy(*by, "range", period).orderBy("value").rowsBetween(Window.unboundedPreceding, 0))
     run = ranged.withColumns({"_r": upto, "_re": equal, "_c": own}).where("c > 0")
-    run = run.join(_before(totals, by, "r", "_rb"), [*by, "range"]).join(_before(totals.where("c > 0"), [*by, period], "c", "_cb"), [*by, period, "range"])
+    run = run.join(F.broadcast(_before(totals, by, "r", "_rb")), [*by, "range"]).join(F.broadcast(_before(totals.where("c > 0"), [*by, period], "c", "_cb")), [*by, period, "range"])
     share = lambda part, before: (F.col(before) + part) / F.col(f"{before}_all")
     r, c, left = F.col("_r"), F.col("_c"), F.when(F.col("_rb_all") > 0, F.lit(True))
     gap = F.greatest(F.abs(share(c, "_cb") - share(r, "_rb")), F.abs(share(c - F.col("c"), "_cb") - share(r - F.col("_re"), "_rb")))
