@@ -48,12 +48,14 @@ def outlook(p: Column | str, cuts: Sequence[tuple[float, str]], lowest: str) ->
     return F.when(col(p).isNotNull(), out)
 
 
-def ensemble(scores: DataFrame, models: int) -> DataFrame:
+def ensemble(scores: DataFrame, models: int, parts: int | None = None) -> DataFrame:
     """Of long scores (model_id, session, entity, score): the mean of each
-    model's percentiles, for keys that all models have, ranked anew."""
+    model's percentiles, for keys that all models have, ranked anew. parts is into how many
+    parts sessions are dealt; without it Spark's setting holds, at any size."""
+    scores = scores.repartition(parts, "model_id", "session") if parts else scores
     pct = scores.withColumn("p", avg_rank_pct("score", ["model_id", "session"]))
     both = pct.groupBy("session", "entity").agg(F.avg("p").alias("score"), F.count("p").alias("n")).where(F.col("n") == models).drop("n")
-    return ranked(both, "score")
+    return ranked(both.repartition(parts, "session") if parts else both, "score")
 
 
 def history_percentile(values: DataFrame, key: str, order: str, x: str) -> DataFrame:

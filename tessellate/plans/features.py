@@ -10,7 +10,7 @@ from ..operators import labels as L
 from ..operators import panel as P
 from ..operators import ranks as G
 from ..operators import rolling as R
-from .base import PANEL, bars, calendar, gate, panel, pct, query, read, sql_rounded, win
+from .base import PANEL, bars, calendar, gate, panel, parts, pct, query, read, sql_rounded, win
 
 KEY = ["entity", "session"]
 W = (4, 13)
@@ -256,7 +256,7 @@ def outlook(spark, sf):
 def ensemble(spark, sf):
     s = scored(spark, sf)
     long = s.select(F.lit("a").alias("model_id"), "session", "entity", "score").unionByName(s.select(F.lit("b").alias("model_id"), "session", "entity", F.round("vol", 9).alias("score")))
-    both = G.ensemble(long, 2).withColumn("score", F.round("score", 9))
+    both = G.ensemble(long, 2, parts(spark, sf)).withColumn("score", F.round("score", 9))
     return G.ranked(both.drop("rank", "cross_section_size", "score_percentile"), "score").select("session", "entity", "score", F.col("rank").cast("long").alias("rank"))
 
 
