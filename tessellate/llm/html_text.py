@@ -18,10 +18,10 @@ less readily the more the markup speaks for the text:
 
 A host of up to `size` characters is one group with one suffix array. A larger host is
 dealt by a hash of page_id into groups of about that size, each with a suffix array of
-its own. Whole blocks are counted over all pages of a host by Spark, by their hashes, so
-that a notice on three pages of a million is found; only a run that is no block, and
-that no group has `few` times, is lost. Groups follow from page_id and the host's size
-alone, so results don't depend on the number of partitions.
+its own. What no group has often enough to see is counted over all pages of the host by
+Spark, by hashes: whole blocks, so that a notice on three pages of a million is found,
+and, for each large host with a page on which runs decide anything, the runs of `least`
+tokens of all its pages. Results depend neither on the number of partitions nor on `size`.
 """
 
 from __future__ import annotations
@@ -253,10 +253,28 @@ def _at_edges(gone: list[bool], common: list[bool]) -> list[bool]:
     return out
 
 
-def main_texts(read: list[list[tuple[int, str]]], least: int = 8, few: int = 3, most: float = 0.8, known: list[tuple[set[int], set[int]]] | None = None) -> list[tuple[str, int]]:
-    """The text of each page of a host, given as its blocks, and how many of its tokens
-    are in runs that few pages hold. known has for each page which of its blocks few
-    and most pages of the host hold; without it these pages are the host."""
+def _zone(own: list[tuple[int, str]]) -> int:
+    """The zone that a page's text is taken from."""
+    return min((z % DOUBTFUL for z, _ in own), default=ELSEWHERE)
+
+
+def _undecided(z: int, zone: int) -> bool:
+    """Whether runs decide about a block of zone z on a page whose text is in zone."""
+    return z % DOUBTFUL == zone and (zone == ELSEWHERE or z >= DOUBTFUL)
+
+
+def _runs(own: list[tuple[int, str]], host: str, least: int) -> list[int]:
+    """The hashes of a host with the `least` tokens that begin at each place of a page."""
+    tokens = [t for _, b in own for t in b.split(" ")]
+    return [xxhash.xxh64_intdigest(f"{host}\n{' '.join(tokens[i : i + least])}") - (1 << 63) for i in range(len(tokens) - least + 1)]
+
+
+def main_texts(read: list[list[tuple[int, str]]], least: int = 8, few: int = 3, most: float = 0.8, known: list[tuple[set[int], set[int]]] | None = None, elsewhere: list[list[int]] | None = None) -> list[tuple[str, int]]:
+    """The text of each page of a host, given as its blocks, and how many tokens of the
+    blocks that runs decide about are in runs that few pages hold. known has for each
+    page which of its blocks few and most pages of the host hold; without it these pages
+    are the host. elsewhere has for each page the places where runs begin that few pages
+    of the host hold, though these pages may not show it."""
     streams = [[t for _, b in own for t in b.split(" ")] for own in read]
     counts, owner = pages_of_runs(streams, least)
     if known is None:
@@ -267,18 +285,22 @@ def main_texts(read: list[list[tuple[int, str]]], least: int = 8, few: int = 3,
         often = {b for b, n in held.items() if n >= max(5, most * pages)}
         known = [(set(), {i for i, (_, b) in enumerate(own) if b in often}) for own in read]
     out = []
-    for own, n, (shared, common) in zip(read, counts, known, strict=True):
-        cover, at = covered(n, least, few), 0
-        zone = min((z % DOUBTFUL for z, _ in own), default=ELSEWHERE)
+    for own, n, (shared, common), begun in zip(read, counts, known, elsewhere or [[]] * len(read), strict=True):
+        n[begun] = np.maximum(n[begun], few)
+        cover, at, found = covered(n, least, few), 0, 0
+        zone = _zone(own)
         mine: list[tuple[int, list[str], bool]] = []  # place, tokens kept, gone
         for i, (z, b) in enumerate(own):
             tokens = b.split(" ")
             if i in shared and len(tokens) >= least:
                 cover[at : at + len(tokens)] = True
-            hit = _whole_runs(cover[at : at + len(tokens)], least)
+            hit = cover[at : at + len(tokens)]
             at += len(tokens)
             if z % DOUBTFUL != zone:
                 continue
+            if _undecided(z, zone):
+                found += int(hit.sum())
+                hit = _whole_runs(hit, least)
             gone = z >= DOUBTFUL and 2 * int(hit.sum()) >= len(tokens)
             if zone == ELSEWHERE:
                 tokens = [t for t, x in zip(tokens, hit, strict=True) if not x]
@@ -287,7 +309,7 @@ def main_texts(read: list[list[tuple[int, str]]], least: int = 8, few: int = 3,
         gone = [g for _, _, g in mine]
         if zone != ELSEWHERE:
             gone = _at_edges(gone, [i in common for i, _, _ in mine])
-        out.append(("\n".join(" ".join(t) for (_, t, _), g in zip(mine, gone, strict=True) if not g), int(cover.sum())))
+        out.append(("\n".join(" ".join(t) for (_, t, _), g in zip(mine, gone, strict=True) if not g), found))
     return out
 
 
@@ -315,20 +337,38 @@ def _reading(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _hashing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         host, part, pages = (b.column(b.schema.get_field_index(c)) for c in ("host", "part", "html"))
-        streams, keys = [], []
+        streams, keys, undecided = [], [], []
         for name, x in zip(host.to_pylist(), pages, strict=True):
             own = blocks(x.as_py() or "")
             streams.append(_stream(own))
             keys.append([xxhash.xxh64_intdigest(f"{name}\n{t}") - (1 << 63) for _, t in own])
-        yield pa.RecordBatch.from_arrays([host, part, pa.array(streams, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["host", "part", "stream", "keys"])
+            undecided.append(any(_undecided(z, _zone(own)) for z, _ in own))
+        columns = [host, part, pa.array(streams, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(undecided, pa.bool_())]
+        yield pa.RecordBatch.from_arrays(columns, ["host", "part", "stream", "keys", "undecided"])
+
+
+def _hashing_runs(least: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            host, part, pages = (b.column(b.schema.get_field_index(c)) for c in ("host", "part", "html"))
+            for k, (name, x) in enumerate(zip(host.to_pylist(), pages, strict=True)):  # a page at a time: its runs are larger than itself
+                own = blocks(x.as_py() or "")
+                keys = np.unique(np.array(_runs(own, name, least), np.int64))
+                yield pa.RecordBatch.from_arrays([host[k : k + 1], part[k : k + 1], pa.array([_stream(own)], pa.int64()), pa.array([keys], pa.list_(pa.int64()))], ["host", "part", "stream", "keys"])
+
+    return run
 
 
 def _extracting(least: int, few: int, most: float):
     def run(pages: pd.DataFrame, marks: pd.DataFrame) -> pd.DataFrame:
         read = [_unpacked(x) for x in pages["page"]]
-        by_stream = dict(zip(marks["stream"], zip(marks["few"], marks["most"], strict=True), strict=True))
+        runs = {k for own in marks["runs"] if own is not None for k in own}
+        by_stream = {s: own for s, *own, r in zip(marks["stream"], marks["few"], marks["most"], marks["runs"], strict=True) if r is None}
         known = [tuple(map(set, by_stream.get(_stream(own), ((), ())))) for own in read]
-        found = main_texts(read, least, few, most, known)
+        begun = None
+        if runs:
+            begun = [[i for i, k in enumerate(_runs(own, name, least)) if k in runs] for own, name in zip(read, pages["host"], strict=True)]
+        found = main_texts(read, least, few, most, known, begun)
         texts = [t for t, _ in found]
         return pd.DataFrame({"page_id": pages["page_id"].astype("Int64"), "url": pages["url"], "text": texts, "n_chars": [len(t) for t in texts], "n_shared": [n for _, n in found]})
 
@@ -351,11 +391,24 @@ def _common_blocks(hashed: DataFrame, few: int, most: float) -> DataFrame:
     return marked.groupBy("host", "part", "stream").agg(F.collect_set("i").alias("few"), F.collect_set(F.when(often, F.col("i"))).alias("most"))
 
 
+def _common_runs(hashed: DataFrame, few: int) -> DataFrame:
+    """Rows as those of _common_blocks, one for each group: the runs of its pages that few
+    distinct pages of the host hold. They are no more than the group has tokens."""
+    each = hashed.select("host", "part", "stream", F.explode("keys").alias("key"))
+    held = each.groupBy("key").agg(F.countDistinct("stream").alias("n")).where(F.col("n") >= few).select("key")
+    none = F.array().cast("array<int>")
+    found = each.select("host", "part", "key").distinct().join(held, "key").groupBy("host", "part").agg(F.collect_list("key").alias("runs"))
+    return found.select("host", "part", F.lit(0).cast("long").alias("stream"), none.alias("few"), none.alias("most"), "runs")
+
+
 def extract_text(pages: DataFrame, size: int = 2 << 20, least: int = 8, few: int = 3, most: float = 0.8) -> DataFrame:
     """A row for each row of pages (page_id, url, html): page_id, url, text, n_chars
-    (its code points) and n_shared (tokens in runs shared with other pages).
+    (its code points) and n_shared (tokens in runs shared with other pages, of the
+    blocks that runs decide about: those of pages that mark no article, and those whose
+    names only hint at furniture).
 
-    size is the number of characters of html up to which a host is one group. Null
+    size is the number of characters of html up to which a host is one group; results
+    don't depend on it. Null
     html is empty and has empty text; null urls are a host of their own; repeated rows
     are each extracted, and equal pages count as one when repeats are counted. An empty
     table gives an empty result; other columns are ignored."""
@@ -368,6 +421,11 @@ def extract_text(pages: DataFrame, size: int = 2 << 20, least: int = 8, few: int
     parted = rows.join(large, rows["host"] == large["h"], "left").select("page_id", "url", "host", part.alias("part"), "html")
     read = parted.mapInArrow(_reading, "page_id long, url string, host string, part int, page binary")
     # pages are read twice rather than kept: their blocks are as large as the table
-    marks = _common_blocks(parted.mapInArrow(_hashing, "host string, part int, stream long, keys array<long>"), few, most)
+    hashed = staged(parted.mapInArrow(_hashing, "host string, part int, stream long, keys array<long>, undecided boolean"))
+    marks = _common_blocks(hashed, few, most).withColumn("runs", F.lit(None).cast("array<long>"))
+    asked = staged(large.join(hashed.where("undecided").select(F.col("host").alias("h")).distinct(), "h", "left_semi").where("parts > 1"))
+    if not asked.isEmpty():
+        own = parted.join(asked, parted["host"] == asked["h"], "left_semi")
+        marks = marks.unionByName(_common_runs(own.mapInArrow(_hashing_runs(least), "host string, part int, stream long, keys array<long>"), few))
     both = read.groupBy("host", "part").cogroup(marks.groupBy("host", "part"))
     return both.applyInPandas(_extracting(least, few, most), "page_id long, url string, text string, n_chars long, n_shared long")

@@ -274,6 +274,29 @@ def test_html_same_for_any_partitions_and_group_size(spark):
         spark.conf.set("spark.sql.shuffle.partitions", old)
 
 
+def test_html_runs_across_groups(spark):
+    """A run that is no block, on three pages of a host (one with a copy) in different groups."""
+    rng = random.Random(8)
+    run = "one two three four five six seven eight nine"
+    rows = []
+    for i in range(120):
+        body = " ".join(f"w{rng.randrange(10**9)}" for _ in range(40))
+        held = i in (7, 50, 93)
+        rows.append((i, "http://big.example.com/", f"<p>own{i} {run} {body}</p>" if held else f"<p>{body}</p>", f"own{i} {body}" if held else body))
+    twice = f"<p>twice {run[:-5]} {' '.join(f'v{k}' for k in range(30))}</p>".replace("seven", "seventh")  # no run of 8 in it
+    rows += [(120 + k, "http://big.example.com/", twice, twice[3:-4]) for k in range(9)]
+    hint = f"<div class='related-work'>h {run}</div>"
+    rows.append((130, "http://big.example.com/", f"<article><p>a</p>{hint}</article>", "a"))
+    rows.append((131, "http://small.example.com/", f"<p>s {run}</p>", f"s {run}"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, body string")
+    want = {i: b for i, _, _, b in rows}
+    found = []
+    for size in (1 << 20, 3000, 500):
+        found.append({r["page_id"]: (r["text"], r["n_shared"]) for r in extract_text(df, size=size).collect()})
+        assert {i: t for i, (t, _) in found[-1].items()} == want
+    assert found[0] == found[1] == found[2]
+
+
 def test_html_long_page(spark):
     df = spark.createDataFrame([(1, "http://a/x", "<article>" + "<p>word of it</p>" * 50_000 + "</article>")], "page_id long, url string, html string")
     r = extract_text(df).first()
