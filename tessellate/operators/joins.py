@@ -37,9 +37,9 @@ def later_ratio(a: DataFrame, b: DataFrame, key: Sequence[str], x: str, y: str,
     return both.select(*key, F.greatest("_a", "_b").alias("available"), safe_div(x, y).alias(out))
 
 
-def interval_keys(spans: DataFrame, cal: DataFrame, key: str, start: str, end: str) -> DataFrame:
-    """The distinct (key, session) within intervals; an open end reaches to the
-    calendar's. Bounds become positions first, so each interval is a sequence."""
+def merged_intervals(spans: DataFrame, cal: DataFrame, key: str, start: str, end: str) -> DataFrame:
+    """(key, _lo, _hi): the positions of the first and last session within intervals; those
+    that overlap or touch are one. An open end reaches to the calendar's."""
     w = Window.orderBy("session")
     here = F.col("session")
     near = cal.withColumns({"_after": F.coalesce(F.date_add(F.lag("session").over(w), 1), here), "_until": F.coalesce(F.date_sub(F.lead("session").over(w), 1), here)})
@@ -54,7 +54,13 @@ def interval_keys(spans: DataFrame, cal: DataFrame, key: str, start: str, end: s
     before = F.max("_hi").over(w.rowsBetween(Window.unboundedPreceding, -1))
     begun = one.withColumn("_new", F.when(F.col("_lo") <= before + 1, 0).otherwise(1))
     islands = begun.withColumn("_island", F.sum("_new").over(w)).groupBy(key, "_island").agg(F.min("_lo").alias("_lo"), F.max("_hi").alias("_hi"))
-    every = islands.select(key, F.explode(F.sequence("_lo", "_hi")).alias("pos"))
+    return islands.select(key, "_lo", "_hi")
+
+
+def interval_keys(spans: DataFrame, cal: DataFrame, key: str, start: str, end: str) -> DataFrame:
+    """The distinct (key, session) within intervals. Bounds become positions first, so each
+    interval is a sequence."""
+    every = merged_intervals(spans, cal, key, start, end).select(key, F.explode(F.sequence("_lo", "_hi")).alias("pos"))
     return every.join(F.broadcast(cal), "pos").select(key, "session")
 
 
@@ -63,6 +69,14 @@ def flag(df: DataFrame, keys: DataFrame, on: Sequence[str], name: str) -> DataFr
     return df.join(keys.select(*on).distinct().withColumn(name, F.lit(True)), list(on), "left").withColumn(name, F.coalesce(name, F.lit(False)))
 
 
+def flag_within(df: DataFrame, intervals: DataFrame, entity: str, name: str) -> DataFrame:
+    """Adds a boolean, whether the row's pos lies in one of its entity's merged_intervals. These are
+    joined by entity alone, as one list that is shorter than the calendar, so a panel in buckets of entities stays where it is."""
+    own = intervals.groupBy(entity).agg(F.collect_list(F.struct("_lo", "_hi")).alias("_spans"))
+    here = F.exists("_spans", lambda x: F.col("pos").between(x["_lo"], x["_hi"]))
+    return df.join(own, entity, "left").withColumn(name, F.coalesce(here, F.lit(False))).drop("_spans")
+
+
 def eligible_labels(features: DataFrame, labels: DataFrame, universe: DataFrame, target: str) -> DataFrame:
     """Features with their labels and horizon, where the universe holds the row
     and the target is finite."""

@@ -87,3 +87,14 @@ def test_label_batches_know_a_close_from_before_their_warm_up(spark, tmp_path):
     key = lambda d: sorted(map(str, d.select("entity", "session", "horizon", "reason", "future_excess_ret", "label_quantile").collect()))
     assert key(got) == key(want)
     assert want.where("entity = 1 AND horizon = 1 AND pos = 32").first()["reason"] == "entry_not_buyable"
+
+
+def test_universe_leaves_the_panel_in_its_buckets(spark):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # these tables are small
+    try:
+        for name in ("e01_e07_universe", "e01_e03_listed_universe"):
+            plan = catalog.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+            assert not re.search(r"hashpartitioning\(entity#\d+L?, session", plan), name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

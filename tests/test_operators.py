@@ -394,3 +394,18 @@ def test_the_panel_is_dealt_once(spark, tmp_path):
     cal = base.calendar(spark, "/root/testdata/sf0.001")
     plan = base._made_panel(spark, "/root/testdata/sf0.001", cal, 8)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_flag_within_and_liquidity_are_as_joined(spark, cal):
+    p = make_panel(spark, {1: [10.0, None, 12.0, 13.0, None, 9.0], 2: [None, 5.0, 5.0, None, 5.0, 5.0], 3: [1.0] * 6})
+    days = p.select("session", "pos").distinct()
+    spans = spark.createDataFrame([(1, day(1), day(2)), (1, day(2), day(3)), (1, day(5), None), (2, day(0), day(0)), (9, day(0), None), (None, day(0), None)], "entity long, s date, e date")
+    args = (spans, days, "entity", "s", "e")
+    want = J.flag(p, J.interval_keys(*args), ["entity", "session"], "held")
+    got = J.flag_within(p, J.merged_intervals(*args), "entity", "held")
+    assert [column(got, "held", e) for e in (1, 2, 3)] == [column(want, "held", e) for e in (1, 2, 3)]
+    assert column(got, "held") == [False, True, True, True, False, True]
+    want = p.join(L.liquidity(p.where("traded"), 2).select("entity", "session", "amount_mean", "amount_count"), ["entity", "session"], "left")
+    got = L.with_liquidity(p, 2)
+    for name in ("amount_mean", "amount_count"):
+        assert [column(got, name, e) for e in (1, 2, 3)] == [column(want, name, e) for e in (1, 2, 3)]
