@@ -308,14 +308,17 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, count
     from_pivot = compared.select(F.col("a").alias("pivot"), F.col("b").alias("fp"), (1 - F.col("o") / (F.col("size") - F.col("o"))).alias("d"))
     limit = 1 - percent / 100 + 1e-9
     found = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    placed = met.join(found, met["fp"] == found["node"], "left").join(from_pivot, ["pivot", "fp"], "left")
-    placed = placed.select("fp", "n", "gram", F.coalesce("component", "fp").alias("comp"), F.when(F.col("fp") == F.col("pivot"), 0.0).otherwise(F.col("d")).alias("d"))
+    # what is read more than once is written first: plans that repeat it are large, and
+    # the driver holds them with what Spark generates for them
+    placed = met.join(found, met["fp"] == found["node"], "left")
+    placed = staged(placed.select("fp", "n", "gram", "pivot", F.coalesce("component", "fp").alias("comp")))
     by_comp = placed.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("k"))
     # a long list is dealt over cells: its members look into one each, and those of
     # other components than the main one into all
     main = by_comp.groupBy("gram").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count(F.lit(1)).alias("comps"), F.sum("k").alias("k")).where("comps > 1")
     main = main.select("gram", "main", F.ceil(F.col("k") / CELL).cast("int").alias("cells"))
-    apart = placed.join(main, "gram").join(chosen.select("fp", "sketch"), "fp")
+    apart = placed.join(main, "gram").join(from_pivot, ["pivot", "fp"], "left").join(chosen.select("fp", "sketch"), "fp")
+    apart = staged(apart.select("fp", "n", "gram", "comp", "main", "cells", "sketch", F.when(F.col("fp") == F.col("pivot"), 0.0).otherwise(F.col("d")).alias("d")))
     minor = apart.where("comp <> main").withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
     minor = minor.select("gram", "cell", F.col("fp").alias("x"), F.col("n").alias("xn"), F.col("comp").alias("xc"), F.col("d").alias("xd"), F.col("sketch").alias("xs"))
     other = apart.select("gram", F.pmod(F.xxhash64("fp"), "cells").cast("int").alias("cell"), F.col("fp").alias("y"), F.col("n").alias("yn"), F.col("comp").alias("yc"), F.col("d").alias("yd"), F.col("sketch").alias("ys"), (F.col("comp") == F.col("main")).alias("in_main"))
@@ -333,7 +336,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, count
         & (differing <= room),
     )
     rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    rest = rest.join(near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    rest = rest.join(compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
     links = links.unionAll(staged(_compared(rest, sets).where(_similar(percent)).select("a", "b")))
 
     name = classes.select("fp", "rep")
