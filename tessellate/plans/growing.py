@@ -9,7 +9,7 @@ from ..operators import labels as L
 from ..operators import rolling as R
 from ..sources import builds as B
 from ..sources.store import TableSpec, upsert
-from .base import PANEL, calendar, gate, panel, query, sql_rounded
+from .base import PANEL, calendar, gate, panel, parts, query, sql_rounded
 from .labelling import _LABELS, H, in_base, limited
 from .metrics import _root
 
@@ -39,7 +39,7 @@ def grown(spark, sf, name, each, source=panel):
     root, rows, cal = _root(spark, name), source(spark, sf), calendar(spark, sf)
     since = "1900-01-01"
     for until in CUTS:
-        upsert(spark, root, SOURCE, rows.where((F.col("session") > F.to_date(F.lit(since))) & (F.col("session") <= F.to_date(F.lit(until)))))
+        upsert(spark, root, SOURCE, rows.where((F.col("session") > F.to_date(F.lit(since))) & (F.col("session") <= F.to_date(F.lit(until)))), parts(spark, sf))
         each(root, cal)
         since = until
     return root
@@ -50,14 +50,14 @@ _FULL = f"SELECT *, exp({gate('sum', 'ln(1 + ret_1d)', 4)}) - 1 AS ret_4, {gate(
 
 @query("f22_incremental_features", sql_rounded(_FULL, "entity, session", list(FEATURES)))
 def incremental_features(spark, sf):
-    root = grown(spark, sf, "features", lambda root, cal: B.extend(spark, root, SOURCE, FEATURE_TABLE, cal, features_of, 5, 20))
+    root = grown(spark, sf, "features", lambda root, cal: B.extend(spark, root, SOURCE, FEATURE_TABLE, cal, features_of, 5, 20, parts(spark, sf)))
     return FEATURE_TABLE.read(spark, root).select(*KEY, *FEATURES)
 
 
 @query("f24_missing_partials", f"{PANEL}, x AS ({_FULL}) " + " UNION ALL ".join(f"SELECT '{f}' AS feature, round(avg(CAST({f} IS NULL AS INTEGER)), 6) AS missing_ratio FROM x" for f in FEATURES))
 def missing_partials(spark, sf):
     def each(root, cal):
-        since = B.extend(spark, root, SOURCE, FEATURE_TABLE, cal, features_of, 5, 20)
+        since = B.extend(spark, root, SOURCE, FEATURE_TABLE, cal, features_of, 5, 20, parts(spark, sf))
         B.update_missing_counts(spark, root, FEATURE_TABLE, PARTIALS, FEATURES, since)
 
     return B.missing_ratios_of(PARTIALS.read(spark, grown(spark, sf, "missing", each)))
@@ -65,5 +65,5 @@ def missing_partials(spark, sf):
 
 @query("h01_incremental_labels", f"{PANEL}, {_LABELS} SELECT entity, session, horizon, entry_session, exit_session, reason, round(future_excess_ret, 6) AS future_excess_ret, label_quantile FROM labels")
 def incremental_labels(spark, sf):
-    root = grown(spark, sf, "labels", lambda root, cal: B.extend(spark, root, SOURCE, LABEL_TABLE, cal, labels_of, 2 + max(H), 2), limited)
+    root = grown(spark, sf, "labels", lambda root, cal: B.extend(spark, root, SOURCE, LABEL_TABLE, cal, labels_of, 2 + max(H), 2, parts(spark, sf)), limited)
     return LABEL_TABLE.read(spark, root).drop("year", "month")

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -44,17 +44,24 @@ def scan_table(spark: SparkSession, root: str, spec: TableSpec, start: str, end:
     return df.drop("year", "month").select(*columns)
 
 
-def merged(old: DataFrame, new: DataFrame, key: Sequence[str], order: Sequence[Column] = ()) -> DataFrame:
-    """A3: old and new rows by key, new ones first; among new rows the last by order."""
+def merged(old: DataFrame, new: DataFrame, key: Sequence[str], order: Sequence[Column] = (), deal: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """A3: old and new rows by key, new ones first; among new rows the last by order. deal shuffles both by
+    the key or some of it, if that isn't left to the window."""
     both = old.withColumn("_new", F.lit(0)).unionByName(new.withColumn("_new", F.lit(1)), allowMissingColumns=True)
+    both = deal(both) if deal else both
     spec = Window.partitionBy(*key).orderBy(F.desc("_new"), *order)
     return both.withColumn("_n", F.row_number().over(spec)).where("_n = 1").drop("_n", "_new")
 
 
-def upsert(spark: SparkSession, root: str, spec: TableSpec, new: DataFrame) -> None:
+#: For how many parts of a table a month has a file at least.
+PARTS_A_FILE = 64
+
+
+def upsert(spark: SparkSession, root: str, spec: TableSpec, new: DataFrame, parts: int | None = None) -> None:
     """A3: writes rows into their months, replacing rows of the same key; repeating it
-    changes nothing. The months touched are staged beside the table first, as a table
-    can't be overwritten while it is read."""
+    changes nothing. Dynamic overwriting puts the months touched in place when all are written, so they can be
+    read meanwhile and are written once. Where the key holds the date, rows are shuffled once, by
+    month, and the window over the key finds them so; with parts, into that many, and months into files by key."""
     path = spec.path(root)
     fresh = _with_month(new, spec.date)
     order = [F.col(c).desc_nulls_last() for c in new.columns if c not in spec.key]
@@ -66,11 +73,15 @@ def upsert(spark: SparkSession, root: str, spec: TableSpec, new: DataFrame) -> N
         stored = fresh.limit(0)
     months = F.broadcast(fresh.select("year", "month").distinct())
     touched = stored.join(months, ["year", "month"], "left_semi")
-    aside = f"{root.rstrip('/')}/_staged_{uuid.uuid4().hex}"
-    merged(touched, fresh, spec.key, order).write.parquet(aside)
-    spark.read.parquet(aside).repartition("year", "month").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(path)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(aside)
-    hadoop.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(hadoop, True)
+    number = [parts] if parts else []
+    if spec.date in spec.key:
+        own = [c for c in spec.key if c != spec.date] or [spec.date]
+        file = F.pmod(F.xxhash64(*own), F.lit(math.ceil((parts or 1) / PARTS_A_FILE)))
+        by = ["year", "month", "_file"]
+        rows = merged(touched, fresh, [*by, *spec.key], order, lambda both: both.withColumn("_file", file).repartition(*number, *by)).drop("_file")
+    else:
+        rows = merged(touched, fresh, spec.key, order).repartition(*number, "year", "month")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year", "month").parquet(path)
 
 
 def replace_snapshot(df: DataFrame, path: str, key: Sequence[str], order: Sequence[str]) -> None:

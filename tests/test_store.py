@@ -62,3 +62,38 @@ def test_schema_of_files_that_differ(spark, tmp_path):
 def test_table_set_with_no_table_there(spark, tmp_path):
     got = Q.table_set_status(spark, [Q.Expected("a", f"{tmp_path}/a", ("k",)), Q.Expected("b", f"{tmp_path}/b", ("k",), optional=True)])
     assert sorted((r["table"], r["status"]) for r in got.collect()) == [("a", "missing"), ("b", "skipped")]
+
+
+def moved(spark, act):
+    """Rows that an action's tasks shuffled, and those that they wrote."""
+    jvm, store = spark.sparkContext._gateway.jvm, spark.sparkContext._jsc.sc().statusStore()
+
+    def stages():
+        found = store.stageList(jvm.java.util.ArrayList(), False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+        return {s.stageId(): s for s in (found.apply(i) for i in range(found.size()))}
+
+    before = set(stages())
+    act()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    new = [s for i, s in stages().items() if i not in before]
+    return sum(s.shuffleWriteRecords() for s in new), sum(s.outputRecords() for s in new)
+
+
+@pytest.mark.parametrize("parts", [None, 6, 200])
+def test_upsert_moves_and_writes_rows_once(spark, tmp_path, parts):
+    """Three months, the second of both writes: the rows of the months touched are shuffled and written
+    once (the months' own list is shuffled too), and the later of two rows of a key stays."""
+    spec = S.TableSpec("t", ("k", "day"), "day")
+    days = spark.range(0, 6000, 1, 4).selectExpr("id DIV 60 AS k", "date_add(DATE '2023-01-02', CAST(id % 60 AS INT)) AS day", "CAST(id AS DOUBLE) AS x")
+    early, late = days.where("day < '2023-02-11'"), days.where("day >= '2023-02-06'").withColumn("x", F.col("x") * 2)
+    shuffled, written = moved(spark, lambda: S.upsert(spark, str(tmp_path), spec, early, parts))
+    assert (shuffled, written) == (4000, 4000)
+    again = late.unionByName(late.withColumn("x", F.col("x") - 1))
+    shuffled, written = moved(spark, lambda: S.upsert(spark, str(tmp_path), spec, again, parts))
+    assert written == 500 + 2500 and 1000 + 5000 <= shuffled < 1000 + 5000 + 100
+    got = {(r["k"], r["day"]): r["x"] for r in spec.read(spark, str(tmp_path)).collect()}
+    want = {(r["k"], r["day"]): r["x"] for r in early.union(late).collect()}
+    assert got == want and len(got) == 6000
+    assert sorted(p.name for p in (tmp_path).iterdir()) == ["t"]
+    files = max(1, -(-(parts or 1) // S.PARTS_A_FILE))
+    assert all(len(list(m.glob("*.parquet"))) <= files for m in (tmp_path / "t").glob("year=*/month=*"))
