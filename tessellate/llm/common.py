@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -72,6 +73,28 @@ def staged(df: DataFrame, *by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """As staged(), in buckets of `key`, as many as shuffles have partitions: joins on
+    key read it without an exchange. The table's name is not kept."""
+    spark = df.sparkSession
+    name = f"staged_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name.replace('_', '-')}"
+    if _OPEN:
+        _OPEN[-1].append(path)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").bucketBy(parts, key).option("path", path).saveAsTable(name)
+    out = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the files stay
+    return out
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Has the files of shuffles that nothing can read any more deleted. Spark keeps them
+    until the driver collects its garbage, which a large driver may not do for long."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def unstage(*frames: DataFrame) -> None:
     """Deletes what staged() wrote for these frames; nothing may read them later."""
     for df in frames:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import modest_batches, staged
+from .common import bucketed, free_shuffles, modest_batches, staged, unstage
 from .components import components
 from .set_links import count_links
 from .shingles import Shingler, U, mixed
@@ -61,6 +61,19 @@ def prefix_length(a: int, percent: int) -> int:
     return a - -(-percent * a // 100) + 1
 
 
+def _packed(values: np.ndarray, slices: int) -> bytes:
+    """Sorted numbers of one slice of the 32-bit ones, in about two bytes each: how many
+    have each upper half that the slice has, and the lower halves."""
+    upper = np.bincount((values >> 16).astype(np.int64) % max(1, 65536 // slices), minlength=max(1, 65536 // slices))
+    return upper.astype("<u4").tobytes() + (values & 0xFFFF).astype("<u2").tobytes()
+
+
+def _unpacked(data: bytes, k: int, slices: int) -> np.ndarray:
+    halves = max(1, 65536 // slices)
+    upper = k * 65536 // slices + np.repeat(np.arange(halves, dtype=np.uint32), np.frombuffer(data, "<u4", halves))
+    return upper.astype(np.uint32) << np.uint32(16) | np.frombuffer(data, "<u2", offset=4 * halves)
+
+
 def _counts(width: int, slices: int):
     """The upper 32 bits of the even grams of all texts, sorted, by slice."""
 
@@ -72,7 +85,7 @@ def _counts(width: int, slices: int):
             every = np.sort(np.concatenate(held))
             edges = np.searchsorted(every, np.arange(slices + 1, dtype=np.uint64) << U(shift))
             full = [k for k in range(slices) if edges[k] < edges[k + 1]]
-            return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([every[edges[k] : edges[k + 1]].tobytes() for k in full], pa.binary())], ["slice", "hashes"])
+            return pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([_packed(every[edges[k] : edges[k + 1]], slices) for k in full], pa.binary())], ["slice", "hashes"])
 
         for b in batches:
             for grams in shingler.of_column(b.column(0)):
@@ -93,7 +106,7 @@ def _sketch(slices: int, heavy: int):
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         k = int(pdf["slice"].iloc[0])
-        every = np.sort(np.concatenate([np.frombuffer(x, "<u4") for x in pdf["hashes"]]))
+        every = np.sort(np.concatenate([_unpacked(x, k, slices) for x in pdf["hashes"]]))
         first = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
         times = np.diff(np.r_[first, len(every)])
         place = (every[first].astype(np.int64) >> (32 - SKETCH_BITS)) - k * part
@@ -271,9 +284,11 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, count
     maps.destroy()
     known = entries.where("n > 0 AND doc_id IS NOT NULL")
     classes = staged(known.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.count_distinct("doc_id").alias("w")))
-    # the row of each class that stands for it
-    chosen = known.where("size(head) > 0 OR size(subsets) > 0").join(classes.select("rep", "fp"), (known["doc_id"] == classes["rep"]) & (known["fp"] == classes["fp"]), "left_semi")
-    chosen = staged(chosen.select("fp", "n", "head", "subsets", "centre", "sketch").dropDuplicates(["fp"]))
+    # a row of each class that stands for it: the rest is of the set alone
+    chosen = staged(known.where("size(head) > 0 OR size(subsets) > 0").select("fp", "n", "head", "subsets", "centre", "sketch").dropDuplicates(["fp"]))
+    rows = staged(entries.select("doc_id", "n", "fp"))
+    unstage(entries)
+    free_shuffles(spark)
 
     # light sets: an equal subset proves a link, also between sets of the smaller
     # size of its pair, which need no larger overlap; a star on either side joins all
@@ -282,25 +297,31 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, count
     same = hubs.where("large IS NULL AND m > 1").select("key", F.lit(0).alias("side"), F.col("small").alias("hub"))
     cross = hubs.where("small IS NOT NULL AND large IS NOT NULL")
     cross = cross.select("key", F.lit(1).alias("side"), F.col("small").alias("hub")).unionAll(cross.select("key", F.lit(0).alias("side"), F.col("large").alias("hub")))
-    subset_links = keyed.join(same.unionAll(cross), ["key", "side"]).where("fp <> hub").select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct()
+    subset_links = staged(keyed.join(same.unionAll(cross), ["key", "side"]).where("fp <> hub").select(F.col("hub").alias("a"), F.col("fp").alias("b")).distinct())
 
     # heavy sets: each list compares its members with the one whose grams are shared
     # most, as the original is among its edited copies
-    posts = staged(chosen.select("fp", "n", "centre", F.explode("head").alias("gram")))
+    posts = chosen.select("fp", "n", "centre", F.explode("head").alias("gram"))
     pivots = posts.groupBy("gram").agg(F.max_by(F.struct("fp", "n"), F.struct("centre", "fp")).alias("p"), F.count(F.lit(1)).alias("m")).where("m > 1").select("gram", F.col("p.fp").alias("pivot"), F.col("p.n").alias("pivot_n"))
-    met = posts.join(pivots, "gram")
+    met = staged(posts.join(pivots, "gram").select("fp", "n", "gram", "pivot", "pivot_n"))
     near = met.where((F.col("fp") != F.col("pivot")) & _sizes_fit(F.col("n"), F.col("pivot_n"), percent)).select(F.col("pivot").alias("a"), F.col("fp").alias("b")).distinct()
     asked = met.select("fp")
     if count:
         asked = asked.unionAll(subset_links.select(F.explode(F.array("a", "b")).alias("fp")))
-    ids = id_filter(asked.distinct().join(classes, "fp").select(F.col("rep").alias("doc_id")))
-    wanted = spark.sparkContext.broadcast(ids)
+    asked = staged(asked.distinct().join(classes, "fp").select("fp", F.col("rep").alias("doc_id")))
+    free_shuffles(spark)
+    wanted = spark.sparkContext.broadcast(id_filter(asked))
     hashed = docs.where("doc_id IS NOT NULL").withColumn("place", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 24)))
     sets = hashed.mapInArrow(_wanted_sets(width, wanted), "doc_id long, fp long, grams array<long>")
-    sets = staged(sets.join(classes.select("rep", "fp"), (sets["doc_id"] == classes["rep"]) & (sets["fp"] == classes["fp"]), "left_semi").select("fp", "grams").dropDuplicates(["fp"]))
+    # sets are shuffled once: they are kept in buckets of fp, by which all below join them
+    sets = bucketed(sets.select("fp", "grams").dropDuplicates(["fp"]).join(asked.select("fp"), "fp", "left_semi"), "fp")
     wanted.destroy()
+    unstage(asked)
+    free_shuffles(spark)
     compared = staged(_compared(near, sets))
     links = staged(subset_links.unionAll(compared.where(_similar(percent)).select("a", "b")))
+    unstage(subset_links)
+    free_shuffles(spark)
 
     # what is still in different components though it shares a list; Jaccard distance
     # is a metric, so two members whose distances to the list's pivot differ by more
@@ -312,6 +333,8 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, count
     # the driver holds them with what Spark generates for them
     placed = met.join(found, met["fp"] == found["node"], "left")
     placed = staged(placed.select("fp", "n", "gram", "pivot", F.coalesce("component", "fp").alias("comp")))
+    unstage(met, found)
+    free_shuffles(spark)
     by_comp = placed.groupBy("gram", "comp").agg(F.count(F.lit(1)).alias("k"))
     # a long list is dealt over cells: its members look into one each, and those of
     # other components than the main one into all
@@ -337,16 +360,21 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80, count
     )
     rest = rest.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     rest = rest.join(compared.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
-    links = links.unionAll(staged(_compared(rest, sets).where(_similar(percent)).select("a", "b")))
+    more = staged(_compared(rest, sets).where(_similar(percent)).select("a", "b"))
+    unstage(placed, apart, compared)
+    free_shuffles(spark)
 
     name = classes.select("fp", "rep")
-    edges = links.join(name.select(F.col("fp").alias("a"), F.col("rep").alias("u")), "a").join(name.select(F.col("fp").alias("b"), F.col("rep").alias("v")), "b").select("u", "v")
+    edges = links.unionAll(more).join(name.select(F.col("fp").alias("a"), F.col("rep").alias("u")), "a").join(name.select(F.col("fp").alias("b"), F.col("rep").alias("v")), "b").select("u", "v")
     final = components(edges)
     label = staged(classes.join(final, classes["rep"] == final["node"], "left").select(F.col("fp").alias("f"), "rep", "w", "component"))
+    unstage(links, more, classes, final)
     columns = [F.col("n").alias("n_shingles"), F.coalesce("component", "rep", "doc_id").alias("component_id")]
     if count:
         members = label.where("component IS NOT NULL").select(F.col("f").alias("fp"), "w", "component").join(chosen.select("fp", "n", "centre"), "fp").join(sets, "fp")
         label = label.join(count_links(members, percent).withColumnRenamed("fp", "l"), F.col("f") == F.col("l"), "left")
         columns.append((F.coalesce("w", F.lit(1)) - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"))
-    out = entries.join(label, (F.col("fp") == F.col("f")) & (F.col("n") > 0) & F.col("doc_id").isNotNull(), "left")
+    unstage(sets, chosen)
+    free_shuffles(spark)
+    out = rows.join(label, (F.col("fp") == F.col("f")) & (F.col("n") > 0) & F.col("doc_id").isNotNull(), "left")
     return out.select("doc_id", *columns)

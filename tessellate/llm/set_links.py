@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import staged, unstage
 
 #: Elements of a block's vocabulary that one product of matrices takes.
 STRIP = 2048
@@ -94,18 +94,21 @@ def count_links(members: DataFrame, percent: int, block: int = 1024) -> DataFram
     each once, that stand for w documents each. linked is the number of documents of
     other sets of the component that are similar to the set. The pivot of a component is
     its set of the greatest centre. Sets of components that hold one set are left out."""
-    members = members.toDF(*members.columns)
-    sizes = members.groupBy("component").agg(F.count(F.lit(1)).alias("m"), F.max_by("fp", F.struct("centre", "fp")).alias("pivot")).where("m > 1")
+    small = staged(members.select("component", "fp", "n", "w", "centre"))
+    grams = members.select(F.col("fp").alias("held"), "grams")
+    sizes = small.groupBy("component").agg(F.count(F.lit(1)).alias("m"), F.max_by("fp", F.struct("centre", "fp")).alias("pivot")).where("m > 1")
     sizes = staged(sizes.withColumn("salts", F.ceil(F.col("m") / block).cast("long")))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     part = lambda n: F.pmod(F.xxhash64("fp"), F.col(n))
-    own = members.join(sizes.select("component", "salts"), "component").withColumn("salt", part("salts"))
-    pivots = sizes.join(members.select(F.col("fp").alias("pivot"), F.col("n").alias("pivot_n"), F.col("grams").alias("p")), "pivot")
+    own = small.join(sizes.select("component", "salts"), "component").withColumn("salt", part("salts"))
+    own = own.join(grams, F.col("fp") == F.col("held"))
+    pivots = sizes.join(small.select(F.col("fp").alias("pivot"), F.col("n").alias("pivot_n")), "pivot").join(grams.toDF("of", "p"), F.col("pivot") == F.col("of"))
     pivots = pivots.select("component", "pivot_n", "p", every("salts").alias("salt"))
     told = own.join(pivots, ["component", "salt"])
     told = told.select("component", "fp", "n", "w", "pivot_n", F.concat(F.array_except("grams", "p"), F.array_except("p", "grams")).alias("delta"))
     d = F.size("delta")
     told = staged(told.select("component", "fp", "n", "w", "delta", (400 * d <= (100 - percent) * (F.col("n") + F.col("pivot_n") + d)).alias("core")))
+    unstage(small, sizes)
 
     shape = told.groupBy("component").agg(F.count_if(~F.col("core")).alias("outer"), F.count(F.lit(1)).alias("m"), F.sum(F.when(F.col("core"), F.col("w"))).alias("core_w"))
     parts = lambda c: F.ceil(F.col(c) / block).cast("long")
