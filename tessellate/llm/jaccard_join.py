@@ -32,9 +32,12 @@ from .components import components
 from .set_links import count_links
 from .shingles import Shingler, U, mixed
 
-#: Bits of each of the two sketches of the lists' lengths, which are broadcast:
-#: 8 MB each, however large the corpus is.
-SKETCH_BITS = 26
+#: Powers of two that bound the bits of the sketch of shared grams, 8 to 128 MB, which
+#: is broadcast; that of heavy ones, which are few, has the least.
+SKETCH_BITS = 26, 30
+#: Bits of a gram's hash that are counted: chance collisions among 32 bits would already
+#: make a third of the grams of 4 GB of texts look shared.
+COUNTED = 40
 #: What comparing two sets costs beside their grams, in rows of a shuffle.
 COMPARISON = 10
 #: Members of a list that one task compares with others at a time.
@@ -62,24 +65,27 @@ def prefix_length(a: int, percent: int) -> int:
 
 
 def _packed(values: np.ndarray, slices: int) -> bytes:
-    """Sorted numbers of one slice of the 32-bit ones, in about two bytes each: how many
-    have each upper half that the slice has, and the lower halves."""
-    upper = np.bincount((values >> 16).astype(np.int64) % max(1, 65536 // slices), minlength=max(1, 65536 // slices))
-    return upper.astype("<u4").tobytes() + (values & 0xFFFF).astype("<u2").tobytes()
+    """Sorted numbers of one slice of the 40-bit ones, in about three bytes each: how many
+    have each upper 16 bits that the slice has, and the other bits."""
+    halves = max(1, 65536 // slices)
+    upper = np.bincount((values >> U(24)).astype(np.int64) % halves, minlength=halves)
+    return upper.astype("<u4").tobytes() + (values & U(0xFFFF)).astype("<u2").tobytes() + (values >> U(16)).astype(np.uint8).tobytes()
 
 
 def _unpacked(data: bytes, k: int, slices: int) -> np.ndarray:
     halves = max(1, 65536 // slices)
-    upper = k * 65536 // slices + np.repeat(np.arange(halves, dtype=np.uint32), np.frombuffer(data, "<u4", halves))
-    return upper.astype(np.uint32) << np.uint32(16) | np.frombuffer(data, "<u2", offset=4 * halves)
+    upper = np.repeat(np.arange(halves, dtype=np.uint64) + U(k * 65536 // slices), np.frombuffer(data, "<u4", halves))
+    lower = np.frombuffer(data, "<u2", len(upper), 4 * halves).astype(np.uint64)
+    middle = np.frombuffer(data, np.uint8, len(upper), 4 * halves + 2 * len(upper)).astype(np.uint64)
+    return upper << U(24) | middle << U(16) | lower
 
 
 def _counts(width: int, slices: int):
-    """The upper 32 bits of the even grams of all texts, sorted, by slice."""
+    """The upper 40 bits of the even grams of all texts, sorted, by slice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, held, size = Shingler(width), [], 0
-        shift = 32 - slices.bit_length() + 1
+        shift = COUNTED - slices.bit_length() + 1
 
         def flush() -> pa.RecordBatch:
             every = np.sort(np.concatenate(held))
@@ -89,10 +95,10 @@ def _counts(width: int, slices: int):
 
         for b in batches:
             for grams in shingler.of_column(b.column(0)):
-                own = (grams[(grams & U(1)) == 0] >> U(32)).astype("<u4")
+                own = grams[(grams & U(1)) == 0] >> U(64 - COUNTED)
                 held.append(own)
                 size += len(own)
-                if size > 1 << 21:
+                if size > 1 << 20:
                     yield flush()
                     held, size = [], 0
         if size:
@@ -101,40 +107,45 @@ def _counts(width: int, slices: int):
     return run
 
 
-def _sketch(slices: int, heavy: int):
-    part = (1 << SKETCH_BITS) // slices
-
+def _sketch(slices: int, heavy: int, bits: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         k = int(pdf["slice"].iloc[0])
         every = np.sort(np.concatenate([_unpacked(x, k, slices) for x in pdf["hashes"]]))
         first = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
         times = np.diff(np.r_[first, len(every)])
-        place = (every[first].astype(np.int64) >> (32 - SKETCH_BITS)) - k * part
         maps = []
-        for least in (2, heavy):
-            bits = np.zeros(part, np.uint8)
-            bits[place[times >= least]] = 1
-            maps.append(zlib.compress(np.packbits(bits).tobytes(), 1))
+        for least, size in ((2, bits), (heavy, SKETCH_BITS[0])):
+            part = (1 << size) // slices
+            marks = np.zeros(part, np.uint8)
+            marks[(every[first[times >= least]] >> U(COUNTED - size)).astype(np.int64) - k * part] = 1
+            maps.append(zlib.compress(np.packbits(marks).tobytes(), 1))
         return pd.DataFrame({"slice": [k], "shared": [maps[0]], "heavy": [maps[1]], "f": [float(times[times > 1].sum())], "all": [float(times.sum())]})
 
     return run
 
 
+def sketch_bits(size: int) -> int:
+    """The power of two that leaves the sketch of shared grams sparse for texts of so
+    many bytes: half a bit or more for each gram that is counted."""
+    return min(SKETCH_BITS[1], max(SKETCH_BITS[0], (size // 26).bit_length()))
+
+
 def list_sketch(docs: DataFrame, width: int, heavy: int = 64) -> tuple[bytes, bytes, float]:
     """Bit maps, by the hash of an even gram, of those that two or more and that
     `heavy` or more rows hold, counted over all rows, and the share of all entries
-    that are of shared grams. The maps' size is fixed."""
+    that are of shared grams. The maps' size follows the texts', within bounds."""
     wanted = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slices = min(1 << 20, max(64, 1 << (wanted - 1).bit_length()))
+    bits = sketch_bits(docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     counted = docs.select("text").mapInArrow(_counts(width, slices), "slice int, hashes binary")
-    rows = counted.groupBy("slice").applyInPandas(_sketch(slices, heavy), "slice int, shared binary, heavy binary, f double, all double").collect()
-    part = (1 << SKETCH_BITS) // slices // 8
-    maps = [bytearray(slices * part) for _ in range(2)]
-    for r in rows:
-        for m, bits in zip(maps, (r["shared"], r["heavy"]), strict=True):
-            m[r["slice"] * part : (r["slice"] + 1) * part] = zlib.decompress(bits)
-    total = sum(r["all"] for r in rows)
-    return bytes(maps[0]), bytes(maps[1]), sum(r["f"] for r in rows) / total if total else 0.0
+    found = counted.groupBy("slice").applyInPandas(_sketch(slices, heavy, bits), "slice int, shared binary, heavy binary, f double, all double").collect()
+    maps = [bytearray(1 << (size - 3)) for size in (bits, SKETCH_BITS[0])]
+    for r in found:
+        for m, part in zip(maps, (r["shared"], r["heavy"]), strict=True):
+            step = len(m) // slices
+            m[r["slice"] * step : (r["slice"] + 1) * step] = zlib.decompress(part)
+    total = sum(r["all"] for r in found)
+    return bytes(maps[0]), bytes(maps[1]), sum(r["f"] for r in found) / total if total else 0.0
 
 
 def choose_boundary(shared: float, percent: int) -> int:
@@ -181,7 +192,8 @@ def _entries(width: int, percent: int, boundary: int, maps):
         shingler = Shingler(width)
         shared, heavy = (np.frombuffer(m, np.uint8) for m in maps.value)
 
-        def is_set(bits: np.ndarray, place: np.ndarray) -> np.ndarray:
+        def is_set(bits: np.ndarray, grams: np.ndarray) -> np.ndarray:
+            place = (grams >> U(65 - (8 * len(bits)).bit_length())).astype(np.int64)
             return (bits[place >> 3] >> (7 - (place & 7)).astype(np.uint8)) & 1
 
         for b in batches:
@@ -192,9 +204,8 @@ def _entries(width: int, percent: int, boundary: int, maps):
                 prints.append(int(mixed(grams ^ U(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)) if n else 0)
                 subsets.append(_subset_keys(grams, boundary, percent) if 0 < n <= boundary else [])
                 if n and 100 * n // percent > boundary:
-                    place = (grams >> U(64 - SKETCH_BITS)).astype(np.int64)
                     counted = (grams & U(1)) == 0
-                    order = np.where(counted, is_set(shared, place) + 2 * is_set(heavy, place), 2).astype(np.uint64)
+                    order = np.where(counted, is_set(shared, grams) + 2 * is_set(heavy, grams), 2).astype(np.uint64)
                     head = np.sort(order << U(62) | grams >> U(2))[: prefix_length(n, percent)]
                     heads.append(_signed(head[head >> U(62) > 0]).tolist())
                     centres.append(float(np.mean(order[counted])) if counted.any() else 0.0)
